@@ -95,3 +95,233 @@ ORACLES = {
         f"FROM nonempty CROSS JOIN {EPOCHS_SQL} WHERE "
         f"{keep_sql(PARAGRAPH_SAMPLE_RATE, CFG.seed, 'epoch', 'doc_id', 'line_no')}"),
 }
+
+
+# ---------------------------------------------------------------- model oracles
+from charloom.functions.sql import clip_sql, uniform_sql  # noqa: E402
+from charloom.queries import EVAL_OFFSET, GEN_STEPS, STACKED, T2_EPOCHS, T2_RATE  # noqa: E402
+
+H = CFG.hidden
+V_SQL = "(SELECT count(*) FROM vocab)"
+
+
+def _sine(layer: int, bno: int, i: str, j: str) -> str:
+    return f"0.1 * sin({5 * layer + bno} + 0.7 * ({i}) + 1.3 * ({j}))"
+
+
+def static_ctes(layers: int) -> list:
+    """Per-character logits of the sine_static model (Wh = 0): each step depends
+    only on its input character, so a V x V table holds every forward pass."""
+    ctes = ["voc AS (SELECT id AS v FROM vocab)", f"hid AS (SELECT range AS i FROM range({H}))",
+            f"h0 AS (SELECT voc.v, hid.i, tanh({_sine(0, 0, 'hid.i', 'voc.v')} + {_sine(0, 3, 'hid.i', '0')}) AS h "
+            "FROM voc, hid)",
+            f"y0 AS (SELECT h.v, u.v AS u, sum({_sine(0, 2, 'u.v', 'h.i')} * h.h) + {_sine(0, 4, 'u.v', '0')} AS y "
+            "FROM h0 h, voc u GROUP BY h.v, u.v)"]
+    for l in range(1, layers):
+        ctes.append(f"h{l} AS (SELECT y.v, hid.i, tanh(sum({_sine(l, 0, 'hid.i', 'y.u')} * y.y) + "
+                    f"{_sine(l, 3, 'hid.i', '0')}) AS h FROM y{l - 1} y, hid GROUP BY y.v, hid.i)")
+        ctes.append(f"y{l} AS (SELECT h.v, u.v AS u, sum({_sine(l, 2, 'u.v', 'h.i')} * h.h) + "
+                    f"{_sine(l, 4, 'u.v', '0')} AS y FROM h{l} h, voc u GROUP BY h.v, u.v)")
+    top = f"y{layers - 1}"
+    ctes.append(f"lse AS (SELECT v, ln(sum(exp(y))) AS lse FROM {top} GROUP BY v)")
+    ctes.append(f"lp AS (SELECT y.v, y.u, y.y, y.y - lse.lse AS lp FROM {top} y JOIN lse USING (v))")
+    return ctes
+
+
+def _rbase(*extra: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join([LINES_CTE, NONEMPTY_CTE, CHARS_CTE, VOCAB_CTE, GCHARS_CTE, *extra]) + "\n"
+
+
+def _model_rows(layers: int, value_sql, acc_sql="0.0") -> str:
+    """All parameter rows (layer, block, i, j) of a model with H hidden units;
+    value_sql(layer, bno, i, j) gives w."""
+    parts = []
+    for l in range(layers):
+        specs = [(0, "Win", f"range({H})", "voc"), (1, "Wh", f"range({H})", f"range({H})"),
+                 (2, "Wout", "voc", f"range({H})"), (3, "bh", f"range({H})", None), (4, "bout", "voc", None)]
+        for bno, name, isrc, jsrc in specs:
+            iexpr = "a.v" if isrc == "voc" else "a.range"
+            if jsrc is None:
+                jexpr, src = "0", f"{isrc} a"
+            else:
+                jexpr = "b.v" if jsrc == "voc" else "b.range"
+                src = f"{isrc} a, {jsrc} b"
+            parts.append(f"SELECT CAST({l} AS BIGINT) AS layer, '{name}' AS block, CAST({iexpr} AS BIGINT) AS i, "
+                         f"CAST({jexpr} AS BIGINT) AS j, {value_sql(l, bno, iexpr, jexpr)} AS w, {acc_sql} AS acc "
+                         f"FROM {src}")
+    return " UNION ALL ".join(parts)
+
+
+BASE_G = f"CAST({L} AS DOUBLE) / {V_SQL}"
+LIM = CFG.clip
+LR = CFG.learn_rate
+
+TUMBLING_CTES = [
+    CORPUS_WINDOWS_CTE,
+    f"tw AS (SELECT gpos AS start, win FROM gwin WHERE gpos % {L} = 0 AND length(win) = {L + 1})",
+    "nw AS (SELECT count(*) AS nw FROM tw)",
+    f"tcnt AS (SELECT start, ch, count(*) AS cnt FROM (SELECT start, unnest(string_split(substr(win, 2, {L}), '')) "
+    "AS ch FROM tw) GROUP BY start, ch)",
+    f"pres AS (SELECT v.id, sum({clip_sql(BASE_G + ' - cnt', LIM)}) AS g_present, count(*) AS n_present "
+    "FROM tcnt JOIN vocab v USING (ch) GROUP BY v.id)",
+    f"bgrad AS (SELECT v.id AS i, (SELECT nw FROM nw) AS n_windows, coalesce(g_present, 0) + "
+    f"((SELECT nw FROM nw) - coalesce(n_present, 0)) * {clip_sql(BASE_G, LIM)} AS g_sum "
+    "FROM vocab v LEFT JOIN pres ON pres.id = v.id)",
+]
+
+ORACLES["model_init"] = _rbase("voc AS (SELECT id AS v FROM vocab)") + (
+    "SELECT layer, block, i, j, round(w, 6) AS w, round(acc, 6) AS acc FROM ("
+    + _model_rows(STACKED, lambda l, b, i, j: _sine(l, b, i, j)) + ")")
+
+ORACLES["softmax_xent"] = _rbase(*static_ctes(STACKED),
+    "nxt AS (SELECT id AS x, lead(id) OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS y FROM gchars)",
+    "pairs AS (SELECT x, y, count(*) AS n FROM nxt WHERE y IS NOT NULL GROUP BY x, y)") + (
+    "SELECT CAST(pairs.x AS BIGINT) AS input_id, CAST(pairs.y AS BIGINT) AS target_id, CAST(pairs.n AS BIGINT) AS n, "
+    "round(exp(lp.lp), 6) AS p, round(-lp.lp, 6) AS xent FROM pairs JOIN lp ON lp.v = pairs.x AND lp.u = pairs.y")
+
+ORACLES["clipped_grads"] = _rbase(*TUMBLING_CTES) + (
+    "SELECT CAST(i AS BIGINT) AS i, CAST(n_windows AS BIGINT) AS n_windows, round(g_sum, 6) AS g_sum, "
+    "round(g_sum / n_windows, 6) AS g_mean FROM bgrad")
+
+ORACLES["window_grads"] = _rbase("voc AS (SELECT id AS v FROM vocab)", *TUMBLING_CTES) + (
+    "SELECT m.layer, m.block, m.i, m.j, CAST((SELECT nw FROM nw) AS BIGINT) AS n_windows, "
+    "round(coalesce(b.g_sum, 0.0), 6) AS g_sum, round(coalesce(b.g_sum, 0.0) / (SELECT nw FROM nw), 6) AS g_mean "
+    "FROM (" + _model_rows(1, lambda l, b, i, j: "0.0") + ") m "
+    "LEFT JOIN bgrad b ON m.block = 'bout' AND b.i = m.i")
+
+ORACLES["adagrad_step"] = _rbase("voc AS (SELECT id AS v FROM vocab)", *TUMBLING_CTES) + (
+    "SELECT layer, block, i, j, round(w - " + str(LR) + " * g / sqrt(acc + g * g + 1e-8), 6) AS w, "
+    "round(acc + g * g, 6) AS acc FROM (SELECT m.*, CASE WHEN m.block = 'bout' THEN b.g_sum / b.n_windows "
+    "ELSE 0.0 END AS g FROM (" + _model_rows(1, lambda l, b, i, j: _sine(l, b, i, j)) + ") m "
+    "LEFT JOIN bgrad b ON b.i = m.i)")
+
+ORACLES["window_loss"] = _rbase(*static_ctes(STACKED),
+    "bg AS (SELECT gpos AS p, id AS x, lead(id) OVER (ORDER BY gpos) AS y FROM gchars)",
+    f"wl AS (SELECT bg.p // {L} AS w, sum(-lp.lp) AS loss FROM bg JOIN lp ON lp.v = bg.x AND lp.u = bg.y "
+    f"WHERE bg.p < (SELECT (count(*) - 1) // {L} * {L} FROM gchars) GROUP BY 1)") + (
+    f"SELECT g.doc_id, CAST(count(*) AS BIGINT) AS n_windows, round(avg(wl.loss), 6) AS mean_loss "
+    f"FROM wl JOIN gchars g ON g.gpos = wl.w * {L} GROUP BY g.doc_id")
+
+ORACLES["doc_scores"] = _rbase(*static_ctes(STACKED),
+    "lb AS (SELECT doc_id, id AS x, lead(id) OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS y FROM gchars)") + (
+    "SELECT doc_id, CAST(count(*) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(*), 6) AS mean_loss, "
+    "round(exp(sum(-lp.lp) / count(*)), 6) AS perplexity FROM lb JOIN lp ON lp.v = lb.x AND lp.u = lb.y "
+    "GROUP BY doc_id")
+
+
+def _zero_bias_training(hist_cte: str, n_cte: str, epochs: int, extra=()) -> str:
+    """Unrolled epochs of full-batch / mini-batch training from the zero model.
+
+    With every weight zero the hidden state stays zero, only the output bias b
+    learns, and window w's gradient for char c is L*softmax(b)_c - count_w(c).
+    ``hist_cte`` defines hist(epoch, c, k, m): m windows in that epoch whose
+    targets hold char c exactly k >= 1 times; ``n_cte`` defines nwin(epoch, nw).
+    """
+    ctes = [*extra, hist_cte, n_cte,
+            "s0 AS (SELECT id AS c, 0.0 AS b, 0.0 AS a FROM vocab)"]
+    sels = []
+    smooth_prev = f"{L} * ln({V_SQL})"
+    for e in range(epochs):
+        ctes += [
+            f"z{e} AS (SELECT ln(sum(exp(b))) AS lse FROM s{e})",
+            f"p{e} AS (SELECT c, b, a, exp(b - (SELECT lse FROM z{e})) AS p FROM s{e})",
+            f"h{e} AS (SELECT c, k, m FROM hist WHERE epoch = {e})",
+            f"n{e} AS (SELECT coalesce(max(nw), 0) AS nw FROM nwin WHERE epoch = {e})",
+            f"g{e} AS (SELECT p.c, p.b, p.a, coalesce(sum(h.m * {clip_sql(str(L) + ' * p.p - h.k', LIM)}), 0.0) + "
+            f"((SELECT nw FROM n{e}) - coalesce(sum(h.m), 0)) * {clip_sql(str(L) + ' * p.p', LIM)} AS gs, "
+            f"coalesce(sum(h.m * h.k), 0) AS tc FROM p{e} p LEFT JOIN h{e} h ON h.c = p.c GROUP BY p.c, p.b, p.a, p.p)",
+            f"l{e} AS (SELECT sum(tc * ((SELECT lse FROM z{e}) - b)) AS loss FROM g{e})",
+            f"s{e + 1} AS (SELECT c, CASE WHEN n > 0 THEN b - {LR} * gm / sqrt(a + gm * gm + 1e-8) ELSE b END AS b, "
+            f"CASE WHEN n > 0 THEN a + gm * gm ELSE a END AS a FROM (SELECT c, b, a, (SELECT nw FROM n{e}) AS n, "
+            f"CASE WHEN (SELECT nw FROM n{e}) > 0 THEN gs / (SELECT nw FROM n{e}) ELSE 0.0 END AS gm FROM g{e}))",
+            f"sm{e} AS (SELECT CASE WHEN (SELECT nw FROM n{e}) > 0 THEN 0.999 * ({smooth_prev}) + 0.001 * "
+            f"(SELECT loss FROM l{e}) / (SELECT nw FROM n{e}) ELSE ({smooth_prev}) END AS v)",
+        ]
+        smooth_prev = f"(SELECT v FROM sm{e})"
+        sels.append(
+            f"SELECT CAST({e} AS BIGINT) AS epoch, CAST((SELECT nw FROM n{e}) AS BIGINT) AS n, "
+            f"round((SELECT loss FROM l{e}) / ((SELECT nw FROM n{e}) * {L}), 6) AS loss_per_char, "
+            f"round((SELECT v FROM sm{e}), 6) AS smooth_loss, round((SELECT sum(b) FROM s{e + 1}), 6) AS w_sum, "
+            f"round((SELECT sum(b * b) FROM s{e + 1}), 6) AS w_sq, round((SELECT sum(a) FROM s{e + 1}), 6) AS acc_sum")
+    return _rbase(*ctes) + " UNION ALL ".join(sels)
+
+
+# every corpus window: sweep over target positions; window s holds target q iff q-L <= s <= q-1
+T1_HIST = (
+    "hist AS (SELECT 0 AS epoch, c, k, sum(len) AS m FROM ("
+    f"SELECT c, k, least(coalesce(s_next, nwall), nwall) - least(s, nwall) AS len FROM ("
+    f"SELECT c, s, sum(d) OVER (PARTITION BY c ORDER BY s) AS k, lead(s) OVER (PARTITION BY c ORDER BY s) AS s_next, "
+    f"(SELECT count(*) - {L} FROM gchars) AS nwall FROM ("
+    f"SELECT c, s, sum(d) AS d FROM (SELECT id AS c, greatest(0, gpos - {L}) AS s, 1 AS d FROM gchars WHERE gpos >= 1 "
+    "UNION ALL SELECT id AS c, gpos AS s, -1 AS d FROM gchars WHERE gpos >= 1) GROUP BY c, s))) "
+    "WHERE k > 0 AND len > 0 GROUP BY c, k)")
+T1_N = f"nwin AS (SELECT 0 AS epoch, count(*) - {L} AS nw FROM gchars)"
+
+ORACLES["train_full_batch"] = _zero_bias_training(T1_HIST, T1_N, 1)
+
+T2_SAMPLED = (
+    f"sw AS (SELECT e.epoch, gpos AS start, win FROM gwin, range({T2_EPOCHS}) e(epoch) "
+    f"WHERE length(win) = {L + 1} AND {keep_sql(T2_RATE, CFG.seed, 'e.epoch', 'gpos')})")
+T2_HIST = (
+    f"hist AS (SELECT epoch, c, k, count(*) AS m FROM (SELECT epoch, start, v.id AS c, count(*) AS k FROM ("
+    f"SELECT epoch, start, unnest(string_split(substr(win, 2, {L}), '')) AS ch FROM sw) t JOIN vocab v USING (ch) "
+    "GROUP BY epoch, start, v.id) GROUP BY epoch, c, k)")
+T2_N = "nwin AS (SELECT epoch, count(*) AS nw FROM sw GROUP BY epoch)"
+
+ORACLES["train_mini_batch"] = _zero_bias_training(T2_HIST, T2_N, T2_EPOCHS, (CORPUS_WINDOWS_CTE, T2_SAMPLED))
+
+ORACLES["inverse_cdf_sample"] = _rbase(
+    f"cdf AS (SELECT id, CAST(sum(n) OVER (ORDER BY id ROWS UNBOUNDED PRECEDING) AS DOUBLE) / "
+    "CAST((SELECT sum(n) FROM vocab) AS DOUBLE) AS c FROM vocab)",
+    f"d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, {uniform_sql(CFG.seed, 0, 'doc_id')} AS u FROM documents)",
+    f"pick AS (SELECT d.doc_id, CASE WHEN d.u <= (SELECT c FROM cdf WHERE id = 0) THEN 0 ELSE "
+    f"least({V_SQL} - 1, (SELECT count(*) FROM cdf WHERE cdf.c <= d.u)) END AS id FROM d)") + (
+    "SELECT pick.doc_id, CAST(pick.id AS BIGINT) AS id, v.ch FROM pick JOIN vocab v ON v.id = pick.id")
+
+PROMPTS_CTE = ("p0 AS (SELECT CAST(b.item_id AS BIGINT) AS prompt_id, v.id AS seed_id FROM benchmark b "
+               "JOIN vocab v ON v.ch = substr(b.text, 1, 1) WHERE length(b.text) > 0)")
+# inverse-CDF intervals of the next-character distribution after each char (disjoint):
+# k=0: u <= c0; k=1: c0 < u < c1; 2<=k<V-1: c(k-1) <= u < ck; k=V-1: u beyond c(V-2)
+INTERVALS_CTES = [
+    "pr AS (SELECT v, u, exp(y) / sum(exp(y)) OVER (PARTITION BY v) AS p FROM y0)",
+    "cd AS (SELECT v, u, sum(p) OVER (PARTITION BY v ORDER BY u ROWS UNBOUNDED PRECEDING) AS c FROM pr)",
+    "iv AS (SELECT v, u AS k, lag(c) OVER (PARTITION BY v ORDER BY u) AS lo, c AS hi FROM cd)",
+]
+
+
+def _interval_match(u: str) -> str:
+    top = f"({V_SQL} - 1)"
+    return (f"((iv.k = 0 AND {u} <= iv.hi) OR (iv.k = 1 AND iv.k < {top} AND {u} > iv.lo AND {u} < iv.hi) OR "
+            f"(iv.k >= 2 AND iv.k < {top} AND {u} >= iv.lo AND {u} < iv.hi) OR "
+            f"(iv.k = {top} AND iv.k >= 1 AND ((iv.k = 1 AND {u} > iv.lo) OR (iv.k > 1 AND {u} >= iv.lo))))")
+
+
+ORACLES["generate_greedy"] = _rbase(*static_ctes(1), PROMPTS_CTE,
+    "nxt AS (SELECT v, u FROM (SELECT v, u, row_number() OVER (PARTITION BY v ORDER BY y DESC, u) AS rn FROM y0) "
+    "WHERE rn = 1)",
+    "gen AS (SELECT prompt_id, seed_id, 0 AS t, seed_id AS cur, '' AS text FROM p0 UNION ALL "
+    "SELECT g.prompt_id, g.seed_id, g.t + 1, n.u, g.text || voc.ch FROM gen g JOIN nxt n ON n.v = g.cur "
+    f"JOIN vocab voc ON voc.id = n.u WHERE g.t < {GEN_STEPS})") + (
+    f"SELECT prompt_id, CAST(seed_id AS BIGINT) AS seed_id, text FROM gen WHERE t = {GEN_STEPS}")
+
+ORACLES["generate_sampled"] = _rbase(*static_ctes(1), PROMPTS_CTE, *INTERVALS_CTES,
+    "gen AS (SELECT prompt_id, seed_id, 0 AS t, seed_id AS cur, '' AS text FROM p0 UNION ALL "
+    "SELECT g.prompt_id, g.seed_id, g.t + 1, iv.k, g.text || voc.ch FROM gen g "
+    f"JOIN iv ON iv.v = g.cur AND {_interval_match(uniform_sql(CFG.seed, 'g.prompt_id', 'g.t'))} "
+    f"JOIN vocab voc ON voc.id = iv.k WHERE g.t < {GEN_STEPS})") + (
+    f"SELECT prompt_id, CAST(seed_id AS BIGINT) AS seed_id, text FROM gen WHERE t = {GEN_STEPS}")
+
+ORACLES["free_running_loss"] = _rbase(*static_ctes(1), *INTERVALS_CTES,
+    "items AS (SELECT CAST(item_id AS BIGINT) AS prompt_id, text FROM benchmark WHERE length(text) >= 2)",
+    "ichars AS (SELECT i.prompt_id, CAST(u.ord - 1 AS BIGINT) AS t, v.id FROM items i, "
+    "unnest(string_split(i.text, '')) WITH ORDINALITY AS u(ch, ord) LEFT JOIN vocab v ON v.ch = u.ch)",
+    "ok AS (SELECT prompt_id, count(*) AS n FROM ichars GROUP BY prompt_id HAVING count(id) = count(*))",
+    "run AS (SELECT o.prompt_id, o.n, 0 AS t, c.id AS cur, CAST(0.0 AS DOUBLE) AS loss FROM ok o JOIN ichars c "
+    "ON c.prompt_id = o.prompt_id AND c.t = 0 UNION ALL "
+    "SELECT r.prompt_id, r.n, r.t + 1, iv.k, r.loss + CASE WHEN r.t >= " + str(EVAL_OFFSET) + " THEN -lp.lp ELSE 0.0 END "
+    "FROM run r JOIN ichars tg ON tg.prompt_id = r.prompt_id AND tg.t = r.t + 1 "
+    "JOIN lp ON lp.v = r.cur AND lp.u = tg.id "
+    f"JOIN iv ON iv.v = r.cur AND {_interval_match(uniform_sql(CFG.seed, 'r.prompt_id', 'r.t'))} "
+    "WHERE r.t < r.n - 1)") + (
+    f"SELECT prompt_id, CAST(greatest(0, n - 1 - {EVAL_OFFSET}) AS BIGINT) AS n_scored, round(loss, 6) AS loss "
+    "FROM run WHERE t = n - 1")

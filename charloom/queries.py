@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from charloom.config import RnnConfig
 from charloom.corpus_context import Corpus
-from charloom.functions.exprs import bernoulli_keep, md5_int
+import numpy as np
+
+from charloom.functions.exprs import bernoulli_keep, clip_col, md5_int
 from charloom.operators import corpus as C
 from charloom.operators import windows as W
 from charloom.operators.scan import line_offsets
+from charloom.sources.text import read_table
 
 CFG = RnnConfig()
 L = CFG.seq_len
@@ -187,6 +190,200 @@ def q_sampled_paragraphs(spark, sf_dir):
             .select("epoch", "doc_id", "line_no", F.length("line").cast("bigint").alias("n")))
 
 
+# ---------------------------------------------------------------- model maths and training
+# Fixed settings of the registered model queries.  Models that SQL can rebuild:
+# "sine" (closed-form weights) and "sine_static" (sine with Wh = 0, so each step
+# depends on its own input only and per-character logit tables are exact);
+# "zero" (only the output bias can learn, so training has a closed form).
+STACKED = 2
+T2_RATE = 0.01
+T2_EPOCHS = 3
+T3_RATE = 0.05
+GEN_STEPS = 25
+EVAL_OFFSET = 10
+
+
+def _static_model(c: Corpus, layers: int = STACKED):
+    from charloom.functions.kernels import init_params
+    return init_params(layers, CFG.hidden, c.vocab.size, "sine_static")
+
+
+def _metrics_out(df: DataFrame) -> DataFrame:
+    return df.select(F.col("epoch").cast("bigint").alias("epoch"), "n", *[F.round(x, 6).alias(x) for x in
+                                    ("loss_per_char", "smooth_loss", "w_sum", "w_sq", "acc_sum")])
+
+
+def q_model_init(spark, sf_dir):
+    from charloom.plans.model import model_table
+    c = _corpus(spark, sf_dir)
+    m = model_table(spark, STACKED, CFG.hidden, c.vocab.size, "sine")
+    return m.select(*[F.col(x).cast("bigint").alias(x) for x in ("layer",)], "block",
+                    *[F.col(x).cast("bigint").alias(x) for x in ("i", "j")],
+                    F.round("w", 6).alias("w"), F.round("acc", 6).alias("acc"))
+
+
+def q_softmax_xent(spark, sf_dir):
+    """Softmax of the logits after each input character and the
+    cross-entropy of every (input, target) pair seen in the corpus."""
+    from charloom.plans.score import pair_xent
+    c = _corpus(spark, sf_dir)
+    pairs = q_shifted_pairs(spark, sf_dir)
+    out = pair_xent(spark, pairs, _static_model(c), c.vocab)
+    return out.select("input_id", "target_id", "n", F.round("p", 6).alias("p"), F.round("xent", 6).alias("xent"))
+
+
+def _tumbling_bout_grads(c: Corpus) -> DataFrame:
+    """Per-window output-bias gradient of the all-zero model on tumbling windows,
+    in SQL form: with h = 0 the gradient of window w for char k is
+    L/V - count_w(k).  Clipped per window (P9), then summed per char."""
+    V = c.vocab.size
+    wins = W.corpus_tumbling_windows(c.corpus.segments, L)
+    nwin = wins.count()
+    tg = (wins.select("start", F.explode(F.split(F.substring("win", 2, L), "", -1)).alias("ch"))
+          .groupBy("start", "ch").agg(F.count(F.lit(1)).alias("cnt")))
+    tg = tg.join(F.broadcast(c.vocab.to_df(c.spark).select("ch", "id")), "ch")
+    base = float(L) / V
+    present = tg.groupBy("id").agg(
+        F.sum(clip_col(F.lit(base) - F.col("cnt"), CFG.clip)).alias("g_present"),
+        F.count(F.lit(1)).alias("n_present"))
+    allv = c.vocab.to_df(c.spark).select("id")
+    return (allv.join(present, "id", "left").select(
+        F.col("id").cast("bigint").alias("i"),
+        (F.coalesce("g_present", F.lit(0.0)) + (F.lit(nwin) - F.coalesce("n_present", F.lit(0)))
+         * clip_col(F.lit(base), CFG.clip)).alias("g_sum"), F.lit(nwin).cast("bigint").alias("n_windows")))
+
+
+def q_clipped_grads(spark, sf_dir):
+    c = _corpus(spark, sf_dir)
+    g = _tumbling_bout_grads(c)
+    return g.select("i", "n_windows", F.round("g_sum", 6).alias("g_sum"),
+                    F.round(F.col("g_sum") / F.col("n_windows"), 6).alias("g_mean"))
+
+
+def q_window_grads(spark, sf_dir):
+    """N3 + A3 + A4 (+P10): back-propagation of every tumbling window through the
+    kernel, per-window clip, sum and mean -- zero model, so the SQL oracle is exact."""
+    from charloom.plans.score import window_grad_sums
+    c = _corpus(spark, sf_dir)
+    g = window_grad_sums(spark, c.corpus.segments, CFG.with_(init="zero"), c.vocab, stride=L)
+    return g.select(F.col("layer").cast("bigint").alias("layer"), "block", F.col("i").cast("bigint").alias("i"),
+                    F.col("j").cast("bigint").alias("j"), "n_windows", F.round("g_sum", 6).alias("g_sum"),
+                    F.round("g_mean", 6).alias("g_mean"))
+
+
+def q_adagrad_step(spark, sf_dir):
+    """N5 on tables: sine model joined with the mean tumbling-window gradient."""
+    from charloom.plans.model import adagrad_update, model_table
+    c = _corpus(spark, sf_dir)
+    m = model_table(spark, 1, CFG.hidden, c.vocab.size, "sine")
+    g = _tumbling_bout_grads(c).select(F.lit(0).alias("layer"), F.lit("bout").alias("block"),
+                                       F.col("i").cast("int").alias("i"), F.lit(0).alias("j"),
+                                       (F.col("g_sum") / F.col("n_windows")).alias("g"))
+    out = adagrad_update(m, g, CFG.learn_rate)
+    return out.select(F.col("layer").cast("bigint").alias("layer"), "block", F.col("i").cast("bigint").alias("i"),
+                      F.col("j").cast("bigint").alias("j"), F.round("w", 6).alias("w"), F.round("acc", 6).alias("acc"))
+
+
+def q_window_loss(spark, sf_dir):
+    """Stacked forward pass and loss of every corpus tumbling window (zero
+    start state), per document of the window start."""
+    from charloom.plans.score import window_scores
+    c = _corpus(spark, sf_dir)
+    s = window_scores(spark, c.corpus.segments, _static_model(c), c.vocab, L, stride=L)
+    return s.select("doc_id", F.col("n_windows").cast("bigint").alias("n_windows"),
+                    F.round(F.col("loss") / F.col("n_windows"), 6).alias("mean_loss"))
+
+
+def q_doc_scores(spark, sf_dir):
+    """G5 (flagship): every line scored with the hidden state carried through it;
+    documents ranked by mean nats per predicted character."""
+    from charloom.plans.score import doc_scores
+    c = _corpus(spark, sf_dir)
+    s = doc_scores(spark, c.lines, _static_model(c), c.vocab)
+    return s.select("doc_id", F.col("n_pred").cast("bigint").alias("n_pred"),
+                    F.round("mean_loss", 6).alias("mean_loss"),
+                    F.round("perplexity", 6).alias("perplexity")).orderBy(F.col("mean_loss").desc(), "doc_id")
+
+
+def q_train_full_batch(spark, sf_dir):
+    """T1 + A3/A4/A6/A8/IO3: one epoch over every corpus window (zero model)."""
+    from charloom.plans.train import fit_windows
+    c = _corpus(spark, sf_dir)
+    res = fit_windows(c, CFG.with_(init="zero", epochs=1), rate=1.0)
+    return _metrics_out(res.metrics_df(spark))
+
+
+def q_train_mini_batch(spark, sf_dir):
+    """T2 + F2: sampled window starts per epoch (zero model)."""
+    from charloom.plans.train import fit_windows
+    c = _corpus(spark, sf_dir)
+    res = fit_windows(c, CFG.with_(init="zero", epochs=T2_EPOCHS), rate=T2_RATE)
+    return _metrics_out(res.metrics_df(spark))
+
+
+def q_train_param_avg(spark, sf_dir):
+    """T3 + A5/A7: sampled paragraphs trained locally, weights and accumulators averaged."""
+    from charloom.plans.train import fit_sequences
+    c = _corpus(spark, sf_dir)
+    res = fit_sequences(c, CFG.with_(init="gaussian", epochs=2), rate=T3_RATE, unit="paragraph")
+    return _metrics_out(res.metrics_df(spark))
+
+
+def q_train_per_document(spark, sf_dir):
+    """T4: carried-state sequential training per document, averaged across documents."""
+    from charloom.plans.train import fit_sequences
+    c = _corpus(spark, sf_dir)
+    res = fit_sequences(c, CFG.with_(init="gaussian", epochs=1), rate=1.0, unit="document")
+    return _metrics_out(res.metrics_df(spark))
+
+
+def q_inverse_cdf_sample(spark, sf_dir):
+    """One draw per document from the corpus character distribution."""
+    from charloom.functions.exprs import unit_uniform
+    c = _corpus(spark, sf_dir)
+    counts = np.array(c.vocab.counts, dtype=np.int64)
+    cum = np.cumsum(counts)
+    cdf = F.array(*[F.lit(float(x) / float(cum[-1])) for x in cum])
+    u = unit_uniform(CFG.seed, 0, F.col("doc_id"))
+    k = F.when(u <= F.element_at(cdf, 1), F.lit(0)).otherwise(
+        F.least(F.lit(c.vocab.size - 1), F.size(F.filter(cdf, lambda x: x <= u))))
+    table = F.array(*[F.lit(ch) for ch in c.vocab.chars])
+    docs = c.docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    return docs.select("doc_id", k.cast("bigint").alias("id")).select(
+        "doc_id", "id", F.element_at(table, F.col("id").cast("int") + 1).alias("ch"))
+
+
+def _prompts(spark, sf_dir):
+    from charloom.plans.generate import prompts_from_text
+    bench = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return prompts_from_text(bench, "item_id", "text")
+
+
+def q_generate_greedy(spark, sf_dir):
+    """G1 + G3: greedy continuation of every benchmark item's first character."""
+    from charloom.plans.generate import generate_text
+    c = _corpus(spark, sf_dir)
+    return generate_text(spark, _prompts(spark, sf_dir), _static_model(c, 1), c.vocab, GEN_STEPS, greedy=True)
+
+
+def q_generate_sampled(spark, sf_dir):
+    """G1 + G2 + IO5: sampled continuation with reproducible draws."""
+    from charloom.plans.generate import generate_text
+    c = _corpus(spark, sf_dir)
+    return generate_text(spark, _prompts(spark, sf_dir), _static_model(c, 1), c.vocab, GEN_STEPS,
+                         greedy=False, seed=CFG.seed)
+
+
+def q_free_running_loss(spark, sf_dir):
+    """Free-running (sampled) loss of every benchmark item after 10 chars."""
+    from charloom.plans.generate import free_running_loss
+    c = _corpus(spark, sf_dir)
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text").select(
+        F.col("item_id").cast("bigint").alias("prompt_id"), "text")
+    out = free_running_loss(spark, items, _static_model(c, 1), c.vocab, EVAL_OFFSET, seed=CFG.seed)
+    return out.select("prompt_id", "n_scored", F.round("loss", 6).alias("loss"))
+
+
 QUERIES = {
     "corpus_lines": q_corpus_lines,
     "nonempty_lines": q_nonempty_lines,
@@ -206,5 +403,21 @@ QUERIES = {
     "paragraph_chunks": q_paragraph_chunks,
     "sampled_windows": q_sampled_windows,
     "sampled_paragraphs": q_sampled_paragraphs,
+    "model_init": q_model_init,
+    "softmax_xent": q_softmax_xent,
+    "clipped_grads": q_clipped_grads,
+    "window_grads": q_window_grads,
+    "adagrad_step": q_adagrad_step,
+    "window_loss": q_window_loss,
+    "doc_scores": q_doc_scores,
+    "train_full_batch": q_train_full_batch,
+    "train_mini_batch": q_train_mini_batch,
+    "train_param_avg": q_train_param_avg,
+    "train_per_document": q_train_per_document,
+    "inverse_cdf_sample": q_inverse_cdf_sample,
+    "generate_greedy": q_generate_greedy,
+    "generate_sampled": q_generate_sampled,
+    "free_running_loss": q_free_running_loss,
 }
-FLAGSHIP = "corpus_summary"
+
+FLAGSHIP = "doc_scores"
