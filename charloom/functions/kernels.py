@@ -399,10 +399,35 @@ def train_sequences(params: dict, accs: dict, seqs: list, cfg, mode: str = "para
 
 
 # ---------------------------------------------------------------- scoring and generation
-def sequence_losses(params: dict, seqs: list, batch_chars: int = 400_000):
+def hidden_states(params: dict, x: np.ndarray, h0: np.ndarray | None = None, chunk: int = 256):
+    """Hidden states of every layer (NL,n,T,H) for ids ``x`` (n,T); inputs of
+    upper layers (the lower layer's logits) are built ``chunk`` steps at a time,
+    so no (n,T,V) array is ever held."""
+    layers, hidden, vocab = dims(params)
+    n, steps = x.shape
+    hs = np.empty((layers, n, steps, hidden))
+    for l in range(layers):
+        h = np.zeros((n, hidden)) if h0 is None else h0[l]
+        wht = params["Wh"][l].T
+        for c0 in range(0, steps, chunk):
+            c1 = min(steps, c0 + chunk)
+            if l == 0:
+                pre = params["Win"][0].T[x[:, c0:c1]]
+            else:
+                y = _mm(hs[l - 1][:, c0:c1], params["Wout"][l - 1].T) + params["bout"][l - 1]
+                pre = _mm(y, params["Win"][l].T)
+            pre += params["bh"][l]
+            for t in range(c1 - c0):
+                h = np.tanh(pre[:, t] + h @ wht)
+                hs[l, :, c0 + t] = h
+    return hs
+
+
+def sequence_losses(params: dict, seqs: list, batch_chars: int = 65_536, chunk: int = 256):
     """Teacher-forced loss of each whole sequence from a zero state: every id
     after the first is predicted.  Sequences are length-sorted and padded per
-    batch.  Returns (summed nats (n,), predictions (n,))."""
+    batch; logits are formed ``chunk`` steps at a time.  Returns (summed nats
+    (n,), predictions (n,))."""
     layers, hidden, vocab = dims(params)
     n = len(seqs)
     lens = np.array([len(s) for s in seqs], dtype=np.int64)
@@ -419,12 +444,18 @@ def sequence_losses(params: dict, seqs: list, batch_chars: int = 400_000):
             x = np.zeros((len(idx), width), dtype=np.int64)
             for r, k in enumerate(idx):
                 x[r, :lens[k]] = seqs[k]
-            _, ys = forward(params, x[:, :-1])
-            lp = log_softmax(ys[-1])
-            tgt = x[:, 1:]
-            nll = -np.take_along_axis(lp, tgt[:, :, None], axis=2)[:, :, 0]
-            mask = np.arange(width - 1)[None, :] < (lens[idx] - 1)[:, None]
-            out[idx] = (nll * mask).sum(axis=1)
+            hs = hidden_states(params, x[:, :-1], chunk=chunk)
+            top = hs[-1]
+            npred = lens[idx] - 1
+            tot = np.zeros(len(idx))
+            wout, bout = params["Wout"][-1].T, params["bout"][-1]
+            for c0 in range(0, width - 1, chunk):
+                c1 = min(width - 1, c0 + chunk)
+                lp = log_softmax(_mm(top[:, c0:c1], wout) + bout)
+                nll = -np.take_along_axis(lp, x[:, c0 + 1:c1 + 1, None], axis=2)[:, :, 0]
+                mask = (np.arange(c0, c1)[None, :] < npred[:, None])
+                tot += (nll * mask).sum(axis=1)
+            out[idx] = tot
         i = j
     return out, np.maximum(lens - 1, 0)
 
