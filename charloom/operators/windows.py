@@ -58,11 +58,11 @@ def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column
     last = last.cast("int")
     starts = F.when(last >= first, F.sequence(first, last, F.lit(stride))).otherwise(
         F.array().cast("array<int>"))
-    chars = F.split(F.col("text"), "", -1)
-    wins = F.transform(starts, lambda s: F.struct(
-        (origin + s).alias("start"), F.array_join(F.slice(chars, s + 1, seq_len + 1), "").alias("win")))
-    return (pieces.select(*keep, F.explode(wins).alias("w"))
-            .select(*keep, "w.start", "w.win")
+    # explode + substring stays inside whole-stage codegen; pieces are at most
+    # piece + halo characters, so the UTF-8 scan of substring is bounded
+    return (pieces.select(*keep, origin.alias("_origin"), "text", F.explode(starts).alias("_s"))
+            .select(*keep, (F.col("_origin") + F.col("_s")).alias("start"),
+                    F.substring(F.col("text"), F.col("_s") + 1, F.lit(seq_len + 1)).alias("win"))
             .where(F.length("win") == seq_len + 1))
 
 
