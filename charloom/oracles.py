@@ -325,3 +325,82 @@ ORACLES["free_running_loss"] = _rbase(*static_ctes(1), *INTERVALS_CTES,
     "WHERE r.t < r.n - 1)") + (
     f"SELECT prompt_id, CAST(greatest(0, n - 1 - {EVAL_OFFSET}) AS BIGINT) AS n_scored, round(loss, 6) AS loss "
     "FROM run WHERE t = n - 1")
+
+
+def _zero_sequence_training(unit: str, rate: float, epochs: int) -> str:
+    """Unrolled epochs of local training + averaging from the zero model.
+
+    Each sampled sequence starts from the global output bias b and accumulator
+    a (lists of V doubles) and steps through its chunks with AdaGrad: chunk
+    gradient clip(L*softmax(b) - counts); a recursive CTE per epoch carries
+    (b, a, loss) from chunk to chunk.  Sequences without a chunk keep (b, a).
+    """
+    if unit == "paragraph":
+        seqs = "seqs AS (SELECT doc_id, line_no, CAST(length(line) AS BIGINT) AS n FROM nonempty)"
+        chunks = f"greatest(0, CAST(ceil((n - 1) / {float(L)}) AS BIGINT) - 1)"
+        sc = "sc AS (SELECT doc_id, line_no, pos AS q, id FROM gchars)"
+        keys = ("s.doc_id", "s.line_no")
+    else:
+        seqs = "seqs AS (SELECT doc_id, CAST(-1 AS BIGINT) AS line_no, count(*) AS n FROM gchars GROUP BY doc_id)"
+        chunks = f"(n - 1) // {L}"
+        sc = ("sc AS (SELECT doc_id, CAST(-1 AS BIGINT) AS line_no, "
+              "row_number() OVER (PARTITION BY doc_id ORDER BY line_no, pos) - 1 AS q, id FROM gchars)")
+        keys = ("s.doc_id",)
+    keep = keep_sql(rate, CFG.seed, "e.epoch", *keys) if rate < 1.0 else "TRUE"
+    clip_z = clip_sql(f"{L} * exp(z[1] - r.lse) - z[2]", LIM)
+    ctes = [seqs, sc,
+            f"samp AS (SELECT e.epoch, s.doc_id, s.line_no, s.n, {chunks} AS ch FROM seqs s, range({epochs}) e(epoch) "
+            f"WHERE {keep})",
+            "need AS (SELECT DISTINCT doc_id, line_no, ch FROM samp WHERE ch > 0)",
+            f"tk AS (SELECT sc.doc_id, sc.line_no, (sc.q - 1) // {L} AS k, sc.id, count(*) AS cnt FROM sc "
+            f"JOIN need USING (doc_id, line_no) WHERE sc.q >= 1 AND (sc.q - 1) // {L} < need.ch "
+            "GROUP BY sc.doc_id, sc.line_no, (sc.q - 1) // 25, sc.id)".replace("// 25", f"// {L}"),
+            "ks AS (SELECT doc_id, line_no, unnest(range(ch)) AS k FROM need)",
+            "cl AS (SELECT ks.doc_id, ks.line_no, ks.k, list(CAST(coalesce(tk.cnt, 0) AS DOUBLE) ORDER BY v.id) AS cnt "
+            "FROM ks CROSS JOIN vocab v LEFT JOIN tk ON tk.doc_id = ks.doc_id AND tk.line_no = ks.line_no "
+            "AND tk.k = ks.k AND tk.id = v.id GROUP BY ks.doc_id, ks.line_no, ks.k)",
+            "st0 AS (SELECT list(CAST(0.0 AS DOUBLE) ORDER BY id) AS b, list(CAST(0.0 AS DOUBLE) ORDER BY id) AS a "
+            "FROM vocab)"]
+    sels = []
+    smooth_prev = f"{L} * ln({V_SQL})"
+    for e in range(epochs):
+        ctes += [
+            f"r{e} AS (SELECT s.doc_id, s.line_no, s.ch, 0 AS k, g.b, g.a, CAST(0.0 AS DOUBLE) AS loss "
+            f"FROM samp s, st{e} g WHERE s.epoch = {e} AND s.ch > 0 UNION ALL "
+            "SELECT doc_id, line_no, ch, k + 1, "
+            f"list_transform(list_zip(b, gg, a2), lambda z: z[1] - {LR} * z[2] / sqrt(z[3] + 1e-8)), a2, loss + dl "
+            "FROM (SELECT *, list_transform(list_zip(a, gg), lambda z: z[1] + z[2] * z[2]) AS a2 FROM ("
+            f"SELECT r.doc_id, r.line_no, r.ch, r.k, r.b, r.a, r.loss, "
+            f"list_transform(list_zip(r.b, cl.cnt), lambda z: {clip_z}) AS gg, "
+            f"{L} * r.lse - list_sum(list_transform(list_zip(cl.cnt, r.b), lambda z: z[1] * z[2])) AS dl "
+            f"FROM (SELECT *, ln(list_sum(list_transform(b, lambda x: exp(x)))) AS lse FROM r{e} WHERE k < ch) r "
+            "JOIN cl ON cl.doc_id = r.doc_id AND cl.line_no = r.line_no AND cl.k = r.k)))",
+            f"fin{e} AS (SELECT * FROM r{e} WHERE k = ch)",
+            f"cnt{e} AS (SELECT count(*) AS n, coalesce(sum(n), 0) AS len, coalesce(sum(CASE WHEN ch = 0 THEN 1 ELSE 0 END), 0) "
+            f"AS idle FROM samp WHERE epoch = {e})",
+            f"el{e} AS (SELECT i, sum(bv) AS bs, sum(av) AS acs FROM (SELECT unnest(b) AS bv, unnest(a) AS av, "
+            f"generate_subscripts(b, 1) AS i FROM fin{e} UNION ALL SELECT unnest(b) * (SELECT idle FROM cnt{e}), "
+            f"unnest(a) * (SELECT idle FROM cnt{e}), generate_subscripts(b, 1) FROM st{e}) GROUP BY i)",
+            f"st{e + 1} AS (SELECT CASE WHEN (SELECT n FROM cnt{e}) > 0 THEN (SELECT list(bs / (SELECT n FROM cnt{e}) "
+            f"ORDER BY i) FROM el{e}) ELSE (SELECT b FROM st{e}) END AS b, CASE WHEN (SELECT n FROM cnt{e}) > 0 THEN "
+            f"(SELECT list(acs / (SELECT n FROM cnt{e}) ORDER BY i) FROM el{e}) ELSE (SELECT a FROM st{e}) END AS a)",
+            f"ls{e} AS (SELECT coalesce(sum(loss), 0.0) AS loss FROM fin{e})",
+            f"sm{e} AS (SELECT CASE WHEN (SELECT n FROM cnt{e}) > 0 THEN 0.999 * ({smooth_prev}) + 0.001 * "
+            f"(SELECT loss FROM ls{e}) / (SELECT n FROM cnt{e}) ELSE ({smooth_prev}) END AS v)",
+        ]
+        smooth_prev = f"(SELECT v FROM sm{e})"
+        sels.append(
+            f"SELECT CAST({e} AS BIGINT) AS epoch, CAST((SELECT n FROM cnt{e}) AS BIGINT) AS n, "
+            f"round((SELECT loss FROM ls{e}) / (SELECT len FROM cnt{e}), 6) AS loss_per_char, "
+            f"round((SELECT v FROM sm{e}), 6) AS smooth_loss, round(list_sum((SELECT b FROM st{e + 1})), 6) AS w_sum, "
+            f"round(list_sum(list_transform((SELECT b FROM st{e + 1}), lambda x: x * x)), 6) AS w_sq, "
+            f"round(list_sum((SELECT a FROM st{e + 1})), 6) AS acc_sum")
+    return _rbase(*ctes) + " UNION ALL ".join(sels)
+
+
+from charloom.queries import T3_EPOCHS, T3_RATE  # noqa: E402
+
+ORACLES["train_param_avg"] = _zero_sequence_training("paragraph", T3_RATE, T3_EPOCHS)
+# train_per_document: the same recursion over whole documents (1,300 sequential
+# chunks for the longest one) is too slow in DuckDB on the whole table, so it has
+# no SQL oracle; tests/test_training.py checks it against a brute-force loop.

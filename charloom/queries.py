@@ -199,6 +199,8 @@ STACKED = 2
 T2_RATE = 0.01
 T2_EPOCHS = 3
 T3_RATE = 0.05
+T3_EPOCHS = 2
+T4_EPOCHS = 1
 GEN_STEPS = 25
 EVAL_OFFSET = 10
 
@@ -325,7 +327,7 @@ def q_train_param_avg(spark, sf_dir):
     """T3 + A5/A7: sampled paragraphs trained locally, weights and accumulators averaged."""
     from charloom.plans.train import fit_sequences
     c = _corpus(spark, sf_dir)
-    res = fit_sequences(c, CFG.with_(init="gaussian", epochs=2), rate=T3_RATE, unit="paragraph")
+    res = fit_sequences(c, CFG.with_(init="zero", epochs=T3_EPOCHS), rate=T3_RATE, unit="paragraph")
     return _metrics_out(res.metrics_df(spark))
 
 
@@ -333,7 +335,7 @@ def q_train_per_document(spark, sf_dir):
     """T4: carried-state sequential training per document, averaged across documents."""
     from charloom.plans.train import fit_sequences
     c = _corpus(spark, sf_dir)
-    res = fit_sequences(c, CFG.with_(init="gaussian", epochs=1), rate=1.0, unit="document")
+    res = fit_sequences(c, CFG.with_(init="zero", epochs=T4_EPOCHS), rate=1.0, unit="document")
     return _metrics_out(res.metrics_df(spark))
 
 

@@ -115,6 +115,33 @@ def test_training_lowers_loss(corpus):
     assert abs(first - math.log(corpus.vocab.size)) < 0.05 and last < first - 0.2
 
 
-def test_per_document_runs_tumbling_windows(corpus):
-    res = fit_sequences(corpus, corpus.cfg.with_(init="sine", epochs=1), unit="document")
-    assert res.metrics[0]["n"] == 4 and res.metrics[0]["loss"] > 0
+def test_per_document_matches_naive(corpus):
+    cfg = corpus.cfg.with_(init="sine", epochs=1, iters=1)
+    res = fit_sequences(corpus, cfg, unit="document")
+    _, rows = _corpus_ids(corpus)
+    V = corpus.vocab.size
+    W0 = to_lists(K.init_params(1, cfg.hidden, V, "sine"))
+    M0 = {b: [np.zeros_like(m) for m in W0[b]] for b in W0}
+    docs = {}
+    for d, _, line in rows:
+        docs[d] = docs.get(d, "") + line
+    sw = {b: np.zeros_like(W0[b][0]) for b in W0}
+    loss = 0.0
+    for text in docs.values():
+        ids = np.array([corpus.vocab.chars.index(c) for c in text])
+        l, W, _ = train_paragraph(W0, M0, ids, cfg.seq_len, cfg.learn_rate, cfg.clip, 1, mode="tumbling")
+        loss += l
+        for b in W:
+            sw[b] += W[b][0]
+    assert res.metrics[0]["n"] == len(docs) == 4
+    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
+    for b in K.BLOCKS:
+        np.testing.assert_allclose(res.params[b][0], sw[b] / len(docs), rtol=1e-9, atol=1e-12)
+
+
+def test_training_result_sink(spark, corpus, tmp_path):
+    res = fit_windows(corpus, corpus.cfg.with_(init="zero", epochs=1), rate=0.5)
+    res.save(spark, str(tmp_path / "run"))
+    assert spark.read.parquet(str(tmp_path / "run" / "metrics")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "run" / "model")).count() == K.n_params(1, corpus.cfg.hidden,
+                                                                                   corpus.vocab.size)
