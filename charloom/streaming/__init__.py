@@ -1,0 +1,7 @@
+"""Streams.
+
+The original program reads a finished text corpus and has no stream, watermark,
+event-time window or keyed state, so nothing is built here.  Every corpus
+operator in ``charloom.operators`` is a plain DataFrame transformation (split,
+explode, filter, mapInPandas), which Structured Streaming accepts as is.
+"""
