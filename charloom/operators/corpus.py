@@ -69,11 +69,11 @@ class Vocab:
 
 
 def collect_vocab(vocab_df: DataFrame, max_vocab: int = 65536) -> Vocab:
-    v = vocab_df.count()
-    if v > max_vocab:
-        raise ValueError(f"vocabulary of {v} characters exceeds max_vocab={max_vocab}; "
+    """One job; at most ``max_vocab + 1`` rows ever reach the driver."""
+    rows = vocab_df.orderBy("id").limit(max_vocab + 1).collect()
+    if len(rows) > max_vocab:
+        raise ValueError(f"vocabulary exceeds max_vocab={max_vocab} characters; "
                          "a character model over it would not fit a task")
-    rows = vocab_df.orderBy("id").collect()
     return Vocab(tuple(r["ch"] for r in rows), tuple(int(r["n"]) for r in rows))
 
 

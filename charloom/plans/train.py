@@ -10,6 +10,8 @@ so a lost task is simply recomputed.
 
 * ``fit_windows``   -- T1 full-batch gradient descent over every window, or T2
   mini-batch SGD over a reproducible Bernoulli sample of window starts;
+``on_epoch(epoch, params)`` is called after every update (G6: periodic samples).
+
 * ``fit_sequences`` -- T3 local training of sampled paragraphs from the global
   weights and accumulators, then averaging; T4 the same per document with
   tumbling windows (the serial trainer's carried-state loop, one run per document).
@@ -141,7 +143,7 @@ def window_source(corpus: Corpus, windows: str = "corpus") -> DataFrame:
 
 
 def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
-                windows: str = "corpus") -> TrainResult:
+                windows: str = "corpus", on_epoch=None) -> TrainResult:
     """T1 (rate 1: every window every epoch) or T2 (Bernoulli sample of window
     starts per epoch, reproducible from seed and epoch).  Mean of per-window
     clipped gradients, one AdaGrad step per epoch.  An epoch whose sample is
@@ -172,6 +174,8 @@ def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
             res.metrics.append({"epoch": epoch, "loss": loss, "loss_per_char": per_char,
                                 "loss_per_predicted": per_char, "smooth_loss": smooth, "n": n,
                                 **model_stats(params, accs)})
+            if on_epoch is not None:
+                on_epoch(epoch, params)
     finally:
         src.unpersist()
     return res
@@ -225,7 +229,7 @@ def sequence_source(corpus: Corpus, unit: str, rate: float, seed: int, epoch: in
 
 
 def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
-                  unit: str = "paragraph") -> TrainResult:
+                  unit: str = "paragraph", on_epoch=None) -> TrainResult:
     """T3 (unit paragraph, paragraph chunks) or T4 (unit document, tumbling
     windows).  Each sampled sequence trains locally from the global weights and
     accumulators; weights and accumulators are then averaged with equal weight
@@ -263,4 +267,6 @@ def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.
             "loss_per_char": loss / length if length else float("nan"),
             "loss_per_predicted": loss / pred if pred else float("nan"),
             "smooth_loss": smooth, "n": cnt, **model_stats(params, accs)})
+        if on_epoch is not None:
+            on_epoch(epoch, params)
     return res

@@ -101,18 +101,21 @@ def q_decoded_lines(spark, sf_dir):
 
 def q_one_hot(spark, sf_dir):
     """Sum of the one-hot codes of every character of a document (its
-    character histogram), as a dense vector of V counts."""
+    character histogram), as a dense vector of V counts.  Characters are first
+    counted per (document, id); each count scales that id's one-hot vector and
+    the vectors are added by an element-wise vector-sum aggregate (partial
+    aggregation, O(V) state per document)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
     c = _corpus(spark, sf_dir)
     v = c.vocab
     chars = C.char_tokens(c.lines).join(F.broadcast(v.to_df(spark).select("ch", "id")), "ch")
     per = chars.groupBy("doc_id", "id").agg(F.count(F.lit(1)).cast("double").alias("cnt"))
-    # dense V-vector per (doc, char): one_hot(id) * count; summed per document
-    vec = per.select("doc_id", F.transform(C.one_hot(F.col("id"), v.size), lambda x: x * F.col("cnt")).alias("vec"))
-    summed = vec.groupBy("doc_id").agg(F.collect_list("vec").alias("vs")).select(
-        "doc_id", F.aggregate("vs", F.array_repeat(F.lit(0.0), v.size),
-                              lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("hist"))
-    return summed.select("doc_id", F.array_join(F.transform("hist", lambda x: x.cast("bigint").cast("string")),
-                                                ",").alias("hist"))
+    vec = per.select("doc_id", array_to_vector(
+        F.transform(C.one_hot(F.col("id"), v.size), lambda x: x * F.col("cnt"))).alias("vec"))
+    summed = vec.groupBy("doc_id").agg(Summarizer.sum(F.col("vec")).alias("hist"))
+    return summed.select("doc_id", F.array_join(F.transform(vector_to_array("hist"),
+                                                            lambda x: x.cast("bigint").cast("string")), ",").alias("hist"))
 
 
 def q_shifted_pairs(spark, sf_dir):
@@ -386,6 +389,28 @@ def q_free_running_loss(spark, sf_dir):
     return out.select("prompt_id", "n_scored", F.round("loss", 6).alias("loss"))
 
 
+SAMPLE_LEN = 200
+
+
+def q_training_samples(spark, sf_dir):
+    """G6 + IO5: after every epoch of parameter-averaging training, 200
+    characters sampled from each benchmark prompt with that epoch's model."""
+    from functools import reduce
+
+    from charloom.plans.generate import generate_text
+    from charloom.plans.train import fit_sequences
+    c = _corpus(spark, sf_dir)
+    prompts = _prompts(spark, sf_dir)
+    parts = []
+
+    def sample(epoch, params):
+        parts.append(generate_text(spark, prompts, params, c.vocab, SAMPLE_LEN, greedy=False, seed=CFG.seed)
+                     .select(F.lit(epoch).cast("bigint").alias("epoch"), "prompt_id", "text"))
+
+    fit_sequences(c, CFG.with_(init="gaussian", epochs=2), rate=T3_RATE, unit="paragraph", on_epoch=sample)
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
     "corpus_lines": q_corpus_lines,
     "nonempty_lines": q_nonempty_lines,
@@ -420,6 +445,7 @@ QUERIES = {
     "generate_greedy": q_generate_greedy,
     "generate_sampled": q_generate_sampled,
     "free_running_loss": q_free_running_loss,
+    "training_samples": q_training_samples,
 }
 
 FLAGSHIP = "doc_scores"
