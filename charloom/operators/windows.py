@@ -51,7 +51,7 @@ def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column
     ``limit`` optionally bounds starts to ``origin + s < limit``.
     """
     origin = origin if origin is not None else F.lit(0)
-    first = F.pmod(-origin, F.lit(stride)).cast("int")
+    first = F.lit(0) if stride == 1 else F.pmod(-origin, F.lit(stride)).cast("int")
     last = F.col("n_own") - 1
     if limit is not None:
         last = F.least(last, limit - origin - 1)
