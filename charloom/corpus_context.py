@@ -22,9 +22,10 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 class Corpus:
     def __init__(self, spark: SparkSession, docs: DataFrame, cfg: RnnConfig | None = None,
-                 text_col: str = "text", key_col: str = "doc_id"):
+                 text_col: str = "text", key_col: str = "doc_id", partitions: int | None = None):
         self.spark = spark
         self.cfg = cfg or RnnConfig()
+        self.partitions = partitions
         self.docs = spread(spark, docs.select(key_col, text_col))
         self.lines = corpus_lines(self.docs, text_col, key_col)
 
@@ -43,4 +44,5 @@ class Corpus:
 
     @cached_property
     def corpus(self) -> CorpusSegments:
-        return corpus_segments(self.spark, self.lines, halo=self.cfg.seq_len, piece=256)
+        return corpus_segments(self.spark, self.lines, halo=self.cfg.seq_len, piece=256,
+                               partitions=self.partitions)
