@@ -460,6 +460,23 @@ def sequence_losses(params: dict, seqs: list, batch_chars: int = 65_536, chunk:
     return out, np.maximum(lens - 1, 0)
 
 
+def continue_sequence(params: dict, seq: np.ndarray, h0: np.ndarray, chunk: int = 256):
+    """Feed ``seq[:-1]`` from hidden state ``h0`` (NL,1,H), predicting each next
+    id.  Returns (summed nats, predictions, hidden state after the last input)."""
+    if len(seq) < 2:
+        return 0.0, 0, h0
+    x = np.asarray(seq, dtype=np.int64)[None, :]
+    hs = hidden_states(params, x[:, :-1], h0=h0, chunk=chunk)
+    wout, bout = params["Wout"][-1].T, params["bout"][-1]
+    loss = 0.0
+    steps = x.shape[1] - 1
+    for c0 in range(0, steps, chunk):
+        c1 = min(steps, c0 + chunk)
+        lp = log_softmax(_mm(hs[-1][:, c0:c1], wout) + bout)
+        loss -= float(np.take_along_axis(lp, x[:, c0 + 1:c1 + 1, None], axis=2).sum())
+    return loss, steps, hs[:, :, -1].copy()
+
+
 def inverse_cdf(p: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Rows of probabilities p (n,V), uniforms u (n,): the smallest k with
     u < cdf[k]; u <= cdf[0] gives 0 and u >= cdf[V-1] gives V-1."""

@@ -404,3 +404,20 @@ ORACLES["train_param_avg"] = _zero_sequence_training("paragraph", T3_RATE, T3_EP
 # train_per_document: the same recursion over whole documents (1,300 sequential
 # chunks for the longest one) is too slow in DuckDB on the whole table, so it has
 # no SQL oracle; tests/test_training.py checks it against a brute-force loop.
+
+
+# conversations: turns in order, line breaks dropped, one sequence per conversation
+CONV_CTES = [
+    "turns AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, "
+    "regexp_replace(text, '\\r\\n|\\r|\\n', '', 'g') AS t FROM conversations)",
+    "cchars AS (SELECT conv_id, turn, u.ord AS pos, u.ch FROM turns, "
+    "unnest(string_split(t, '')) WITH ORDINALITY AS u(ch, ord) WHERE t <> '')",
+    "vocab AS (SELECT ch, CAST(row_number() OVER (ORDER BY ch) - 1 AS INTEGER) AS id FROM "
+    "(SELECT DISTINCT ch FROM cchars))",
+]
+ORACLES["carried_state_loss"] = "WITH " + ",\n".join(CONV_CTES + static_ctes(1) + [
+    "seq AS (SELECT c.conv_id, v.id, row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn, c.pos) AS k "
+    "FROM cchars c JOIN vocab v USING (ch))",
+    "bg AS (SELECT conv_id, id AS x, lead(id) OVER (PARTITION BY conv_id ORDER BY k) AS y FROM seq)",
+]) + (" SELECT conv_id, CAST(count(*) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(*), 6) AS mean_loss "
+      "FROM bg JOIN lp ON lp.v = bg.x AND lp.u = bg.y GROUP BY conv_id")

@@ -181,3 +181,50 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
     frame["g_mean"] = g / n if n else np.nan
     return spark.createDataFrame(frame, "layer int, block string, i int, j int, n_windows bigint, "
                                         "g_sum double, g_mean double")
+
+
+CARRIED_SCHEMA = "key bigint, loss double, n_pred bigint"
+
+
+def carried_scores(spark: SparkSession, rows: DataFrame, params: dict, vocab: Vocab,
+                   partitions: int | None = None) -> DataFrame:
+    """N4 across rows: ``rows(key, ord, text)`` form one sequence per key, read in
+    ``ord`` order with line breaks dropped; the hidden state and the last
+    character are handed from row to row, so predictions continue across row
+    borders.  Returns ``(key, loss, n_pred)``.
+
+    One range shuffle on ``key`` (all rows of a key land in one task, sorted by
+    ``ord``) and a streaming pass: memory per task is one row plus the state,
+    whatever the size of a key.  A key's rows are necessarily processed in one
+    sequence, so a single huge key is one (streamed) task.
+    """
+    from charloom.sources.text import LINE_BREAK
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bc = _bc(spark, params, vocab)
+    ordered = (rows.select(F.col("key").cast("bigint").alias("key"), F.col("ord").cast("bigint").alias("ord"),
+                           F.regexp_replace("text", LINE_BREAK, "").alias("text"))
+               .repartitionByRange(p, "key").sortWithinPartitions("key", "ord"))
+
+    def run(batches):
+        prm, cps = bc.value["params"], bc.value["codepoints"]
+        layers, hidden, _ = K.dims(prm)
+        cur, h, last, loss, npred = None, None, None, 0.0, 0
+        out = []
+        for pdf in batches:
+            for key, ids in zip(pdf["key"].tolist(), encode_text(pdf["text"].fillna("").tolist(), cps)):
+                if key != cur:
+                    if cur is not None and npred:
+                        out.append((cur, loss, npred))
+                    cur, h, last, loss, npred = key, np.zeros((layers, 1, hidden)), None, 0.0, 0
+                if not len(ids):
+                    continue
+                seq = ids if last is None else np.concatenate([[last], ids])
+                dl, dn, h = K.continue_sequence(prm, seq, h)
+                loss, npred, last = loss + dl, npred + dn, int(ids[-1])
+            if out:
+                yield pd.DataFrame(out, columns=["key", "loss", "n_pred"])
+                out = []
+        if cur is not None and npred:
+            yield pd.DataFrame([(cur, loss, npred)], columns=["key", "loss", "n_pred"])
+
+    return ordered.mapInPandas(run, CARRIED_SCHEMA)

@@ -389,6 +389,18 @@ def q_free_running_loss(spark, sf_dir):
     return out.select("prompt_id", "n_scored", F.round("loss", 6).alias("loss"))
 
 
+def q_carried_state_loss(spark, sf_dir):
+    """Each conversation read turn by turn with the hidden state and last
+    character handed over between turns; mean nats per predicted character."""
+    from charloom.plans.score import carried_scores
+    conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    c = Corpus(spark, conv.select("conv_id", "text"), CFG, text_col="text", key_col="conv_id")
+    rows = conv.select(F.col("conv_id").alias("key"), F.col("turn").alias("ord"), "text")
+    s = carried_scores(spark, rows, _static_model(c, 1), c.vocab)
+    return s.select(F.col("key").alias("conv_id"), "n_pred",
+                    F.round(F.col("loss") / F.col("n_pred"), 6).alias("mean_loss"))
+
+
 SAMPLE_LEN = 200
 
 
@@ -446,6 +458,7 @@ QUERIES = {
     "generate_sampled": q_generate_sampled,
     "free_running_loss": q_free_running_loss,
     "training_samples": q_training_samples,
+    "carried_state_loss": q_carried_state_loss,
 }
 
 FLAGSHIP = "doc_scores"

@@ -71,3 +71,16 @@ def test_free_running_loss_greedy(spark):
             loss -= lp[ids[t + 1]]
         cur = int(np.argmax(y))
     assert abs(got[0]["loss"] - loss) < 1e-12 and got[0]["n_scored"] == 5
+
+
+def test_carried_scores_hand_state_across_rows(spark):
+    from charloom.plans.score import carried_scores
+    rows = spark.createDataFrame([(5, 1, "cd\nea"), (5, 0, "abc"), (5, 2, ""), (9, 0, "b"), (9, 1, "ed")],
+                                 "key bigint, ord bigint, text string")
+    p = K.init_params(2, 4, 5, "sine")
+    got = {r["key"]: r for r in carried_scores(spark, rows, p, _vocab(), partitions=3).collect()}
+    W = to_lists(p)
+    for key, text in ((5, "abccdea"), (9, "bed")):
+        ids = ["abcde".index(ch) for ch in text]
+        loss = naive_step(W, ids[:-1], ids[1:], [np.zeros(4)] * 2, 1e9)[0]
+        assert got[key]["n_pred"] == len(ids) - 1 and abs(got[key]["loss"] - loss) < 1e-10
