@@ -423,40 +423,54 @@ def hidden_states(params: dict, x: np.ndarray, h0: np.ndarray | None = None, chu
     return hs
 
 
-def sequence_losses(params: dict, seqs: list, batch_chars: int = 65_536, chunk: int = 256):
+def sequence_losses(params: dict, seqs: list, max_batch: int = 256, chunk: int = 128):
     """Teacher-forced loss of each whole sequence from a zero state: every id
-    after the first is predicted.  Sequences are length-sorted and padded per
-    batch; logits are formed ``chunk`` steps at a time.  Returns (summed nats
-    (n,), predictions (n,))."""
+    after the first is predicted.  Up to ``max_batch`` length-sorted sequences
+    advance together; time is processed ``chunk`` steps at a time through every
+    layer (hidden states carried), so memory is O(batch * chunk * V) whatever
+    the sequence length.  Returns (summed nats (n,), predictions (n,))."""
     layers, hidden, vocab = dims(params)
     n = len(seqs)
     lens = np.array([len(s) for s in seqs], dtype=np.int64)
     out = np.zeros(n)
     order = np.argsort(lens, kind="stable")
-    i = 0
-    while i < n:
-        j = i + 1
-        while j < n and (j - i + 1) * max(int(lens[order[j]]), 1) <= batch_chars:
-            j += 1
-        idx = order[i:j]
+    whts = [params["Wh"][l].T for l in range(layers)]
+    for b0 in range(0, n, max_batch):
+        idx = order[b0:b0 + max_batch]
         width = int(lens[idx].max())
-        if width >= 2:
-            x = np.zeros((len(idx), width), dtype=np.int64)
-            for r, k in enumerate(idx):
-                x[r, :lens[k]] = seqs[k]
-            hs = hidden_states(params, x[:, :-1], chunk=chunk)
-            top = hs[-1]
-            npred = lens[idx] - 1
-            tot = np.zeros(len(idx))
-            wout, bout = params["Wout"][-1].T, params["bout"][-1]
-            for c0 in range(0, width - 1, chunk):
-                c1 = min(width - 1, c0 + chunk)
-                lp = log_softmax(_mm(top[:, c0:c1], wout) + bout)
-                nll = -np.take_along_axis(lp, x[:, c0 + 1:c1 + 1, None], axis=2)[:, :, 0]
-                mask = (np.arange(c0, c1)[None, :] < npred[:, None])
-                tot += (nll * mask).sum(axis=1)
-            out[idx] = tot
-        i = j
+        if width < 2:
+            continue
+        m = len(idx)
+        x = np.zeros((m, width), dtype=np.int64)
+        for r, k in enumerate(idx):
+            x[r, :lens[k]] = seqs[k]
+        npred = lens[idx] - 1
+        h = np.zeros((layers, m, hidden))
+        tot = np.zeros(m)
+        for c0 in range(0, width - 1, chunk):
+            c1 = min(width - 1, c0 + chunk)
+            live = npred > c0                      # sorted ascending: a suffix of the batch
+            s0 = int(np.argmax(live))
+            y = None
+            for l in range(layers):
+                if l == 0:
+                    pre = params["Win"][0].T[x[s0:, c0:c1]]
+                else:
+                    pre = _mm(y, params["Win"][l].T)
+                pre += params["bh"][l]
+                hs = np.empty(pre.shape)
+                hl = h[l, s0:]
+                for t in range(c1 - c0):
+                    hl = np.tanh(pre[:, t] + hl @ whts[l])
+                    hs[:, t] = hl
+                h[l, s0:] = hl
+                y = _mm(hs, params["Wout"][l].T)
+                y += params["bout"][l]
+            lp = log_softmax(y)
+            nll = -np.take_along_axis(lp, x[s0:, c0 + 1:c1 + 1, None], axis=2)[:, :, 0]
+            mask = np.arange(c0, c1)[None, :] < npred[s0:, None]
+            tot[s0:] += (nll * mask).sum(axis=1)
+        out[idx] = tot
     return out, np.maximum(lens - 1, 0)
 
 

@@ -136,7 +136,7 @@ def test_chunk_counts_by_enumeration():
 def test_sequence_losses_equal_stepwise_forward():
     p = rand_params(2, 4, 6, seed=4, scale=0.4)
     seqs = [np.array([1, 2, 3, 4, 5, 0, 1]), np.array([2]), np.array([3, 3]), np.array([], dtype=int)]
-    tot, npred = K.sequence_losses(p, seqs, batch_chars=10)
+    tot, npred = K.sequence_losses(p, seqs, max_batch=2, chunk=3)
     W = to_lists(p)
     for s, got, k in zip(seqs, tot, npred):
         exp = naive_step(W, s[:-1], s[1:], [np.zeros(4)] * 2, 1e9)[0] if len(s) > 1 else 0.0
