@@ -150,24 +150,26 @@ def forward(params: dict, x: np.ndarray, h0: np.ndarray | None = None):
         for t in range(steps):
             h = np.tanh(pre[:, t] + h @ wht)
             hs[l, :, t] = h
-        ys[l] = _mm(hs[l], params["Wout"][l].T)
+        np.matmul(hs[l].reshape(-1, hidden), params["Wout"][l].T, out=ys[l].reshape(-1, vocab))
         ys[l] += params["bout"][l]
     return hs, ys
 
 
-def probs_and_losses(ys_top: np.ndarray, targets: np.ndarray):
+def probs_and_losses(ys_top: np.ndarray, targets: np.ndarray, overwrite: bool = False):
     """Softmax probabilities (n,T,V) and summed cross-entropy per window (n,)
     from one exponential pass.  Rows are max-shifted only when some logit is
-    beyond exp's safe range, which gives the same probabilities."""
+    beyond exp's safe range, which gives the same probabilities.  With
+    ``overwrite`` the logits array is reused for the probabilities."""
     lo, hi = ys_top.min(), ys_top.max()
     if hi > 600.0 or lo < -600.0:
         z = ys_top - ys_top.max(axis=-1, keepdims=True)
+        overwrite = True
     else:
         z = ys_top
-    e = np.exp(z)
-    s = e.sum(axis=-1, keepdims=True)
     n, steps = targets.shape
     zt = z[np.arange(n)[:, None], np.arange(steps)[None, :], targets]
+    e = np.exp(z, out=z if overwrite else None)
+    s = e.sum(axis=-1, keepdims=True)
     losses = (np.log(s[..., 0]) - zt).sum(axis=1)
     e /= s
     return e, losses
@@ -234,7 +236,7 @@ def grad_sum(params: dict, x: np.ndarray, targets: np.ndarray, lim: float,
     layers, hidden, vocab = dims(params)
     n, steps = x.shape
     hs, ys = forward(params, x, h0)
-    delta, losses = probs_and_losses(ys[-1], targets)
+    delta, losses = probs_and_losses(ys[-1], targets, overwrite=True)
     # per-window target counts: sum_t delta = sum_t p - counts, and
     # sum_t |delta| <= sum_t p + counts bounds the top layer's rows cheaply
     counts = np.bincount((np.arange(n)[:, None] * vocab + targets).ravel(),
