@@ -7,13 +7,12 @@ still checked while the compared result stays small.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from charloom.config import RnnConfig
 from charloom.corpus_context import Corpus
-import numpy as np
-
 from charloom.functions.exprs import bernoulli_keep, clip_col, md5_int
 from charloom.operators import corpus as C
 from charloom.operators import windows as W
