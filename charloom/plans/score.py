@@ -127,14 +127,13 @@ def pair_xent(spark: SparkSession, pairs: DataFrame, params: dict, vocab: Vocab)
     return pairs.select("input_id", "target_id", "n").mapInPandas(run, PAIR_SCHEMA)
 
 
-GRAD_ROW_SCHEMA = "k int, g double"
-
-
 def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab, stride: int = 1) -> DataFrame:
     """Summed per-window clipped gradients of a freshly initialised
     model over the windows with start % stride == 0, as table rows
     ``(layer, block, i, j, n_windows, g_sum, g_mean)``."""
     from charloom.plans.model import arrays_to_frame
+    from charloom.plans.partials import PARTIAL_SCHEMA, pack
+    from charloom.plans.partials import total as total_of
     params = K.init_params(cfg.num_layers, cfg.hidden, vocab.size, cfg.init, cfg.seed)
     bc = _bc(spark, params, vocab)
     L = cfg.seq_len
@@ -145,7 +144,7 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
         cap = K.batch_rows(V, hidden, L)
         total = np.zeros(K.n_params(layers, hidden, V))
         count = 0
-        buf, size = [], 0
+        buf, nbuf = [], 0
         for pdf in batches:
             ids_list = encode_text(pdf["text"].tolist(), cps)
             for r, ids in enumerate(ids_list):
@@ -154,28 +153,27 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
                 if m <= first:
                     continue
                 buf.append(sliding_window_view(ids, L + 1)[first:m:stride])
-                size += len(buf[-1])
-                if size >= cap:
+                nbuf += len(buf[-1])
+                if nbuf >= cap:
                     w = np.concatenate(buf)
                     total += K.flatten(K.grad_sum(p, w[:, :-1], w[:, 1:], cfg.clip,
                                                   compat_untransposed=cfg.compat_untransposed)[1])
                     count += len(w)
-                    buf, size = [], 0
+                    buf, nbuf = [], 0
         if buf:
             w = np.concatenate(buf)
             total += K.flatten(K.grad_sum(p, w[:, :-1], w[:, 1:], cfg.clip,
                                           compat_untransposed=cfg.compat_untransposed)[1])
             count += len(w)
         if count:
-            yield pd.DataFrame({"k": np.r_[np.arange(len(total)), -1].astype(np.int32),
-                                "g": np.r_[total, count]})
+            yield pack(np.r_[total, count])
 
-    sums = (segments.select("goff", "n_own", "text").mapInPandas(run, GRAD_ROW_SCHEMA)
-            .groupBy("k").agg(F.sum("g").alias("g")).toPandas())   # one row per parameter: bounded
-    got = dict(zip(sums["k"].tolist(), sums["g"].tolist()))
-    n = int(round(got.get(-1, 0.0)))
+    size = K.n_params(cfg.num_layers, cfg.hidden, vocab.size)
+    sums = total_of(segments.select("goff", "n_own", "text").mapInPandas(run, PARTIAL_SCHEMA), size + 1)
+    sums = np.zeros(size + 1) if sums is None else sums
+    n = int(round(sums[size]))
+    g = sums[:size]
     frame = arrays_to_frame(params, params)[["layer", "block", "i", "j"]]
-    g = np.array([got.get(k, 0.0) for k in range(len(frame))])
     frame["n_windows"] = n
     frame["g_sum"] = g
     frame["g_mean"] = g / n if n else np.nan

@@ -2,10 +2,9 @@
 
 Every epoch is one Spark job whose plan does not grow with the epoch count:
 the current model (bounded by vocabulary and hidden size) is broadcast, tasks
-run the NumPy kernels over their own rows and emit *partial sums keyed by
-parameter index* (one row per parameter per task, whatever the data size), a
-hash aggregate adds them up, and the driver applies the update to the bounded
-model.  Inputs (corpus segments, lines) come from checkpointed or narrow plans,
+run the NumPy kernels over their own rows and emit one packed partial-sum
+vector each (``plans.partials``), an element-wise vector-sum aggregate adds them
+up, and the driver applies the update to the bounded model.  Inputs (corpus segments, lines) come from checkpointed or narrow plans,
 so a lost task is simply recomputed.
 
 * ``fit_windows``   -- T1 full-batch gradient descent over every window, or T2
@@ -35,14 +34,11 @@ from charloom.functions.exprs import bernoulli_keep, keep_threshold
 from charloom.operators.corpus import encode_text, nonempty_lines
 from charloom.operators.windows import line_pieces
 from charloom.plans.model import arrays_to_table, model_stats, model_table, table_to_arrays
+from charloom.plans.partials import PARTIAL_SCHEMA, pack, total
 from charloom.sources.text import LINE_BREAK
 
 METRICS_SCHEMA = ("epoch int, loss double, loss_per_char double, loss_per_predicted double, "
                   "smooth_loss double, n bigint, w_sum double, w_sq double, acc_sum double")
-GRAD_SCHEMA = "k int, g double"
-AVG_SCHEMA = "k int, w double, a double"
-# extra keys next to the parameter indices in the partial-sum rows
-LOSS_KEY, COUNT_KEY, LEN_KEY, PRED_KEY = -1, -2, -3, -4
 
 
 @dataclass
@@ -71,10 +67,6 @@ def _start(corpus: Corpus, cfg: RnnConfig):
     return table_to_arrays(model, cfg.num_layers, cfg.hidden, V)
 
 
-def _sum_rows(df: DataFrame, cols) -> pd.DataFrame:
-    return df.groupBy("k").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()
-
-
 # ---------------------------------------------------------------- T1 / T2
 def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
     L = cfg.seq_len
@@ -85,7 +77,7 @@ def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
         params, cps = st["params"], st["codepoints"]
         layers, hidden, vocab = K.dims(params)
         cap = K.batch_rows(vocab, hidden, L)
-        total = np.zeros(K.n_params(layers, hidden, vocab))
+        grad = np.zeros(K.n_params(layers, hidden, vocab))
         acc = {"loss": 0.0, "n": 0}
         buf, size = [], 0
 
@@ -93,7 +85,7 @@ def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
             w = np.concatenate(buf)
             losses, g = K.grad_sum(params, w[:, :-1], w[:, 1:], cfg.clip,
                                    compat_untransposed=cfg.compat_untransposed)
-            total[:] += K.flatten(g)
+            grad[:] += K.flatten(g)
             acc["loss"] += float(losses.sum())
             acc["n"] += len(w)
 
@@ -123,10 +115,8 @@ def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
                     buf, size = [], 0
         if buf:
             flush()
-        if acc["n"]:
-            k = np.arange(len(total), dtype=np.int32)
-            yield pd.DataFrame({"k": np.r_[k, LOSS_KEY, COUNT_KEY].astype(np.int32),
-                                "g": np.r_[total, acc["loss"], acc["n"]]})
+        if acc["n"]:  # gradient sums, then loss and window count
+            yield pack(np.r_[grad, acc["loss"], acc["n"]])
     return run
 
 
@@ -158,16 +148,12 @@ def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
     try:
         for epoch in range(cfg.epochs):
             bc = spark.sparkContext.broadcast({"params": params, "codepoints": corpus.vocab.codepoints})
-            parts = src.mapInPandas(_window_task(bc, cfg, epoch, rate), GRAD_SCHEMA)
-            rows = _sum_rows(parts, ["g"])
+            size = K.n_params(layers, hidden, vocab)
+            sums = total(src.mapInPandas(_window_task(bc, cfg, epoch, rate), PARTIAL_SCHEMA), size + 2)
             bc.unpersist()
-            got = dict(zip(rows["k"].tolist(), rows["g"].tolist()))
-            n = int(round(got.get(COUNT_KEY, 0.0)))
-            loss = got.get(LOSS_KEY, 0.0)
+            loss, n = (float(sums[size]), int(round(sums[size + 1]))) if sums is not None else (0.0, 0)
             if n > 0:
-                g = np.zeros(K.n_params(layers, hidden, vocab))
-                sel = rows[rows["k"] >= 0]
-                g[sel["k"].to_numpy()] = sel["g"].to_numpy()
+                g = sums[:size]
                 K.adagrad(params, accs, K.unflatten(g / n, layers, hidden, vocab), cfg.learn_rate)
                 smooth = 0.999 * smooth + 0.001 * (loss / n)
             per_char = loss / (n * cfg.seq_len) if n else float("nan")
@@ -201,12 +187,8 @@ def _sequence_task(bc, cfg: RnnConfig, mode: str):
             length += ln
             count += c
             pred += int(K.chunk_count([len(s) for s in seqs], cfg.seq_len, mode).sum()) * cfg.seq_len
-        if count:
-            k = np.arange(len(w_tot), dtype=np.int32)
-            yield pd.DataFrame({
-                "k": np.r_[k, LOSS_KEY, COUNT_KEY, LEN_KEY, PRED_KEY].astype(np.int32),
-                "w": np.r_[w_tot, loss, count, length, pred],
-                "a": np.r_[a_tot, 0.0, 0.0, 0.0, 0.0]})
+        if count:  # weight sums, accumulator sums, then loss, count, length, predictions
+            yield pack(np.r_[w_tot, a_tot, loss, count, length, pred])
     return run
 
 
@@ -247,19 +229,16 @@ def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.
         bc = spark.sparkContext.broadcast({"params": params, "accs": accs,
                                            "codepoints": corpus.vocab.codepoints})
         src = sequence_source(corpus, unit, rate, cfg.seed, epoch)
-        rows = _sum_rows(src.mapInPandas(_sequence_task(bc, cfg, mode), AVG_SCHEMA), ["w", "a"])
+        size = K.n_params(layers, hidden, vocab)
+        sums = total(src.mapInPandas(_sequence_task(bc, cfg, mode), PARTIAL_SCHEMA), 2 * size + 4)
         bc.unpersist()
-        got = dict(zip(rows["k"].tolist(), rows["w"].tolist()))
-        cnt = int(round(got.get(COUNT_KEY, 0.0)))
-        loss, length, pred = got.get(LOSS_KEY, 0.0), got.get(LEN_KEY, 0.0), got.get(PRED_KEY, 0.0)
+        if sums is None:
+            sums = np.zeros(2 * size + 4)
+        loss, cnt, length, pred = float(sums[2 * size]), int(round(sums[2 * size + 1])), \
+            float(sums[2 * size + 2]), float(sums[2 * size + 3])
         if cnt > 0:
-            sel = rows[rows["k"] >= 0]
-            w = np.zeros(K.n_params(layers, hidden, vocab))
-            a = np.zeros_like(w)
-            w[sel["k"].to_numpy()] = sel["w"].to_numpy() / cnt
-            a[sel["k"].to_numpy()] = sel["a"].to_numpy() / cnt
-            params = K.unflatten(w, layers, hidden, vocab)
-            accs = K.unflatten(a, layers, hidden, vocab)
+            params = K.unflatten(sums[:size] / cnt, layers, hidden, vocab)
+            accs = K.unflatten(sums[size:2 * size] / cnt, layers, hidden, vocab)
             smooth = 0.999 * smooth + 0.001 * (loss / cnt)
         res.params, res.accs = params, accs
         res.metrics.append({
