@@ -203,12 +203,8 @@ def clipped_outer_sum(a: np.ndarray, b: np.ndarray, lim: float, a_abs_sum: np.nd
     return out
 
 
-def clipped_onehot_sum(a: np.ndarray, x: np.ndarray, vocab: int, lim: float) -> np.ndarray:
-    """sum_w clip(sum_t a[w,t,:] outer onehot(x[w,t])) as an (A, V) matrix.
-
-    Per window only the columns of characters present are non-zero: group the
-    (window, char) pairs, sum, clip, then add per char.
-    """
+def _grouped_onehot_sum(a: np.ndarray, x: np.ndarray, vocab: int, lim: float | None) -> np.ndarray:
+    """sum over windows of (clipped) per-(window, char) sums, as (A, V)."""
     n, steps, na = a.shape
     keys = (np.arange(n)[:, None] * vocab + x).ravel()
     uniq, inv = np.unique(keys, return_inverse=True)
@@ -217,7 +213,8 @@ def clipped_onehot_sum(a: np.ndarray, x: np.ndarray, vocab: int, lim: float) ->
     sums = np.empty((m, na))
     for j in range(na):
         sums[:, j] = np.bincount(inv, weights=a2[:, j], minlength=m)
-    sums = clip(sums, lim)
+    if lim is not None:
+        sums = clip(sums, lim)
     cols = uniq % vocab
     out = np.empty((na, vocab))
     for j in range(na):
@@ -225,6 +222,29 @@ def clipped_onehot_sum(a: np.ndarray, x: np.ndarray, vocab: int, lim: float) ->
     return out
 
 
+def clipped_onehot_sum(a: np.ndarray, x: np.ndarray, vocab: int, lim: float) -> np.ndarray:
+    """sum_w clip(sum_t a[w,t,:] outer onehot(x[w,t])) as an (A, V) matrix.
+
+    A window whose sum_t |a| stays under ``lim`` in every row cannot clip, so
+    all windows are first added with one bincount per row; windows over that
+    bound are then replaced by their exact per-(window, char) clipped sums.
+    """
+    n, steps, na = a.shape
+    flag = np.abs(a).sum(axis=1).max(axis=1) > lim
+    plain = ~flag
+    if flag.all():
+        return _grouped_onehot_sum(a, x, vocab, lim)
+    a2, xs = (a, x) if not flag.any() else (a[plain], x[plain])
+    a2 = a2.reshape(-1, na)
+    xs = xs.ravel()
+    out = np.empty((na, vocab))
+    for j in range(na):
+        out[j] = np.bincount(xs, weights=a2[:, j], minlength=vocab)
+    if flag.any():
+        out += _grouped_onehot_sum(a[flag], x[flag], vocab, lim)
+    return out
+
+
 def grad_sum(params: dict, x: np.ndarray, targets: np.ndarray, lim: float,
              h0: np.ndarray | None = None, compat_untransposed: bool = False):
     """Loss and back-propagation through time for n windows sharing one model.

@@ -152,3 +152,13 @@ def test_inverse_cdf_rules():
 def test_hash_matches_spark_and_sql_formula():
     h = K.unit_hash(7, 3, np.array([0, 1, 10**12]))
     assert h.dtype == np.int64 and (h >= 0).all() and (h < K.HASH_MOD).all()
+
+
+def test_onehot_clip_sum_mixed_windows():
+    rng = np.random.default_rng(4)
+    a = rng.standard_normal((20, 6, 3)) * 0.1
+    a[::3] *= 40  # some windows exceed the bound, most do not
+    x = rng.integers(0, 7, size=(20, 6))
+    oh = np.eye(7)[x]
+    exp = sum(np.clip(a[w].T @ oh[w], -1.0, 1.0) for w in range(20))
+    np.testing.assert_allclose(K.clipped_onehot_sum(a, x, 7, 1.0), exp, rtol=1e-12, atol=1e-14)
