@@ -327,7 +327,7 @@ ORACLES["free_running_loss"] = _rbase(*static_ctes(1), *INTERVALS_CTES,
     "FROM run WHERE t = n - 1")
 
 
-def _zero_sequence_training(unit: str, rate: float, epochs: int) -> str:
+def _zero_sequence_training(unit: str, rate: float, epochs: int, parts: bool = False):
     """Unrolled epochs of local training + averaging from the zero model.
 
     Each sampled sequence starts from the global output bias b and accumulator
@@ -395,6 +395,8 @@ def _zero_sequence_training(unit: str, rate: float, epochs: int) -> str:
             f"round((SELECT v FROM sm{e}), 6) AS smooth_loss, round(list_sum((SELECT b FROM st{e + 1})), 6) AS w_sum, "
             f"round(list_sum(list_transform((SELECT b FROM st{e + 1}), lambda x: x * x)), 6) AS w_sq, "
             f"round(list_sum((SELECT a FROM st{e + 1})), 6) AS acc_sum")
+    if parts:
+        return ctes, sels
     return _rbase(*ctes) + " UNION ALL ".join(sels)
 
 
@@ -421,3 +423,29 @@ ORACLES["carried_state_loss"] = "WITH " + ",\n".join(CONV_CTES + static_ctes(1)
     "bg AS (SELECT conv_id, id AS x, lead(id) OVER (PARTITION BY conv_id ORDER BY k) AS y FROM seq)",
 ]) + (" SELECT conv_id, CAST(count(*) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(*), 6) AS mean_loss "
       "FROM bg JOIN lp ON lp.v = bg.x AND lp.u = bg.y GROUP BY conv_id")
+
+
+def _samples_after_epochs() -> str:
+    """G6 with the zero model: after epoch e only the output bias b_e is
+    non-zero, so every step samples from softmax(b_e) whatever the input."""
+    from charloom.queries import SAMPLE_LEN
+    ctes, _ = _zero_sequence_training("paragraph", T3_RATE, T3_EPOCHS, parts=True)
+    ctes = list(ctes) + [PROMPTS_CTE]
+    sels = []
+    for e in range(T3_EPOCHS):
+        ctes += [
+            f"dist{e} AS (SELECT i - 1 AS k, exp(bv) / sum(exp(bv)) OVER () AS p FROM "
+            f"(SELECT unnest(b) AS bv, generate_subscripts(b, 1) AS i FROM st{e + 1}))",
+            f"iv{e} AS (SELECT k, lag(c) OVER (ORDER BY k) AS lo, c AS hi FROM "
+            f"(SELECT k, sum(p) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS c FROM dist{e}))",
+            f"draw{e} AS (SELECT p0.prompt_id, t.t, {uniform_sql(CFG.seed, 'p0.prompt_id', 't.t')} AS u "
+            f"FROM p0, range({SAMPLE_LEN}) t(t))",
+        ]
+        sels.append(
+            f"SELECT CAST({e} AS BIGINT) AS epoch, d.prompt_id, string_agg(v.ch, '' ORDER BY d.t) AS text "
+            f"FROM draw{e} d JOIN iv{e} iv ON {_interval_match('d.u')} JOIN vocab v ON v.id = iv.k "
+            "GROUP BY d.prompt_id")
+    return _rbase(*ctes) + " UNION ALL ".join(sels)
+
+
+ORACLES["training_samples"] = _samples_after_epochs()

@@ -405,7 +405,8 @@ SAMPLE_LEN = 200
 
 def q_training_samples(spark, sf_dir):
     """G6 + IO5: after every epoch of parameter-averaging training, 200
-    characters sampled from each benchmark prompt with that epoch's model."""
+    characters sampled from each benchmark prompt with that epoch's model
+    (zero start, so SQL can follow the model)."""
     from functools import reduce
 
     from charloom.plans.generate import generate_text
@@ -418,7 +419,7 @@ def q_training_samples(spark, sf_dir):
         parts.append(generate_text(spark, prompts, params, c.vocab, SAMPLE_LEN, greedy=False, seed=CFG.seed)
                      .select(F.lit(epoch).cast("bigint").alias("epoch"), "prompt_id", "text"))
 
-    fit_sequences(c, CFG.with_(init="gaussian", epochs=2), rate=T3_RATE, unit="paragraph", on_epoch=sample)
+    fit_sequences(c, CFG.with_(init="zero", epochs=T3_EPOCHS), rate=T3_RATE, unit="paragraph", on_epoch=sample)
     return reduce(DataFrame.unionByName, parts)
 
 
