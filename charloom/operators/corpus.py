@@ -26,14 +26,17 @@ def char_tokens(lines: DataFrame) -> DataFrame:
             .select("doc_id", "line_no", F.posexplode(F.split("line", "", -1)).alias("pos", "ch")))
 
 
-def word_tokens(lines: DataFrame) -> DataFrame:
+def word_tokens(lines: DataFrame, keep_empty: bool = True) -> DataFrame:
     """One row per word, split on single spaces as a JVM ``split(" ")`` does:
     trailing empty tokens are dropped, leading and inner ones kept; an empty line
-    gives one empty token and a line of only spaces gives none."""
+    gives one empty token and a line of only spaces gives none.  With
+    ``keep_empty=False`` empty tokens are dropped as well (positions keep their
+    place in the split)."""
     stripped = F.rtrim(F.col("line"), F.lit(" "))
     words = (F.when((F.col("line") != "") & (stripped == ""), F.array().cast("array<string>"))
              .otherwise(F.split(stripped, " ", -1)))
-    return lines.select("doc_id", "line_no", F.posexplode(words).alias("pos", "word"))
+    out = lines.select("doc_id", "line_no", F.posexplode(words).alias("pos", "word"))
+    return out if keep_empty else out.where(F.col("word") != "")
 
 
 def vocab_table(lines: DataFrame) -> DataFrame:

@@ -211,16 +211,17 @@ def sequence_source(corpus: Corpus, unit: str, rate: float, seed: int, epoch: in
 
 
 def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
-                  unit: str = "paragraph", on_epoch=None) -> TrainResult:
+                  unit: str = "paragraph", on_epoch=None, keep_tail: bool = False) -> TrainResult:
     """T3 (unit paragraph, paragraph chunks) or T4 (unit document, tumbling
     windows).  Each sampled sequence trains locally from the global weights and
     accumulators; weights and accumulators are then averaged with equal weight
     per sequence (sequences too short for a window count with unchanged copies).
     Reported losses: per character present (original metric) and per predicted
-    character."""
+    character.  ``keep_tail`` also trains the last whole chunk of a paragraph
+    that the original per-paragraph loop skips."""
     cfg = cfg or corpus.cfg
     spark = corpus.spark
-    mode = "paragraph" if unit == "paragraph" else "tumbling"
+    mode = "paragraph" if unit == "paragraph" and not keep_tail else "tumbling"
     params, accs = _start(corpus, cfg)
     layers, hidden, vocab = K.dims(params)
     smooth = -math.log(1.0 / vocab) * cfg.seq_len

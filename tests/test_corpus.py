@@ -73,3 +73,9 @@ def test_hash_agrees_in_spark_numpy_and_duckdb(spark):
     npv = K.unit_hash(7, 3, np.array(keys)).tolist()
     dd = [duckdb.sql(f"SELECT {unit_hash_sql(7, 3, str(k))}").fetchall()[0][0] for k in keys]
     assert sp == npv == dd
+
+
+def test_word_tokens_without_empties(spark):
+    df = spark.createDataFrame([(0, 0, " a  b "), (0, 1, "")], "doc_id bigint, line_no bigint, line string")
+    assert sorted((r["line_no"], r["word"]) for r in C.word_tokens(df, keep_empty=False).collect()) == \
+        [(0, "a"), (0, "b")]

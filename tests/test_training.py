@@ -145,3 +145,16 @@ def test_training_result_sink(spark, corpus, tmp_path):
     assert spark.read.parquet(str(tmp_path / "run" / "metrics")).count() == 1
     assert spark.read.parquet(str(tmp_path / "run" / "model")).count() == K.n_params(1, corpus.cfg.hidden,
                                                                                    corpus.vocab.size)
+
+
+def test_param_averaging_keep_tail_trains_every_whole_chunk(corpus):
+    cfg = corpus.cfg.with_(init="sine", epochs=1, iters=1)
+    res = fit_sequences(corpus, cfg, rate=1.0, unit="paragraph", keep_tail=True)
+    _, rows = _corpus_ids(corpus)
+    W0 = to_lists(K.init_params(1, cfg.hidden, corpus.vocab.size, "sine"))
+    M0 = {b: [np.zeros_like(m) for m in W0[b]] for b in W0}
+    loss = 0.0
+    for _, _, line in rows:
+        ids = np.array([corpus.vocab.chars.index(c) for c in line])
+        loss += train_paragraph(W0, M0, ids, cfg.seq_len, cfg.learn_rate, cfg.clip, 1, mode="tumbling")[0]
+    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
