@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from charloom.config import RnnConfig
 from charloom.operators import corpus as C
 from charloom.operators.scan import CorpusSegments, corpus_segments
+from charloom.session import ship_package
 from charloom.sources.text import corpus_lines, read_table
 
 
@@ -24,6 +25,7 @@ class Corpus:
     def __init__(self, spark: SparkSession, docs: DataFrame, cfg: RnnConfig | None = None,
                  text_col: str = "text", key_col: str = "doc_id", partitions: int | None = None):
         self.spark = spark
+        ship_package(spark)
         self.cfg = cfg or RnnConfig()
         self.partitions = partitions
         self.docs = spread(spark, docs.select(key_col, text_col))

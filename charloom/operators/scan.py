@@ -50,8 +50,13 @@ class CorpusSegments:
     partitions: int
 
 
-def default_partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def default_partitions(spark: SparkSession, df: DataFrame | None = None) -> int:
+    """Range partitions for the corpus scan: as many as the input has splits
+    (which track its size, one per file split) and at least one per core."""
+    p = spark.sparkContext.defaultParallelism
+    if df is not None:
+        p = max(p, df.rdd.getNumPartitions())
+    return max(1, p)
 
 
 def ranged_lines(lines: DataFrame, partitions: int) -> DataFrame:
@@ -182,7 +187,7 @@ def corpus_segments(spark: SparkSession, lines: DataFrame, halo: int, piece: int
     """Segments of the whole corpus (see module doc).  ``halo`` is the number of
     characters a window needs beyond its start (``seq_len`` for windows of
     ``seq_len + 1``)."""
-    p = partitions or default_partitions(spark)
+    p = partitions or default_partitions(spark, lines)
     ensure_checkpoint_dir(spark)
     ranged = ranged_lines(lines, p)
     summaries = [r.asDict() for r in ranged.mapInPandas(_summarise(halo), SUMMARY_SCHEMA).collect()]

@@ -197,7 +197,8 @@ def carried_scores(spark: SparkSession, rows: DataFrame, params: dict, vocab: Vo
     sequence, so a single huge key is one (streamed) task.
     """
     from charloom.sources.text import LINE_BREAK
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from charloom.operators.scan import default_partitions
+    p = partitions or default_partitions(spark, rows)
     bc = _bc(spark, params, vocab)
     ordered = (rows.select(F.col("key").cast("bigint").alias("key"), F.col("ord").cast("bigint").alias("ord"),
                            F.regexp_replace("text", LINE_BREAK, "").alias("text"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
 _CKPT_CONF = "spark.checkpoint.dir"
+_SHIPPED: set = set()
 
 
 def get_spark(master: str | None = None, app: str = "charloom",
@@ -36,9 +38,30 @@ def get_spark(master: str | None = None, app: str = "charloom",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``charloom`` importable in the Python workers of this session's
+    context (tasks unpickle functions defined in the package), as
+    ``--py-files`` would: zip the package once per SparkContext and add it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="charloom-pkg-"), f"charloom_{os.getpid()}_{len(_SHIPPED)}.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.join("charloom", os.path.relpath(full, root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
     (local runs and tests) create a private scratch folder."""
