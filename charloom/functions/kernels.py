@@ -22,6 +22,30 @@ import numpy as np
 
 BLOCKS = ("Win", "Wh", "Wout", "bh", "bout")
 EPS = 1e-8
+_BLAS_PINNED = False
+
+
+def single_thread_blas() -> None:
+    """Spark already runs one Python worker per core; a multi-threaded BLAS in
+    each of them oversubscribes the machine.  Pin the loaded OpenBLAS to one
+    thread, once per process (no-op when it cannot be found)."""
+    global _BLAS_PINNED
+    if _BLAS_PINNED:
+        return
+    _BLAS_PINNED = True
+    try:
+        import ctypes
+        with open("/proc/self/maps") as maps:
+            libs = {line.split()[-1] for line in maps if "openblas" in line.lower() and ".so" in line}
+        for path in libs:
+            lib = ctypes.CDLL(path)
+            for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads",
+                         "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                if hasattr(lib, name):
+                    getattr(lib, name)(1)
+                    break
+    except OSError:
+        pass
 
 
 # ---------------------------------------------------------------- layout

@@ -42,6 +42,7 @@ def generate_text(spark: SparkSession, prompts: DataFrame, params: dict, vocab:
     bc = spark.sparkContext.broadcast({"params": params, "chars": np.array(vocab.chars, dtype=object)})
 
     def run(batches):
+        K.single_thread_blas()
         p, chars = bc.value["params"], bc.value["chars"]
         for pdf in batches:
             if pdf.empty:
@@ -64,6 +65,7 @@ def free_running_loss(spark: SparkSession, items: DataFrame, params: dict, vocab
     bc = spark.sparkContext.broadcast({"params": params, "codepoints": vocab.codepoints})
 
     def run(batches):
+        K.single_thread_blas()
         p, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, V = K.dims(p)
         for pdf in batches:

@@ -33,6 +33,7 @@ def line_scores(spark: SparkSession, lines: DataFrame, params: dict, vocab: Voca
     bc = _bc(spark, params, vocab)
 
     def run(batches):
+        K.single_thread_blas()
         p, cps = bc.value["params"], bc.value["codepoints"]
         for pdf in batches:
             if pdf.empty:
@@ -62,6 +63,7 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
     L = seq_len
 
     def run(batches):
+        K.single_thread_blas()
         p, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, V = K.dims(p)
         cap = K.batch_rows(V, hidden, L)
@@ -113,6 +115,7 @@ def pair_xent(spark: SparkSession, pairs: DataFrame, params: dict, vocab: Vocab)
     bc = spark.sparkContext.broadcast(params)
 
     def run(batches):
+        K.single_thread_blas()
         p = bc.value
         for pdf in batches:
             if pdf.empty:
@@ -139,6 +142,7 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
     L = cfg.seq_len
 
     def run(batches):
+        K.single_thread_blas()
         p, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, V = K.dims(p)
         cap = K.batch_rows(V, hidden, L)
@@ -205,6 +209,7 @@ def carried_scores(spark: SparkSession, rows: DataFrame, params: dict, vocab: Vo
                .repartitionByRange(p, "key").sortWithinPartitions("key", "ord"))
 
     def run(batches):
+        K.single_thread_blas()
         prm, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, _ = K.dims(prm)
         cur, h, last, loss, npred = None, None, None, 0.0, 0

@@ -73,6 +73,7 @@ def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
     thr = keep_threshold(rate)
 
     def run(batches):
+        K.single_thread_blas()
         st = bc.value
         params, cps = st["params"], st["codepoints"]
         layers, hidden, vocab = K.dims(params)
@@ -170,6 +171,7 @@ def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
 # ---------------------------------------------------------------- T3 / T4
 def _sequence_task(bc, cfg: RnnConfig, mode: str):
     def run(batches):
+        K.single_thread_blas()
         st = bc.value
         params, accs, cps = st["params"], st["accs"], st["codepoints"]
         layers, hidden, vocab = K.dims(params)
