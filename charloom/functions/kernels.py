@@ -321,6 +321,27 @@ def batch_rows(vocab: int, hidden: int, steps: int, budget: int = 800_000) -> in
     return max(16, budget // max(1, steps * max(vocab, hidden)))
 
 
+def window_starts(lens: np.ndarray, n_own: np.ndarray, seq_len: int, stride: int = 1,
+                  origin: np.ndarray | None = None):
+    """All whole windows of ``seq_len + 1`` ids that start among the first
+    ``n_own`` ids of each row (row texts hold their own ids and a halo), with
+    ``(origin + start) % stride == 0``.  Returns (row index, start in row)."""
+    lens = np.asarray(lens, dtype=np.int64)
+    m = np.clip(np.minimum(np.asarray(n_own, dtype=np.int64), lens - seq_len), 0, None)
+    first = np.zeros_like(m) if origin is None or stride == 1 else (-np.asarray(origin, dtype=np.int64)) % stride
+    counts = np.where(m > first, (m - first + stride - 1) // stride, 0)
+    rows = np.repeat(np.arange(len(m)), counts)
+    k = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return rows, first[rows] + k * stride
+
+
+def gather_windows(ids: np.ndarray, lens: np.ndarray, rows: np.ndarray, starts: np.ndarray,
+                   seq_len: int) -> np.ndarray:
+    """(n, seq_len + 1) windows cut from the concatenated row ids."""
+    base = np.cumsum(lens) - lens
+    return ids[(base[rows] + starts)[:, None] + np.arange(seq_len + 1)]
+
+
 # ---------------------------------------------------------------- per-sequence weights
 def _bmm_t(a, w):
     """Batched a (n,T,K) times w^T where w is (n,M,K) -> (n,T,M)."""

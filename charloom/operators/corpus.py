@@ -80,14 +80,19 @@ def collect_vocab(vocab_df: DataFrame, max_vocab: int = 65536) -> Vocab:
     return Vocab(tuple(r["ch"] for r in rows), tuple(int(r["n"]) for r in rows))
 
 
+def encode_concat(texts, codepoints: np.ndarray):
+    """NumPy helper: strings -> (all ids concatenated as int32, lengths);
+    characters outside the vocabulary become -1."""
+    cps = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    idx = np.minimum(np.searchsorted(codepoints, cps), len(codepoints) - 1)
+    ids = np.where(codepoints[idx] == cps, idx, -1).astype(np.int32)
+    lens = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
+    return ids, lens
+
+
 def encode_text(texts, codepoints: np.ndarray) -> list:
     """NumPy helper: list of strings -> list of int32 id arrays (unknown -> -1)."""
-    joined = "".join(texts)
-    cps = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    idx = np.searchsorted(codepoints, cps)
-    idx_c = np.minimum(idx, len(codepoints) - 1)
-    ids = np.where(codepoints[idx_c] == cps, idx_c, -1).astype(np.int32)
-    lens = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
+    ids, lens = encode_concat(texts, codepoints)
     return np.split(ids, np.cumsum(lens)[:-1]) if len(texts) else []
 
 

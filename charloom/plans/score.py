@@ -14,12 +14,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from charloom.functions import kernels as K
-from charloom.operators.corpus import Vocab, encode_text, nonempty_lines
+from charloom.operators.corpus import Vocab, encode_concat, encode_text, nonempty_lines
 
 LINE_SCORE_SCHEMA = "doc_id bigint, line_no bigint, loss double, n_pred bigint"
 WINDOW_SCORE_SCHEMA = "doc_id bigint, n_windows bigint, loss double"
@@ -79,18 +78,17 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
             out.append(frame)
 
         for pdf in batches:
-            ids_list = encode_text(pdf["text"].tolist(), cps)
-            for r, ids in enumerate(ids_list):
-                m = min(int(pdf["n_own"].iat[r]), len(ids) - L)
-                if m <= 0:
-                    continue
-                first = (-int(pdf["goff"].iat[r])) % stride
-                if first >= m:
-                    continue
-                view = sliding_window_view(ids, L + 1)[first:m:stride]
-                buf.append(view)
-                docs.append(np.full(len(view), int(pdf["doc_id"].iat[r]), dtype=np.int64))
-                size += len(view)
+            if pdf.empty:
+                continue
+            ids, lens = encode_concat(pdf["text"].tolist(), cps)
+            rows, starts = K.window_starts(lens, pdf["n_own"].to_numpy(), L, stride,
+                                           pdf["goff"].to_numpy(dtype=np.int64))
+            doc = pdf["doc_id"].to_numpy(dtype=np.int64)
+            for c0 in range(0, len(rows), cap):
+                r = rows[c0:c0 + cap]
+                buf.append(K.gather_windows(ids, lens, r, starts[c0:c0 + cap], L))
+                docs.append(doc[r])
+                size += len(r)
                 if size >= cap:
                     flush()
                     buf, docs, size = [], [], 0
@@ -150,13 +148,13 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
         count = 0
         buf, nbuf = [], 0
         for pdf in batches:
-            ids_list = encode_text(pdf["text"].tolist(), cps)
-            for r, ids in enumerate(ids_list):
-                m = min(int(pdf["n_own"].iat[r]), len(ids) - L)
-                first = (-int(pdf["goff"].iat[r])) % stride
-                if m <= first:
-                    continue
-                buf.append(sliding_window_view(ids, L + 1)[first:m:stride])
+            if pdf.empty:
+                continue
+            ids, lens = encode_concat(pdf["text"].tolist(), cps)
+            rows, starts = K.window_starts(lens, pdf["n_own"].to_numpy(), L, stride,
+                                           pdf["goff"].to_numpy(dtype=np.int64))
+            for c0 in range(0, len(rows), cap):
+                buf.append(K.gather_windows(ids, lens, rows[c0:c0 + cap], starts[c0:c0 + cap], L))
                 nbuf += len(buf[-1])
                 if nbuf >= cap:
                     w = np.concatenate(buf)

@@ -23,7 +23,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +30,7 @@ from charloom.config import RnnConfig
 from charloom.corpus_context import Corpus
 from charloom.functions import kernels as K
 from charloom.functions.exprs import bernoulli_keep, keep_threshold
-from charloom.operators.corpus import encode_text, nonempty_lines
+from charloom.operators.corpus import encode_concat, encode_text, nonempty_lines
 from charloom.operators.windows import line_pieces
 from charloom.plans.model import arrays_to_table, model_stats, model_table, table_to_arrays
 from charloom.plans.partials import PARTIAL_SCHEMA, pack, total
@@ -91,26 +90,22 @@ def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
             acc["n"] += len(w)
 
         for pdf in batches:
-            ids_list = encode_text(pdf["text"].tolist(), cps)
-            own = pdf["n_own"].to_numpy()
-            corpus_keys = "goff" in pdf.columns
-            for r, ids in enumerate(ids_list):
-                m = min(int(own[r]), len(ids) - L)  # whole windows only
-                if m <= 0:
-                    continue
-                view = sliding_window_view(ids, L + 1)[:m]
-                if rate < 1.0:
-                    pos = np.arange(m, dtype=np.int64)
-                    if corpus_keys:
-                        h = K.unit_hash(cfg.seed, epoch, int(pdf["goff"].iat[r]) + pos)
-                    else:
-                        h = K.unit_hash(cfg.seed, epoch, int(pdf["doc_id"].iat[r]), int(pdf["line_no"].iat[r]),
-                                        int(pdf["offset"].iat[r]) + pos)
-                    view = view[h < thr]
-                    if not len(view):
-                        continue
-                buf.append(view)
-                size += len(view)
+            if pdf.empty:
+                continue
+            ids, lens = encode_concat(pdf["text"].tolist(), cps)
+            rows, starts = K.window_starts(lens, pdf["n_own"].to_numpy(), L)
+            if rate < 1.0:  # sample window starts before any window is built
+                if "goff" in pdf.columns:
+                    h = K.unit_hash(cfg.seed, epoch, pdf["goff"].to_numpy(dtype=np.int64)[rows] + starts)
+                else:
+                    h = K.unit_hash(cfg.seed, epoch, pdf["doc_id"].to_numpy(dtype=np.int64)[rows],
+                                    pdf["line_no"].to_numpy(dtype=np.int64)[rows],
+                                    pdf["offset"].to_numpy(dtype=np.int64)[rows] + starts)
+                keep = h < thr
+                rows, starts = rows[keep], starts[keep]
+            for c0 in range(0, len(rows), cap):
+                buf.append(K.gather_windows(ids, lens, rows[c0:c0 + cap], starts[c0:c0 + cap], L))
+                size += len(buf[-1])
                 if size >= cap:
                     flush()
                     buf, size = [], 0

@@ -162,3 +162,20 @@ def test_onehot_clip_sum_mixed_windows():
     oh = np.eye(7)[x]
     exp = sum(np.clip(a[w].T @ oh[w], -1.0, 1.0) for w in range(20))
     np.testing.assert_allclose(K.clipped_onehot_sum(a, x, 7, 1.0), exp, rtol=1e-12, atol=1e-14)
+
+
+def test_window_starts_match_enumeration():
+    rng = np.random.default_rng(8)
+    lens = rng.integers(0, 30, size=40)
+    own = np.minimum(lens, rng.integers(0, 30, size=40))
+    origin = rng.integers(0, 1000, size=40)
+    for stride in (1, 4):
+        rows, starts = K.window_starts(lens, own, 5, stride, origin)
+        exp = [(r, s) for r in range(40) for s in range(max(0, min(own[r], lens[r] - 5)))
+               if (origin[r] + s) % stride == 0]
+        assert list(zip(rows.tolist(), starts.tolist())) == exp
+    ids = np.arange(lens.sum())
+    rows, starts = K.window_starts(lens, own, 5)
+    w = K.gather_windows(ids, lens, rows, starts, 5)
+    base = np.cumsum(lens) - lens
+    assert all((w[i] == base[r] + s + np.arange(6)).all() for i, (r, s) in enumerate(zip(rows, starts)))
