@@ -207,15 +207,59 @@ def sequence_source(corpus: Corpus, unit: str, rate: float, seed: int, epoch: in
     return rows.select("line")
 
 
+GOLDEN = 0.6180339887498949
+
+
+def rotating_table(corpus: Corpus, unit: str, seed: int) -> DataFrame:
+    """Sequences with one uniform ``u`` per key, written once to the shared
+    checkpoint folder range-partitioned and sorted on ``u``.  Epoch e samples
+    the interval [frac(-e*golden), frac(-e*golden) + rate) of ``u``: a range
+    predicate that reaches the parquet scan, so row-group statistics skip the
+    unsampled data and an epoch reads about ``rate`` of the corpus."""
+    import uuid
+
+    from charloom.functions.exprs import unit_uniform
+    from charloom.operators.scan import default_partitions
+    from charloom.session import ensure_checkpoint_dir
+    spark = corpus.spark
+    if unit == "paragraph":
+        rows = nonempty_lines(corpus.lines).select("doc_id", "line_no", "line")
+        keys = (F.col("doc_id"), F.col("line_no"))
+    else:
+        rows = sequence_source(corpus, unit, 1.0, seed, 0).select("doc_id", "line")
+        keys = (F.col("doc_id"),)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/charloom-rotating-{uuid.uuid4().hex}"
+    (rows.withColumn("u", unit_uniform(seed, 0, *keys))
+     .repartitionByRange(default_partitions(spark, rows), "u").sortWithinPartitions("u")
+     .write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def rotating_sample(table: DataFrame, rate: float, epoch: int) -> DataFrame:
+    lo = (-epoch * GOLDEN) % 1.0
+    hi = lo + rate
+    cond = (F.col("u") >= lo) & (F.col("u") < min(hi, 1.0))
+    if hi > 1.0:
+        cond = cond | (F.col("u") < hi - 1.0)
+    return table.where(cond).select("line")
+
+
 def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
-                  unit: str = "paragraph", on_epoch=None, keep_tail: bool = False) -> TrainResult:
+                  unit: str = "paragraph", on_epoch=None, keep_tail: bool = False,
+                  sampler: str = "hash") -> TrainResult:
     """T3 (unit paragraph, paragraph chunks) or T4 (unit document, tumbling
     windows).  Each sampled sequence trains locally from the global weights and
     accumulators; weights and accumulators are then averaged with equal weight
     per sequence (sequences too short for a window count with unchanged copies).
     Reported losses: per character present (original metric) and per predicted
     character.  ``keep_tail`` also trains the last whole chunk of a paragraph
-    that the original per-paragraph loop skips."""
+    that the original per-paragraph loop skips.
+
+    ``sampler="hash"`` draws an independent Bernoulli sample per epoch (every
+    epoch evaluates the hash of every key); ``sampler="rotating"`` keeps the
+    per-epoch Bernoulli(rate) marginals but makes each epoch a range read of a
+    table written once (see ``rotating_table``), so an epoch's I/O follows the
+    sample size rather than the corpus size."""
     cfg = cfg or corpus.cfg
     spark = corpus.spark
     mode = "paragraph" if unit == "paragraph" and not keep_tail else "tumbling"
@@ -223,10 +267,16 @@ def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.
     layers, hidden, vocab = K.dims(params)
     smooth = -math.log(1.0 / vocab) * cfg.seq_len
     res = TrainResult(params, accs)
+    table = None
     for epoch in range(cfg.epochs):
         bc = spark.sparkContext.broadcast({"params": params, "accs": accs,
                                            "codepoints": corpus.vocab.codepoints})
-        src = sequence_source(corpus, unit, rate, cfg.seed, epoch)
+        if sampler == "rotating" and rate < 1.0:
+            if table is None:
+                table = rotating_table(corpus, unit, cfg.seed)
+            src = rotating_sample(table, rate, epoch)
+        else:
+            src = sequence_source(corpus, unit, rate, cfg.seed, epoch)
         size = K.n_params(layers, hidden, vocab)
         sums = total(src.mapInPandas(_sequence_task(bc, cfg, mode), PARTIAL_SCHEMA), 2 * size + 4)
         bc.unpersist()

@@ -158,3 +158,21 @@ def test_param_averaging_keep_tail_trains_every_whole_chunk(corpus):
         ids = np.array([corpus.vocab.chars.index(c) for c in line])
         loss += train_paragraph(W0, M0, ids, cfg.seq_len, cfg.learn_rate, cfg.clip, 1, mode="tumbling")[0]
     assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
+
+
+def test_rotating_sampler_reads_ranges_of_a_written_table(spark, corpus):
+    from charloom.plans.train import rotating_sample, rotating_table
+    table = rotating_table(corpus, "paragraph", 7)
+    us = sorted(r["u"] for r in table.select("u").collect())
+    rate = 0.4
+    for epoch in range(3):
+        lo = (-epoch * 0.6180339887498949) % 1.0
+        exp = sum(1 for u in us if lo <= u < lo + rate or u < lo + rate - 1.0)
+        df = rotating_sample(table, rate, epoch)
+        assert df.count() == exp
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters" in plan and "GreaterThanOrEqual(u" in plan
+    res = fit_sequences(corpus, corpus.cfg.with_(init="sine", epochs=2), rate=rate, sampler="rotating")
+    assert [m["n"] for m in res.metrics] == [
+        sum(1 for u in us if lo <= u < lo + rate or u < lo + rate - 1.0)
+        for lo in ((-e * 0.6180339887498949) % 1.0 for e in range(2))]
