@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 PARTIAL_SCHEMA = "chunk int, v array<double>"
 CHUNK = 512
