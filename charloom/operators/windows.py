@@ -43,16 +43,20 @@ def line_pieces(df: DataFrame, halo: int, piece: int = WINDOW_PIECE, text_col: s
 
 
 def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column | None = None,
-                limit: Column | None = None, keep=("doc_id", "line_no")) -> DataFrame:
+                limit: Column | None = None, keep=("doc_id", "line_no"), sample=None) -> DataFrame:
     """Explode whole windows of ``seq_len + 1`` chars starting in each piece.
 
     ``origin`` is the position of the piece's first char in the frame the
     stride is aligned to (starts satisfy ``(origin + s) % stride == 0``);
     ``limit`` optionally bounds starts to ``origin + s < limit``.
+    ``sample=(rate, seed, epochs)`` keeps, per epoch, the starts whose hash
+    passes the Bernoulli test *before* any window string is cut (adds an
+    ``epoch`` column).
     """
     origin = origin if origin is not None else F.lit(0)
     first = F.lit(0) if stride == 1 else F.pmod(-origin, F.lit(stride)).cast("int")
-    last = F.col("n_own") - 1
+    # whole windows only: the last start leaves seq_len more characters in the piece
+    last = F.least(F.col("n_own") - 1, F.length("text") - F.lit(seq_len + 1))
     if limit is not None:
         last = F.least(last, limit - origin - 1)
     last = last.cast("int")
@@ -60,10 +64,16 @@ def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column
         F.array().cast("array<int>"))
     # explode + substring stays inside whole-stage codegen; pieces are at most
     # piece + halo characters, so the UTF-8 scan of substring is bounded
-    return (pieces.select(*keep, origin.alias("_origin"), "text", F.explode(starts).alias("_s"))
-            .select(*keep, (F.col("_origin") + F.col("_s")).alias("start"),
-                    F.substring(F.col("text"), F.col("_s") + 1, F.lit(seq_len + 1)).alias("win"))
-            .where(F.length("win") == seq_len + 1))
+    rows = pieces.select(*keep, origin.alias("_origin"), "text", F.explode(starts).alias("_s"))
+    extra = []
+    if sample is not None:
+        from charloom.functions.exprs import bernoulli_keep
+        rate, seed, epochs = sample
+        rows = (rows.withColumn("epoch", F.explode(F.array(*[F.lit(e).cast("bigint") for e in epochs])))
+                .where(bernoulli_keep(rate, seed, F.col("epoch"), F.col("_origin") + F.col("_s"))))
+        extra = ["epoch"]
+    return rows.select(*keep, *extra, (F.col("_origin") + F.col("_s")).alias("start"),
+                       F.substring(F.col("text"), F.col("_s") + 1, F.lit(seq_len + 1)).alias("win"))
 
 
 def line_sliding_windows(lines: DataFrame, seq_len: int) -> DataFrame:
@@ -80,10 +90,10 @@ def paragraph_windows(lines: DataFrame, seq_len: int) -> DataFrame:
     return window_rows(pieces, seq_len, seq_len, origin=F.col("offset"), limit=limit)
 
 
-def corpus_sliding_windows(segments: DataFrame, seq_len: int) -> DataFrame:
+def corpus_sliding_windows(segments: DataFrame, seq_len: int, sample=None) -> DataFrame:
     """W1 from corpus segments: ``(doc_id, line_no, start, window)``,
     start = global corpus position.  N - seq_len windows in total."""
-    return window_rows(segments, seq_len, 1, origin=F.col("goff"))
+    return window_rows(segments, seq_len, 1, origin=F.col("goff"), sample=sample)
 
 
 def corpus_tumbling_windows(segments: DataFrame, seq_len: int) -> DataFrame:

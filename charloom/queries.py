@@ -177,10 +177,8 @@ def q_paragraph_chunks(spark, sf_dir):
 def q_sampled_windows(spark, sf_dir):
     """Bernoulli sample of corpus window starts, reproducible per epoch."""
     c = _corpus(spark, sf_dir)
-    wins = W.corpus_sliding_windows(c.corpus.segments, L)
-    return (wins.withColumn("epoch", _epochs())
-            .where(bernoulli_keep(WINDOW_SAMPLE_RATE, CFG.seed, F.col("epoch"), F.col("start")))
-            .select("epoch", F.col("start").cast("bigint").alias("start"), "win"))
+    wins = W.corpus_sliding_windows(c.corpus.segments, L, sample=(WINDOW_SAMPLE_RATE, CFG.seed, SAMPLE_EPOCHS))
+    return wins.select("epoch", F.col("start").cast("bigint").alias("start"), "win")
 
 
 def q_sampled_paragraphs(spark, sf_dir):
