@@ -176,3 +176,25 @@ def test_rotating_sampler_reads_ranges_of_a_written_table(spark, corpus):
     assert [m["n"] for m in res.metrics] == [
         sum(1 for u in us if lo <= u < lo + rate or u < lo + rate - 1.0)
         for lo in ((-e * 0.6180339887498949) % 1.0 for e in range(2))]
+
+
+def test_full_batch_on_line_windows_matches_naive(corpus):
+    cfg = corpus.cfg.with_(init="sine", epochs=1)
+    res = fit_windows(corpus, cfg, windows="line")
+    _, rows = _corpus_ids(corpus)
+    L = cfg.seq_len
+    W = to_lists(K.init_params(1, cfg.hidden, corpus.vocab.size, "sine"))
+    tot = {b: np.zeros_like(W[b][0]) for b in W}
+    loss, n = 0.0, 0
+    for _, _, line in rows:
+        ids = np.array([corpus.vocab.chars.index(c) for c in line])
+        for s in range(len(ids) - L):
+            w = ids[s:s + L + 1]
+            l, g, _ = naive_step(W, w[:-1], w[1:], [np.zeros(cfg.hidden)], cfg.clip)
+            loss, n = loss + l, n + 1
+            for b in g:
+                tot[b] += g[b][0]
+    assert res.metrics[0]["n"] == n
+    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
+    sampled = fit_windows(corpus, cfg, rate=0.5, windows="line")
+    assert 0 < sampled.metrics[0]["n"] < n
