@@ -79,3 +79,10 @@ def test_word_tokens_without_empties(spark):
     df = spark.createDataFrame([(0, 0, " a  b "), (0, 1, "")], "doc_id bigint, line_no bigint, line string")
     assert sorted((r["line_no"], r["word"]) for r in C.word_tokens(df, keep_empty=False).collect()) == \
         [(0, "a"), (0, "b")]
+
+
+def test_read_text_directory_numbers_files_in_path_order(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("second file\n", encoding="utf-8")
+    (tmp_path / "a.txt").write_text("first file\nline two\n", encoding="utf-8")
+    rows = read_text_lines(spark, str(tmp_path)).orderBy("doc_id", "line_no").collect()
+    assert [(r["doc_id"], r["line"]) for r in rows] == [(0, "first file"), (0, "line two"), (1, "second file")]
