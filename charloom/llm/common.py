@@ -54,3 +54,17 @@ def row_key(*cols: Column) -> Column:
     Rows that agree in all of them share the key, and so every result."""
     marked = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in cols]
     return F.md5(F.concat_ws("\x00", *marked))
+
+
+class Remembered(dict):
+    """Values by key, made on first use; forgets everything when full."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value

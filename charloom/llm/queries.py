@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from charloom.llm.bpe import round_trip
 from charloom.llm.common import prepare, table
+from charloom.llm.packing import pack_documents
 from charloom.llm.quality import QUALITY_SQL, quality_verdicts
+from charloom.llm.simhash import simhash_components
+
+
+def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents", "doc_id", "text"),
+                      public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +27,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("rk")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents", "doc_id", "text")).drop("rk")
+
+
 LLM_QUERIES = {
+    "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_byte_bpe": op2_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op6_simhash": op6_simhash,
 }
 
 LLM_ORACLES = {
