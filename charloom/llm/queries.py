@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from charloom.llm.bpe import round_trip
 from charloom.llm.common import prepare, table
+from charloom.llm.license import scan_licenses
 from charloom.llm.packing import pack_documents
+from charloom.llm.pq import embedding_components
 from charloom.llm.quality import QUALITY_SQL, quality_verdicts
 from charloom.llm.simhash import simhash_components
+from charloom.llm.urlrules import PAGE_RULES, URL_SQL, judge_urls
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,13 +34,29 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents", "doc_id", "text")).drop("rk")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), PAGE_RULES)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 LLM_QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_simhash": op6_simhash,
+    "op8_url_filter": op8_url_filter,
+    "op9_embedding_dedup": op9_embedding_dedup,
 }
 
 LLM_ORACLES = {
     "op4_quality_rules": QUALITY_SQL,
+    "op8_url_filter": URL_SQL,
 }
