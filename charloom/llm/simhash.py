@@ -1,14 +1,15 @@
 """SimHash near-duplicates by tiled exact comparison.
 
 Fingerprints are made per text in Arrow batches.  Distinct fingerprints are
-compared exactly: two that differ in at most ``radius`` bits agree in at least
-one of ``radius + 1`` bit blocks, so the tiles of one block value hold every
-partner.  A value's fingerprints, sorted by population count, are cut into
-tiles; a tile pair is skipped if its population counts lie further apart than
-the radius, the others are compared with one exclusive-or and bit count.  A
-block value with many fingerprints becomes many tile pairs, i.e. many tasks'
-groups of bounded size; no pair list leaves a task, only each fingerprint's link
-to the smallest one it reaches there.
+compared exactly, in tiles: two that differ in at most ``radius`` bits agree in
+at least one of ``radius + 1`` bit blocks, so for each block the fingerprints are
+dealt into buckets by the block's value, and a bucket is one tile, or, if many
+share a value, several tiles that all meet: groups of bounded size for many
+tasks.  Where tiles meet, rows sorted by population count are cut into runs; a
+pair of runs is skipped if its population counts lie further apart than the
+radius, the others are compared with one exclusive-or and bit count.  No pair
+list leaves a task, only each fingerprint's link to the smallest one it reaches
+there.  (Without the blocks every tile would meet every other: quadratic.)
 
 Results in the odd cases: null and word-less texts have fingerprint zero and
 link like any other; rows with a null id have a fingerprint and the component
@@ -93,18 +94,17 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nda
 
 def fingerprint_links(fps: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
     """Links ``u, v`` that join what ``radius`` bits join, from distinct ``fp``."""
+    # block values are dealt into buckets of about a tile; one with many rows becomes several tiles
+    buckets = max(1, fps.count() // (rules.tile // 2))
     spread = fps.select("fp", F.bit_count("fp").alias("pop"), F.posexplode(F.array(
         *[F.shiftrightunsigned("fp", s).bitwiseAND(F.lit(m)) for s, m in _blocks(rules)])).alias("block", "value"))
-    # tiles by size of the block value; a tile's place in the order of population counts
-    sizes = spread.groupBy("block", "value").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = sizes.select(F.col("block").alias("s_block"), F.col("value").alias("s_value"),
-                         F.ceil(F.col("n") / rules.tile).cast("int").alias("tiles"))
-    placed = spread.join(sizes, (F.col("block") == F.col("s_block")) & (F.col("value") == F.col("s_value")))
-    # one tile: itself.  Several: tile = slot in the hash order, met with every other tile of the value
-    tile = F.when(F.col("tiles") == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
-    met = (placed.withColumn("mine", tile)
+    spread = spread.select("block", F.pmod(F.xxhash64("block", "value"), F.lit(buckets)).alias("bucket"), "fp", "pop")
+    sizes = spread.groupBy("block", "bucket").agg(F.ceil(F.count("*") / rules.tile).cast("int").alias("tiles"))
+    sizes = sizes.select(F.col("block").alias("s_block"), F.col("bucket").alias("s_bucket"), "tiles")
+    placed = spread.join(sizes, (F.col("block") == F.col("s_block")) & (F.col("bucket") == F.col("s_bucket")))
+    met = (placed.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-           .select("block", "value", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
+           .select("block", "bucket", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
                    "mine", "fp", "pop"))
     radius = rules.radius
 
@@ -132,7 +132,7 @@ def fingerprint_links(fps: DataFrame, rules: SimHashRules = SimHashRules()) -> D
         out = np.flatnonzero(root != np.arange(len(fp)))
         return pd.DataFrame({"u": fp[out], "v": fp[root[out]]})
 
-    return met.groupBy("block", "value", "lo", "hi").applyInPandas(compare, "u long, v long").distinct()
+    return met.groupBy("block", "bucket", "lo", "hi").applyInPandas(compare, "u long, v long").distinct()
 
 
 def simhash_components(docs: DataFrame, rules: SimHashRules = SimHashRules(), text: str = "text",
