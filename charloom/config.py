@@ -27,8 +27,8 @@ class RnnConfig:
     init: str = "gaussian"
     # use the recurrent gradient exactly as the original program did (Wh, not Wh^T)
     compat_untransposed: bool = False
-    # largest vocabulary the model may be built over (it is broadcast to tasks)
-    max_vocab: int = 65536
+    # memory one task may use for the model, its gradient and accumulators (bytes)
+    model_bytes: int = 1 << 30
 
     def with_(self, **kw) -> "RnnConfig":
         return replace(self, **kw)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from charloom.config import RnnConfig
 from charloom.operators import corpus as C
@@ -13,12 +14,16 @@ from charloom.session import ship_package
 from charloom.sources.text import corpus_lines, read_table
 
 
+#: most input splits that are dealt anew over the cores: about 1 GB of files
+MOST_SPLITS_DEALT = 8
+
+
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Small inputs (one parquet row group) arrive as one partition; spread them
-    over the cores.  Large inputs already have one partition per file split and
-    are left alone, so this never adds a shuffle at scale."""
-    target = spark.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    """A few file splits (one parquet row group is one) would leave cores idle;
+    deal their rows over the cores.  This moves at most ``MOST_SPLITS_DEALT``
+    splits' text, whatever the cluster; more splits are read as they are."""
+    target, splits = spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(target) if splits < min(target, MOST_SPLITS_DEALT + 1) else df
 
 
 class Corpus:
@@ -36,13 +41,30 @@ class Corpus:
                    cfg: RnnConfig | None = None, text_col: str = "text", key_col: str = "doc_id"):
         return cls(spark, read_table(spark, sf_dir, table, key_col, text_col), cfg, text_col, key_col)
 
+    @classmethod
+    def from_lines(cls, spark: SparkSession, lines: DataFrame, cfg: RnnConfig | None = None):
+        """A corpus of ``lines(doc_id, line_no, line)`` as they are (e.g. from
+        ``read_text_lines``): the order of lines and their paragraph keys stay."""
+        self = cls.__new__(cls)
+        self.spark, self.cfg, self.partitions = spark, cfg or RnnConfig(), None
+        ship_package(spark)
+        self.lines = lines.select("doc_id", "line_no", "line")
+        return self
+
+    @cached_property
+    def docs(self) -> DataFrame:
+        """Whole documents without line breaks, for a corpus that came as lines."""
+        return (self.lines.groupBy("doc_id")
+                .agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("own"))
+                .select("doc_id", F.array_join(F.transform("own", lambda x: x["line"]), "").alias("text")))
+
     @cached_property
     def vocab_df(self) -> DataFrame:
         return C.vocab_table(self.lines)
 
     @cached_property
     def vocab(self) -> C.Vocab:
-        return C.collect_vocab(self.vocab_df, self.cfg.max_vocab)
+        return C.collect_vocab(self.vocab_df)
 
     @cached_property
     def corpus(self) -> CorpusSegments:

@@ -10,35 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Modulus of the reproducible sampling hash (a Mersenne prime, so every product
-# of two residues fits in a signed 64-bit integer).
-HASH_MOD = 2147483647
-
-
-def _mix(a: Column, b: Column) -> Column:
-    x = (a * F.lit(40692) + F.pmod(b, F.lit(HASH_MOD)) + F.lit(12345)) % F.lit(HASH_MOD)
-    x = (x * x + F.lit(1013904223)) % F.lit(HASH_MOD)
-    return (x * F.lit(48271) + F.lit(7)) % F.lit(HASH_MOD)
+# Values of the reproducible sampling hash: 15 hexadecimal digits of an md5.
+HASH_BITS = 60
 
 
 def unit_hash(seed: int, epoch, *keys) -> Column:
-    """Deterministic hash in [0, HASH_MOD) of (seed, epoch, keys...).
-
-    ``epoch`` and ``keys`` are ints or columns; everything is widened to bigint
-    first so no product overflows under ANSI arithmetic.
-    """
-    def big(v):
-        return (v if isinstance(v, Column) else F.lit(int(v))).cast("bigint")
-
-    h = _mix(big(seed % HASH_MOD), big(epoch))
-    for k in keys:
-        h = _mix(h, big(k))
-    return h
+    """Deterministic hash in [0, 2**HASH_BITS) of (seed, epoch, keys...): the first
+    digits of the md5 of the numbers joined by colons.  ``epoch`` and ``keys``
+    are ints or columns."""
+    parts = [v.cast("bigint").cast("string") if isinstance(v, Column) else F.lit(str(int(v)))
+             for v in (seed, epoch, *keys)]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def keep_threshold(rate: float) -> int:
     """Rows whose hash is below this value are kept (rate 1 keeps all)."""
-    return max(0, min(HASH_MOD, int(rate * HASH_MOD)))
+    return max(0, min(1 << HASH_BITS, int(rate * (1 << HASH_BITS))))
 
 
 def bernoulli_keep(rate: float, seed: int, epoch, *keys) -> Column:
@@ -46,8 +33,8 @@ def bernoulli_keep(rate: float, seed: int, epoch, *keys) -> Column:
 
 
 def unit_uniform(seed: int, epoch, *keys) -> Column:
-    """Reproducible uniform draw in [0, 1)."""
-    return unit_hash(seed, epoch, *keys).cast("double") / F.lit(float(HASH_MOD))
+    """Reproducible uniform draw in [0, 1): the hash's 53 highest bits."""
+    return F.shiftright(unit_hash(seed, epoch, *keys), HASH_BITS - 53).cast("double") / F.lit(float(1 << 53))
 
 
 def clip_col(g: Column, lim: float) -> Column:

@@ -18,6 +18,8 @@ row-major inside the block.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 BLOCKS = ("Win", "Wh", "Wout", "bh", "bout")
@@ -181,18 +183,12 @@ def forward(params: dict, x: np.ndarray, h0: np.ndarray | None = None):
 
 def probs_and_losses(ys_top: np.ndarray, targets: np.ndarray, overwrite: bool = False):
     """Softmax probabilities (n,T,V) and summed cross-entropy per window (n,)
-    from one exponential pass.  Rows are max-shifted only when some logit is
-    beyond exp's safe range, which gives the same probabilities.  With
-    ``overwrite`` the logits array is reused for the probabilities."""
-    lo, hi = ys_top.min(), ys_top.max()
-    if hi > 600.0 or lo < -600.0:
-        z = ys_top - ys_top.max(axis=-1, keepdims=True)
-        overwrite = True
-    else:
-        z = ys_top
+    from one exponential pass over max-shifted logits.  With ``overwrite`` the
+    logits array is reused for the probabilities."""
+    z = np.subtract(ys_top, ys_top.max(axis=-1, keepdims=True), out=ys_top if overwrite else None)
     n, steps = targets.shape
     zt = z[np.arange(n)[:, None], np.arange(steps)[None, :], targets]
-    e = np.exp(z, out=z if overwrite else None)
+    e = np.exp(z, out=z)
     s = e.sum(axis=-1, keepdims=True)
     losses = (np.log(s[..., 0]) - zt).sum(axis=1)
     e /= s
@@ -211,19 +207,28 @@ def clipped_outer_sum(a: np.ndarray, b: np.ndarray, lim: float, a_abs_sum: np.nd
 
     |sum_t a_i b_j| <= (sum_t |a_i|) * max|b|: rows (w,i) under ``lim`` by that
     bound are never clipped, so one big product covers all windows; the few rows
-    over the bound are recomputed exactly per window and replaced by their
-    clipped value.  ``a_abs_sum`` may pass a precomputed upper bound of
+    over the bound are left out of it, computed exactly per window and added
+    clipped.  ``a_abs_sum`` may pass a precomputed upper bound of
     sum_t |a| (n,A).
     """
     n, steps, na = a.shape
     nb = b.shape[2]
-    out = a.reshape(-1, na).T @ b.reshape(-1, nb)
-    bmax = np.abs(b).max(axis=(1, 2)) if b.size else np.zeros(n)
-    bound = (np.abs(a).sum(axis=1) if a_abs_sum is None else a_abs_sum) * bmax[:, None]
-    w, i = np.nonzero(bound > lim)
-    if len(w):
+    with np.errstate(invalid="ignore", over="ignore"):
+        bmax = np.abs(b).max(axis=(1, 2)) if b.size else np.zeros(n)
+        bound = (np.abs(a).sum(axis=1) if a_abs_sum is None else a_abs_sum) * bmax[:, None]
+        over = ~(bound <= lim)  # and where the bound is not a number
+        w, i = np.nonzero(over)
+        if not len(w):
+            return a.reshape(-1, na).T @ b.reshape(-1, nb)
+        # rows over the bound take no part in the product; a window that holds no finite number would spoil it
+        finite = np.isfinite(bmax)
+        kept = np.where(over[:, None, :], 0.0, a)[finite]
+        out = kept.reshape(-1, na).T @ b[finite].reshape(-1, nb)
         rows = np.einsum("mt,mtb->mb", a[w, :, i], b[w])
-        np.add.at(out, i, clip(rows, lim) - rows)
+        np.add.at(out, i, clip(rows, lim))
+        rest = ~over & ~finite[:, None]  # rows of zeros beside infinite numbers
+        for v, j in zip(*np.nonzero(rest)):
+            out[j] += clip(a[v, :, j] @ b[v], lim)
     return out
 
 
@@ -393,9 +398,9 @@ def sequence_step(params: dict, x: np.ndarray, targets: np.ndarray, h0: np.ndarr
         prev = np.concatenate([h0[:, l][:, None], hs[l][:, :-1]], axis=1)
         g["Wh"][:, l] = np.matmul(np.swapaxes(draw, 1, 2), prev)
         if l == 0:
-            onehot = np.zeros((n, steps, vocab))
-            onehot[ar[:, None], np.arange(steps)[None, :], x] = 1.0
-            g["Win"][:, 0] = np.matmul(np.swapaxes(draw, 1, 2), onehot)
+            columns = np.zeros((n, vocab, hidden))  # a step's gradient goes to its input's column
+            np.add.at(columns, (ar[:, None], x), draw)
+            g["Win"][:, 0] = np.swapaxes(columns, 1, 2)
         else:
             g["Win"][:, l] = np.matmul(np.swapaxes(draw, 1, 2), ys[l - 1])
             delta = np.matmul(draw, params["Win"][:, l])
@@ -419,17 +424,19 @@ def chunk_count(n: np.ndarray, seq_len: int, mode: str) -> np.ndarray:
 
 
 def train_sequences(params: dict, accs: dict, seqs: list, cfg, mode: str = "paragraph",
-                    batch: int = 64):
+                    budget: int = 4_000_000):
     """Local training of every sequence from the same starting weights and
     AdaGrad accumulators: ``cfg.iters`` passes of sequential windows, hidden state
     carried from window to window and reset at each pass, AdaGrad after every
-    window.  Sequences advance in lock-step batches, each with its own copy.
+    window.  Sequences advance in lock-step batches, each with its own copy of the
+    weights; a batch holds about ``budget`` doubles.
 
     Returns (loss of the first pass, sum of final weights, sum of final
     accumulators, total ids, number of sequences).
     """
     layers, hidden, vocab = dims(params)
     L = cfg.seq_len
+    batch = max(1, min(256, budget // (4 * n_params(layers, hidden, vocab) + 2 * layers * L * (vocab + hidden))))
     counts = chunk_count([len(s) for s in seqs], L, mode)
     w_sum = {b: np.zeros_like(params[b]) for b in BLOCKS}
     a_sum = {b: np.zeros_like(params[b]) for b in BLOCKS}
@@ -466,40 +473,18 @@ def train_sequences(params: dict, accs: dict, seqs: list, cfg, mode: str = "para
 
 
 # ---------------------------------------------------------------- scoring and generation
-def hidden_states(params: dict, x: np.ndarray, h0: np.ndarray | None = None, chunk: int = 256):
-    """Hidden states of every layer (NL,n,T,H) for ids ``x`` (n,T); inputs of
-    upper layers (the lower layer's logits) are built ``chunk`` steps at a time,
-    so no (n,T,V) array is ever held."""
-    layers, hidden, vocab = dims(params)
-    n, steps = x.shape
-    hs = np.empty((layers, n, steps, hidden))
-    for l in range(layers):
-        h = np.zeros((n, hidden)) if h0 is None else h0[l]
-        wht = params["Wh"][l].T
-        for c0 in range(0, steps, chunk):
-            c1 = min(steps, c0 + chunk)
-            if l == 0:
-                pre = params["Win"][0].T[x[:, c0:c1]]
-            else:
-                y = _mm(hs[l - 1][:, c0:c1], params["Wout"][l - 1].T) + params["bout"][l - 1]
-                pre = _mm(y, params["Win"][l].T)
-            pre += params["bh"][l]
-            for t in range(c1 - c0):
-                h = np.tanh(pre[:, t] + h @ wht)
-                hs[l, :, c0 + t] = h
-    return hs
-
-
-def sequence_losses(params: dict, seqs: list, max_batch: int = 256, chunk: int = 128):
+def sequence_losses(params: dict, seqs: list, max_batch: int = 256, chunk: int = 128, h0: np.ndarray | None = None):
     """Teacher-forced loss of each whole sequence from a zero state: every id
     after the first is predicted.  Up to ``max_batch`` length-sorted sequences
     advance together; time is processed ``chunk`` steps at a time through every
     layer (hidden states carried), so memory is O(batch * chunk * V) whatever
-    the sequence length.  Returns (summed nats (n,), predictions (n,))."""
+    the sequence length.  Returns (summed nats (n,), predictions (n,)); with start
+    states ``h0`` (NL,n,H) also the states after each sequence's last input."""
     layers, hidden, vocab = dims(params)
     n = len(seqs)
     lens = np.array([len(s) for s in seqs], dtype=np.int64)
     out = np.zeros(n)
+    final = np.zeros((layers, n, hidden)) if h0 is None else h0.copy()
     order = np.argsort(lens, kind="stable")
     whts = [params["Wh"][l].T for l in range(layers)]
     for b0 in range(0, n, max_batch):
@@ -508,20 +493,22 @@ def sequence_losses(params: dict, seqs: list, max_batch: int = 256, chunk: int =
         if width < 2:
             continue
         m = len(idx)
-        x = np.zeros((m, width), dtype=np.int64)
-        for r, k in enumerate(idx):
-            x[r, :lens[k]] = seqs[k]
         npred = lens[idx] - 1
-        h = np.zeros((layers, m, hidden))
+        h = final[:, idx]
         tot = np.zeros(m)
         for c0 in range(0, width - 1, chunk):
             c1 = min(width - 1, c0 + chunk)
             live = npred > c0                      # sorted ascending: a suffix of the batch
             s0 = int(np.argmax(live))
+            x = np.zeros((m - s0, c1 + 1 - c0), dtype=np.int64)  # this chunk's ids only
+            for r, k in enumerate(idx[s0:]):
+                own = seqs[k][c0:c1 + 1]
+                x[r, :len(own)] = own
             y = None
+            ending = np.flatnonzero((npred[s0:] > c0) & (npred[s0:] <= c1))
             for l in range(layers):
                 if l == 0:
-                    pre = params["Win"][0].T[x[s0:, c0:c1]]
+                    pre = params["Win"][0].T[x[:, :-1]]
                 else:
                     pre = _mm(y, params["Win"][l].T)
                 pre += params["bh"][l]
@@ -531,31 +518,16 @@ def sequence_losses(params: dict, seqs: list, max_batch: int = 256, chunk: int =
                     hl = np.tanh(pre[:, t] + hl @ whts[l])
                     hs[:, t] = hl
                 h[l, s0:] = hl
+                final[l, idx[s0:][ending]] = hs[ending, npred[s0:][ending] - 1 - c0]
                 y = _mm(hs, params["Wout"][l].T)
                 y += params["bout"][l]
             lp = log_softmax(y)
-            nll = -np.take_along_axis(lp, x[s0:, c0 + 1:c1 + 1, None], axis=2)[:, :, 0]
+            nll = -np.take_along_axis(lp, x[:, 1:, None], axis=2)[:, :, 0]
             mask = np.arange(c0, c1)[None, :] < npred[s0:, None]
             tot[s0:] += (nll * mask).sum(axis=1)
         out[idx] = tot
-    return out, np.maximum(lens - 1, 0)
-
-
-def continue_sequence(params: dict, seq: np.ndarray, h0: np.ndarray, chunk: int = 256):
-    """Feed ``seq[:-1]`` from hidden state ``h0`` (NL,1,H), predicting each next
-    id.  Returns (summed nats, predictions, hidden state after the last input)."""
-    if len(seq) < 2:
-        return 0.0, 0, h0
-    x = np.asarray(seq, dtype=np.int64)[None, :]
-    hs = hidden_states(params, x[:, :-1], h0=h0, chunk=chunk)
-    wout, bout = params["Wout"][-1].T, params["bout"][-1]
-    loss = 0.0
-    steps = x.shape[1] - 1
-    for c0 in range(0, steps, chunk):
-        c1 = min(steps, c0 + chunk)
-        lp = log_softmax(_mm(hs[-1][:, c0:c1], wout) + bout)
-        loss -= float(np.take_along_axis(lp, x[:, c0 + 1:c1 + 1, None], axis=2).sum())
-    return loss, steps, hs[:, :, -1].copy()
+    n_pred = np.maximum(lens - 1, 0)
+    return (out, n_pred) if h0 is None else (out, n_pred, final)
 
 
 def inverse_cdf(p: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -567,26 +539,24 @@ def inverse_cdf(p: np.ndarray, u: np.ndarray) -> np.ndarray:
     return np.minimum(k, p.shape[1] - 1)
 
 
-HASH_MOD = 2147483647
+def unit_hash(seed: int, epoch, *keys) -> np.ndarray:
+    """NumPy twin of ``exprs.unit_hash``, broadcast over its arguments."""
+    def one(*numbers):
+        return int(hashlib.md5(":".join(map(str, numbers)).encode()).hexdigest()[:15], 16)
+    return np.vectorize(one, otypes=[np.int64])(seed, epoch, *keys)
 
 
-def unit_hash(seed: int, epoch, *keys) -> np.ndarray:
-    """NumPy twin of ``exprs.unit_hash`` (int64 arithmetic, no overflow)."""
-    def mix(a, b):
-        x = (a * 40692 + np.mod(b, HASH_MOD) + 12345) % HASH_MOD
-        x = (x * x + 1013904223) % HASH_MOD
-        return (x * 48271 + 7) % HASH_MOD
-    h = mix(np.int64(seed % HASH_MOD), np.asarray(epoch, dtype=np.int64))
-    for k in keys:
-        h = mix(h, np.asarray(k, dtype=np.int64))
-    return h
+def unit_uniform(seed: int, epoch, *keys) -> np.ndarray:
+    """NumPy twin of ``exprs.unit_uniform``."""
+    return (unit_hash(seed, epoch, *keys) >> 7) / float(1 << 53)
 
 
 def generate(params: dict, seeds: np.ndarray, steps: int, uniforms=None, h0=None) -> np.ndarray:
     """Advance every prompt together: feed the seed id, then each produced id.
 
     ``uniforms`` (n, steps) selects inverse-CDF sampling; None means greedy
-    (argmax, ties to the lowest id).  The seed itself is not emitted.
+    (argmax, ties to the lowest id).  The seed itself is not emitted.  ``h0``
+    (NL,n,H) are the states to start from.
     """
     layers, hidden, vocab = dims(params)
     n = len(seeds)

@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-from charloom.functions.exprs import HASH_MOD, keep_threshold
-
-
-def _mix(a: str, b: str) -> str:
-    m = HASH_MOD
-    x = f"(({a}) * 40692 + ((({b}) % {m}) + {m}) % {m} + 12345) % {m}"
-    x = f"(({x}) * ({x}) + 1013904223) % {m}"
-    return f"(({x}) * 48271 + 7) % {m}"
+from charloom.functions.exprs import HASH_BITS, keep_threshold
 
 
 def unit_hash_sql(seed: int, epoch, *keys: str) -> str:
-    h = _mix(f"CAST({seed % HASH_MOD} AS BIGINT)", f"CAST({epoch} AS BIGINT)")
-    for k in keys:
-        h = _mix(h, f"CAST({k} AS BIGINT)")
-    return h
+    parts = ", ':', ".join(f"CAST({k} AS BIGINT)" for k in (seed, epoch, *keys))
+    return f"CAST(('0x' || substr(md5(concat({parts})), 1, {HASH_BITS // 4})) AS BIGINT)"
 
 
 def keep_sql(rate: float, seed: int, epoch, *keys: str) -> str:
@@ -24,7 +15,7 @@ def keep_sql(rate: float, seed: int, epoch, *keys: str) -> str:
 
 
 def uniform_sql(seed: int, epoch, *keys: str) -> str:
-    return f"CAST({unit_hash_sql(seed, epoch, *keys)} AS DOUBLE) / {float(HASH_MOD)}"
+    return f"CAST({unit_hash_sql(seed, epoch, *keys)} >> {HASH_BITS - 53} AS DOUBLE) / {float(1 << 53)}"
 
 
 def md5_int_sql(s: str) -> str:

@@ -52,8 +52,8 @@ def vocab_table(lines: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocab:
-    """Driver copy of the vocabulary; bounded by the number of distinct
-    characters (and checked against ``max_vocab``) so it may be broadcast."""
+    """Driver copy of the vocabulary: one entry per distinct character, so bounded
+    by Unicode's 1,114,112 code points whatever the corpus; it may be broadcast."""
 
     chars: tuple
     counts: tuple
@@ -71,18 +71,18 @@ class Vocab:
         return spark.createDataFrame(rows, "ch string, id int, n bigint")
 
 
-def collect_vocab(vocab_df: DataFrame, max_vocab: int = 65536) -> Vocab:
-    """One job; at most ``max_vocab + 1`` rows ever reach the driver."""
-    rows = vocab_df.orderBy("id").limit(max_vocab + 1).collect()
-    if len(rows) > max_vocab:
-        raise ValueError(f"vocabulary exceeds max_vocab={max_vocab} characters; "
-                         "a character model over it would not fit a task")
+def collect_vocab(vocab_df: DataFrame) -> Vocab:
+    """One job over the counted characters."""
+    rows = sorted(vocab_df.collect(), key=lambda r: r["id"])
     return Vocab(tuple(r["ch"] for r in rows), tuple(int(r["n"]) for r in rows))
 
 
 def encode_concat(texts, codepoints: np.ndarray):
     """NumPy helper: strings -> (all ids concatenated as int32, lengths);
-    characters outside the vocabulary become -1."""
+    characters outside the vocabulary become -1 (no kernel takes that id)."""
+    if not len(codepoints):
+        lens = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
+        return np.full(int(lens.sum()), -1, np.int32), lens
     cps = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
     idx = np.minimum(np.searchsorted(codepoints, cps), len(codepoints) - 1)
     ids = np.where(codepoints[idx] == cps, idx, -1).astype(np.int32)
@@ -96,6 +96,22 @@ def encode_text(texts, codepoints: np.ndarray) -> list:
     return np.split(ids, np.cumsum(lens)[:-1]) if len(texts) else []
 
 
+def encode_known(texts, codepoints: np.ndarray):
+    """Id arrays without the characters outside the vocabulary, and how many
+    each text had: scoring skips them, and says so."""
+    seqs = encode_text(texts, codepoints)
+    known = [s[s >= 0] for s in seqs]
+    return known, np.array([len(s) - len(k) for s, k in zip(seqs, known)], dtype=np.int64)
+
+
+def windows_ids(texts, codepoints: np.ndarray):
+    """:func:`encode_concat` for training, where every character must be known."""
+    ids, lens = encode_concat(texts, codepoints)
+    if len(ids) and ids.min() < 0:
+        raise ValueError("a training window holds a character outside the vocabulary")
+    return ids, lens
+
+
 def encoder_udf(spark: SparkSession, vocab: Vocab):
     """Vectorised encoder ``line -> array<int>`` with the vocabulary broadcast once."""
     bc = spark.sparkContext.broadcast(vocab.codepoints)
@@ -108,15 +124,26 @@ def encoder_udf(spark: SparkSession, vocab: Vocab):
 
 
 def encode_lines(spark: SparkSession, lines: DataFrame, vocab: Vocab) -> DataFrame:
-    """``encoded(doc_id, line_no, ids)`` for every non-empty line."""
+    """``encoded(doc_id, line_no, ids)`` for every non-empty line; characters
+    outside the vocabulary have id -1."""
     enc = encoder_udf(spark, vocab)
     return nonempty_lines(lines).select("doc_id", "line_no", enc(F.col("line")).alias("ids"))
 
 
-def decode_ids(ids: F.Column, vocab: Vocab) -> F.Column:
-    """Inverse of the encoder, JVM-side: id i -> the (i+1)-th vocabulary char."""
-    table = F.array(*[F.lit(c) for c in vocab.chars])
-    return F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")
+def decoder_udf(spark: SparkSession, vocab: Vocab):
+    """Vectorised decoder ``array<int> -> string``, the encoder's inverse; ids that
+    are no character's (such as -1) become U+FFFD."""
+    bc = spark.sparkContext.broadcast(np.array([*vocab.chars, "\ufffd"], dtype=object))
+
+    @F.pandas_udf(T.StringType())
+    def decode(s: pd.Series) -> pd.Series:
+        chars = bc.value
+        def one(ids):
+            ids = np.asarray(ids, dtype=np.int64)
+            return "".join(chars[np.where((ids < 0) | (ids >= len(chars) - 1), len(chars) - 1, ids)])
+        return s.map(one, na_action="ignore")
+
+    return decode
 
 
 def one_hot(idx: F.Column, size: int) -> F.Column:

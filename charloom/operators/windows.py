@@ -30,12 +30,15 @@ def paragraph_chunks(n: Column, seq_len: int) -> Column:
 
 def line_pieces(df: DataFrame, halo: int, piece: int = WINDOW_PIECE, text_col: str = "line",
                 keep=("doc_id", "line_no")) -> DataFrame:
-    """Cut each text into pieces of at most ``piece`` characters (one linear regex
-    pass) and append the next ``halo`` characters of the same text to each."""
+    """Cut each text into pieces (one linear regex pass) and append the next
+    ``halo`` characters of the same text to each.  A piece has at most ``piece``
+    characters, or ``halo`` if that is more, so the halo lies in one piece."""
+    piece = max(piece, halo)
     parts = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{piece}}}"), 0)
-    with_halo = F.transform(parts, lambda p, k: F.struct(
+    # zipped with the pieces from the second on: the parts are computed twice, not per element
+    with_halo = F.zip_with(parts, F.slice(parts, 2, F.greatest(F.lit(1), F.size(parts))), lambda p, after: F.struct(
         F.length(p).alias("n_own"),
-        F.concat(p, F.coalesce(F.substring(F.get(parts, k + 1), 1, halo), F.lit(""))).alias("text")))
+        F.concat(p, F.coalesce(F.substring(after, 1, halo), F.lit(""))).alias("text")))
     return (df.select(*keep, F.length(text_col).alias("n_line"),
                       F.posexplode(with_halo).alias("piece", "pc"))
             .select(*keep, "n_line", "piece", (F.col("piece") * piece).alias("offset"),
@@ -43,7 +46,8 @@ def line_pieces(df: DataFrame, halo: int, piece: int = WINDOW_PIECE, text_col: s
 
 
 def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column | None = None,
-                limit: Column | None = None, keep=("doc_id", "line_no"), sample=None) -> DataFrame:
+                limit: Column | None = None, keep=("doc_id", "line_no"), sample=None,
+                sample_keys=()) -> DataFrame:
     """Explode whole windows of ``seq_len + 1`` chars starting in each piece.
 
     ``origin`` is the position of the piece's first char in the frame the
@@ -51,7 +55,7 @@ def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column
     ``limit`` optionally bounds starts to ``origin + s < limit``.
     ``sample=(rate, seed, epochs)`` keeps, per epoch, the starts whose hash
     passes the Bernoulli test *before* any window string is cut (adds an
-    ``epoch`` column).
+    ``epoch`` column); the hash covers ``sample_keys`` and the start.
     """
     origin = origin if origin is not None else F.lit(0)
     first = F.lit(0) if stride == 1 else F.pmod(-origin, F.lit(stride)).cast("int")
@@ -70,16 +74,17 @@ def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column
         from charloom.functions.exprs import bernoulli_keep
         rate, seed, epochs = sample
         rows = (rows.withColumn("epoch", F.explode(F.array(*[F.lit(e).cast("bigint") for e in epochs])))
-                .where(bernoulli_keep(rate, seed, F.col("epoch"), F.col("_origin") + F.col("_s"))))
+                .where(bernoulli_keep(rate, seed, F.col("epoch"), *map(F.col, sample_keys),
+                                      F.col("_origin") + F.col("_s"))))
         extra = ["epoch"]
     return rows.select(*keep, *extra, (F.col("_origin") + F.col("_s")).alias("start"),
                        F.substring(F.col("text"), F.col("_s") + 1, F.lit(seq_len + 1)).alias("win"))
 
 
-def line_sliding_windows(lines: DataFrame, seq_len: int) -> DataFrame:
+def line_sliding_windows(lines: DataFrame, seq_len: int, sample=None) -> DataFrame:
     """``(doc_id, line_no, start, window)``, start = position in the line."""
     pieces = line_pieces(lines.where(F.length("line") > seq_len), halo=seq_len)
-    return window_rows(pieces, seq_len, 1, origin=F.col("offset"))
+    return window_rows(pieces, seq_len, 1, origin=F.col("offset"), sample=sample, sample_keys=("doc_id", "line_no"))
 
 
 def paragraph_windows(lines: DataFrame, seq_len: int) -> DataFrame:

@@ -64,6 +64,9 @@ ORACLES = {
         "nxt AS (SELECT id AS x, lead(id) OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS y FROM gchars)") + (
         "SELECT CAST(x AS BIGINT) AS input_id, CAST(y AS BIGINT) AS target_id, CAST(count(*) AS BIGINT) AS n "
         "FROM nxt WHERE y IS NOT NULL GROUP BY x, y"),
+    "text_round_trip": _base() + (
+        f"SELECT CAST(length(line) AS BIGINT) AS n, {md5_int_sql('line')} AS checksum, CAST(count(*) AS BIGINT) AS copies "
+        "FROM lines GROUP BY ALL"),
     "line_offsets": _base() + (
         "SELECT doc_id, line_no, "
         "CAST(coalesce(sum(length(line)) OVER (ORDER BY doc_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING "
@@ -99,7 +102,7 @@ ORACLES = {
 
 # ---------------------------------------------------------------- model oracles
 from charloom.functions.sql import clip_sql, uniform_sql  # noqa: E402
-from charloom.queries import EVAL_OFFSET, GEN_STEPS, STACKED, T2_EPOCHS, T2_RATE  # noqa: E402
+from charloom.queries import EVAL_OFFSET, GEN_STEPS, SQL_HIDDEN, STACKED, T1_EPOCHS, T2_EPOCHS, T2_RATE  # noqa: E402
 
 H = CFG.hidden
 V_SQL = "(SELECT count(*) FROM vocab)"
@@ -128,6 +131,43 @@ def static_ctes(layers: int) -> list:
     return ctes
 
 
+def recurrent_ctes(layers: int) -> list:
+    """Tables of the sine model with ``SQL_HIDDEN`` units: ``win`` (a character's
+    input to layer 0, bias added), ``wout`` (rows of the top layer's output
+    weights, the bias last) and, for two layers, ``mid`` (what layer 0's state adds
+    to layer 1's input through layer 0's outputs, the constant last)."""
+    n = range(SQL_HIDDEN)
+    ctes = ["voc AS (SELECT id AS v FROM vocab)",
+            "win AS (SELECT v, [" + ", ".join(f"{_sine(0, 0, i, 'v')} + {_sine(0, 3, i, '0')}" for i in n) + "] AS w FROM voc)"]
+    top = layers - 1
+    ctes.append("wout AS (SELECT list([" + ", ".join(_sine(top, 2, "v", i) for i in n) + f", {_sine(top, 4, 'v', '0')}] ORDER BY v) AS o FROM voc)")
+    if layers == 2:
+        rows = ["[" + ", ".join(f"sum({_sine(1, 0, i, 'v')} * {_sine(0, 2, 'v', k)})" for k in n)
+                + f", sum({_sine(1, 0, i, 'v')} * {_sine(0, 4, 'v', '0')}) + {_sine(1, 3, i, '0')}]" for i in n]
+        ctes.append("mid AS (SELECT [" + ", ".join(rows) + "] AS m FROM voc)")
+    return ctes
+
+
+def _next_state(layer: int, source: str, state: str) -> str:
+    """tanh(source + Wh state), unit by unit."""
+    return "[" + ", ".join(
+        f"tanh({source}[{i + 1}] + " + " + ".join(f"{_sine(layer, 1, i, k)} * {state}[{k + 1}]" for k in range(SQL_HIDDEN)) + ")"
+        for i in range(SQL_HIDDEN)) + "]"
+
+
+def _affine(rows: str, state: str) -> str:
+    """Rows of weights (constant last) times a state."""
+    return (f"list_transform({rows}, lambda r: " + " + ".join(f"r[{k + 1}] * {state}[{k + 1}]" for k in range(SQL_HIDDEN))
+            + f" + r[{SQL_HIDDEN + 1}])")
+
+
+ZERO_STATE = "[" + ", ".join(["CAST(0.0 AS DOUBLE)"] * SQL_HIDDEN) + "]"
+LSE = "ln(list_sum(list_transform(y, lambda z: exp(z))))"
+# inverse of the cumulative distribution: the first id if u is within its share, else those whose cumulated share is at most u
+DRAWN = ("CASE WHEN u <= c[1] THEN 0 ELSE least(len(c) - 1, len(list_filter(c, lambda z: z <= u))) END")
+CUMULATED = "list_transform(range(1, len(p) + 1), lambda k: list_sum(p[1:k]))"
+
+
 def _rbase(*extra: str) -> str:
     return "WITH RECURSIVE " + ",\n".join([LINES_CTE, NONEMPTY_CTE, CHARS_CTE, VOCAB_CTE, GCHARS_CTE, *extra]) + "\n"
 
@@ -195,18 +235,29 @@ ORACLES["adagrad_step"] = _rbase("voc AS (SELECT id AS v FROM vocab)", *TUMBLING
     "ELSE 0.0 END AS g FROM (" + _model_rows(1, lambda l, b, i, j: _sine(l, b, i, j)) + ") m "
     "LEFT JOIN bgrad b ON b.i = m.i)")
 
-ORACLES["window_loss"] = _rbase(*static_ctes(STACKED),
-    "bg AS (SELECT gpos AS p, id AS x, lead(id) OVER (ORDER BY gpos) AS y FROM gchars)",
-    f"wl AS (SELECT bg.p // {L} AS w, sum(-lp.lp) AS loss FROM bg JOIN lp ON lp.v = bg.x AND lp.u = bg.y "
-    f"WHERE bg.p < (SELECT (count(*) - 1) // {L} * {L} FROM gchars) GROUP BY 1)") + (
-    f"SELECT g.doc_id, CAST(count(*) AS BIGINT) AS n_windows, round(avg(wl.loss), 6) AS mean_loss "
-    f"FROM wl JOIN gchars g ON g.gpos = wl.w * {L} GROUP BY g.doc_id")
+ORACLES["window_loss"] = _rbase(*recurrent_ctes(STACKED),
+    f"wx AS (SELECT gpos // {L} AS w, gpos % {L} AS t, id FROM gchars UNION ALL "
+    f"SELECT gpos // {L} - 1, {L}, id FROM gchars WHERE gpos > 0 AND gpos % {L} = 0)",
+    f"nwin AS (SELECT (count(*) - 1) // {L} AS n FROM gchars)",
+    "st AS (SELECT w, 0 AS t, " + f"{ZERO_STATE} AS a, {ZERO_STATE} AS b, CAST(0.0 AS DOUBLE) AS loss "
+    "FROM wx WHERE t = 0 AND w < (SELECT n FROM nwin) UNION ALL "
+    f"SELECT w, t + 1, a, b, loss + {LSE} - y[target + 1] FROM ("
+    f"SELECT w, t, a, b, loss, target, {_affine('(SELECT o FROM wout)', 'b')} AS y FROM ("
+    f"SELECT w, t, a, {_next_state(1, 's', 'b')} AS b, loss, target FROM ("
+    f"SELECT w, t, a, b, loss, target, {_affine('(SELECT m FROM mid)', 'a')} AS s FROM ("
+    f"SELECT st.w, st.t, {_next_state(0, 'win.w', 'st.a')} AS a, st.b, st.loss, nx.id AS target FROM st "
+    "JOIN wx ON wx.w = st.w AND wx.t = st.t JOIN win ON win.v = wx.id JOIN wx nx ON nx.w = st.w AND nx.t = st.t + 1 "
+    f"WHERE st.t < {L}))))),"
+    f"sd AS (SELECT w, loss FROM st WHERE t = {L})") + (
+    "SELECT g.doc_id, CAST(count(*) AS BIGINT) AS n_windows, round(avg(sd.loss), 6) AS mean_loss "
+    f"FROM sd JOIN gchars g ON g.gpos = sd.w * {L} GROUP BY g.doc_id")
 
 ORACLES["doc_scores"] = _rbase(*static_ctes(STACKED),
     "lb AS (SELECT doc_id, id AS x, lead(id) OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS y FROM gchars)") + (
-    "SELECT doc_id, CAST(count(*) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(*), 6) AS mean_loss, "
-    "round(exp(sum(-lp.lp) / count(*)), 6) AS perplexity FROM lb JOIN lp ON lp.v = lb.x AND lp.u = lb.y "
-    "GROUP BY doc_id")
+    "SELECT d.doc_id, CAST(count(lp.lp) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(lp.lp), 6) AS mean_loss, "
+    "round(exp(sum(-lp.lp) / count(lp.lp)), 6) AS perplexity, CAST(0 AS BIGINT) AS n_unknown "
+    "FROM (SELECT DISTINCT doc_id FROM lines) d LEFT JOIN lb USING (doc_id) LEFT JOIN lp ON lp.v = lb.x AND lp.u = lb.y "
+    "GROUP BY d.doc_id")
 
 
 def _zero_bias_training(hist_cte: str, n_cte: str, epochs: int, extra=()) -> str:
@@ -248,16 +299,16 @@ def _zero_bias_training(hist_cte: str, n_cte: str, epochs: int, extra=()) -> str
 
 # every corpus window: sweep over target positions; window s holds target q iff q-L <= s <= q-1
 T1_HIST = (
-    "hist AS (SELECT 0 AS epoch, c, k, sum(len) AS m FROM ("
+    f"hist AS (SELECT e.epoch, c, k, sum(len) AS m FROM range({T1_EPOCHS}) e(epoch), ("
     f"SELECT c, k, least(coalesce(s_next, nwall), nwall) - least(s, nwall) AS len FROM ("
     f"SELECT c, s, sum(d) OVER (PARTITION BY c ORDER BY s) AS k, lead(s) OVER (PARTITION BY c ORDER BY s) AS s_next, "
     f"(SELECT count(*) - {L} FROM gchars) AS nwall FROM ("
     f"SELECT c, s, sum(d) AS d FROM (SELECT id AS c, greatest(0, gpos - {L}) AS s, 1 AS d FROM gchars WHERE gpos >= 1 "
     "UNION ALL SELECT id AS c, gpos AS s, -1 AS d FROM gchars WHERE gpos >= 1) GROUP BY c, s))) "
-    "WHERE k > 0 AND len > 0 GROUP BY c, k)")
-T1_N = f"nwin AS (SELECT 0 AS epoch, count(*) - {L} AS nw FROM gchars)"
+    "WHERE k > 0 AND len > 0 GROUP BY e.epoch, c, k)")
+T1_N = f"nwin AS (SELECT e.epoch, count(*) - {L} AS nw FROM gchars, range({T1_EPOCHS}) e(epoch) GROUP BY e.epoch)"
 
-ORACLES["train_full_batch"] = _zero_bias_training(T1_HIST, T1_N, 1)
+ORACLES["train_full_batch"] = _zero_bias_training(T1_HIST, T1_N, T1_EPOCHS)
 
 T2_SAMPLED = (
     f"sw AS (SELECT e.epoch, gpos AS start, win FROM gwin, range({T2_EPOCHS}) e(epoch) "
@@ -278,8 +329,9 @@ ORACLES["inverse_cdf_sample"] = _rbase(
     f"least({V_SQL} - 1, (SELECT count(*) FROM cdf WHERE cdf.c <= d.u)) END AS id FROM d)") + (
     "SELECT pick.doc_id, CAST(pick.id AS BIGINT) AS id, v.ch FROM pick JOIN vocab v ON v.id = pick.id")
 
-PROMPTS_CTE = ("p0 AS (SELECT CAST(b.item_id AS BIGINT) AS prompt_id, v.id AS seed_id FROM benchmark b "
-               "JOIN vocab v ON v.ch = substr(b.text, 1, 1) WHERE length(b.text) > 0)")
+BREAK = "'\\r\\n|\\r|\\n', '', 'g'"
+PROMPTS_CTE = (f"pr0 AS (SELECT CAST(item_id AS BIGINT) AS prompt_id, regexp_replace(text, {BREAK}) AS t FROM benchmark),\n"
+               "p0 AS (SELECT prompt_id, v.id AS seed_id FROM pr0 LEFT JOIN vocab v ON v.ch = substr(t, 1, 1) AND length(t) > 0)")
 # inverse-CDF intervals of the next-character distribution after each char (disjoint):
 # k=0: u <= c0; k=1: c0 < u < c1; 2<=k<V-1: c(k-1) <= u < ck; k=V-1: u beyond c(V-2)
 INTERVALS_CTES = [
@@ -296,35 +348,43 @@ def _interval_match(u: str) -> str:
             f"(iv.k = {top} AND iv.k >= 1 AND ((iv.k = 1 AND {u} > iv.lo) OR (iv.k > 1 AND {u} >= iv.lo))))")
 
 
-ORACLES["generate_greedy"] = _rbase(*static_ctes(1), PROMPTS_CTE,
-    "nxt AS (SELECT v, u FROM (SELECT v, u, row_number() OVER (PARTITION BY v ORDER BY y DESC, u) AS rn FROM y0) "
-    "WHERE rn = 1)",
-    "gen AS (SELECT prompt_id, seed_id, 0 AS t, seed_id AS cur, '' AS text FROM p0 UNION ALL "
-    "SELECT g.prompt_id, g.seed_id, g.t + 1, n.u, g.text || voc.ch FROM gen g JOIN nxt n ON n.v = g.cur "
-    f"JOIN vocab voc ON voc.id = n.u WHERE g.t < {GEN_STEPS})") + (
-    f"SELECT prompt_id, CAST(seed_id AS BIGINT) AS seed_id, text FROM gen WHERE t = {GEN_STEPS}")
-
-ORACLES["generate_sampled"] = _rbase(*static_ctes(1), PROMPTS_CTE, *INTERVALS_CTES,
-    "gen AS (SELECT prompt_id, seed_id, 0 AS t, seed_id AS cur, '' AS text FROM p0 UNION ALL "
-    "SELECT g.prompt_id, g.seed_id, g.t + 1, iv.k, g.text || voc.ch FROM gen g "
-    f"JOIN iv ON iv.v = g.cur AND {_interval_match(uniform_sql(CFG.seed, 'g.prompt_id', 'g.t'))} "
-    f"JOIN vocab voc ON voc.id = iv.k WHERE g.t < {GEN_STEPS})") + (
-    f"SELECT prompt_id, CAST(seed_id AS BIGINT) AS seed_id, text FROM gen WHERE t = {GEN_STEPS}")
-
-ORACLES["free_running_loss"] = _rbase(*static_ctes(1), *INTERVALS_CTES,
-    "items AS (SELECT CAST(item_id AS BIGINT) AS prompt_id, text FROM benchmark WHERE length(text) >= 2)",
-    "ichars AS (SELECT i.prompt_id, CAST(u.ord - 1 AS BIGINT) AS t, v.id FROM items i, "
-    "unnest(string_split(i.text, '')) WITH ORDINALITY AS u(ch, ord) LEFT JOIN vocab v ON v.ch = u.ch)",
-    "ok AS (SELECT prompt_id, count(*) AS n FROM ichars GROUP BY prompt_id HAVING count(id) = count(*))",
-    "run AS (SELECT o.prompt_id, o.n, 0 AS t, c.id AS cur, CAST(0.0 AS DOUBLE) AS loss FROM ok o JOIN ichars c "
-    "ON c.prompt_id = o.prompt_id AND c.t = 0 UNION ALL "
-    "SELECT r.prompt_id, r.n, r.t + 1, iv.k, r.loss + CASE WHEN r.t >= " + str(EVAL_OFFSET) + " THEN -lp.lp ELSE 0.0 END "
-    "FROM run r JOIN ichars tg ON tg.prompt_id = r.prompt_id AND tg.t = r.t + 1 "
-    "JOIN lp ON lp.v = r.cur AND lp.u = tg.id "
-    f"JOIN iv ON iv.v = r.cur AND {_interval_match(uniform_sql(CFG.seed, 'r.prompt_id', 'r.t'))} "
-    "WHERE r.t < r.n - 1)") + (
-    f"SELECT prompt_id, CAST(greatest(0, n - 1 - {EVAL_OFFSET}) AS BIGINT) AS n_scored, round(loss, 6) AS loss "
-    "FROM run WHERE t = n - 1")
+def _generated(pick: str) -> str:
+    """Every prompt's state carried along; ``pick`` chooses the next id from ``y`` (and ``u``)."""
+    return _rbase(*recurrent_ctes(1), PROMPTS_CTE,
+        f"gen AS (SELECT prompt_id, seed_id, 0 AS t, seed_id AS cur, {ZERO_STATE} AS h, '' AS text FROM p0 "
+        "WHERE seed_id IS NOT NULL UNION ALL "
+        "SELECT prompt_id, seed_id, t + 1, k, h, text || voc2.ch FROM ("
+        f"SELECT *, {pick} AS k FROM (SELECT *, {CUMULATED} AS c, {uniform_sql(CFG.seed, 'prompt_id', 't')} AS u FROM ("
+        f"SELECT *, list_transform(y, lambda z: exp(z) / tot) AS p FROM ("
+        "SELECT *, list_sum(list_transform(y, lambda z: exp(z))) AS tot FROM ("
+        f"SELECT *, {_affine('(SELECT o FROM wout)', 'h')} AS y FROM ("
+        f"SELECT g.prompt_id, g.seed_id, g.t, g.text, {_next_state(0, 'win.w', 'g.h')} AS h FROM gen g "
+        f"JOIN win ON win.v = g.cur WHERE g.t < {GEN_STEPS})))))) JOIN vocab voc2 ON voc2.id = k)") + (
+        "SELECT p0.prompt_id, CAST(p0.seed_id AS BIGINT) AS seed_id, gen.text FROM p0 "
+        f"LEFT JOIN gen ON gen.prompt_id = p0.prompt_id AND gen.t = {GEN_STEPS}")
+
+
+ORACLES["generate_greedy"] = _generated("list_position(y, list_max(y)) - 1")
+ORACLES["generate_sampled"] = _generated(DRAWN)
+
+ORACLES["free_running_loss"] = _rbase(*recurrent_ctes(1),
+    f"items AS (SELECT CAST(item_id AS BIGINT) AS prompt_id, regexp_replace(coalesce(text, ''), {BREAK}) AS t FROM benchmark)",
+    "ic AS (SELECT i.prompt_id, u.ord, v.id FROM items i, unnest(string_split(i.t, '')) WITH ORDINALITY AS u(ch, ord) "
+    "LEFT JOIN vocab v ON v.ch = u.ch WHERE i.t <> '')",
+    "known AS (SELECT prompt_id, id, row_number() OVER (PARTITION BY prompt_id ORDER BY ord) - 1 AS t FROM ic WHERE id IS NOT NULL)",
+    "size AS (SELECT i.prompt_id, count(ic.id) AS n, count(ic.ord) - count(ic.id) AS unknown FROM items i "
+    "LEFT JOIN ic USING (prompt_id) GROUP BY i.prompt_id)",
+    f"run AS (SELECT prompt_id, t, id AS cur, {ZERO_STATE} AS h, CAST(0.0 AS DOUBLE) AS loss FROM known WHERE t = 0 UNION ALL "
+    f"SELECT prompt_id, t + 1, {DRAWN}, h, loss + CASE WHEN t >= {EVAL_OFFSET} THEN ln(tot) - y[target + 1] ELSE 0.0 END FROM ("
+    f"SELECT *, {CUMULATED} AS c, {uniform_sql(CFG.seed, 'prompt_id', 't')} AS u FROM ("
+    "SELECT *, list_transform(y, lambda z: exp(z) / tot) AS p FROM ("
+    "SELECT *, list_sum(list_transform(y, lambda z: exp(z))) AS tot FROM ("
+    f"SELECT *, {_affine('(SELECT o FROM wout)', 'h')} AS y FROM ("
+    f"SELECT r.prompt_id, r.t, r.loss, k.id AS target, {_next_state(0, 'win.w', 'r.h')} AS h FROM run r "
+    "JOIN known k ON k.prompt_id = r.prompt_id AND k.t = r.t + 1 JOIN win ON win.v = r.cur))))))") + (
+    f"SELECT s.prompt_id, CAST(greatest(0, s.n - 1 - {EVAL_OFFSET}) AS BIGINT) AS n_scored, "
+    "CAST(s.unknown AS BIGINT) AS n_unknown, round(coalesce(r.loss, 0.0), 6) AS loss "
+    "FROM size s LEFT JOIN run r ON r.prompt_id = s.prompt_id AND r.t = s.n - 1")
 
 
 def _zero_sequence_training(unit: str, rate: float, epochs: int, parts: bool = False):
@@ -376,7 +436,7 @@ def _zero_sequence_training(unit: str, rate: float, epochs: int, parts: bool = F
             f"FROM (SELECT *, ln(list_sum(list_transform(b, lambda x: exp(x)))) AS lse FROM r{e} WHERE k < ch) r "
             "JOIN cl ON cl.doc_id = r.doc_id AND cl.line_no = r.line_no AND cl.k = r.k)))",
             f"fin{e} AS (SELECT * FROM r{e} WHERE k = ch)",
-            f"cnt{e} AS (SELECT count(*) AS n, coalesce(sum(n), 0) AS len, coalesce(sum(CASE WHEN ch = 0 THEN 1 ELSE 0 END), 0) "
+            f"cnt{e} AS (SELECT count(*) AS n, coalesce(sum(n), 0) AS len, coalesce(sum(ch), 0) AS chunks, coalesce(sum(CASE WHEN ch = 0 THEN 1 ELSE 0 END), 0) "
             f"AS idle FROM samp WHERE epoch = {e})",
             f"el{e} AS (SELECT i, sum(bv) AS bs, sum(av) AS acs FROM (SELECT unnest(b) AS bv, unnest(a) AS av, "
             f"generate_subscripts(b, 1) AS i FROM fin{e} UNION ALL SELECT unnest(b) * (SELECT idle FROM cnt{e}), "
@@ -385,8 +445,8 @@ def _zero_sequence_training(unit: str, rate: float, epochs: int, parts: bool = F
             f"ORDER BY i) FROM el{e}) ELSE (SELECT b FROM st{e}) END AS b, CASE WHEN (SELECT n FROM cnt{e}) > 0 THEN "
             f"(SELECT list(acs / (SELECT n FROM cnt{e}) ORDER BY i) FROM el{e}) ELSE (SELECT a FROM st{e}) END AS a)",
             f"ls{e} AS (SELECT coalesce(sum(loss), 0.0) AS loss FROM fin{e})",
-            f"sm{e} AS (SELECT CASE WHEN (SELECT n FROM cnt{e}) > 0 THEN 0.999 * ({smooth_prev}) + 0.001 * "
-            f"(SELECT loss FROM ls{e}) / (SELECT n FROM cnt{e}) ELSE ({smooth_prev}) END AS v)",
+            f"sm{e} AS (SELECT CASE WHEN (SELECT chunks FROM cnt{e}) > 0 THEN 0.999 * ({smooth_prev}) + 0.001 * "
+            f"(SELECT loss FROM ls{e}) / (SELECT chunks FROM cnt{e}) ELSE ({smooth_prev}) END AS v)",
         ]
         smooth_prev = f"(SELECT v FROM sm{e})"
         sels.append(
@@ -417,12 +477,18 @@ CONV_CTES = [
     "vocab AS (SELECT ch, CAST(row_number() OVER (ORDER BY ch) - 1 AS INTEGER) AS id FROM "
     "(SELECT DISTINCT ch FROM cchars))",
 ]
-ORACLES["carried_state_loss"] = "WITH " + ",\n".join(CONV_CTES + static_ctes(1) + [
-    "seq AS (SELECT c.conv_id, v.id, row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn, c.pos) AS k "
+ORACLES["carried_state_loss"] = "WITH RECURSIVE " + ",\n".join(CONV_CTES + recurrent_ctes(1) + [
+    "seq AS (SELECT c.conv_id, v.id, row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn, c.pos) - 1 AS k "
     "FROM cchars c JOIN vocab v USING (ch))",
-    "bg AS (SELECT conv_id, id AS x, lead(id) OVER (PARTITION BY conv_id ORDER BY k) AS y FROM seq)",
-]) + (" SELECT conv_id, CAST(count(*) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(*), 6) AS mean_loss "
-      "FROM bg JOIN lp ON lp.v = bg.x AND lp.u = bg.y GROUP BY conv_id")
+    "size AS (SELECT t.conv_id, count(s.id) AS n FROM (SELECT DISTINCT conv_id FROM turns) t LEFT JOIN seq s USING (conv_id) GROUP BY 1)",
+    f"run AS (SELECT conv_id, k, id AS cur, {ZERO_STATE} AS h, CAST(0.0 AS DOUBLE) AS loss FROM seq WHERE k = 0 UNION ALL "
+    f"SELECT conv_id, k + 1, target, h, loss + {LSE} - y[target + 1] FROM ("
+    f"SELECT *, {_affine('(SELECT o FROM wout)', 'h')} AS y FROM ("
+    f"SELECT r.conv_id, r.k, r.loss, s.id AS target, {_next_state(0, 'win.w', 'r.h')} AS h FROM run r "
+    "JOIN seq s ON s.conv_id = r.conv_id AND s.k = r.k + 1 JOIN win ON win.v = r.cur)))",
+]) + (" SELECT s.conv_id, CAST(greatest(0, s.n - 1) AS BIGINT) AS n_pred, CAST(0 AS BIGINT) AS n_unknown, "
+      "round(CASE WHEN s.n > 1 THEN r.loss / (s.n - 1) END, 6) AS mean_loss "
+      "FROM size s LEFT JOIN run r ON r.conv_id = s.conv_id AND r.k = s.n - 1")
 
 
 def _samples_after_epochs() -> str:
@@ -439,7 +505,7 @@ def _samples_after_epochs() -> str:
             f"iv{e} AS (SELECT k, lag(c) OVER (ORDER BY k) AS lo, c AS hi FROM "
             f"(SELECT k, sum(p) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS c FROM dist{e}))",
             f"draw{e} AS (SELECT p0.prompt_id, t.t, {uniform_sql(CFG.seed, 'p0.prompt_id', 't.t')} AS u "
-            f"FROM p0, range({SAMPLE_LEN}) t(t))",
+            f"FROM p0, range({SAMPLE_LEN}) t(t) WHERE p0.seed_id IS NOT NULL)",
         ]
         sels.append(
             f"SELECT CAST({e} AS BIGINT) AS epoch, d.prompt_id, string_agg(v.ch, '' ORDER BY d.t) AS text "

@@ -11,11 +11,14 @@ vocabulary and hidden size -- is the only thing collected.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PARTIAL_SCHEMA = "chunk int, v array<double>"
 CHUNK = 512
@@ -28,7 +31,11 @@ def pack(vec: np.ndarray, chunk: int = CHUNK) -> pd.DataFrame:
 
 def total(partials: DataFrame, size: int, chunk: int = CHUNK) -> np.ndarray | None:
     """Sum of all packed vectors of ``size`` entries; None if no task emitted one."""
-    rows = (partials.groupBy("chunk").agg(Summarizer.sum(array_to_vector("v")).alias("s"))
+    # every task has one row per chunk: add them in two levels, so no reducer gets a row from every task
+    part = F.spark_partition_id() % max(1, math.isqrt(partials.sparkSession.sparkContext.defaultParallelism))
+    rows = (partials.select("chunk", part.alias("part"), array_to_vector("v").alias("v"))
+            .groupBy("chunk", "part").agg(Summarizer.sum(F.col("v")).alias("v"))
+            .groupBy("chunk").agg(Summarizer.sum(F.col("v")).alias("s"))
             .select("chunk", vector_to_array("s").alias("s")).collect())
     if not rows:
         return None

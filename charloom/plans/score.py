@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from charloom.functions import kernels as K
-from charloom.operators.corpus import Vocab, encode_concat, encode_text, nonempty_lines
+from charloom.operators.corpus import Vocab, encode_known, nonempty_lines, windows_ids
 
-LINE_SCORE_SCHEMA = "doc_id bigint, line_no bigint, loss double, n_pred bigint"
+LINE_SCORE_SCHEMA = "doc_id bigint, line_no bigint, loss double, n_pred bigint, n_unknown bigint"
 WINDOW_SCORE_SCHEMA = "doc_id bigint, n_windows bigint, loss double"
 
 
@@ -37,20 +37,25 @@ def line_scores(spark: SparkSession, lines: DataFrame, params: dict, vocab: Voca
         for pdf in batches:
             if pdf.empty:
                 continue
-            loss, npred = K.sequence_losses(p, encode_text(pdf["line"].tolist(), cps))
+            seqs, unknown = encode_known(pdf["line"].tolist(), cps)
+            loss, npred = K.sequence_losses(p, seqs)
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "line_no": pdf["line_no"].to_numpy(),
-                                "loss": loss, "n_pred": npred.astype(np.int64)})
+                                "loss": loss, "n_pred": npred.astype(np.int64), "n_unknown": unknown})
 
     return nonempty_lines(lines).select("doc_id", "line_no", "line").mapInPandas(run, LINE_SCORE_SCHEMA)
 
 
 def doc_scores(spark: SparkSession, lines: DataFrame, params: dict, vocab: Vocab) -> DataFrame:
-    """Per document: predicted characters, mean nats per prediction, perplexity."""
-    per = (line_scores(spark, lines, params, vocab).groupBy("doc_id")
-           .agg(F.sum("loss").alias("loss"), F.sum("n_pred").alias("n_pred"))
-           .where(F.col("n_pred") > 0))
-    mean = F.col("loss") / F.col("n_pred")
-    return per.select("doc_id", "n_pred", mean.alias("mean_loss"), F.exp(mean).alias("perplexity"))
+    """Per document: predicted characters, mean nats per prediction, perplexity
+    (both null without a prediction), and characters outside the vocabulary,
+    which are skipped."""
+    scored = line_scores(spark, lines, params, vocab).select("doc_id", "loss", "n_pred", "n_unknown")
+    blank = lines.where(F.col("line") == "").select(
+        "doc_id", F.lit(0.0).alias("loss"), F.lit(0).cast("bigint").alias("n_pred"), F.lit(0).cast("bigint").alias("n_unknown"))
+    per = scored.unionByName(blank).groupBy("doc_id").agg(
+        F.sum("loss").alias("loss"), F.sum("n_pred").alias("n_pred"), F.sum("n_unknown").alias("n_unknown"))
+    mean = F.when(F.col("n_pred") > 0, F.col("loss") / F.col("n_pred"))
+    return per.select("doc_id", "n_pred", mean.alias("mean_loss"), F.exp(mean).alias("perplexity"), "n_unknown")
 
 
 def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab: Vocab,
@@ -80,7 +85,7 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids, lens = encode_concat(pdf["text"].tolist(), cps)
+            ids, lens = windows_ids(pdf["text"].tolist(), cps)
             rows, starts = K.window_starts(lens, pdf["n_own"].to_numpy(), L, stride,
                                            pdf["goff"].to_numpy(dtype=np.int64))
             doc = pdf["doc_id"].to_numpy(dtype=np.int64)
@@ -150,7 +155,7 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids, lens = encode_concat(pdf["text"].tolist(), cps)
+            ids, lens = windows_ids(pdf["text"].tolist(), cps)
             rows, starts = K.window_starts(lens, pdf["n_own"].to_numpy(), L, stride,
                                            pdf["goff"].to_numpy(dtype=np.int64))
             for c0 in range(0, len(rows), cap):
@@ -183,7 +188,7 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
                                         "g_sum double, g_mean double")
 
 
-CARRIED_SCHEMA = "key bigint, loss double, n_pred bigint"
+CARRIED_SCHEMA = "key bigint, loss double, n_pred bigint, n_unknown bigint"
 
 
 def carried_scores(spark: SparkSession, rows: DataFrame, params: dict, vocab: Vocab,
@@ -194,9 +199,12 @@ def carried_scores(spark: SparkSession, rows: DataFrame, params: dict, vocab: Vo
     borders.  Returns ``(key, loss, n_pred)``.
 
     One range shuffle on ``key`` (all rows of a key land in one task, sorted by
-    ``ord``) and a streaming pass: memory per task is one row plus the state,
-    whatever the size of a key.  A key's rows are necessarily processed in one
-    sequence, so a single huge key is one (streamed) task.
+    ``ord``) and a streaming pass.  The keys that a batch of rows completes go
+    forward together, in lock-step; the key at a batch's end hands its state to
+    the next batch, so memory per task is a batch of rows plus the states,
+    whatever the size of a key.  A key's characters are necessarily read in one
+    sequence, so a single huge key is one (streamed) task.  Characters outside
+    the vocabulary are skipped and counted.
     """
     from charloom.sources.text import LINE_BREAK
     from charloom.operators.scan import default_partitions
@@ -210,23 +218,31 @@ def carried_scores(spark: SparkSession, rows: DataFrame, params: dict, vocab: Vo
         K.single_thread_blas()
         prm, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, _ = K.dims(prm)
-        cur, h, last, loss, npred = None, None, None, 0.0, 0
-        out = []
+        open_key, last, state, done = None, None, np.zeros((layers, hidden)), [0.0, 0, 0]
         for pdf in batches:
-            for key, ids in zip(pdf["key"].tolist(), encode_text(pdf["text"].fillna("").tolist(), cps)):
-                if key != cur:
-                    if cur is not None and npred:
-                        out.append((cur, loss, npred))
-                    cur, h, last, loss, npred = key, np.zeros((layers, 1, hidden)), None, 0.0, 0
-                if not len(ids):
-                    continue
-                seq = ids if last is None else np.concatenate([[last], ids])
-                dl, dn, h = K.continue_sequence(prm, seq, h)
-                loss, npred, last = loss + dl, npred + dn, int(ids[-1])
-            if out:
-                yield pd.DataFrame(out, columns=["key", "loss", "n_pred"])
-                out = []
-        if cur is not None and npred:
-            yield pd.DataFrame([(cur, loss, npred)], columns=["key", "loss", "n_pred"])
+            if pdf.empty:
+                continue
+            seqs, unknown = encode_known(pdf["text"].fillna("").tolist(), cps)
+            keys = pdf["key"].to_numpy()
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            ends = np.r_[first[1:], len(keys)]
+            own = [np.concatenate(seqs[a:b]).astype(np.int64) for a, b in zip(first, ends)]
+            skipped = np.add.reduceat(unknown, first)
+            h0 = np.zeros((layers, len(first), hidden))
+            carry = keys[first[0]] == open_key
+            if carry:
+                own[0] = own[0] if last is None else np.r_[last, own[0]]
+                h0[:, 0] = state
+            elif open_key is not None:
+                yield pd.DataFrame([(open_key, *done)], columns=["key", "loss", "n_pred", "n_unknown"])
+            loss, n_pred, h = K.sequence_losses(prm, own, h0=h0)
+            if carry:
+                loss[0], n_pred[0], skipped[0] = loss[0] + done[0], n_pred[0] + done[1], skipped[0] + done[2]
+            open_key, state = keys[-1], h[:, -1]
+            last = int(own[-1][-1]) if len(own[-1]) else None
+            done = [float(loss[-1]), int(n_pred[-1]), int(skipped[-1])]
+            yield pd.DataFrame({"key": keys[first[:-1]], "loss": loss[:-1], "n_pred": n_pred[:-1], "n_unknown": skipped[:-1]})
+        if open_key is not None:
+            yield pd.DataFrame([(open_key, *done)], columns=["key", "loss", "n_pred", "n_unknown"])
 
     return ordered.mapInPandas(run, CARRIED_SCHEMA)

@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from charloom.config import RnnConfig
 from charloom.corpus_context import Corpus
 from charloom.functions import kernels as K
-from charloom.functions.exprs import bernoulli_keep, keep_threshold
-from charloom.operators.corpus import encode_concat, encode_text, nonempty_lines
-from charloom.operators.windows import line_pieces
+from charloom.functions.exprs import bernoulli_keep
+from charloom.operators.corpus import encode_text, nonempty_lines, windows_ids
+from charloom.operators.windows import corpus_sliding_windows, line_pieces, line_sliding_windows
 from charloom.plans.model import arrays_to_table, model_stats, model_table, table_to_arrays
 from charloom.plans.partials import PARTIAL_SCHEMA, pack, total
 from charloom.sources.text import LINE_BREAK
@@ -62,14 +62,17 @@ class TrainResult:
 
 def _start(corpus: Corpus, cfg: RnnConfig):
     V = corpus.vocab.size
+    # weights, accumulators, gradient and a packed copy, as doubles
+    need = 4 * 8 * K.n_params(cfg.num_layers, cfg.hidden, V)
+    if need > cfg.model_bytes:
+        raise ValueError(f"a model over {V} characters needs {need} bytes in every task; model_bytes is {cfg.model_bytes}")
     model = model_table(corpus.spark, cfg.num_layers, cfg.hidden, V, cfg.init, cfg.seed)
     return table_to_arrays(model, cfg.num_layers, cfg.hidden, V)
 
 
 # ---------------------------------------------------------------- T1 / T2
-def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
+def _window_task(bc, cfg: RnnConfig):
     L = cfg.seq_len
-    thr = keep_threshold(rate)
 
     def run(batches):
         K.single_thread_blas()
@@ -92,17 +95,8 @@ def _window_task(bc, cfg: RnnConfig, epoch: int, rate: float):
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids, lens = encode_concat(pdf["text"].tolist(), cps)
+            ids, lens = windows_ids(pdf["text"].tolist(), cps)
             rows, starts = K.window_starts(lens, pdf["n_own"].to_numpy(), L)
-            if rate < 1.0:  # sample window starts before any window is built
-                if "goff" in pdf.columns:
-                    h = K.unit_hash(cfg.seed, epoch, pdf["goff"].to_numpy(dtype=np.int64)[rows] + starts)
-                else:
-                    h = K.unit_hash(cfg.seed, epoch, pdf["doc_id"].to_numpy(dtype=np.int64)[rows],
-                                    pdf["line_no"].to_numpy(dtype=np.int64)[rows],
-                                    pdf["offset"].to_numpy(dtype=np.int64)[rows] + starts)
-                keep = h < thr
-                rows, starts = rows[keep], starts[keep]
             for c0 in range(0, len(rows), cap):
                 buf.append(K.gather_windows(ids, lens, rows[c0:c0 + cap], starts[c0:c0 + cap], L))
                 size += len(buf[-1])
@@ -128,6 +122,15 @@ def window_source(corpus: Corpus, windows: str = "corpus") -> DataFrame:
     raise ValueError(windows)
 
 
+def sampled_windows(corpus: Corpus, windows: str, rate: float, seed: int, epoch: int) -> DataFrame:
+    """One row per window of the epoch's sample.  Starts are hashed and filtered
+    as Spark expressions; only kept windows are cut and sent to Python."""
+    L, sample = corpus.cfg.seq_len, (rate, seed, [epoch])
+    wins = (corpus_sliding_windows(corpus.corpus.segments, L, sample) if windows == "corpus"
+            else line_sliding_windows(corpus.lines, L, sample))
+    return wins.select(F.lit(1).alias("n_own"), F.col("win").alias("text"))
+
+
 def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
                 windows: str = "corpus", on_epoch=None) -> TrainResult:
     """T1 (rate 1: every window every epoch) or T2 (Bernoulli sample of window
@@ -138,14 +141,17 @@ def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
     spark = corpus.spark
     params, accs = _start(corpus, cfg)
     layers, hidden, vocab = K.dims(params)
-    src = window_source(corpus, windows).persist()
+    src = window_source(corpus, windows)
+    if rate >= 1.0 and cfg.epochs > 1:
+        src = src.persist()
     smooth = -math.log(1.0 / vocab) * cfg.seq_len
     res = TrainResult(params, accs)
     try:
         for epoch in range(cfg.epochs):
             bc = spark.sparkContext.broadcast({"params": params, "codepoints": corpus.vocab.codepoints})
             size = K.n_params(layers, hidden, vocab)
-            sums = total(src.mapInPandas(_window_task(bc, cfg, epoch, rate), PARTIAL_SCHEMA), size + 2)
+            rows = src if rate >= 1.0 else sampled_windows(corpus, windows, rate, cfg.seed, epoch)
+            sums = total(rows.mapInPandas(_window_task(bc, cfg), PARTIAL_SCHEMA), size + 2)
             bc.unpersist()
             loss, n = (float(sums[size]), int(round(sums[size + 1]))) if sums is not None else (0.0, 0)
             if n > 0:
@@ -287,7 +293,8 @@ def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.
         if cnt > 0:
             params = K.unflatten(sums[:size] / cnt, layers, hidden, vocab)
             accs = K.unflatten(sums[size:2 * size] / cnt, layers, hidden, vocab)
-            smooth = 0.999 * smooth + 0.001 * (loss / cnt)
+            if pred:  # per chunk, the unit it starts at
+                smooth = 0.999 * smooth + 0.001 * (loss / (pred / cfg.seq_len))
         res.params, res.accs = params, accs
         res.metrics.append({
             "epoch": epoch, "loss": loss,

@@ -29,7 +29,6 @@ def get_spark(master: str | None = None, app: str = "charloom",
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "16g")
          # one BLAS thread per Python worker: Spark already runs one worker per core
          .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
          .config("spark.executorEnv.OMP_NUM_THREADS", "1"))
@@ -71,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CKPT_CONF, None) or sc.getConf().get(_CKPT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"set {_CKPT_CONF} to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="charloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -33,13 +33,10 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text file(s) as a corpus.  ``doc_id`` numbers the files in path order;
     ``line_no`` is an increasing order key within the file (not dense)."""
     raw = spark.read.text(path)
-    files = sorted(raw.inputFiles())
-    # one entry per input file: the listing already lives on the driver
-    file_ids = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i))])
-    return raw.select(
-        F.element_at(file_ids, F.input_file_name()).cast("bigint").alias("doc_id"),
-        F.monotonically_increasing_id().alias("line_no"),
-        F.col("value").alias("line"))
+    files = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))), "doc_id bigint, file string")
+    return (raw.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line_no"),
+                       F.col("value").alias("line"))
+            .join(files, "file").select("doc_id", "line_no", "line"))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

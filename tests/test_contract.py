@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from charloom.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "benchmark", "conversations"]
@@ -34,11 +35,11 @@ def con():
 
 def test_registry_shape():
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 35
-    assert set(q) - set(o) == {"train_per_document"}
+    assert set(o) <= set(q) and set(QUERIES) <= set(q) and len(QUERIES) >= 35
+    assert set(QUERIES) - set(o) == {"train_per_document"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF).toPandas()
     sql = E.oracle_sql().get(name)
@@ -50,4 +51,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["doc_id", "n_pred", "mean_loss", "perplexity"] and df.count() > 0
+    assert df.columns == ["doc_id", "n_pred", "mean_loss", "perplexity", "n_unknown"] and df.count() > 0

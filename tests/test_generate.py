@@ -5,7 +5,7 @@ from charloom.operators.corpus import Vocab
 from charloom.plans.generate import free_running_loss, generate_text, uniforms
 from charloom.plans.score import doc_scores
 from charloom.sources.text import corpus_lines
-from tests.naive_rnn import step as naive_step, to_lists
+from tests.plain_model import Size, loss as plain_loss
 
 
 def _vocab():
@@ -16,8 +16,8 @@ def test_greedy_generation_matches_manual_loop(spark):
     p = K.init_params(2, 4, 5, "sine")
     prompts = spark.createDataFrame([(1, "a"), (2, "c"), (3, "z")], "prompt_id bigint, seed_ch string")
     got = {r["prompt_id"]: r["text"] for r in generate_text(spark, prompts, p, _vocab(), 6, greedy=True).collect()}
-    assert set(got) == {1, 2}  # unknown seed character left out
-    W = to_lists(p)
+    assert set(got) == {1, 2, 3} and got[3] is None  # a row for the unknown seed character too
+    W = p
     for pid, seed in ((1, 0), (2, 2)):
         h = [np.zeros(4), np.zeros(4)]
         cur, out = seed, []
@@ -43,24 +43,22 @@ def test_sampled_generation_is_reproducible_and_uses_inverse_cdf(spark):
 
 
 def test_doc_scores_equal_stepwise_losses(spark):
-    docs = spark.createDataFrame([(0, "abcab\ncc"), (1, "e")], "doc_id bigint, text string")
+    docs = spark.createDataFrame([(0, "abcab\ncc"), (1, "e"), (2, "a?b?")], "doc_id bigint, text string")
     p = K.init_params(2, 4, 5, "sine")
     got = {r["doc_id"]: r for r in doc_scores(spark, corpus_lines(docs), p, _vocab()).collect()}
-    assert set(got) == {0}
-    W = to_lists(p)
-    loss = 0.0
-    for line in ("abcab", "cc"):
-        ids = ["abcde".index(c) for c in line]
-        loss += naive_step(W, ids[:-1], ids[1:], [np.zeros(4)] * 2, 1e9)[0]
+    assert set(got) == {0, 1, 2}
+    assert got[1]["n_pred"] == 0 and got[1]["mean_loss"] is None  # kept without a prediction
+    assert got[2]["n_pred"] == 1 and got[2]["n_unknown"] == 2
+    loss = sum(plain_loss(K.flatten(p), Size(2, 4, 5), ["abcde".index(c) for c in line])[0][0] for line in ("abcab", "cc"))
     assert got[0]["n_pred"] == 5 and abs(got[0]["mean_loss"] - loss / 5) < 1e-12
 
 
 def test_free_running_loss_greedy(spark):
     p = K.init_params(1, 4, 5, "sine")
-    items = spark.createDataFrame([(1, "abcdeabc"), (2, "ab?")], "prompt_id bigint, text string")
-    got = free_running_loss(spark, items, p, _vocab(), offset=2, greedy=True).collect()
-    assert [r["prompt_id"] for r in got] == [1]
-    W = to_lists(p)
+    items = spark.createDataFrame([(1, "abcde\nabc"), (2, "ab?"), (3, None), (4, "?")], "prompt_id bigint, text string")
+    got = sorted(free_running_loss(spark, items, p, _vocab(), offset=2, greedy=True).collect())
+    assert [(r["prompt_id"], r["n_scored"], r["n_unknown"]) for r in got] == [(1, 5, 0), (2, 0, 1), (3, 0, 0), (4, 0, 1)]
+    W = p
     ids = ["abcde".index(c) for c in "abcdeabc"]
     h, cur, loss = np.zeros(4), ids[0], 0.0
     for t in range(len(ids) - 1):
@@ -75,12 +73,26 @@ def test_free_running_loss_greedy(spark):
 
 def test_carried_scores_hand_state_across_rows(spark):
     from charloom.plans.score import carried_scores
-    rows = spark.createDataFrame([(5, 1, "cd\nea"), (5, 0, "abc"), (5, 2, ""), (9, 0, "b"), (9, 1, "ed")],
-                                 "key bigint, ord bigint, text string")
+    rows = spark.createDataFrame([(5, 1, "cd\nea"), (5, 0, "abc"), (5, 2, ""), (9, 0, "b"), (9, 1, "ed"), (11, 0, ""),
+                                  (12, 0, None), (12, 1, "a?")], "key bigint, ord bigint, text string")
     p = K.init_params(2, 4, 5, "sine")
-    got = {r["key"]: r for r in carried_scores(spark, rows, p, _vocab(), partitions=3).collect()}
-    W = to_lists(p)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # keys go on from batch to batch
+    try:
+        got = {r["key"]: r for r in carried_scores(spark, rows, p, _vocab(), partitions=1).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {k: (r["n_pred"], r["n_unknown"]) for k, r in got.items()} == {5: (6, 0), 9: (2, 0), 11: (0, 0), 12: (0, 1)}
     for key, text in ((5, "abccdea"), (9, "bed")):
         ids = ["abcde".index(ch) for ch in text]
-        loss = naive_step(W, ids[:-1], ids[1:], [np.zeros(4)] * 2, 1e9)[0]
+        loss = plain_loss(K.flatten(p), Size(2, 4, 5), ids)[0][0]
         assert got[key]["n_pred"] == len(ids) - 1 and abs(got[key]["loss"] - loss) < 1e-10
+
+
+def test_generation_from_states_and_own_lengths(spark):
+    p = K.init_params(2, 4, 5, "sine")
+    h0 = np.random.default_rng(1).standard_normal((2, 4))
+    prompts = spark.createDataFrame([(1, "a", 3, h0.ravel().tolist()), (2, "b", None, None), (3, "c", 0, None)],
+                                    "prompt_id bigint, seed_ch string, n int, h0 array<double>")
+    got = {r["prompt_id"]: r["text"] for r in generate_text(spark, prompts, p, _vocab(), 6, greedy=True).collect()}
+    assert [len(got[i]) for i in (1, 2, 3)] == [3, 6, 0]
+    assert got[1] == "".join("abcde"[i] for i in K.generate(p, np.array([0]), 3, None, h0[:, None])[0])

@@ -3,7 +3,7 @@ import pytest
 
 from charloom.config import RnnConfig
 from charloom.functions import kernels as K
-from tests.naive_rnn import step as naive_step, to_lists, train_paragraph
+from tests.plain_model import Size, clipped_gradient, loss, train_locally
 
 
 def rand_params(NL, H, V, seed=0, scale=0.5):
@@ -16,25 +16,36 @@ def rand_params(NL, H, V, seed=0, scale=0.5):
 
 @pytest.mark.parametrize("NL", [1, 2])
 @pytest.mark.parametrize("compat", [False, True])
-def test_grad_sum_matches_naive_loop(NL, compat):
+def test_grad_sum_matches_complex_steps(NL, compat):
     H, V, T, n, lim = 5, 7, 6, 9, 0.8
     p = rand_params(NL, H, V, seed=NL)
-    rng = np.random.default_rng(3)
-    ids = rng.integers(0, V, size=(n, T + 1))
+    if compat:  # with symmetric recurrent weights the untransposed product is the gradient too
+        p["Wh"] = (p["Wh"] + p["Wh"].transpose(0, 2, 1)) / 2
+    ids = np.random.default_rng(3).integers(0, V, size=(n, T + 1))
     losses, g = K.grad_sum(p, ids[:, :-1], ids[:, 1:], lim, compat_untransposed=compat)
-    W = to_lists(p)
-    exp_g = {b: [np.zeros_like(W[b][l]) for l in range(NL)] for b in W}
-    exp_l = []
-    for w in range(n):
-        loss, gw, _ = naive_step(W, ids[w, :-1], ids[w, 1:], [np.zeros(H)] * NL, lim, untransposed=compat)
-        exp_l.append(loss)
-        for b in gw:
-            for l in range(NL):
-                exp_g[b][l] += gw[b][l]
-    np.testing.assert_allclose(losses, exp_l, rtol=1e-10)
-    for b in K.BLOCKS:
-        for l in range(NL):
-            np.testing.assert_allclose(g[b][l], exp_g[b][l], rtol=1e-9, atol=1e-12, err_msg=f"{b}{l}")
+    exp = [clipped_gradient(K.flatten(p), Size(NL, H, V), w, limit=lim) for w in ids]
+    np.testing.assert_allclose(losses, [e[0] for e in exp], rtol=1e-10)
+    np.testing.assert_allclose(K.flatten(g), sum(e[1] for e in exp), rtol=1e-9, atol=1e-12)
+
+
+def test_untransposed_recurrence_differs():
+    p = rand_params(1, 5, 7)
+    ids = np.random.default_rng(3).integers(0, 7, size=(4, 6))
+    a, b = (K.grad_sum(p, ids[:, :-1], ids[:, 1:], 9.0, compat_untransposed=c)[1]["Wh"] for c in (False, True))
+    assert not np.allclose(a, b)
+
+
+def test_clipping_is_exact_beside_huge_and_infinite_rows():
+    rng = np.random.default_rng(2)
+    a, b = rng.standard_normal((6, 4, 3)), rng.standard_normal((6, 4, 5))
+    a[1, 2, 0], a[3, 1, 1] = 1e15, np.inf
+    exp = sum(np.clip(a[w].T @ b[w], -0.9, 0.9) for w in range(6))
+    got = K.clipped_outer_sum(a, b, 0.9)
+    np.testing.assert_allclose(got, exp, rtol=1e-12, atol=1e-12)
+    b[4, 0, 0], a[4] = np.inf, 0.0
+    with np.errstate(invalid="ignore"):
+        exp = sum(np.clip(a[w].T @ b[w], -0.9, 0.9) for w in range(6))
+    np.testing.assert_allclose(K.clipped_outer_sum(a, b, 0.9), exp, rtol=1e-12, atol=1e-12)
 
 
 @pytest.mark.parametrize("NL", [1, 2])
@@ -97,50 +108,56 @@ def test_softmax_handles_large_logits():
 
 @pytest.mark.parametrize("mode", ["paragraph", "tumbling"])
 @pytest.mark.parametrize("NL", [1, 2])
-def test_train_sequences_matches_naive(mode, NL):
+def test_train_sequences_matches_fold(mode, NL):
     cfg = RnnConfig(num_layers=NL, hidden=4, seq_len=3, learn_rate=0.1, clip=0.5, iters=2)
     V = 6
     p = rand_params(NL, 4, V, seed=2, scale=0.3)
     accs = {b: np.abs(rand_params(NL, 4, V, seed=9)[b]) for b in K.BLOCKS}
     rng = np.random.default_rng(1)
     seqs = [rng.integers(0, V, size=n) for n in (1, 2, 3, 4, 5, 7, 10, 13)]
-    loss, w_sum, a_sum, total, cnt = K.train_sequences(p, accs, seqs, cfg, mode=mode, batch=3)
-    exp_loss = 0.0
-    exp_w = {b: np.zeros_like(p[b]) for b in K.BLOCKS}
-    exp_a = {b: np.zeros_like(p[b]) for b in K.BLOCKS}
-    for s in seqs:
-        l, W, M = train_paragraph(to_lists(p), to_lists(accs), s, 3, 0.1, 0.5, 2, mode)
-        exp_loss += l
-        for b in K.BLOCKS:
-            exp_w[b] += np.stack(W[b])
-            exp_a[b] += np.stack(M[b])
-    assert cnt == len(seqs) and total == sum(len(s) for s in seqs)
-    np.testing.assert_allclose(loss, exp_loss, rtol=1e-10)
-    for b in K.BLOCKS:
-        np.testing.assert_allclose(w_sum[b], exp_w[b], rtol=1e-9, atol=1e-12)
-        np.testing.assert_allclose(a_sum[b], exp_a[b], rtol=1e-9, atol=1e-12)
+    exp = [train_locally(K.flatten(p), K.flatten(accs), Size(NL, 4, V), s, 3, 0.1, 0.5, 2, mode) for s in seqs]
+    for budget in (1, 4_000_000):  # one sequence at a time, and all in lock-step
+        loss, w_sum, a_sum, total, cnt = K.train_sequences(p, accs, seqs, cfg, mode=mode, budget=budget)
+        assert cnt == len(seqs) and total == sum(len(s) for s in seqs)
+        np.testing.assert_allclose(loss, sum(e[0] for e in exp), rtol=1e-10)
+        np.testing.assert_allclose(K.flatten(w_sum), sum(e[1] for e in exp), rtol=1e-9, atol=1e-12)
+        np.testing.assert_allclose(K.flatten(a_sum), sum(e[2] for e in exp), rtol=1e-9, atol=1e-12)
 
 
 def test_chunk_counts_by_enumeration():
     L = 4
     for n in range(0, 60):
-        cur, c = 0, 0
-        s_len = min(L, n - 1)
-        while cur + s_len < n - 1:
-            c += 1
-            cur += s_len
-        assert K.chunk_count([n], L, "paragraph")[0] == c, n
-        assert K.chunk_count([n], L, "tumbling")[0] == max(0, (n - 1) // L)
+        # paragraph chunks end before the line's last character, tumbling ones at it at the latest
+        assert K.chunk_count([n], L, "paragraph")[0] == len([k for k in range(n) if (k + 1) * L < n - 1])
+        assert K.chunk_count([n], L, "tumbling")[0] == len([k for k in range(n) if (k + 1) * L <= n - 1])
 
 
-def test_sequence_losses_equal_stepwise_forward():
+def test_sequence_losses_equal_plain_loss():
     p = rand_params(2, 4, 6, seed=4, scale=0.4)
+    size, theta = Size(2, 4, 6), K.flatten(p)
     seqs = [np.array([1, 2, 3, 4, 5, 0, 1]), np.array([2]), np.array([3, 3]), np.array([], dtype=int)]
     tot, npred = K.sequence_losses(p, seqs, max_batch=2, chunk=3)
-    W = to_lists(p)
-    for s, got, k in zip(seqs, tot, npred):
-        exp = naive_step(W, s[:-1], s[1:], [np.zeros(4)] * 2, 1e9)[0] if len(s) > 1 else 0.0
-        assert abs(got - exp) < 1e-9 and k == max(len(s) - 1, 0)
+    h0 = np.random.default_rng(0).standard_normal((2, 4, 4))
+    from_h0, _, final = K.sequence_losses(p, seqs, max_batch=2, chunk=3, h0=h0)
+    for i, s in enumerate(seqs):
+        assert npred[i] == max(len(s) - 1, 0)
+        if len(s) > 1:
+            assert abs(tot[i] - loss(theta, size, s)[0][0]) < 1e-9
+            exp, states = loss(theta, size, s, h0[:, i])
+            assert abs(from_h0[i] - exp[0]) < 1e-9
+            np.testing.assert_allclose(final[:, i], states[:, 0], rtol=1e-12)
+        else:
+            assert tot[i] == 0
+            np.testing.assert_array_equal(final[:, i], h0[:, i])
+
+
+def test_long_line_scores_in_bounded_memory():
+    import tracemalloc
+    p = rand_params(1, 25, 100, seed=1, scale=0.1)
+    tracemalloc.start()
+    K.sequence_losses(p, [np.zeros(300_000, np.int32), *[np.zeros(5, np.int32)] * 255])
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
 
 
 def test_inverse_cdf_rules():
@@ -149,9 +166,11 @@ def test_inverse_cdf_rules():
     assert K.inverse_cdf(p, u).tolist() == [0, 0, 1, 2, 2, 2]
 
 
-def test_hash_matches_spark_and_sql_formula():
+def test_hash_is_wide():
     h = K.unit_hash(7, 3, np.array([0, 1, 10**12]))
-    assert h.dtype == np.int64 and (h >= 0).all() and (h < K.HASH_MOD).all()
+    assert h.dtype == np.int64 and (h >= 0).all() and (h < 1 << 60).all()
+    assert K.unit_hash(7, 3, 5) != K.unit_hash(7, 3, 5 + (1 << 31) - 1)
+    assert ((u := K.unit_uniform(7, 3, np.arange(1000))) < 1).all() and 0.45 < u.mean() < 0.55
 
 
 def test_onehot_clip_sum_mixed_windows():

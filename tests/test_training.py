@@ -8,7 +8,7 @@ from charloom.corpus_context import Corpus
 from charloom.functions import kernels as K
 from charloom.plans.model import adagrad_update, arrays_to_table, model_table, table_to_arrays
 from charloom.plans.train import fit_sequences, fit_windows
-from tests.naive_rnn import step as naive_step, to_lists, train_paragraph
+from tests.plain_model import Size, adagrad, chunk_bounds, clipped_gradient, train_locally
 
 
 @pytest.fixture(scope="module")
@@ -48,32 +48,30 @@ def test_adagrad_table_update_matches_numpy(spark):
         np.testing.assert_allclose(got_a[b], a[b], rtol=1e-12)
 
 
-def test_full_batch_matches_naive_loop(corpus):
+def _window_gradients(theta, size, windows, clip):
+    parts = [clipped_gradient(theta, size, w, limit=clip) for w in windows]
+    return sum(p[0] for p in parts), sum(p[1] for p in parts)
+
+
+def _plain_start(corpus):
+    size = Size(1, corpus.cfg.hidden, corpus.vocab.size)
+    return size, K.flatten(K.init_params(*size, "sine"))
+
+
+def test_full_batch_matches_plain_gradients(corpus):
     cfg = corpus.cfg.with_(init="sine", epochs=2)
     res = fit_windows(corpus, cfg)
     ids, _ = _corpus_ids(corpus)
-    L, V = cfg.seq_len, corpus.vocab.size
-    W = to_lists(K.init_params(1, cfg.hidden, V, "sine"))
-    M = {b: [np.zeros_like(m) for m in W[b]] for b in W}
+    L, (size, theta) = cfg.seq_len, _plain_start(corpus)
+    windows = [ids[s:s + L + 1] for s in range(len(ids) - L)]
+    acc = np.zeros_like(theta)
     for e in range(2):
-        tot = {b: [np.zeros_like(m) for m in W[b]] for b in W}
-        loss, n = 0.0, 0
-        for s in range(len(ids) - L):
-            w = ids[s:s + L + 1]
-            l, g, _ = naive_step(W, w[:-1], w[1:], [np.zeros(cfg.hidden)], cfg.clip)
-            loss += l
-            n += 1
-            for b in g:
-                tot[b][0] += g[b][0]
-        for b in W:
-            g = tot[b][0] / n
-            M[b][0] += g * g
-            W[b][0] -= cfg.learn_rate * g / np.sqrt(M[b][0] + 1e-8)
-        assert res.metrics[e]["n"] == n
-        assert math.isclose(res.metrics[e]["loss_per_char"], loss / (n * L), rel_tol=1e-10)
-    for b in K.BLOCKS:
-        np.testing.assert_allclose(res.params[b][0], W[b][0], rtol=1e-8, atol=1e-12)
-        np.testing.assert_allclose(res.accs[b][0], M[b][0], rtol=1e-8, atol=1e-12)
+        total, slope = _window_gradients(theta, size, windows, cfg.clip)
+        theta, acc = adagrad(theta, acc, slope / len(windows), cfg.learn_rate)
+        assert res.metrics[e]["n"] == len(windows)
+        assert math.isclose(res.metrics[e]["loss_per_char"], total / (len(windows) * L), rel_tol=1e-10)
+    np.testing.assert_allclose(K.flatten(res.params), theta, rtol=1e-8, atol=1e-12)
+    np.testing.assert_allclose(K.flatten(res.accs), acc, rtol=1e-8, atol=1e-12)
 
 
 def test_empty_sample_epoch_is_skipped(corpus):
@@ -84,28 +82,29 @@ def test_empty_sample_epoch_is_skipped(corpus):
         np.testing.assert_array_equal(res.params[b], exp[b])
 
 
-def test_param_averaging_matches_naive(corpus):
-    cfg = corpus.cfg.with_(init="sine", epochs=1, iters=2)
+def _trained(corpus, cfg, texts, mode, theta=None, acc=None):
+    size, start = _plain_start(corpus)
+    theta = start if theta is None else theta
+    acc = np.zeros_like(theta) if acc is None else acc
+    parts = [train_locally(theta, acc, size, np.array([corpus.vocab.chars.index(c) for c in t]), cfg.seq_len,
+                           cfg.learn_rate, cfg.clip, cfg.iters, mode) for t in texts]
+    return sum(p[0] for p in parts), sum(p[1] for p in parts) / len(parts), sum(p[2] for p in parts) / len(parts)
+
+
+def test_param_averaging_matches_fold(corpus):
+    cfg = corpus.cfg.with_(init="sine", epochs=2, iters=2)
     res = fit_sequences(corpus, cfg, rate=1.0, unit="paragraph")
-    _, rows = _corpus_ids(corpus)
-    V = corpus.vocab.size
-    W0 = to_lists(K.init_params(1, cfg.hidden, V, "sine"))
-    M0 = {b: [np.zeros_like(m) for m in W0[b]] for b in W0}
-    sw = {b: np.zeros_like(W0[b][0]) for b in W0}
-    sa = {b: np.zeros_like(W0[b][0]) for b in W0}
-    loss = 0.0
-    for _, _, line in rows:
-        ids = np.array([corpus.vocab.chars.index(c) for c in line])
-        l, W, M = train_paragraph(W0, M0, ids, cfg.seq_len, cfg.learn_rate, cfg.clip, cfg.iters)
-        loss += l
-        for b in W:
-            sw[b] += W[b][0]
-            sa[b] += M[b][0]
-    assert res.metrics[0]["n"] == len(rows)
-    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
-    for b in K.BLOCKS:
-        np.testing.assert_allclose(res.params[b][0], sw[b] / len(rows), rtol=1e-9, atol=1e-12)
-        np.testing.assert_allclose(res.accs[b][0], sa[b] / len(rows), rtol=1e-9, atol=1e-12)
+    texts = [line for _, _, line in _corpus_ids(corpus)[1]]
+    chunks = sum(len(chunk_bounds(len(t), cfg.seq_len, "paragraph")) for t in texts)
+    theta = acc = None
+    smooth = cfg.seq_len * math.log(corpus.vocab.size)
+    for m in res.metrics:
+        total, theta, acc = _trained(corpus, cfg, texts, "paragraph", theta, acc)
+        smooth = 0.999 * smooth + 0.001 * total / chunks
+        assert m["n"] == len(texts) and math.isclose(m["loss"], total, rel_tol=1e-10)
+        assert math.isclose(m["smooth_loss"], smooth, rel_tol=1e-12)
+    np.testing.assert_allclose(K.flatten(res.params), theta, rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(K.flatten(res.accs), acc, rtol=1e-9, atol=1e-12)
 
 
 def test_training_lowers_loss(corpus):
@@ -115,28 +114,17 @@ def test_training_lowers_loss(corpus):
     assert abs(first - math.log(corpus.vocab.size)) < 0.05 and last < first - 0.2
 
 
-def test_per_document_matches_naive(corpus):
-    cfg = corpus.cfg.with_(init="sine", epochs=1, iters=1)
+def test_per_document_matches_fold(corpus):
+    cfg = corpus.cfg.with_(init="sine", epochs=2, iters=1)
     res = fit_sequences(corpus, cfg, unit="document")
-    _, rows = _corpus_ids(corpus)
-    V = corpus.vocab.size
-    W0 = to_lists(K.init_params(1, cfg.hidden, V, "sine"))
-    M0 = {b: [np.zeros_like(m) for m in W0[b]] for b in W0}
     docs = {}
-    for d, _, line in rows:
+    for d, _, line in _corpus_ids(corpus)[1]:
         docs[d] = docs.get(d, "") + line
-    sw = {b: np.zeros_like(W0[b][0]) for b in W0}
-    loss = 0.0
-    for text in docs.values():
-        ids = np.array([corpus.vocab.chars.index(c) for c in text])
-        l, W, _ = train_paragraph(W0, M0, ids, cfg.seq_len, cfg.learn_rate, cfg.clip, 1, mode="tumbling")
-        loss += l
-        for b in W:
-            sw[b] += W[b][0]
-    assert res.metrics[0]["n"] == len(docs) == 4
-    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
-    for b in K.BLOCKS:
-        np.testing.assert_allclose(res.params[b][0], sw[b] / len(docs), rtol=1e-9, atol=1e-12)
+    theta = acc = None
+    for m in res.metrics:
+        total, theta, acc = _trained(corpus, cfg, docs.values(), "tumbling", theta, acc)
+        assert m["n"] == len(docs) == 4 and math.isclose(m["loss"], total, rel_tol=1e-10)
+    np.testing.assert_allclose(K.flatten(res.params), theta, rtol=1e-9, atol=1e-12)
 
 
 def test_training_result_sink(spark, corpus, tmp_path):
@@ -150,14 +138,8 @@ def test_training_result_sink(spark, corpus, tmp_path):
 def test_param_averaging_keep_tail_trains_every_whole_chunk(corpus):
     cfg = corpus.cfg.with_(init="sine", epochs=1, iters=1)
     res = fit_sequences(corpus, cfg, rate=1.0, unit="paragraph", keep_tail=True)
-    _, rows = _corpus_ids(corpus)
-    W0 = to_lists(K.init_params(1, cfg.hidden, corpus.vocab.size, "sine"))
-    M0 = {b: [np.zeros_like(m) for m in W0[b]] for b in W0}
-    loss = 0.0
-    for _, _, line in rows:
-        ids = np.array([corpus.vocab.chars.index(c) for c in line])
-        loss += train_paragraph(W0, M0, ids, cfg.seq_len, cfg.learn_rate, cfg.clip, 1, mode="tumbling")[0]
-    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
+    total, _, _ = _trained(corpus, cfg, [line for _, _, line in _corpus_ids(corpus)[1]], "tumbling")
+    assert math.isclose(res.metrics[0]["loss"], total, rel_tol=1e-10)
 
 
 def test_rotating_sampler_reads_ranges_of_a_written_table(spark, corpus):
@@ -178,23 +160,39 @@ def test_rotating_sampler_reads_ranges_of_a_written_table(spark, corpus):
         for lo in ((-e * 0.6180339887498949) % 1.0 for e in range(2))]
 
 
-def test_full_batch_on_line_windows_matches_naive(corpus):
+def test_full_batch_on_line_windows_matches_plain_gradients(corpus):
     cfg = corpus.cfg.with_(init="sine", epochs=1)
     res = fit_windows(corpus, cfg, windows="line")
-    _, rows = _corpus_ids(corpus)
-    L = cfg.seq_len
-    W = to_lists(K.init_params(1, cfg.hidden, corpus.vocab.size, "sine"))
-    tot = {b: np.zeros_like(W[b][0]) for b in W}
-    loss, n = 0.0, 0
-    for _, _, line in rows:
-        ids = np.array([corpus.vocab.chars.index(c) for c in line])
-        for s in range(len(ids) - L):
-            w = ids[s:s + L + 1]
-            l, g, _ = naive_step(W, w[:-1], w[1:], [np.zeros(cfg.hidden)], cfg.clip)
-            loss, n = loss + l, n + 1
-            for b in g:
-                tot[b] += g[b][0]
-    assert res.metrics[0]["n"] == n
-    assert math.isclose(res.metrics[0]["loss"], loss, rel_tol=1e-10)
+    L, (size, theta) = cfg.seq_len, _plain_start(corpus)
+    lines = [[corpus.vocab.chars.index(c) for c in line] for _, _, line in _corpus_ids(corpus)[1]]
+    windows = [np.array(ids[s:s + L + 1]) for ids in lines for s in range(len(ids) - L)]
+    total, _ = _window_gradients(theta, size, windows, cfg.clip)
+    assert res.metrics[0]["n"] == len(windows)
+    assert math.isclose(res.metrics[0]["loss"], total, rel_tol=1e-10)
     sampled = fit_windows(corpus, cfg, rate=0.5, windows="line")
-    assert 0 < sampled.metrics[0]["n"] < n
+    assert 0 < sampled.metrics[0]["n"] < len(windows)
+
+
+def test_training_refuses_unknown_characters_and_oversized_models(spark, corpus):
+    other = Corpus(spark, spark.createDataFrame([(0, "abc ☃ def ghi")], "doc_id bigint, text string"), corpus.cfg)
+    other.__dict__["vocab"] = corpus.vocab
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        fit_windows(other, corpus.cfg.with_(init="zero", epochs=1))
+    with pytest.raises(ValueError, match="model_bytes"):
+        fit_windows(corpus, corpus.cfg.with_(model_bytes=1000))
+
+
+def test_text_files_train_like_a_table(spark, tmp_path):
+    """T1 and T3 from a text folder: line order and paragraphs as in the files."""
+    from charloom.sources.text import read_text_lines
+    texts = ["one line here\n\nand another of them", "the second file\nhas two lines"]
+    for i, t in enumerate(texts):
+        (tmp_path / f"{i}.txt").write_text(t + "\n", encoding="utf-8")
+    cfg = RnnConfig(hidden=4, seq_len=5, epochs=2, init="sine", clip=0.7)
+    table = Corpus(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), cfg)
+    files = Corpus.from_lines(spark, read_text_lines(spark, str(tmp_path)), cfg)
+    assert files.vocab.chars == table.vocab.chars
+    for fit in (fit_windows, fit_sequences):
+        a, b = fit(table, cfg), fit(files, cfg)
+        for x, y in zip(a.metrics, b.metrics):
+            assert {k: pytest.approx(v) for k, v in x.items()} == y

@@ -61,13 +61,18 @@ def test_line_windows_and_paragraph_chunks(spark, L):
     exp = [(i, s, line[s:s + L + 1]) for _, i, line in rows for s in range(len(line) - L)]
     assert sl == sorted(exp)
     pc = sorted((r["line_no"], r["start"], r["win"]) for r in W.paragraph_windows(df, L).collect())
-    exp = []
-    for _, i, line in rows:
-        n, cur = len(line), 0
-        s_len = min(L, n - 1)
-        while cur + s_len < n - 1:
-            exp.append((i, cur, line[cur:cur + s_len + 1]))
-            cur += s_len
+    exp = [(i, k * L, line[k * L:(k + 1) * L + 1]) for _, i, line in rows
+           for k in range(max(0, -(-(len(line) - 1) // L) - 1))]
     assert pc == sorted(exp)
     counts = {r["line_no"]: r["c"] for r in df.select("line_no", W.paragraph_chunks(F.length("line"), L).alias("c")).collect()}
     assert counts == {i: len([e for e in exp if e[0] == i]) for _, i, _ in rows}
+
+
+@pytest.mark.parametrize("L", [255, 256, 257, 515])
+def test_windows_around_and_beyond_the_piece_length(spark, L):
+    line = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(2000))
+    df = spark.createDataFrame([(0, 0, line)], "doc_id bigint, line_no bigint, line string")
+    got = sorted((r["start"], r["win"]) for r in W.line_sliding_windows(df, L).collect())
+    assert got == [(s, line[s:s + L + 1]) for s in range(2000 - L)]
+    got = sorted((r["start"], r["win"]) for r in W.paragraph_windows(df, L).collect())
+    assert got == [(k * L, line[k * L:(k + 1) * L + 1]) for k in range(-(-1999 // L) - 1)]
