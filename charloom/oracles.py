@@ -252,12 +252,29 @@ ORACLES["window_loss"] = _rbase(*recurrent_ctes(STACKED),
     "SELECT g.doc_id, CAST(count(*) AS BIGINT) AS n_windows, round(avg(sd.loss), 6) AS mean_loss "
     f"FROM sd JOIN gchars g ON g.gpos = sd.w * {L} GROUP BY g.doc_id")
 
-ORACLES["doc_scores"] = _rbase(*static_ctes(STACKED),
-    "lb AS (SELECT doc_id, id AS x, lead(id) OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS y FROM gchars)") + (
-    "SELECT d.doc_id, CAST(count(lp.lp) AS BIGINT) AS n_pred, round(sum(-lp.lp) / count(lp.lp), 6) AS mean_loss, "
-    "round(exp(sum(-lp.lp) / count(lp.lp)), 6) AS perplexity, CAST(0 AS BIGINT) AS n_unknown "
-    "FROM (SELECT DISTINCT doc_id FROM lines) d LEFT JOIN lb USING (doc_id) LEFT JOIN lp ON lp.v = lb.x AND lp.u = lb.y "
-    "GROUP BY d.doc_id")
+def _line_scores() -> str:
+    """Every line's characters folded through the two-layer model; the state of the
+    fold is both layers' hidden units and the loss in one list."""
+    n = SQL_HIDDEN
+    first, second, last = f"s[1:{n}]", f"s[{n + 1}:{2 * n}]", f"s[{2 * n + 1}]"
+    step = (
+        f"list_transform([{_next_state(0, 'w[CAST(p[1] AS BIGINT) + 1]', first)}], lambda h: "
+        f"list_transform([{_affine('m', 'h')}], lambda d: list_transform([{_next_state(1, 'd', second)}], lambda k: "
+        f"list_transform([{_affine('o', 'k')}], lambda y: list_concat(list_concat(h, k), "
+        f"[{last} + {LSE} - y[CAST(p[2] AS BIGINT) + 1]]))[1])[1])[1])[1]")
+    return _rbase(*recurrent_ctes(STACKED),
+        "lb AS (SELECT doc_id, line_no, pos, id AS x, lead(id) OVER (PARTITION BY doc_id, line_no ORDER BY pos) AS y FROM gchars)",
+        "ls AS (SELECT doc_id, line_no, list([CAST(x AS DOUBLE), CAST(y AS DOUBLE)] ORDER BY pos) AS ps FROM lb "
+        "WHERE y IS NOT NULL GROUP BY doc_id, line_no)",
+        "mdl AS (SELECT (SELECT list(w ORDER BY v) FROM win) AS w, (SELECT m FROM mid) AS m, (SELECT o FROM wout) AS o)",
+        f"sc AS (SELECT doc_id, len(ps) AS n, list_reduce(ps, lambda s, p: {step}, "
+        f"list_concat(list_concat({ZERO_STATE}, {ZERO_STATE}), [CAST(0.0 AS DOUBLE)])) AS s FROM ls, mdl)") + (
+        "SELECT d.doc_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_pred, "
+        f"round(sum(s[{2 * n + 1}]) / sum(n), 6) AS mean_loss, round(exp(sum(s[{2 * n + 1}]) / sum(n)), 6) AS perplexity, "
+        "CAST(0 AS BIGINT) AS n_unknown FROM (SELECT DISTINCT doc_id FROM lines) d LEFT JOIN sc USING (doc_id) GROUP BY d.doc_id")
+
+
+ORACLES["doc_scores"] = _line_scores()
 
 
 def _zero_bias_training(hist_cte: str, n_cte: str, epochs: int, extra=()) -> str:
@@ -463,9 +480,54 @@ def _zero_sequence_training(unit: str, rate: float, epochs: int, parts: bool = F
 from charloom.queries import T3_EPOCHS, T3_RATE  # noqa: E402
 
 ORACLES["train_param_avg"] = _zero_sequence_training("paragraph", T3_RATE, T3_EPOCHS)
-# train_per_document: the same recursion over whole documents (1,300 sequential
-# chunks for the longest one) is too slow in DuckDB on the whole table, so it has
-# no SQL oracle; tests/test_training.py checks it against a brute-force loop.
+
+
+def _zero_document_training(epochs: int) -> str:
+    """The same training over whole documents: a document's chunks are one list of
+    count vectors, folded from the global bias and accumulator; the state of the
+    fold is the bias, the accumulator and the loss in one list."""
+    b, a, last = "s[1:len(x)]", "s[len(x) + 1:2 * len(x)]", "s[2 * len(x) + 1]"
+    step = (
+        f"list_transform([ln(list_sum(list_transform({b}, lambda q: exp(q))))], lambda lse: "
+        f"list_transform([list_transform(list_zip({b}, x), lambda z: {clip_sql(f'({L} * exp(z[1] - lse) - z[2])', LIM)})], lambda g: "
+        f"list_concat(list_concat("
+        f"list_transform(list_zip({b}, g, {a}), lambda z: z[1] - {LR} * z[2] / sqrt(z[3] + z[2] * z[2] + 1e-8)), "
+        f"list_transform(list_zip(g, {a}), lambda z: z[2] + z[1] * z[1])), "
+        f"[{last} + {L} * lse - list_sum(list_transform(list_zip(x, {b}), lambda z: z[1] * z[2]))]))[1])[1]")
+    ctes = [
+        "sc AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, pos) - 1 AS q, id FROM gchars)",
+        f"size AS (SELECT doc_id, count(*) AS n, (count(*) - 1) // {L} AS ch FROM sc GROUP BY doc_id)",
+        f"tk AS (SELECT doc_id, (q - 1) // {L} AS k, sc.id, count(*) AS cnt FROM sc JOIN size USING (doc_id) "
+        f"WHERE q >= 1 AND (q - 1) // {L} < ch GROUP BY ALL)",
+        "ks AS (SELECT doc_id, unnest(range(ch)) AS k FROM size WHERE ch > 0)",
+        "cl AS (SELECT ks.doc_id, ks.k, list(CAST(coalesce(tk.cnt, 0) AS DOUBLE) ORDER BY v.id) AS x FROM ks CROSS JOIN vocab v "
+        "LEFT JOIN tk ON tk.doc_id = ks.doc_id AND tk.k = ks.k AND tk.id = v.id GROUP BY ks.doc_id, ks.k)",
+        "dl AS (SELECT doc_id, list(x ORDER BY k) AS xs FROM cl GROUP BY doc_id)",
+        "tot AS (SELECT count(*) AS n, sum(n) AS len, sum(ch) AS chunks, sum(CASE WHEN ch = 0 THEN 1 ELSE 0 END) AS idle FROM size)",
+        "s0 AS (SELECT list(CAST(0.0 AS DOUBLE) ORDER BY id) AS b, list(CAST(0.0 AS DOUBLE) ORDER BY id) AS a FROM vocab)"]
+    sels, smooth = [], f"{L} * ln({V_SQL})"
+    for e in range(epochs):
+        ctes += [
+            f"f{e} AS MATERIALIZED (SELECT list_reduce(d.xs, lambda s, x: {step}, "
+            f"list_concat(list_concat(g.b, g.a), [CAST(0.0 AS DOUBLE)])) AS s FROM dl d, s{e} g)",
+            f"u{e} AS (SELECT i, sum(v) AS v FROM (SELECT unnest(s) AS v, generate_subscripts(s, 1) AS i FROM f{e} UNION ALL "
+            f"SELECT unnest(list_concat(b, a)) * (SELECT idle FROM tot), generate_subscripts(list_concat(b, a), 1) FROM s{e}) GROUP BY i)",
+            f"s{e + 1} AS (SELECT list(v / (SELECT n FROM tot) ORDER BY i) FILTER (i <= {V_SQL}) AS b, "
+            f"list(v / (SELECT n FROM tot) ORDER BY i) FILTER (i > {V_SQL} AND i <= 2 * {V_SQL}) AS a FROM u{e})",
+            f"l{e} AS (SELECT v AS loss FROM u{e} WHERE i = 2 * {V_SQL} + 1)",
+            f"m{e} AS (SELECT 0.999 * ({smooth}) + 0.001 * (SELECT loss FROM l{e}) / (SELECT chunks FROM tot) AS v)"]
+        smooth = f"(SELECT v FROM m{e})"
+        sels.append(
+            f"SELECT CAST({e} AS BIGINT) AS epoch, CAST((SELECT n FROM tot) AS BIGINT) AS n, "
+            f"round((SELECT loss FROM l{e}) / (SELECT len FROM tot), 6) AS loss_per_char, round({smooth}, 6) AS smooth_loss, "
+            f"round(list_sum(b), 6) AS w_sum, round(list_sum(list_transform(b, lambda z: z * z)), 6) AS w_sq, "
+            f"round(list_sum(a), 6) AS acc_sum FROM s{e + 1}")
+    return _rbase(*ctes) + " UNION ALL ".join(sels)
+
+
+from charloom.queries import T4_EPOCHS  # noqa: E402
+
+ORACLES["train_per_document"] = _zero_document_training(T4_EPOCHS)
 
 
 # conversations: turns in order, line breaks dropped, one sequence per conversation

@@ -324,7 +324,7 @@ def q_doc_scores(spark, sf_dir):
     documents ranked by mean nats per predicted character."""
     from charloom.plans.score import doc_scores
     c = _corpus(spark, sf_dir)
-    s = doc_scores(spark, c.lines, _static_model(c), c.vocab)
+    s = doc_scores(spark, c.lines, _recurrent_model(c, STACKED), c.vocab)
     return s.select("doc_id", F.col("n_pred").cast("bigint").alias("n_pred"),
                     F.round("mean_loss", 6).alias("mean_loss"),
                     F.round("perplexity", 6).alias("perplexity"), "n_unknown").orderBy(F.col("mean_loss").desc(), "doc_id")
