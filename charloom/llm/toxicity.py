@@ -9,7 +9,7 @@ a text's that of its most toxic sentence.
 
 The machine is trained on the sentences of a bounded sample of labelled texts
 (``sample_per_label`` texts of at most ``sample_chars`` characters for either
-label, chosen by a hash of the text).  A sentence of a clean text is clean; of a
+label, chosen by hashes of id and text).  A sentence of a clean text is clean; of a
 toxic text, the sentences with a token that stands in many places of toxic texts
 and in hardly any of clean ones are toxic, the others are left out.
 
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -53,7 +54,7 @@ class ToxicRules:
     landmarks: int = 800
     sample_per_label: int = 2000
     sample_chars: int = 20_000
-    negatives: int = 20_000
+    negatives: int = 12_000
     #: a telling token stands in so many different places of toxic texts at least, and in as many more as
     #: make chance less likely than exp(-evidence)
     min_places: int = 3
@@ -112,7 +113,7 @@ class Subsequences:
         return out
 
 
-def profiles(tokens: list[str], rules: ToxicRules):
+def profiles(tokens: list[str], rules: ToxicRules, at_once: int = 4_000_000):
     """Per token: ids of its distinct subsequences and their summed weights,
     scaled to kernel(token, token) = 1.  Yields (index array, ids, weights)."""
     by_length: dict[int, list[int]] = {}
@@ -122,7 +123,7 @@ def profiles(tokens: list[str], rules: ToxicRules):
         if length + 2 < rules.order or not length:
             continue
         sub = Subsequences(length + 2, rules.order, rules.span, rules.decay)
-        step = max(1, 4_000_000 // len(sub.weight))
+        step = max(1, at_once // len(sub.weight))
         for at in range(0, len(index), step):
             own = index[at:at + step]
             ids = sub.ids(_codes([tokens[i] for i in own], length))
@@ -180,106 +181,149 @@ class TextScorer:
         return [max(map(self.values.__getitem__, f), default=0.0) for f in found]
 
 
-def _sample(docs: DataFrame, rules: ToxicRules, text: str, label: str) -> dict[int, list[str]]:
-    own = docs.filter(F.col(label).isin(0, 1) & F.col(text).isNotNull() & (F.length(text) <= rules.sample_chars)).select(
-        F.col(label).cast("int").alias("y"), F.col(text).alias("text"))
-    sizes = {r["y"]: r["n"] for r in own.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    out: dict[int, list[str]] = {0: [], 1: []}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("y") == 1, min(1.0, 2.0 * rules.sample_per_label / sizes.get(1, 1))).otherwise(
-        min(1.0, 2.0 * rules.sample_per_label / sizes.get(0, 1)))
-    for r in own.withColumn("u", draw).filter(F.col("u") < share).orderBy("u", "y").toLocalIterator():
+def sampled_ids(labels: DataFrame, rules: ToxicRules, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """``id, y``: for either label twice ``sample_per_label`` ids, the first by a
+    hash.  A bounded table, whatever the labels: it may be broadcast."""
+    own = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).filter(
+        F.col("id").isNotNull() & F.col("y").isin(0, 1)).distinct()
+    first = [own.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(2 * rules.sample_per_label) for y in (0, 1)]
+    return first[0].union(first[1])
+
+
+def _sample(docs: DataFrame, ids: DataFrame, rules: ToxicRules, text: str, doc_id: str) -> dict[int, list[str]]:
+    """Texts of a bounded table of ids, for either label the first ``sample_per_label``
+    distinct ones by a hash.  Documents are not shuffled."""
+    own = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).filter(
+        F.col("text").isNotNull() & (F.length("text") <= rules.sample_chars))
+    rows = own.join(F.broadcast(ids), F.col("doc") == F.col("id")).select("y", "text", F.xxhash64("text").alias("u"))
+    out: dict[int, dict[str, None]] = {0: {}, 1: {}}
+    for r in rows.orderBy("u", "y").toLocalIterator():
         if len(out[r["y"]]) < rules.sample_per_label:
-            out[r["y"]].append(r["text"])
-    return out
+            out[r["y"]][r["text"]] = None
+    return {y: list(texts) for y, texts in out.items()}
+
+
+class Kernel:
+    """Kernel values of tokens with a list of landmarks, a few tokens at a time."""
+
+    def __init__(self, landmarks: list[str], rules: ToxicRules):
+        self.rules, self.lookup = rules, np.full(_ALPHABET ** rules.order, -1, np.int32)
+        found = list(profiles(landmarks, rules))
+        self.ids = np.unique(np.concatenate([ids for _, _, ids, _ in found]))
+        self.lookup[self.ids] = np.arange(len(self.ids))
+        self.by_id = np.zeros((len(self.ids), len(landmarks)), np.float32)
+        for index, row, ids, weight in found:
+            self.by_id[self.lookup[ids], index[row]] = weight
+
+    def values(self, tokens: list[str]) -> np.ndarray:
+        out = np.zeros((len(tokens), self.by_id.shape[1]), np.float32)
+        for index, row, ids, weight in profiles(tokens, self.rules, 400_000):
+            at = self.lookup[ids]
+            row, at, weight = row[at >= 0], at[at >= 0], weight[at >= 0]
+            ends = np.searchsorted(row, np.arange(0, len(index) + 64, 64))
+            for i, (lo, hi) in enumerate(zip(ends, ends[1:])):
+                if lo < hi:
+                    starts = np.flatnonzero(np.r_[True, row[lo + 1:hi] != row[lo:hi - 1]])
+                    out[index[row[lo:hi][starts]]] = np.add.reduceat(self.by_id[at[lo:hi]] * weight[lo:hi, None], starts)
+        return out
 
 
-def _dense(tokens: list[str], ids_of: dict[int, int], rules: ToxicRules) -> np.ndarray:
-    """Profiles as rows over the landmarks' subsequences."""
-    out = np.zeros((len(tokens), len(ids_of)), np.float32)
-    lookup = np.full(_ALPHABET ** rules.order, -1)
-    lookup[list(ids_of)] = list(ids_of.values())
-    for index, row, ids, weight in profiles(tokens, rules):
-        at = lookup[ids]
-        known = at >= 0
-        out[index[row[known]], at[known]] = weight[known]
-    return out
+class _Places:
+    """Tokens of texts as numbers; a token's places count once per neighbours."""
 
+    def __init__(self):
+        self.raw: dict[str, int] = {}
+        self.ids: dict[str, int] = {"": 0}
 
-def _numbered(tokens: list[str], rules: ToxicRules) -> dict[int, int]:
-    """Places of the tokens' subsequences."""
-    return {u: i for i, u in enumerate(dict.fromkeys(u for _, _, ids, _ in profiles(tokens, rules) for u in ids.tolist()))}
+    def _id(self, raw: str) -> int:
+        if raw not in self.raw:
+            self.raw[raw] = self.ids.setdefault(clean(raw), len(self.ids))
+        return self.raw[raw]
 
+    def read(self, texts: list[str]) -> tuple[list[array], np.ndarray]:
+        """Sentences, and the distinct (token, before, after) as one number each."""
+        sentences = [array("q", map(self._id, _ordered(s))) for t in texts for s in _SENTENCE.split(t)]
+        flat = np.concatenate([np.zeros(1, np.int64), *(np.r_[np.array(s, np.int64), 0] for s in sentences)])
+        keys = (flat[1:-1] << 42) + (flat[:-2] << 21) + flat[2:]
+        return sentences, np.unique(keys[flat[1:-1] > 0])
 
-def fit_toxicity(labelled: DataFrame, rules: ToxicRules = ToxicRules(), text: str = "text",
-                 label: str = "toxic") -> ToxicModel | None:
-    """Model from rows of text and label (1 toxic, 0 not); None without both."""
-    return train(_sample(labelled, rules, text, label), rules)
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, rules: ToxicRules = ToxicRules(), text: str = "text",
+                 doc_id: str = "doc_id", label: str = "toxic") -> ToxicModel | None:
+    """Model from ``docs`` and their ``labels`` (1 toxic, 0 not); None without both."""
+    return train(_sample(docs, sampled_ids(labels, rules, doc_id, label), rules, text, doc_id), rules)
 
 
 def train(sample: dict[int, list[str]], rules: ToxicRules = ToxicRules()) -> ToxicModel | None:
     """Model from toxic (1) and clean (0) texts."""
     if not sample[0] or not sample[1]:
         return None
-    split = {y: [[[clean(x) for x in _ordered(s)] for s in _SENTENCE.split(t)] for t in sample[y]] for y in (0, 1)}
-    used = {y: Counter(w for w, _, _ in {place for t in split[y] for s in t for place in zip(s, ["", *s], [*s[1:], ""])})
-            for y in (0, 1)}
-    in_toxic, in_clean = used[1], used[0]
-    # places a token stands in count once per neighbours (copies of a text add none); by chance a token's
-    # places would all be in toxic texts with probability share ** places
-    share = in_toxic.total() / (in_toxic.total() + in_clean.total())
+    places = _Places()
+    sentences, toxic_places = places.read(sample[1])
+    _, clean_places = places.read(sample[0])
+    names = list(places.ids)
+    in_toxic, in_clean = (np.bincount(k >> 42, minlength=len(names)) for k in (toxic_places, clean_places))
+    # by chance a token's places would all be in toxic texts with probability share ** places
+    share = len(toxic_places) / max(1, len(toxic_places) + len(clean_places))
+    if not 0 < share < 1:
+        return None
     enough = max(rules.min_places, rules.evidence / -np.log(share))
-    telling = {w: n for w, n in in_toxic.items()
-               if rules.order <= len(w) <= rules.longest and n >= enough and in_clean[w] * 50 < n * (1 - share) / share}
+    size = np.array([len(w) for w in names])
+    telling = ((size >= rules.order) & (size <= rules.longest) & (in_toxic >= enough)
+               & (in_clean * 50 < in_toxic * (1 - share) / share))
     # the token that makes a toxic sentence so: the most frequent telling one
     toxic: Counter = Counter()
-    for t in split[1]:
-        for s in t:
-            if own := [w for w in s if w in telling]:
-                toxic[max(own, key=lambda w: (telling[w], w))] += 1
+    for own in sentences:
+        if own := [i for i in own if telling[i]]:
+            toxic[names[max(own, key=lambda i: (in_toxic[i], names[i]))]] += 1
     if not toxic:
         return None
-    negatives = [w for w, _ in sorted(in_clean.items(), key=lambda x: (-x[1], x[0]))
-                 if rules.order <= len(w) <= rules.longest and w not in toxic]
+    negatives = [names[i] for i in np.lexsort((np.arange(len(names)), -in_clean))
+                 if in_clean[i] and rules.order <= size[i] <= rules.longest and names[i] not in toxic]
     half = rules.negatives // 2  # the most frequent ones, and an even draw of the others
     negatives = negatives[:half] + negatives[half::max(1, (len(negatives) - half) // max(1, half))][:half]
     # toxic words may come with a character put in, but one that lacks a character is another word
     words = list(toxic)
     gapped = [w[:i] + "xeoinatsr"[i % 9] + w[i:] for w in words if len(w) < rules.longest for i in range(1, len(w))]
-    shorter = {w[:i] + w[i + 1:] for w in words for i in range(len(w))} - set(in_toxic) - set(negatives)
+    shorter = {w[:i] + w[i + 1:] for w in words for i in range(len(w))} - set(toxic) - set(negatives)
     negatives += sorted(w for w in shorter if len(w) >= rules.order)
     # landmarks: toxic tokens by frequency, then the negatives that are most like one of them
     landmarks = [w for w, _ in toxic.most_common(rules.landmarks // 3)]
-    ids_of = _numbered(landmarks, rules)
-    like = (_dense(negatives, ids_of, rules) @ _dense(landmarks, ids_of, rules).T).max(1)
+    like = Kernel(landmarks, rules).values(negatives).max(1)
     landmarks += [negatives[i] for i in np.argsort(-like, kind="stable")[:rules.landmarks - len(landmarks)]]
-    ids_of = _numbered(landmarks, rules)
-    base = _dense(landmarks, ids_of, rules).astype(float)
-    values, vectors = np.linalg.eigh(base @ base.T)
+    kernel = Kernel(landmarks, rules)
+    values, vectors = np.linalg.eigh(kernel.values(landmarks).astype(float))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
-    fold = base.T @ root  # subsequence profile -> Nystroem features
-    x = np.concatenate([_dense(words, ids_of, rules), _dense(gapped, ids_of, rules), _dense(negatives, ids_of, rules)]) @ fold
+    x = kernel.values(words + gapped + negatives) @ root.astype(np.float32)  # Nystroem features
     n_toxic = len(words) + len(gapped)
     y = np.r_[np.ones(n_toxic), -np.ones(len(negatives))]
     near = np.r_[np.zeros(n_toxic, bool), like > 0.4]  # half of the clean side's say
     say = np.where(y > 0, 0.5 / n_toxic, np.where(near, 0.25 / max(1, near.sum()), 0.25 / max(1, (y < 0).sum() - near.sum())))
     # squared hinge loss with weight decay, by Newton steps over the rows inside the margin
-    x1, w = np.c_[x, np.ones(len(x))], np.zeros(x.shape[1] + 1)
+    x, w = np.c_[x, np.ones((len(x), 1), np.float32)], np.zeros(x.shape[1] + 1)
     for _ in range(rules.rounds):
-        inside = y * (x1 @ w) < 1
-        xs = x1[inside] * say[inside, None]
-        new = np.linalg.solve(xs.T @ x1[inside] + rules.decay_weight * np.eye(len(w)), xs.T @ y[inside])
+        gram, pull = rules.decay_weight * np.eye(len(w)), np.zeros(len(w))
+        for at in range(0, len(x), 1024):
+            own = slice(at, at + 1024)
+            rows = x[own].astype(float)
+            inside = y[own] * (rows @ w) < 1
+            rows = rows[inside]
+            weighted = rows * say[own][inside, None]
+            gram += weighted.T @ rows
+            pull += weighted.T @ y[own][inside]
+        new = np.linalg.solve(gram, pull)
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
     w = w[:-1]
-    table = np.zeros(_ALPHABET ** rules.order)
-    table[list(ids_of)] = fold @ w
+    table = np.zeros(_ALPHABET ** rules.order, np.float32)
+    table[kernel.ids] = kernel.by_id @ (root @ w)
     model = ToxicModel(table, 1.0, 0.0, rules)
     # threshold between what clean sentences reach and what toxic tokens have
-    low = np.quantile(model.token_values(negatives), 0.9995) if negatives else 0.0
+    others = [names[i] for i in np.flatnonzero((in_clean > 0) & ~telling & (size > 0) & (size <= rules.longest))]
+    low = np.quantile(model.token_values(others), 0.9999) if others else 0.0
     high = np.quantile(model.token_values(words + gapped), 0.1)
-    middle = (low + high) / 2
+    middle = min(high, (low + high) / 2)
     model.slope = 4.0 / max(0.1, high - middle)
     odds = float(np.log(rules.threshold / (1 - rules.threshold)))
     model.shift = odds - model.slope * middle
@@ -313,9 +357,7 @@ def held_out_toxicity(docs: DataFrame, labels: DataFrame, rules: ToxicRules = To
                       part: int = 1) -> DataFrame:
     """Fits on the labelled rows that are not held out, scores all:
     ``doc_id, held_out, score, predicted``."""
-    learned = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").alias("l_toxic")).filter(
-        F.col("l_id").isNotNull() & ~held_out_column(F.col("l_id"), parts, part)).distinct()
-    labelled = docs.select("doc_id", "text").join(learned, F.col("doc_id") == F.col("l_id"))
-    model = fit_toxicity(labelled, rules, "text", "l_toxic")
+    learned = labels.filter(~held_out_column(F.col("doc_id"), parts, part))
+    model = fit_toxicity(docs, learned, rules)
     return toxicity_scores(docs, model).select(
         "doc_id", held_out_column(F.col("doc_id"), parts, part).alias("held_out"), "score", "predicted")
