@@ -20,29 +20,34 @@ MODEL_SCHEMA = "layer int, block string, i int, j int, w double, acc double"
 EPS = 1e-8
 
 
-def model_table(spark: SparkSession, layers: int, hidden: int, vocab: int,
-                init: str = "gaussian", seed: int = 7) -> DataFrame:
-    """N1 as a Spark job: one row per parameter, decoded from a flat index.
-
-    gaussian: N(0,1)*0.01 for the three matrices (seeded ``randn`` over a fixed
-    single-partition range, so the draw is reproducible), zero biases;
-    zero: all zero; sine / sine_static: the closed form of ``kernels.init_params``.
-    Accumulators start at zero.
-    """
+def parameter_index(df: DataFrame, k: str, layers: int, hidden: int, vocab: int, *keep: str) -> DataFrame:
+    """``layer, block_no, block, i, j`` of flat parameter numbers ``k`` (the layout of
+    ``kernels.flatten``), next to the columns ``keep``."""
     H, V = hidden, vocab
     sizes = [H * V, H * H, V * H, H, V]
     per_layer = sum(sizes)
-    k = F.col("id")
-    r = k % per_layer
+    r = F.col(k) % per_layer
     starts = np.cumsum([0] + sizes)
     block_no = F.lit(4)
     for b in range(3, -1, -1):
         block_no = F.when(r < int(starts[b + 1]), F.lit(b)).otherwise(block_no)
     off = r - F.element_at(F.array(*[F.lit(int(s)) for s in starts[:5]]), block_no + 1)
     ncols = F.element_at(F.array(F.lit(V), F.lit(H), F.lit(H), F.lit(1), F.lit(1)), block_no + 1)
-    df = (spark.range(0, layers * per_layer, numPartitions=1)
-          .select((k / per_layer).cast("int").alias("layer"), block_no.cast("int").alias("block_no"),
-                  (off / ncols).cast("int").alias("i"), (off % ncols).cast("int").alias("j")))
+    blocks = F.element_at(F.array(*[F.lit(b) for b in K.BLOCKS]), block_no + 1)
+    return df.select((F.col(k) / per_layer).cast("int").alias("layer"), block_no.cast("int").alias("block_no"),
+                     blocks.alias("block"), (off / ncols).cast("int").alias("i"), (off % ncols).cast("int").alias("j"), *keep)
+
+
+def model_table(spark: SparkSession, layers: int, hidden: int, vocab: int,
+                init: str = "gaussian", seed: int = 7) -> DataFrame:
+    """N1 as a Spark job: one row per parameter, decoded from a flat index.
+
+    gaussian: N(0,1)*0.01 for the three matrices (seeded ``randn`` over a fixed
+    single-partition range, so the draw is reproducible), zero biases;
+    zero: all zero; sine / sine_static: the closed form of ``kernels.init_params``.
+    Accumulators start at zero.
+    """
+    df = parameter_index(spark.range(0, K.n_params(layers, hidden, vocab), numPartitions=1), "id", layers, hidden, vocab)
     is_matrix = F.col("block_no") < 3
     if init == "zero":
         w = F.lit(0.0)
@@ -54,8 +59,7 @@ def model_table(spark: SparkSession, layers: int, hidden: int, vocab: int,
             w = F.when(F.col("block_no") == 1, F.lit(0.0)).otherwise(w)
     else:
         raise ValueError(init)
-    blocks = F.element_at(F.array(*[F.lit(b) for b in K.BLOCKS]), F.col("block_no") + 1)
-    return df.select("layer", blocks.alias("block"), "i", "j", w.alias("w"), F.lit(0.0).alias("acc"))
+    return df.select("layer", "block", "i", "j", w.alias("w"), F.lit(0.0).alias("acc"))
 
 
 def table_to_arrays(model_df: DataFrame, layers: int, hidden: int, vocab: int):

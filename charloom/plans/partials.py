@@ -29,14 +29,19 @@ def pack(vec: np.ndarray, chunk: int = CHUNK) -> pd.DataFrame:
     return pd.DataFrame({"chunk": np.arange(len(parts), dtype=np.int32), "v": parts})
 
 
-def total(partials: DataFrame, size: int, chunk: int = CHUNK) -> np.ndarray | None:
-    """Sum of all packed vectors of ``size`` entries; None if no task emitted one."""
-    # every task has one row per chunk: add them in two levels, so no reducer gets a row from every task
+def summed(partials: DataFrame) -> DataFrame:
+    """``chunk, s``: the packed vectors added chunk by chunk.  Every task has one row
+    per chunk, so they are added in two levels: no reducer gets a row from every task."""
     part = F.spark_partition_id() % max(1, math.isqrt(partials.sparkSession.sparkContext.defaultParallelism))
-    rows = (partials.select("chunk", part.alias("part"), array_to_vector("v").alias("v"))
+    return (partials.select("chunk", part.alias("part"), array_to_vector("v").alias("v"))
             .groupBy("chunk", "part").agg(Summarizer.sum(F.col("v")).alias("v"))
             .groupBy("chunk").agg(Summarizer.sum(F.col("v")).alias("s"))
-            .select("chunk", vector_to_array("s").alias("s")).collect())
+            .select("chunk", vector_to_array("s").alias("s")))
+
+
+def total(partials: DataFrame, size: int, chunk: int = CHUNK) -> np.ndarray | None:
+    """Sum of all packed vectors of ``size`` entries; None if no task emitted one."""
+    rows = summed(partials).collect()
     if not rows:
         return None
     out = np.zeros(size)

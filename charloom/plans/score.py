@@ -135,11 +135,10 @@ def pair_xent(spark: SparkSession, pairs: DataFrame, params: dict, vocab: Vocab)
 
 def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab, stride: int = 1) -> DataFrame:
     """Summed per-window clipped gradients of a freshly initialised
-    model over the windows with start % stride == 0, as table rows
-    ``(layer, block, i, j, n_windows, g_sum, g_mean)``."""
-    from charloom.plans.model import arrays_to_frame
-    from charloom.plans.partials import PARTIAL_SCHEMA, pack
-    from charloom.plans.partials import total as total_of
+    model over the windows with start % stride == 0, as table rows (none without
+    a window) ``(layer, block, i, j, n_windows, g_sum, g_mean)``."""
+    from charloom.plans.model import parameter_index
+    from charloom.plans.partials import CHUNK, PARTIAL_SCHEMA, pack, summed
     params = K.init_params(cfg.num_layers, cfg.hidden, vocab.size, cfg.init, cfg.seed)
     bc = _bc(spark, params, vocab)
     L = cfg.seq_len
@@ -173,19 +172,18 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
                                           compat_untransposed=cfg.compat_untransposed)[1])
             count += len(w)
         if count:
-            yield pack(np.r_[total, count])
+            parts = pack(total)
+            parts["v"] = [np.r_[v, count] for v in parts["v"]]
+            yield parts
 
     size = K.n_params(cfg.num_layers, cfg.hidden, vocab.size)
-    sums = total_of(segments.select("goff", "n_own", "text").mapInPandas(run, PARTIAL_SCHEMA), size + 1)
-    sums = np.zeros(size + 1) if sums is None else sums
-    n = int(round(sums[size]))
-    g = sums[:size]
-    frame = arrays_to_frame(params, params)[["layer", "block", "i", "j"]]
-    frame["n_windows"] = n
-    frame["g_sum"] = g
-    frame["g_mean"] = g / n if n else np.nan
-    return spark.createDataFrame(frame, "layer int, block string, i int, j int, n_windows bigint, "
-                                        "g_sum double, g_mean double")
+    sums = summed(segments.select("goff", "n_own", "text").mapInPandas(run, PARTIAL_SCHEMA))
+    # every chunk ends with the window count
+    flat = sums.select("chunk", F.element_at("s", -1).cast("bigint").alias("n_windows"), F.posexplode("s").alias("pos", "g_sum"))
+    flat = flat.select((F.col("chunk") * CHUNK + F.col("pos")).alias("k"), "pos", "n_windows", "g_sum")
+    flat = flat.where((F.col("pos") < CHUNK) & (F.col("k") < size))
+    return parameter_index(flat, "k", cfg.num_layers, cfg.hidden, vocab.size, "n_windows", "g_sum").select(
+        "layer", "block", "i", "j", "n_windows", "g_sum", (F.col("g_sum") / F.col("n_windows")).alias("g_mean"))
 
 
 CARRIED_SCHEMA = "key bigint, loss double, n_pred bigint, n_unknown bigint"

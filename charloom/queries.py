@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from charloom.config import RnnConfig
@@ -150,8 +150,12 @@ def q_eval_prefix(spark, sf_dir):
     """The first 51 characters of the corpus, as ids (the evaluation sequence)."""
     c = _corpus(spark, sf_dir)
     eval_len = 51
-    segs = c.corpus.segments.where(F.col("goff") < eval_len)
-    chars = segs.select("goff", F.posexplode(F.split(F.substring("text", 1, F.col("n_own")), "", -1)).alias("k", "ch"))
+    # every line that counts has a character, so the first 51 of them hold the prefix: a top-k, no shuffle of the text
+    first = C.nonempty_lines(c.lines).orderBy("doc_id", "line_no").limit(eval_len)
+    order = Window.orderBy("doc_id", "line_no").rowsBetween(Window.unboundedPreceding, -1)
+    lines = first.select((F.coalesce(F.sum(F.length("line")).over(order), F.lit(0))).alias("goff"),
+                         F.substring("line", 1, eval_len).alias("line"))
+    chars = lines.select("goff", F.posexplode(F.split("line", "", -1)).alias("k", "ch"))
     chars = chars.select((F.col("goff") + F.col("k")).alias("gpos"), "ch").where(F.col("gpos") < eval_len)
     return chars.join(F.broadcast(c.vocab.to_df(spark).select("ch", "id")), "ch").select(
         F.col("gpos").cast("bigint").alias("gpos"), "ch", F.col("id").cast("bigint").alias("id"))

@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, app: str = "charloom",
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # checkpoints go with the frames that read them
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          # one BLAS thread per Python worker: Spark already runs one worker per core
          .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
          .config("spark.executorEnv.OMP_NUM_THREADS", "1"))
