@@ -241,10 +241,11 @@ class _Places:
         return self.raw[raw]
 
     def read(self, texts: list[str]) -> tuple[list[array], np.ndarray]:
-        """Sentences, and the distinct (token, before, after) as one number each."""
+        """Sentences, and the distinct places of tokens as one number each: 23 bits for
+        the token, 40 that tell its neighbours."""
         sentences = [array("q", map(self._id, _ordered(s))) for t in texts for s in _SENTENCE.split(t)]
         flat = np.concatenate([np.zeros(1, np.int64), *(np.r_[np.array(s, np.int64), 0] for s in sentences)])
-        keys = (flat[1:-1] << 42) + (flat[:-2] << 21) + flat[2:]
+        keys = (flat[1:-1] << 40) + ((flat[:-2] * 1_000_003 + flat[2:]) & ((1 << 40) - 1))
         return sentences, np.unique(keys[flat[1:-1] > 0])
 
 
@@ -262,7 +263,7 @@ def train(sample: dict[int, list[str]], rules: ToxicRules = ToxicRules()) -> Tox
     sentences, toxic_places = places.read(sample[1])
     _, clean_places = places.read(sample[0])
     names = list(places.ids)
-    in_toxic, in_clean = (np.bincount(k >> 42, minlength=len(names)) for k in (toxic_places, clean_places))
+    in_toxic, in_clean = (np.bincount(k >> 40, minlength=len(names)) for k in (toxic_places, clean_places))
     # by chance a token's places would all be in toxic texts with probability share ** places
     share = len(toxic_places) / max(1, len(toxic_places) + len(clean_places))
     if not 0 < share < 1:
