@@ -45,6 +45,18 @@ def line_pieces(df: DataFrame, halo: int, piece: int = WINDOW_PIECE, text_col: s
                     "pc.n_own", "pc.text"))
 
 
+def piece_starts(seq_len: int, stride: int = 1, origin: Column | None = None, limit: Column | None = None) -> Column:
+    """Starts, inside a piece, of its whole windows (see ``window_rows``)."""
+    origin = origin if origin is not None else F.lit(0)
+    first = F.lit(0) if stride == 1 else F.pmod(-origin, F.lit(stride)).cast("int")
+    # whole windows only: the last start leaves seq_len more characters in the piece
+    last = F.least(F.col("n_own") - 1, F.length("text") - F.lit(seq_len + 1))
+    if limit is not None:
+        last = F.least(last, limit - origin - 1)
+    last = last.cast("int")
+    return F.when(last >= first, F.sequence(first, last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
+
+
 def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column | None = None,
                 limit: Column | None = None, keep=("doc_id", "line_no"), sample=None,
                 sample_keys=()) -> DataFrame:
@@ -58,14 +70,7 @@ def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column
     ``epoch`` column); the hash covers ``sample_keys`` and the start.
     """
     origin = origin if origin is not None else F.lit(0)
-    first = F.lit(0) if stride == 1 else F.pmod(-origin, F.lit(stride)).cast("int")
-    # whole windows only: the last start leaves seq_len more characters in the piece
-    last = F.least(F.col("n_own") - 1, F.length("text") - F.lit(seq_len + 1))
-    if limit is not None:
-        last = F.least(last, limit - origin - 1)
-    last = last.cast("int")
-    starts = F.when(last >= first, F.sequence(first, last, F.lit(stride))).otherwise(
-        F.array().cast("array<int>"))
+    starts = piece_starts(seq_len, stride, origin, limit)
     # explode + substring stays inside whole-stage codegen; pieces are at most
     # piece + halo characters, so the UTF-8 scan of substring is bounded
     rows = pieces.select(*keep, origin.alias("_origin"), "text", F.explode(starts).alias("_s"))

@@ -177,17 +177,21 @@ def q_line_sliding(spark, sf_dir):
 
 
 def q_paragraph_chunks(spark, sf_dir):
-    c = _corpus(spark, sf_dir)
-    ne = C.nonempty_lines(c.lines)
-    per_doc = ne.groupBy("doc_id").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_paragraphs"),
-        F.sum(F.when(W.paragraph_chunks(F.length("line"), L) == 0, 1).otherwise(0)).cast("bigint").alias("n_idle"),
-        F.sum(W.paragraph_chunks(F.length("line"), L)).cast("bigint").alias("n_chunks"))
-    wins = _window_summary(W.paragraph_windows(ne, L))
-    return per_doc.join(wins, "doc_id", "left").select(
-        "doc_id", "n_paragraphs", "n_idle", "n_chunks",
-        F.coalesce("n_windows", F.lit(0)).cast("bigint").alias("n_windows"),
-        F.coalesce("checksum", F.lit(0)).cast("bigint").alias("checksum"))
+    """W4 + F4 in one pass: every piece of a line yields its windows, or one row
+    without a window; a line is counted at the first row of its first piece."""
+    c = _corpus(spark, sf_dir)
+    pieces = W.line_pieces(C.nonempty_lines(c.lines), halo=L)
+    chunks = W.paragraph_chunks(F.col("n_line"), L)
+    starts = W.piece_starts(L, L, F.col("offset"), chunks * F.lit(L))
+    rows = pieces.select("doc_id", "piece", chunks.alias("chunks"), "text", F.posexplode_outer(starts).alias("k", "s"))
+    line = (F.col("piece") == 0) & (F.coalesce("k", F.lit(0)) == 0)
+    win = F.when(F.col("s").isNotNull(), F.substring("text", F.col("s") + 1, F.lit(L + 1)))
+    return rows.groupBy("doc_id").agg(
+        F.sum(line.cast("bigint")).alias("n_paragraphs"),
+        F.sum((line & (F.col("chunks") == 0)).cast("bigint")).alias("n_idle"),
+        F.sum(F.when(line, F.col("chunks")).otherwise(0)).cast("bigint").alias("n_chunks"),
+        F.count("s").cast("bigint").alias("n_windows"),
+        F.coalesce(F.sum(md5_int(win)), F.lit(0)).cast("bigint").alias("checksum"))
 
 
 def q_sampled_windows(spark, sf_dir):
