@@ -49,6 +49,14 @@ def ascii_words(text: Column) -> Column:
     return F.array_remove(F.split(plain_spaces(text), " "), "")
 
 
+def word_count(line: Column) -> Column:
+    """Number of ASCII words of a line that holds one; blanks are only counted
+    where words stand one blank apart."""
+    plain = F.trim(plain_spaces(line))
+    return let(plain, lambda x: F.when(F.contains(x, F.lit("  ")), F.size(F.array_remove(F.split(x, " "), ""))).otherwise(
+        F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1))
+
+
 def row_key(*cols: Column) -> Column:
     """128-bit identity of a row by its values (nulls told from empty texts).
     Rows that agree in all of them share the key, and so every result."""

@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from charloom.llm.common import SPACES, ascii_words, cut, let, row_key
+from charloom.llm.common import SPACES, cut, let, row_key, word_count
 
 
 @dataclass(frozen=True)
@@ -43,10 +43,10 @@ class LineRules:
 def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """``doc, at, line, words``: lines with a word; ``doc`` orders documents and
     names them, ``at`` counts such lines."""
-    key = F.struct(docs[doc_id].alias("id"), row_key(docs[doc_id], docs[text]).alias("rk"))
+    key = F.struct(docs[doc_id].alias("id"), F.unhex(row_key(docs[doc_id], docs[text])).alias("rk"))
     own = F.filter(F.split(docs[text], "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     return docs.select(key.alias("doc"), F.posexplode(own).alias("at", "line")).select(
-        "doc", "at", F.md5("line").alias("line"), F.size(ascii_words(F.col("line"))).alias("words"))
+        "doc", "at", F.unhex(F.md5("line")).alias("line"), word_count(F.col("line")).alias("words"))
 
 
 def _first(rows: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -60,9 +60,9 @@ def _first(rows: DataFrame, by: list[str], name: str) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc, at``: the lines of later copies."""
-    lines = _lines(docs, text, doc_id).dropDuplicates(["doc", "at"])
-    # rank by one line; only lines that occur elsewhere too go on
-    level = cut(_first(lines, ["line"], "rank").select("doc", "at", "words", "rank"))
+    # rank by one line; only lines that occur elsewhere too go on, once for repeated rows
+    level = cut(_first(_lines(docs, text, doc_id), ["line"], "rank")
+                .groupBy("doc", "at").agg(F.first("words").alias("words"), F.first("rank").alias("rank")))
     levels, span = [(1, level.select("doc", "at", "rank"))], 1
     while 2 * span <= rules.min_words:
         here = levels[-1][1]
@@ -119,19 +119,19 @@ def _later_copies(runs: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataF
 
 
 def _without(text: Column, gone: Column) -> Column:
-    """The text without the lines ``gone`` (numbers of lines with a word) and the blank lines after them."""
-    def keep(lines: Column) -> Column:
-        start = F.struct(F.lit(-1).alias("at"), F.lit(True).alias("on"), F.array().cast("array<string>").alias("out"))
+    """The text without the lines ``gone`` (numbers of lines with a word) and the
+    blank lines after them, in time linear in its lines."""
+    def rest(lines: Column) -> Column:
+        # where the lines with a word stand among all lines
+        stand = F.filter(F.transform(lines, lambda x, i: F.when(F.btrim(x, F.lit(SPACES)) != "", i)), lambda i: i.isNotNull())
 
-        def step(s: Column, x: Column) -> Column:
-            word = F.btrim(x, F.lit(SPACES)) != ""
-            at = s["at"] + word.cast("int")
-            on = F.when(word, ~F.array_contains(gone, at)).otherwise(s["on"])
-            return F.struct(at.alias("at"), on.alias("on"), F.when(on, F.concat(s["out"], F.array(x))).otherwise(s["out"]).alias("out"))
+        def kept(stand: Column) -> Column:
+            gaps = F.transform(gone, lambda k: F.sequence(F.get(stand, k), F.coalesce(F.get(stand, k + 1), F.size(lines)) - 1))
+            return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.flatten(gaps))
 
-        return F.aggregate(lines, start, step, lambda s: F.array_join(s["out"], "\n"))
+        return F.array_join(F.transform(let(stand, kept), lambda i: F.get(lines, i)), "\n")
 
-    return let(F.split(text, "\n"), keep)
+    return let(F.split(text, "\n"), rest)
 
 
 def dedup_lines(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", doc_id: str = "doc_id",
@@ -141,7 +141,7 @@ def dedup_lines(docs: DataFrame, rules: LineRules = LineRules(), text: str = "te
     ``_l_removed``, the number of lines with a word that went."""
     gone = (repeated_lines(docs, rules, text, doc_id).groupBy(F.col("doc.rk").alias("_l_rk"))
             .agg(F.sort_array(F.collect_set("at")).alias("_l_gone")))
-    joined = docs.withColumn("_l_key", row_key(docs[doc_id], docs[text])).join(gone, F.col("_l_key") == F.col("_l_rk"), "left")
+    joined = docs.withColumn("_l_key", F.unhex(row_key(docs[doc_id], docs[text]))).join(gone, F.col("_l_key") == F.col("_l_rk"), "left")
     new = F.when(F.col("_l_gone").isNull(), F.col(text)).otherwise(_without(F.col(text), F.col("_l_gone")))
     joined = joined.withColumn("_l_text", new)
     out = {text: F.col("_l_text")}
