@@ -1,16 +1,20 @@
 """Embedding near-duplicates by product quantisation.
 
 A coarse quantiser deals unit vectors into inverted lists; what is left of a
-vector beside its list's centroid is coded per subspace.  A vector meets its own
+vector beside its list's centroid is coded per subspace.  A vector visits its own
 list and every list whose border it lies near (the distance to the hyperplane
 between the two centroids is at most ``margin`` times the largest distance of a
-linked pair).  Where two lists meet, one side's codes are compared to the
-other side's vectors by table look-ups, with a bound that holds for every linked
-pair, and what passes is decided by the exact cosine in double precision.
+linked pair) and meets all members there.  The two ends of a linked pair lie
+together no farther from the border of their lists than from each other, so from
+``margin`` 0.5 on one of them visits the other and no pair is missed.  Members'
+codes are compared to visitors by table look-ups, with a bound that holds for
+every linked pair, and what passes is decided by the exact cosine in double
+precision.
 
 Centroids and codebooks are fitted on a bounded sample (``sample`` vectors); all
 vectors are indexed and compared.  Equal vectors are one class: copies cost one
-row.  A list over ``tile`` vectors is dealt into tiles that meet tile by tile.
+row.  A list over ``tile`` vectors is dealt into tiles, its visitors into parts;
+every tile meets every part.
 No pairs leave a task: only counts and each vector's link to the smallest one it
 reaches there.
 
@@ -41,7 +45,7 @@ class PqRules:
     codes: int = 256
     sample: int = 16_384
     max_lists: int = 4096
-    margin: float = 0.45
+    margin: float = 0.5
     tile: int = 4096
     seed: int = 5
 
@@ -79,7 +83,7 @@ class PqIndex:
     def encode(self, x: np.ndarray):
         """Own list, lists to meet, codes, and the least look-up value a linked vector can have."""
         own, d = self._nearest(x)
-        meet = d - d[np.arange(len(x)), own][:, None] <= 2 * self.rules.margin * self.reach * self.between[own] + 1e-12
+        meet = d - d[np.arange(len(x)), own][:, None] <= 2 * self.rules.margin * self.reach * self.between[own] + 1e-9
         meet[np.arange(len(x)), own] = True
         rest = x - self.coarse[own]
         codes = np.empty((len(x), self.rules.subspaces), np.uint8)
@@ -150,47 +154,64 @@ def embedding_links(classes: DataFrame, rules: PqRules = PqRules()) -> DataFrame
                 names=["rep", "copies", "size", "vec", "own", "meet", "codes", "least"])
 
     indexed = cut(classes.select("rep", "copies", "size", "vec").mapInArrow(
-        index, f"rep {kind}, copies long, size int, vec binary, own int, meet array<int>, codes binary, least double"))
+        index, f"rep {kind}, copies long, size int, vec binary, own int, meet array<int>, codes binary, least double")
+        .withColumn("id", F.monotonically_increasing_id()))
+    visits = indexed.withColumn("other", F.explode("meet"))
     # a row per list: bounded by max_lists
-    tiles = F.broadcast(indexed.groupBy("own").agg(F.ceil(F.count("*") / rules.tile).cast("int").alias("n")))
-    mine = tiles.select(F.col("own").alias("m_list"), F.col("n").alias("m_tiles"))
-    theirs = tiles.select(F.col("own").alias("t_list"), F.col("n").alias("t_tiles"))
-    met = (indexed.withColumn("other", F.explode("meet")).drop("meet")
-           .join(mine, F.col("own") == F.col("m_list")).join(theirs, F.col("other") == F.col("t_list"))
-           .withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("m_tiles")).cast("int"))
-           .withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("t_tiles") - 1))))
-    here, there = F.struct(F.col("own").alias("l"), F.col("tile").alias("t")), F.struct(F.col("other").alias("l"), F.col("beside").alias("t"))
-    met = met.select(F.least(here, there).alias("a"), F.greatest(here, there).alias("b"), "size", "rep", "copies", "vec",
-                     "own", "tile", "codes", "least")
+    members = indexed.groupBy("own").agg(F.count("*").alias("members"))
+    visited = visits.groupBy(F.col("other").alias("m_list")).agg(F.count("*").alias("visitors"))
+    part = F.greatest(F.lit(rules.tile // 4), F.least(F.lit(4 * rules.tile), 4 * F.col("members")))
+    dealt = F.broadcast(cut(members.join(visited, F.col("own") == F.col("m_list")).select(
+        "m_list", F.ceil(F.col("members") / rules.tile).cast("int").alias("tiles"),
+        F.ceil(F.col("visitors") / part).cast("int").alias("parts"))))
+
+    def place(n):
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    cols = ["list", "tile", "part", "size", "member", "id", "rep", "copies", "vec", "own", "meet", "codes", "least"]
+    at_home = (indexed.join(dealt, F.col("own") == F.col("m_list")).withColumn("tile", place("tiles"))
+               .withColumn("part", every("parts")).withColumn("list", F.col("own")).withColumn("member", F.lit(True)))
+    away = (visits.join(dealt, F.col("other") == F.col("m_list")).withColumn("part", place("parts"))
+            .withColumn("tile", every("tiles")).withColumn("list", F.col("other")).withColumn("member", F.lit(False))
+            .drop("meet", "codes", "least").withColumn("meet", F.lit(None).cast("array<int>"))
+            .withColumn("codes", F.lit(None).cast("binary")).withColumn("least", F.lit(None).cast("double")))
+    met = at_home.select(cols).unionByName(away.select(cols))
 
     def compare(key, t):
         ix = sent.value
-        a_list, a_tile = key[0].as_py()["l"], key[0].as_py()["t"]
-        b_list, b_tile = key[1].as_py()["l"], key[1].as_py()["t"]
-        own, tile = t["own"].to_numpy(), t["tile"].to_numpy()
-        same = (a_list, a_tile) == (b_list, b_tile)
-        left = np.flatnonzero((own == a_list) & (tile == a_tile))
-        right = left if same else np.flatnonzero((own == b_list) & (tile == b_tile))
+        here = key[0].as_py()
+        t = t.combine_chunks()
+        member = t["member"].to_numpy()
+        left, right = np.flatnonzero(~member), np.flatnonzero(member)
         n, ends_a, ends_b = np.zeros(t.num_rows, np.int64), [], []
         if len(left) and len(right):
             x = _matrix(t["vec"], ix.width)
-            copies, least = t["copies"].to_numpy(), t["least"].to_numpy()
-            codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+            ids, own, copies = t["id"].to_numpy(), t["own"].to_numpy(), t["copies"].to_numpy()
+            home = t.filter(t["member"])
+            least = home["least"].to_numpy()
+            codes = np.frombuffer(b"".join(home["codes"].to_pylist()), np.uint8).reshape(len(right), -1)
+            meets = np.zeros((len(right), len(ix.coarse)), bool)
+            for at, m in enumerate(home["meet"].to_pylist()):
+                meets[at, m] = True
             step = max(1, (1 << 20) // len(right))
             for at in range(0, len(left), step):
                 rows = left[at:at + step]
-                i, j = np.nonzero(ix.look_up(x[rows], b_list, codes[right]) >= least[right])
-                i, j = rows[i], right[j]
-                if same:
-                    i, j = i[i < j], j[i < j]
-                for s in range(0, len(i), 1 << 15):
-                    p, q = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
-                    linked = np.einsum("ij,ij->i", x[p], x[q]) >= ix.rules.cosine
-                    p, q = p[linked], q[linked]
-                    np.add.at(n, p, copies[q])
-                    np.add.at(n, q, copies[p])
-                    ends_a.append(p)
-                    ends_b.append(q)
+                i, j = np.nonzero(ix.look_up(x[rows], here, codes) >= least)
+                p, q = rows[i], right[j]
+                # once a pair: in one list by the ids; if both visit, in the smaller list
+                once = np.where(own[p] == here, ids[p] < ids[q], (own[p] > here) | ~meets[j, own[p]])
+                p, q = p[once], q[once]
+                for s in range(0, len(p), 1 << 15):
+                    u, v = p[s:s + (1 << 15)], q[s:s + (1 << 15)]
+                    linked = np.einsum("ij,ij->i", x[u], x[v]) >= ix.rules.cosine
+                    u, v = u[linked], v[linked]
+                    np.add.at(n, u, copies[v])
+                    np.add.at(n, v, copies[u])
+                    ends_a.append(u)
+                    ends_b.append(v)
         a = np.concatenate(ends_a) if ends_a else np.zeros(0, int)
         b = np.concatenate(ends_b) if ends_b else np.zeros(0, int)
         root = spanning_links(t.num_rows, a, b)
@@ -198,7 +219,7 @@ def embedding_links(classes: DataFrame, rules: PqRules = PqRules()) -> DataFrame
         rep = t["rep"].combine_chunks()
         return pa.table({"node": rep.take(out), "n": pa.array(n[n > 0]), "root": rep.take(pa.array(root[n > 0]))})
 
-    return met.groupBy("a", "b", "size").applyInArrow(compare, f"node {kind}, n long, root {kind}")
+    return met.groupBy("list", "tile", "part", "size").applyInArrow(compare, f"node {kind}, n long, root {kind}")
 
 
 def embedding_components(vectors: DataFrame, rules: PqRules = PqRules(), vec_id: str = "vec_id",
