@@ -8,7 +8,7 @@ equally near is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample of labelled texts
 (``sample_per_language`` texts of at most ``sample_chars`` characters for each
-language, chosen by a hash of id and text).  Predictions read whole texts and
+language, chosen by a hash of the text; copies of a text count once).  Predictions read whole texts and
 nothing else.
 
 Results in the odd cases: a null text, or one without a letter, is ``und`` with
@@ -133,19 +133,21 @@ def fit_languages(docs: DataFrame, rules: LangRules = LangRules(), text: str = "
     """Model from the labelled rows of ``docs`` (null labels and texts are left out)."""
     own = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= rules.sample_chars)).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in own.select("lang", F.xxhash64("text")).distinct().groupBy("lang").agg(F.count("*").alias("n"))
              .orderBy(F.desc("n"), "lang").limit(rules.max_languages).collect()}
     if not sizes:
         return LangModel([], np.ones((0, 1)), np.zeros((rules.features, 1)), np.zeros(1), rules)
-    # rows below a hash threshold per language, twice as many as wanted at most in expectation; then the first of them
+    # distinct texts below a hash threshold per language, twice as many as wanted at most in expectation; then the first of them
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[x for k, n in sizes.items()
                            for x in (F.lit(k), F.lit(min(1.0, 2.0 * rules.sample_per_language / n)))])
-    rows = own.withColumn("u", draw).filter(F.col("u") < share[F.col("lang")])
+    rows = own.withColumn("u", draw).filter(F.col("u") < share[F.col("lang")]).dropDuplicates(["lang", "text"])
     picked: dict[str, list[str]] = {k: [] for k in sizes}
     for r in rows.orderBy("u", "lang").toLocalIterator():
         if len(picked[r["lang"]]) < rules.sample_per_language:
             picked[r["lang"]].append(r["text"])
+    if not any(picked.values()):
+        return LangModel([], np.ones((0, 1)), np.zeros((rules.features, 1)), np.zeros(1), rules)
     languages = sorted(sizes)
     x = np.concatenate([scaled(gram_counts(picked[k], rules)) for k in languages if picked[k]])
     label = np.concatenate([np.full(len(picked[k]), i) for i, k in enumerate(languages) if picked[k]]).astype(int)
