@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from charloom.llm.bpe import round_trip
+from charloom.llm.collocations import PHRASE_SQL, collocations
 from charloom.llm.common import prepare, table
+from charloom.llm.conversations import repair_damaged
+from charloom.llm.htmltree import extract_text
 from charloom.llm.langid import language_predictions
 from charloom.llm.license import scan_licenses
 from charloom.llm.line_dedup import LINE_SQL, dedup_digest
@@ -63,6 +66,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                              table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return repair_damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return extract_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 LLM_QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_byte_bpe": op2_byte_bpe,
@@ -74,10 +92,14 @@ LLM_QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 LLM_ORACLES = {
     "op3_line_dedup": LINE_SQL,
     "op4_quality_rules": QUALITY_SQL,
     "op8_url_filter": URL_SQL,
+    "op13_phrase_mining": PHRASE_SQL,
 }
