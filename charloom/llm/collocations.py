@@ -37,6 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from charloom.llm.common import Remembered, cut
@@ -113,9 +114,10 @@ def word_counts(corpus: DataFrame, rules: PhraseRules) -> DataFrame:
                 counts = held.setdefault(lang, Counter())
                 for data in _blocks(texts, block):
                     counts.update(_tokens(data))
-                    if len(counts) > 500_000:
-                        yield out(lang, counts)
-                        counts.clear()
+                    if sum(map(len, held.values())) > 400_000:
+                        for k, c in held.items():
+                            yield out(k, c)
+                            c.clear()
         for lang, counts in held.items():
             yield out(lang, counts)
 
@@ -194,7 +196,7 @@ class _Suffixes:
     def cut(self, lang: str, texts):
         """Blocks of suffixes: for each, the columns of ``max_words`` numbers (zero
         from the first rare word or piece end on)."""
-        numbers = Remembered(lambda w: 0 if w == b"." else _number(w, self.salt), 1_000_000)
+        numbers = Remembered(lambda w: 0 if w == b"." else _number(w, self.salt), 300_000)
         shift = np.uint64(64 - self.rules.table_bits)
         for data in _blocks(texts, self.rules.block):
             tokens = _tokens(data)
@@ -269,8 +271,20 @@ def _loads(prefixes: DataFrame, know, cells: int) -> np.ndarray:
     return out
 
 
+def _packed(cols: list, depth: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted suffixes column by column: equal numbers stand together, and compress."""
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(x.tobytes() for x in (*cols, depth, n)))
+
+
+def _unpacked(data: bytes, words: int):
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    k = len(raw) // (8 * words + 9)
+    cols = [np.frombuffer(raw, np.uint64, k, 8 * k * j) for j in range(words)]
+    return [*cols, np.frombuffer(raw, np.uint8, k, 8 * k * words)], np.frombuffer(raw[(8 * words + 1) * k:], np.int64)
+
+
 def _sent(corpus: DataFrame, know) -> DataFrame:
-    """``grp, lang, depth, ids, n``: distinct suffixes of a block of text, one row of
+    """``grp, lang, suffixes``: distinct suffixes of a block of text, one row of
     packed numbers for each group."""
     def run(batches):
         s = know.value
@@ -285,16 +299,14 @@ def _sent(corpus: DataFrame, know) -> DataFrame:
                     grp = s.groups(lang, [c[keep] for c in rows], depth[keep])
                     order = np.argsort(grp, kind="stable")
                     keep, grp = keep[order], grp[order]
-                    edges = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]]) if len(grp) else []
-                    ids = np.stack([c[keep] for c in rows], 1)
-                    depth, n = depth[keep], n[keep]
-                    ends = [*edges[1:], len(grp)]
-                    yield pd.DataFrame({"grp": grp[edges] if len(grp) else [], "lang": lang,
-                                        "depth": [depth[a:b].tobytes() for a, b in zip(edges, ends)],
-                                        "ids": [ids[a:b].tobytes() for a, b in zip(edges, ends)],
-                                        "n": [n[a:b].tobytes() for a, b in zip(edges, ends)]})
+                    if not len(grp):
+                        continue
+                    edges = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
+                    rows, depth, n = [c[keep] for c in rows], depth[keep], n[keep]
+                    yield pd.DataFrame({"grp": grp[edges], "lang": lang, "suffixes": [
+                        _packed([c[a:b] for c in rows], depth[a:b], n[a:b]) for a, b in zip(edges, [*edges[1:], len(grp)])]})
 
-    return corpus.mapInPandas(run, "grp long, lang string, depth binary, ids binary, n binary")
+    return corpus.mapInPandas(run, "grp long, lang string, suffixes binary")
 
 
 def _subtrees(rules: PhraseRules):
@@ -304,9 +316,9 @@ def _subtrees(rules: PhraseRules):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for lang, part in pdf.groupby("lang"):
-            ids = np.frombuffer(b"".join(part["ids"]), np.uint64).reshape(-1, words)
-            depth = np.frombuffer(b"".join(part["depth"]), np.uint8)
-            leaves, n = _added([ids[:, j] for j in range(words)] + [depth], np.frombuffer(b"".join(part["n"]), np.int64))
+            blocks = [_unpacked(x, words) for x in part["suffixes"]]
+            leaves, n = _added([np.concatenate([cols[j] for cols, _ in blocks]) for j in range(words + 1)],
+                               np.concatenate([n for _, n in blocks]))
             depth = leaves.pop()
             new = np.zeros(len(n), bool)
             new[:1] = True
