@@ -115,14 +115,16 @@ def word_counts(corpus: DataFrame, rules: PhraseRules) -> DataFrame:
                 for data in _blocks(texts, block):
                     counts.update(_tokens(data))
                     if sum(map(len, held.values())) > 400_000:
-                        for k, c in held.items():
-                            yield out(k, c)
+                        yield from map(out, held.items())
+                        for c in held.values():
                             c.clear()
-        for lang, counts in held.items():
-            yield out(lang, counts)
+        yield from map(out, held.items())
 
-    def out(lang, counts):
+    def out(item):
+        lang, counts = item
         counts.pop(b".", None)
+        if not counts:
+            return pd.DataFrame({"lang": [], "word": [], "n": []}, dtype=object)
         return pd.DataFrame({"lang": lang, "word": [w.decode("utf-8", "replace") for w in counts], "n": list(counts.values())})
 
     return (corpus.mapInPandas(run, "lang string, word string, n long")
