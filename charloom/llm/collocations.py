@@ -21,7 +21,9 @@ prefix is independent of all others.
    a distinct suffix, and a node's count is the sum of the leaves that share its
    path.
 
-Rare words are told by a table of fixed size (one bit a hash value): a rare word
+A suffix ends before a rare word and between two words that are rarely
+neighbours.  Both are told by tables of fixed size, one bit a hash value: set for
+frequent words, and for pairs whose hash value counts often enough, so a rare one
 that shares a bit only lengthens suffixes.  Scores are exact decimals.
 
 Results in the odd cases: a null text is empty, a null language ``und``; repeated
@@ -59,7 +61,7 @@ class PhraseRules:
     budget: int = 1 << 20
     #: bytes of text that are numbered at a time
     block: int = 1 << 22
-    #: the table that tells rare words has 2 ** so many bits
+    #: the tables that tell rare words and pairs have 2 ** so many bits each
     table_bits: int = 26
 
 
@@ -162,7 +164,7 @@ class _Suffixes:
         self.salt, self.table, self.rules = salt, table, rules
         #: by language: a list by depth 1, 2, ... of (sorted keys, prefixes) arrays
         self.heavy: dict[str, list] = {}
-        self.base = self.splits = None
+        self.base = self.splits = self.pairs = self.memo = None
 
     @staticmethod
     def key(columns) -> np.ndarray:
@@ -195,22 +197,35 @@ class _Suffixes:
             out[live] = d + 1
         return out
 
-    def cut(self, lang: str, texts):
-        """Blocks of suffixes: for each, the columns of ``max_words`` numbers (zero
-        from the first rare word or piece end on)."""
-        numbers = Remembered(lambda w: 0 if w == b"." else _number(w, self.salt), 300_000)
+    def _set(self, table: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        return (table[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def numbers(self, lang: str, texts):
+        """Blocks of word numbers; zero where a word is rare or a piece ends."""
+        if self.memo is None:  # in the task
+            self.memo = Remembered(lambda w: 0 if w == b"." else _number(w, self.salt), 300_000)
         shift = np.uint64(64 - self.rules.table_bits)
         for data in _blocks(texts, self.rules.block):
             tokens = _tokens(data)
-            ids = np.fromiter(map(numbers.__getitem__, tokens), np.uint64, len(tokens))
-            cell = ids >> shift
-            known = (self.table[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1
-            ids[known == 0] = 0
-            ids = np.r_[ids, np.zeros(self.rules.max_words, np.uint64)]
+            ids = np.fromiter(map(self.memo.__getitem__, tokens), np.uint64, len(tokens))
+            ids[~self._set(self.table, ids >> shift)] = 0
+            yield np.r_[ids, np.zeros(self.rules.max_words, np.uint64)]
+
+    def pair_cells(self, lang: str, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        seed = np.full(len(at), xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 11), np.uint64)
+        return self.key([seed, ids[at], ids[at + 1]]) >> np.uint64(64 - self.rules.table_bits)
+
+    def cut(self, lang: str, texts):
+        """Blocks of suffixes: for each, the columns of ``max_words`` numbers (zero
+        from the suffix's end on)."""
+        for ids in self.numbers(lang, texts):
             at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
+            at = at[self._set(self.pairs, self.pair_cells(lang, ids, at))]
+            joined = np.zeros(len(ids), bool)  # to the next word
+            joined[at] = True
             cols = [ids[at], ids[at + 1]]
             for j in range(2, self.rules.max_words):
-                cols.append(np.where(cols[-1] != 0, ids[at + j], np.uint64(0)))
+                cols.append(np.where((cols[-1] != 0) & joined[at + j - 1], ids[at + j], np.uint64(0)))
             yield cols
 
     def groups(self, lang: str, cols: list, depth: np.ndarray) -> np.ndarray:
@@ -236,6 +251,58 @@ def _added(cols: list, weights: np.ndarray | None = None):
     return [c[at] for c in cols], counts.astype(np.int64)
 
 
+def _pair_table(corpus: DataFrame, know, rules: PhraseRules) -> np.ndarray:
+    """One bit per hash value of two neighbours, set where it counts ``min_count``
+    times.  The table is added up in parts, streamed, counts no higher than they
+    matter; what returns has a fixed size."""
+    part = max(0, rules.table_bits - 10)
+    most = min(rules.min_count, 65535)
+
+    def count(batches):
+        s = know.value
+        held, size = [], 0
+
+        def out():
+            cells, n = np.unique(np.concatenate(held), return_counts=True)
+            edges = np.flatnonzero(np.r_[True, np.diff(cells >> np.uint64(part)) != 0])
+            n = np.minimum(n, most).astype(np.uint16)
+            return pd.DataFrame({"part": (cells[edges] >> np.uint64(part)).astype(np.int64), "counts": [
+                zstandard.compress((cells[a:b] & np.uint64((1 << part) - 1)).astype(np.uint32).tobytes() + n[a:b].tobytes())
+                for a, b in zip(edges, [*edges[1:], len(cells)])]})
+
+        for pdf in batches:
+            for lang, texts in _by_lang(pdf):
+                for ids in s.numbers(lang, texts):
+                    at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
+                    if len(at):
+                        held.append(s.pair_cells(lang, ids, at))
+                        size += len(at)
+                    if size > 1 << 22:
+                        yield out()
+                        held, size = [], 0
+        if held:
+            yield out()
+
+    def add(batches):
+        totals = {}
+        for pdf in batches:
+            for k, data in zip(pdf["part"], pdf["counts"]):
+                raw = zstandard.decompress(data)
+                cells = np.frombuffer(raw, np.uint32, len(raw) // 6)
+                table = totals.setdefault(k, np.zeros(1 << part, np.uint16))
+                # no sum of two passes what 32 bits hold
+                table[cells] = np.minimum(table[cells].astype(np.uint32) + np.frombuffer(raw[4 * len(cells):], np.uint16), most)
+        for k, table in totals.items():
+            yield pd.DataFrame({"part": [k], "bits": [np.packbits(table >= most, bitorder="little").tobytes()]})
+
+    rows = corpus.mapInPandas(count, "part long, counts binary").repartition("part").mapInPandas(add, "part long, bits binary")
+    out = np.zeros(1 << (rules.table_bits - 3), np.uint8)
+    width = max(1, (1 << part) >> 3)
+    for r in rows.toLocalIterator():
+        out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def _extended(corpus: DataFrame, know, depth: int) -> DataFrame:
     """``lang, ids, n``: the heavy prefixes of ``depth - 1`` words, each followed by
     every frequent word that follows it."""
@@ -349,6 +416,7 @@ def phrase_counts(docs: DataFrame, rules: PhraseRules = PhraseRules(), text: str
     words = words.select("lang", "word", F.when(F.col("n") >= rules.min_count, number).alias("id"), "n")
     frequent = words.filter("id is not null")
     know = _Suffixes(salt, _table(frequent, rules.table_bits), rules)
+    know.pairs = _pair_table(corpus, spark.sparkContext.broadcast(know), rules)
     fits, heavy = [], []
     level = frequent.select("lang", F.array("id").alias("ids"), "n")
     for depth in range(1, rules.max_words + 1):

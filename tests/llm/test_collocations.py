@@ -53,7 +53,7 @@ def rows():
 
 @pytest.mark.parametrize("rules", [PhraseRules(min_count=5), PhraseRules(min_count=5, budget=40, block=64, top=7),
                                    PhraseRules(min_count=3, budget=1, block=1000, covered_percent=60),
-                                   PhraseRules(min_count=5, budget=500, table_bits=4, max_words=3)], ids=str)
+                                   PhraseRules(min_count=5, budget=500, table_bits=13, max_words=3)], ids=str)
 def test_counts(spark, rows, rules):
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     for c in ("ids", "a", "n", "word", "grp"):
