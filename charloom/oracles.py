@@ -577,3 +577,67 @@ def _samples_after_epochs() -> str:
 
 
 ORACLES["training_samples"] = _samples_after_epochs()
+
+
+# ---------------------------------------------------------------- training from non-zero weights
+from charloom.functions import sql_rnn as R  # noqa: E402
+from charloom.queries import SINE, SINE_RATE, SINE_SEQUENCE_RATE  # noqa: E402
+
+# the item texts in place of the documents
+ITEMS_CTE = "documents AS (SELECT item_id AS doc_id, text FROM benchmark)"
+SINE_CTES = R.sine_model(SINE.hidden)
+SHAPE = (SINE.hidden, L, SINE.clip)
+
+
+def _steps(starts: str) -> str:
+    """``ws(e, w, t, x, y)`` from the windows ``(e, w)`` that start at character ``w``."""
+    return (f"ws AS (SELECT s.e, s.w, g.gpos - s.w + 1 AS t, g.id AS x, n.id AS y FROM ({starts}) s "
+            f"JOIN gchars g ON g.gpos BETWEEN s.w AND s.w + {L - 1} JOIN gchars n ON n.gpos = g.gpos + 1)")
+
+
+def _per_window(before: str, e: int) -> str:
+    return (f"CASE WHEN (SELECT n FROM loss{e}) > 0 THEN 0.999 * ({before}) + 0.001 * (SELECT loss / n FROM loss{e}) ELSE {before} END")
+
+
+def _per_chunk(before: str, e: int) -> str:
+    return (f"CASE WHEN (SELECT chunks FROM tot{e}) > 0 THEN 0.999 * ({before}) + 0.001 * (SELECT loss / chunks FROM tot{e}) ELSE {before} END")
+
+
+ORACLES["window_grads_sine"] = _rbase(
+    *SINE_CTES, _steps(f"SELECT 0 AS e, gpos AS w FROM gchars WHERE gpos % {L} = 0 AND gpos + {L} < (SELECT count(*) FROM gchars)"),
+    *R.window_gradients(0, *SHAPE)) + (
+    "SELECT block, m.i::BIGINT AS i, m.j::BIGINT AS j, (SELECT n FROM loss0) AS n_windows, round(coalesce(g, 0.0), 3) AS g_sum, "
+    "round(coalesce(g, 0.0) / (SELECT n FROM loss0), 8) AS g_mean FROM m0 m LEFT JOIN g0 USING (block, i, j)")
+
+
+def _window_training_sine(ctes: list, starts: str) -> str:
+    more, selects = R.window_training(SINE.epochs, *SHAPE, SINE.learn_rate, _per_window)
+    base = _rbase(*SINE_CTES, _steps(starts), *more)
+    return base.replace("WITH RECURSIVE ", "WITH RECURSIVE " + "".join(c + ",\n" for c in ctes), 1) + " UNION ALL ".join(selects)
+
+
+ORACLES["train_full_batch_sine"] = _window_training_sine([ITEMS_CTE], (
+    f"SELECT r.range AS e, gpos AS w FROM gchars, range({SINE.epochs}) r WHERE gpos + {L} < (SELECT count(*) FROM gchars)"))
+ORACLES["train_mini_batch_sine"] = _window_training_sine([], (
+    f"SELECT r.range AS e, gpos AS w FROM gchars, range({SINE.epochs}) r WHERE gpos + {L} < (SELECT count(*) FROM gchars) "
+    f"AND {keep_sql(SINE_RATE, SINE.seed, 'r.range', 'gpos')}"))
+
+
+def _sequences(unit: str) -> list:
+    """``chunks(e, q, n, cs)`` of the item texts: paragraphs or whole texts."""
+    by = "doc_id, line_no" if unit == "paragraph" else "doc_id"
+    count = f"greatest(0, CAST(ceil((n - 1) / {float(L)}) AS BIGINT) - 1)" if unit == "paragraph" else f"(n - 1) // {L}"
+    kept = keep_sql(SINE_SEQUENCE_RATE, SINE.seed, "r.range", "doc_id", "line_no") if unit == "paragraph" else "TRUE"
+    return [f"seqs AS (SELECT {by}, count(*) AS n, list(id ORDER BY gpos) AS ids FROM gchars GROUP BY {by})",
+            f"chunks AS MATERIALIZED (SELECT r.range AS e, doc_id AS q, n, ids, list_transform(range({count}), "
+            f"lambda z: ids[{L} * z + 1:{L} * z + {L + 1}]) AS cs FROM seqs, range({SINE.epochs}) r WHERE {kept})"]
+
+
+def _sequence_training_sine(unit: str) -> str:
+    more, selects = R.sequence_training("chunks", SINE.epochs, *SHAPE, SINE.learn_rate, _per_chunk)
+    base = _rbase(*SINE_CTES, *_sequences(unit), *more)
+    return base.replace("WITH RECURSIVE ", f"WITH RECURSIVE {ITEMS_CTE},\n", 1) + " UNION ALL ".join(selects)
+
+
+ORACLES["train_param_avg_sine"] = _sequence_training_sine("paragraph")
+ORACLES["train_per_document_sine"] = _sequence_training_sine("document")

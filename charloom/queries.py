@@ -431,6 +431,56 @@ def q_carried_state_loss(spark, sf_dir):
                     F.round(F.when(F.col("n_pred") > 0, F.col("loss") / F.col("n_pred")), 6).alias("mean_loss"))
 
 
+# training from non-zero weights: the sine model with a few hidden units, whose gradients reach every block.
+# Per-window clipping at SINE_CLIP meets some entries of every kind; the item texts are a corpus whose every
+# stride-1 window SQL can follow.
+SINE_CLIP = 1.0
+SINE_RATE = 0.002
+SINE_SEQUENCE_RATE = 0.5
+SINE = CFG.with_(init="sine", hidden=SQL_HIDDEN, clip=SINE_CLIP, epochs=2)
+
+
+def _items(spark, sf_dir) -> Corpus:
+    return Corpus.from_table(spark, sf_dir, "benchmark", SINE, key_col="item_id")
+
+
+def q_window_grads_sine(spark, sf_dir):
+    """N3 + A3 + A4 + P10 with non-zero weights: every block's gradient, through time,
+    of every tumbling window of the corpus, clipped per window, summed and averaged."""
+    from charloom.plans.score import window_grad_sums
+    c = _corpus(spark, sf_dir)
+    g = window_grad_sums(spark, c.corpus.segments, SINE, c.vocab, stride=L)
+    return g.select("block", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), "n_windows",
+                    F.round("g_sum", 3).alias("g_sum"), F.round("g_mean", 8).alias("g_mean"))
+
+
+def q_train_full_batch_sine(spark, sf_dir):
+    """T1 from non-zero weights: every stride-1 window of the item texts, two epochs,
+    so the second epoch uses what the first learned."""
+    from charloom.plans.train import fit_windows
+    return _metrics_out(fit_windows(_items(spark, sf_dir), SINE).metrics_df(spark))
+
+
+def q_train_mini_batch_sine(spark, sf_dir):
+    """T2 from non-zero weights, over sampled windows of the documents."""
+    from charloom.plans.train import fit_windows
+    c = _corpus(spark, sf_dir)
+    return _metrics_out(fit_windows(c, SINE, rate=SINE_RATE).metrics_df(spark))
+
+
+def q_train_param_avg_sine(spark, sf_dir):
+    """T3 + A5 from non-zero weights: paragraphs of the item texts, weights,
+    accumulators and states carried from window to window, then averaged."""
+    from charloom.plans.train import fit_sequences
+    return _metrics_out(fit_sequences(_items(spark, sf_dir), SINE, rate=SINE_SEQUENCE_RATE).metrics_df(spark))
+
+
+def q_train_per_document_sine(spark, sf_dir):
+    """T4 + N4 from non-zero weights: every item text one sequence."""
+    from charloom.plans.train import fit_sequences
+    return _metrics_out(fit_sequences(_items(spark, sf_dir), SINE, unit="document").metrics_df(spark))
+
+
 SAMPLE_LEN = 200
 
 
@@ -491,6 +541,11 @@ QUERIES = {
     "free_running_loss": q_free_running_loss,
     "training_samples": q_training_samples,
     "carried_state_loss": q_carried_state_loss,
+    "window_grads_sine": q_window_grads_sine,
+    "train_full_batch_sine": q_train_full_batch_sine,
+    "train_mini_batch_sine": q_train_mini_batch_sine,
+    "train_param_avg_sine": q_train_param_avg_sine,
+    "train_per_document_sine": q_train_per_document_sine,
 }
 
 FLAGSHIP = "doc_scores"
