@@ -9,21 +9,17 @@ from pyspark.sql import functions as F
 
 from charloom.config import RnnConfig
 from charloom.operators import corpus as C
-from charloom.operators.scan import CorpusSegments, corpus_segments
+from charloom.operators.scan import CorpusSegments, corpus_segments, line_positions
 from charloom.session import ship_package
 from charloom.sources.text import corpus_lines, read_table
 
 
-#: most input splits that are dealt anew over the cores: about 1 GB of files
-MOST_SPLITS_DEALT = 8
-
-
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A few file splits (one parquet row group is one) would leave cores idle;
-    deal their rows over the cores.  This moves at most ``MOST_SPLITS_DEALT``
-    splits' text, whatever the cluster; more splits are read as they are."""
-    target, splits = spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    return df.repartition(target) if splits < min(target, MOST_SPLITS_DEALT + 1) else df
+    """A table with fewer file splits than cores (one parquet row group is one split)
+    would leave cores idle: its rows are dealt over them, so a core takes in no more
+    than it would read.  A table with a split for every core is read as it is."""
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 class Corpus:
@@ -35,6 +31,8 @@ class Corpus:
         self.partitions = partitions
         self.docs = spread(spark, docs.select(key_col, text_col))
         self.lines = corpus_lines(self.docs, text_col, key_col)
+        #: whole texts, for positions by text instead of by line
+        self.texts = self.docs.select(F.col(key_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("line"))
 
     @classmethod
     def from_table(cls, spark: SparkSession, sf_dir: str, table: str = "documents",
@@ -48,7 +46,7 @@ class Corpus:
         self = cls.__new__(cls)
         self.spark, self.cfg, self.partitions = spark, cfg or RnnConfig(), None
         ship_package(spark)
-        self.lines = lines.select("doc_id", "line_no", "line")
+        self.lines, self.texts = lines.select("doc_id", "line_no", "line"), None
         return self
 
     @cached_property
@@ -69,4 +67,7 @@ class Corpus:
     @cached_property
     def corpus(self) -> CorpusSegments:
         return corpus_segments(self.spark, self.lines, halo=self.cfg.seq_len, piece=256,
-                               partitions=self.partitions)
+                               partitions=self.partitions, docs=self.texts)
+
+    def line_positions(self) -> DataFrame:
+        return line_positions(self.lines, self.partitions)

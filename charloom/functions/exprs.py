@@ -10,17 +10,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Values of the reproducible sampling hash: 15 hexadecimal digits of an md5.
+# Values of the reproducible hash have so many bits.
 HASH_BITS = 60
+# Fixed constants of the hash: the two start words, and the mixer's multipliers and
+# shifts.  Words have 32 bits and multipliers 31, so products fit 64 signed bits.
+HASH_STARTS = (0x1E3779B9, 0x05EBCA6B)
+HASH_MULTIPLIERS = (0x21F0AAAD, 0x735A2D97)
+HASH_SHIFTS = (16, 15, 15)
+WORD = 0xFFFFFFFF
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _mixed(word: Column) -> Column:
+    (a, b, c), (m, n) = HASH_SHIFTS, HASH_MULTIPLIERS
+    return _bound(word, lambda x: _bound(
+        (x.bitwiseXOR(F.shiftright(x, a)) * F.lit(m)).bitwiseAND(F.lit(WORD)), lambda y: _bound(
+            (y.bitwiseXOR(F.shiftright(y, b)) * F.lit(n)).bitwiseAND(F.lit(WORD)), lambda z: z.bitwiseXOR(F.shiftright(z, c)))))
 
 
 def unit_hash(seed: int, epoch, *keys) -> Column:
-    """Deterministic hash in [0, 2**HASH_BITS) of (seed, epoch, keys...): the first
-    digits of the md5 of the numbers joined by colons.  ``epoch`` and ``keys``
-    are ints or columns."""
-    parts = [v.cast("bigint").cast("string") if isinstance(v, Column) else F.lit(str(int(v)))
-             for v in (seed, epoch, *keys)]
-    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    """Deterministic hash in [0, 2**HASH_BITS) of (seed, epoch, keys...): two chains of
+    32-bit words, each key's low and high word mixed in in turn.  ``epoch`` and
+    ``keys`` are ints or columns."""
+    words = []
+    for v in (seed, epoch, *keys):
+        v = v.cast("bigint") if isinstance(v, Column) else F.lit(int(v)).cast("bigint")
+        words += [v.bitwiseAND(F.lit(WORD)), F.shiftright(v, 32).bitwiseAND(F.lit(WORD))]
+    high, low = (F.aggregate(F.array(*words), F.lit(s).cast("bigint"), lambda h, w: _mixed(h.bitwiseXOR(w))) for s in HASH_STARTS)
+    return F.shiftleft(high, HASH_BITS - 32) + F.shiftright(low, 64 - HASH_BITS)
 
 
 def keep_threshold(rate: float) -> int:

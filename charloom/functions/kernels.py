@@ -1,6 +1,6 @@
 """NumPy kernels of the stacked recurrent model, run inside Spark tasks.
 
-No Spark import: these functions see Arrow batches turned into arrays.
+These functions see Arrow batches turned into arrays.
 
 Model (per layer l; ``x`` is the one-hot input for layer 0 and the previous
 layer's raw logits above it):
@@ -18,10 +18,10 @@ row-major inside the block.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 
+from charloom.functions.exprs import HASH_BITS, HASH_MULTIPLIERS, HASH_SHIFTS, HASH_STARTS, WORD
+
 BLOCKS = ("Win", "Wh", "Wout", "bh", "bout")
 EPS = 1e-8
 _BLAS_PINNED = False
@@ -541,9 +541,21 @@ def inverse_cdf(p: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 def unit_hash(seed: int, epoch, *keys) -> np.ndarray:
     """NumPy twin of ``exprs.unit_hash``, broadcast over its arguments."""
-    def one(*numbers):
-        return int(hashlib.md5(":".join(map(str, numbers)).encode()).hexdigest()[:15], 16)
-    return np.vectorize(one, otypes=[np.int64])(seed, epoch, *keys)
+    keys = np.broadcast_arrays(*(np.asarray(k, dtype=np.int64) for k in (seed, epoch, *keys)))
+    word = np.uint64(WORD)
+    out = []
+    for start in HASH_STARTS:
+        h = np.full(keys[0].shape, start, np.uint64)
+        for k in keys:
+            k = k.astype(np.uint64)
+            for part in (k & word, k >> np.uint64(32)):
+                h ^= part
+                for shift, factor in zip(HASH_SHIFTS, (*HASH_MULTIPLIERS, None)):
+                    h ^= h >> np.uint64(shift)
+                    if factor:
+                        h = (h * np.uint64(factor)) & word
+        out.append(h)
+    return ((out[0] << np.uint64(HASH_BITS - 32)) + (out[1] >> np.uint64(64 - HASH_BITS))).astype(np.int64)
 
 
 def unit_uniform(seed: int, epoch, *keys) -> np.ndarray:
@@ -551,6 +563,52 @@ def unit_uniform(seed: int, epoch, *keys) -> np.ndarray:
     return (unit_hash(seed, epoch, *keys) >> 7) / float(1 << 53)
 
 
+#: positions that one stream of gaps samples
+GAP_BLOCK = 4096
+
+
+def gap_positions(rate: float, seed: int, epoch: int, blocks: np.ndarray, *keys: np.ndarray):
+    """A Bernoulli sample of the positions of each block (``blocks`` numbers them,
+    ``GAP_BLOCK`` positions each): geometric gaps from the block's own stream of
+    uniforms, so the work is a draw for each sampled position and one more for
+    each block.  Returns (which block, position), in order within a block."""
+    at = np.arange(len(blocks))
+    pos = blocks.astype(np.int64) * GAP_BLOCK - 1
+    end = pos + 1 + GAP_BLOCK
+    found, step = [], 0
+    while len(at):
+        u = unit_uniform(seed, epoch, *(k[at] for k in keys), blocks[at], step)
+        # beyond the block in any case; a gap need not fit an integer
+        gap = np.minimum(np.floor(np.log(1.0 - u) / np.log(1.0 - rate)), GAP_BLOCK + 1).astype(np.int64)
+        pos[at] += 1 + gap
+        at = at[pos[at] < end[at]]
+        found.append((at, pos[at]))
+        step += 1
+    which = np.concatenate([a for a, _ in found]) if found else at
+    place = np.concatenate([p for _, p in found]) if found else at
+    order = np.lexsort((place, which))
+    return which[order], place[order]
+
+
+def sampled_places(rate: float, seed: int, epoch: int, origin: np.ndarray, n: np.ndarray, *keys: np.ndarray):
+    """Rows that hold the positions ``origin`` to ``origin + n`` (of the sequence that
+    ``keys`` name): (row, place in the row) of every sampled position."""
+    first, last = origin // GAP_BLOCK, (origin + np.maximum(n, 1) - 1) // GAP_BLOCK
+    each = (last - first + 1) * (n > 0)
+    row = np.repeat(np.arange(len(origin)), each)
+    block = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+    streams, which = np.unique(np.stack([*(k[row] for k in keys), block]), axis=1, return_inverse=True)
+    of, place = gap_positions(rate, seed, epoch, streams[-1], *streams[:-1])
+    counts = np.bincount(of, minlength=streams.shape[1])
+    starts = np.cumsum(counts) - counts
+    k = counts[which]
+    at = np.repeat(starts[which], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+    rows = np.repeat(row, k)
+    inside = place[at] - origin[rows]
+    kept = (inside >= 0) & (inside < n[rows])
+    return rows[kept], inside[kept]
+
+
 def generate(params: dict, seeds: np.ndarray, steps: int, uniforms=None, h0=None) -> np.ndarray:
     """Advance every prompt together: feed the seed id, then each produced id.
 

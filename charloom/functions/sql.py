@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from charloom.functions.exprs import HASH_BITS, keep_threshold
+import math
+
+from charloom.functions.exprs import HASH_BITS, HASH_MULTIPLIERS, HASH_SHIFTS, HASH_STARTS, WORD, keep_threshold
+from charloom.functions.kernels import GAP_BLOCK
+
+
+def _mixed_sql(word: str) -> str:
+    (a, b, c), (m, n) = HASH_SHIFTS, HASH_MULTIPLIERS
+    return (f"list_transform([{word}], lambda x: list_transform([(xor(x, x >> {a}) * {m}) & {WORD}], lambda y: "
+            f"list_transform([(xor(y, y >> {b}) * {n}) & {WORD}], lambda z: xor(z, z >> {c}))[1])[1])[1]")
 
 
 def unit_hash_sql(seed: int, epoch, *keys: str) -> str:
-    parts = ", ':', ".join(f"CAST({k} AS BIGINT)" for k in (seed, epoch, *keys))
-    return f"CAST(('0x' || substr(md5(concat({parts})), 1, {HASH_BITS // 4})) AS BIGINT)"
+    words = []
+    for k in (seed, epoch, *keys):
+        k = f"CAST({k} AS BIGINT)"
+        words += [f"({k} & {WORD})", f"(({k} >> 32) & {WORD})"]
+    high, low = (f"list_reduce([{', '.join(words)}], lambda h, w: {_mixed_sql('xor(h, w)')}, CAST({s} AS BIGINT))" for s in HASH_STARTS)
+    return f"(({high} << {HASH_BITS - 32}) + ({low} >> {64 - HASH_BITS}))"
 
 
 def keep_sql(rate: float, seed: int, epoch, *keys: str) -> str:
@@ -18,6 +31,17 @@ def uniform_sql(seed: int, epoch, *keys: str) -> str:
     return f"CAST({unit_hash_sql(seed, epoch, *keys)} >> {HASH_BITS - 53} AS DOUBLE) / {float(1 << 53)}"
 
 
+def gap_sample_ctes(name: str, rate: float, seed: int, epochs: int, positions: str) -> list:
+    """``name(e, pos)``: positions 0.. below the number ``positions``, sampled by gaps
+    (see ``kernels.gap_positions``)."""
+    def gap(k: str) -> str:
+        return f"CAST(floor(ln(1 - {uniform_sql(seed, 'e', 'b', k)}) / {math.log(1 - rate)!r}) AS BIGINT)"
+    return [f"{name}_run AS (SELECT e, b, 0 AS k, b * {GAP_BLOCK} + {gap('0')} AS pos FROM (SELECT r.range AS e, s.range AS b FROM range({epochs}) r, "
+            f"range(({positions}) // {GAP_BLOCK} + 1) s) UNION ALL "
+            f"SELECT e, b, k + 1, pos + 1 + {gap('(k + 1)')} FROM {name}_run WHERE pos < (b + 1) * {GAP_BLOCK})",
+            f"{name} AS MATERIALIZED (SELECT e, pos FROM {name}_run WHERE pos < (b + 1) * {GAP_BLOCK} AND pos < ({positions}))"]
+
+
 def md5_int_sql(s: str) -> str:
     return f"CAST(('0x' || substr(md5({s}), 1, 8)) AS BIGINT)"
 

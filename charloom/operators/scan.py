@@ -1,43 +1,43 @@
-"""Corpus positions and halo segments with one range shuffle.
-
-The corpus order is ``(doc_id, line_no)``; every character has a global
-position (``goff``) and a position inside its document (``doff``).  Both are
-prefix sums over line lengths.  They are computed without a single-partition
-sort and without grouping by document (a document may hold a large share of
-the corpus):
-
-1. non-empty lines are range-partitioned on ``(doc_id, line_no)`` and sorted
-   inside each partition; the result is checkpointed so partition contents are
-   fixed even if executors are lost later;
-2. each partition is summarised in one streaming pass (characters, first and
-   last document, characters of the trailing document, first ``halo``
-   characters) -- one small row per partition;
-3. the driver turns the P summaries into per-partition bases (P numbers plus at
-   most ``halo`` characters each: bounded by the partition count, not the data)
-   and broadcasts them;
-4. a second streaming pass emits each line (long lines in pieces of at most
-   ``piece`` characters) with its offsets and the next ``halo`` characters of
-   the corpus, taken from the same partition or from the following partitions'
-   heads.
-
-Windows that cross line, document and partition borders are then local to a
-row: the segment ``text`` holds the row's own characters followed by the halo.
+"""Ordered scans over the corpus: positions, following characters, running values.
+
+The corpus order is ``(doc_id, line_no)``; every character has a global position
+(``goff``) and a position inside its document (``doff``).  Positions are prefix
+sums over lengths, so only keys, lengths and the first ``halo`` characters of a
+row are moved, never its text:
+
+1. the small rows (keys, length, head) are range-partitioned on the order, which
+   splits a document of any size, and checkpointed, so partitions stay as they are
+   even if executors are lost;
+2. each partition is summed up to one value, and the values are scanned as a tree:
+   within blocks of about sqrt(P) partitions, over the blocks, then joined back.
+   A scan works for any associative step (``exclusive``): sums, the characters that
+   follow, or affine maps.  Nothing of size P reaches the driver;
+3. a row's result is its partition's value put together with the rows before (or
+   after) it in the partition.
+
+Where a row's text and its position must meet (windows), they are joined on the
+key: positions go to all tasks if they are small by count (``BROADCAST_BYTES``),
+else the text moves once.  Windows that cross line, document and partition borders are then local
+to a row: a segment's ``text`` holds its own characters and the next ``halo``.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from charloom.session import ensure_checkpoint_dir
+from charloom.sources.text import LINE_BREAK
 
-SUMMARY_SCHEMA = ("pid int, n_rows bigint, n_chars bigint, first_doc bigint, last_doc bigint, "
-                  "last_doc_chars bigint, head string")
 SEGMENT_SCHEMA = ("doc_id bigint, line_no bigint, piece int, n_line int, goff bigint, doff bigint, "
                   "n_own int, text string")
+#: positions up to this size are sent to every task that reads text
+BROADCAST_BYTES = 64 << 20
 _SEG_COLS = ["doc_id", "line_no", "piece", "n_line", "goff", "doff", "n_own", "text"]
 
 
@@ -59,146 +59,170 @@ def default_partitions(spark: SparkSession, df: DataFrame | None = None) -> int:
     return max(1, p)
 
 
-def ranged_lines(lines: DataFrame, partitions: int) -> DataFrame:
-    """Non-empty lines in corpus order: range partitions, sorted, tagged with
-    their partition id and checkpointed to the shared checkpoint folder."""
-    ranged = (lines.where(F.length("line") > 0)
-              .select("doc_id", "line_no", "line")
-              .repartitionByRange(partitions, "doc_id", "line_no")
-              .sortWithinPartitions("doc_id", "line_no")
-              .withColumn("pid", F.spark_partition_id()))
-    return ranged.checkpoint(eager=True)
+def ordered(rows: DataFrame, order: list[str], partitions: int) -> DataFrame:
+    """``rows`` range-partitioned in order, tagged with their partition (``pid``) and
+    checkpointed to the shared checkpoint folder."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return (rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+            .withColumn("pid", F.spark_partition_id()).checkpoint(eager=True))
+
+
+def exclusive(parts: DataFrame, partitions: int, zero: Column, step, ahead: bool = False) -> DataFrame:
+    """``pid, value``: for every partition, ``step`` folded over the values of the
+    partitions before it (``ahead``: of those after it, the farthest first).
+
+    ``parts`` has one row ``pid, value`` per partition; ``step(done, value)`` is
+    associative and starts from ``zero``.  A tree of two levels: no list is longer
+    than about the square root of the number of partitions."""
+    size = math.isqrt(partitions) + 1
+
+    def towards(c: str) -> Column:
+        return F.col(c).desc() if ahead else F.col(c).asc()
+
+    def folded(values: Column) -> Column:
+        return F.aggregate(values, zero, step)
+    before = (Window.unboundedPreceding, -1)
+    rows = parts.withColumn("block", F.floor(F.col("pid") / size))
+    inner = rows.withColumn("inner", folded(F.collect_list("value").over(
+        Window.partitionBy("block").orderBy(towards("pid")).rowsBetween(*before))))
+    listed = F.sort_array(F.collect_list(F.struct("pid", "value")), asc=not ahead)
+    totals = rows.groupBy("block").agg(folded(F.transform(listed, lambda x: x["value"])).alias("total"))
+    outer = totals.select("block", folded(F.collect_list("total").over(
+        Window.orderBy(towards("block")).rowsBetween(*before))).alias("outer"))
+    return inner.join(outer, "block").select("pid", step(F.col("outer"), F.col("inner")).alias("value"))
+
+
+def _plus(done: Column, value: Column) -> Column:
+    return done + value
+
+
+def ranged_lines(lines: DataFrame, partitions: int, halo: int = 0) -> DataFrame:
+    """Keys, length and head of every line with a character, in corpus order."""
+    return ordered(lines.where(F.length("line") > 0).select(
+        "doc_id", "line_no", F.length("line").cast("bigint").alias("n"), F.substring("line", 1, halo).alias("head")),
+        ["doc_id", "line_no"], partitions)
+
+
+def positions(ranged: DataFrame, partitions: int, halo: int = 0) -> DataFrame:
+    """``doc_id, line_no, n, goff, after`` of the rows of :func:`ranged_lines`: the
+    characters before each, and the ``halo`` characters that follow it."""
+    here = Window.partitionBy("pid").orderBy("doc_id", "line_no")
+    zero = F.lit(0).cast("bigint")
+    # every row has a character, so the next `halo` rows hold what follows
+    ahead = F.array_join(F.collect_list("head").over(here.rowsBetween(1, max(1, halo))), "") if halo else F.lit("")
+    inside = ranged.select(
+        "pid", "doc_id", "line_no", "n", F.coalesce(F.sum("n").over(here.rowsBetween(Window.unboundedPreceding, -1)), zero).alias("before"),
+        F.row_number().over(here).alias("at"), "head", F.substring(ahead, 1, halo).alias("ahead"))
+    parts = inside.groupBy("pid").agg(F.sum("n").alias("n"), F.min_by(F.concat("head", "ahead"), "at").alias("front"))
+    base = exclusive(parts.select("pid", F.col("n").alias("value")), partitions, zero, _plus).withColumnRenamed("value", "base")
+    out = inside.join(base, "pid")
+    if halo:
+        def follows(done: Column, front: Column) -> Column:
+            return F.substring(F.concat(front, done), 1, halo)
+        rest = exclusive(parts.select("pid", F.substring("front", 1, halo).alias("value")), partitions, F.lit(""), follows, ahead=True)
+        out = out.join(rest.withColumnRenamed("value", "rest"), "pid")
+    after = F.substring(F.concat("ahead", "rest"), 1, halo) if halo else F.lit("")
+    return out.select("doc_id", "line_no", "n", (F.col("base") + F.col("before")).alias("goff"), after.alias("after"))
+
+
+def line_positions(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """O2: ``doc_id, line_no, goff, doff, n`` of every line with a character.  Keys and
+    lengths are all that is moved; a document's start is its lines' smallest position."""
+    p = partitions or default_partitions(lines.sparkSession, lines)
+    found = positions(ranged_lines(lines, p), p)
+    starts = found.groupBy("doc_id").agg(F.min("goff").alias("start"))
+    return found.join(starts, "doc_id").select("doc_id", "line_no", "goff", (F.col("goff") - F.col("start")).alias("doff"), "n")
+
+
+def _emit_segments(halo: int, piece: int, split: bool):
+    import re
+    breaks = re.compile(LINE_BREAK)
 
-
-def _summarise(halo: int):
     def run(batches):
-        pid = None
-        n_rows = n_chars = last_doc_chars = 0
-        first_doc = last_doc = None
-        head_parts, head_len = [], 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["pid"].iloc[0])
-            lens = pdf["line"].str.len().to_numpy()
-            docs = pdf["doc_id"].to_numpy()
-            if first_doc is None:
-                first_doc = int(docs[0])
-            tail = int(docs[-1])
-            if last_doc is not None and int(docs[0]) == tail == last_doc:
-                last_doc_chars += int(lens.sum())
-            else:
-                last_doc_chars = int(lens[docs == tail].sum())
-            last_doc = tail
-            n_rows += len(pdf)
-            n_chars += int(lens.sum())
-            if head_len < halo:
-                for line in pdf["line"]:
-                    head_parts.append(line[: halo - head_len])
-                    head_len += len(head_parts[-1])
-                    if head_len >= halo:
-                        break
-        if pid is not None:
-            yield pd.DataFrame([{
-                "pid": pid, "n_rows": n_rows, "n_chars": n_chars, "first_doc": first_doc,
-                "last_doc": last_doc, "last_doc_chars": last_doc_chars, "head": "".join(head_parts)}])
-    return run
-
-
-def partition_bases(summaries: list[dict], halo: int) -> dict:
-    """Driver step over P summary rows: global base offset, carried document
-    offset and the ``halo`` characters that follow each partition."""
-    summaries = sorted(summaries, key=lambda r: r["pid"])
-    bases, goff = {}, 0
-    run_doc, run_chars = None, 0
-    for r in summaries:
-        carry = run_chars if r["first_doc"] == run_doc else 0
-        if r["first_doc"] == r["last_doc"]:
-            run_doc, run_chars = r["first_doc"], carry + r["n_chars"]
-        else:
-            run_doc, run_chars = r["last_doc"], r["last_doc_chars"]
-        bases[r["pid"]] = {"goff": goff, "doc_carry": carry, "first_doc": r["first_doc"], "after": ""}
-        goff += r["n_chars"]
-    after = ""
-    for r in reversed(summaries):
-        bases[r["pid"]]["after"] = after
-        after = (r["head"] + after)[:halo]
-    return {"bases": bases, "total": goff}
-
-
-def _emit_segments(meta_bc, halo: int, piece: int):
-    def run(batches):
-        meta = meta_bc.value["bases"]
-        pending = []          # (doc_id, line_no, piece_no, n_line, goff, doff, own_len) awaiting halo
-        buf, buf_start = "", 0
-        goff = doff = None
-        cur_doc = None
-        base = None
-        out = []
-
-        def flush(final: bool):
-            nonlocal buf, buf_start
-            buf_end = buf_start + len(buf)
-            keep = []
-            for p in pending:
-                g, own = p[4], p[6]
-                if final or g + own + halo <= buf_end:
-                    out.append(p + (buf[g - buf_start: g + own + halo - buf_start],))
-                else:
-                    keep.append(p)
-            pending[:] = keep
-            cut = (pending[0][4] if pending else buf_end) - buf_start
-            if cut > 0:
-                buf, buf_start = buf[cut:], buf_start + cut
-
         for pdf in batches:
-            if pdf.empty:
-                continue
-            if base is None:
-                base = meta[int(pdf["pid"].iloc[0])]
-                goff = buf_start = base["goff"]
-                cur_doc, doff = base["first_doc"], base["doc_carry"]
-            parts = []
-            for doc, line_no, line in zip(pdf["doc_id"].tolist(), pdf["line_no"].tolist(),
-                                          pdf["line"].tolist()):
-                if doc != cur_doc:
-                    cur_doc, doff = doc, 0
-                n = len(line)
-                for k in range(0, n, piece):
-                    pending.append((doc, line_no, k // piece, n, goff + k, doff + k, min(piece, n - k)))
-                parts.append(line)
-                goff += n
-                doff += n
-            buf += "".join(parts)
-            flush(False)
-            if out:
-                yield pd.DataFrame(out, columns=_SEG_COLS)
-                out.clear()
-        if base is not None:
-            buf += base["after"]
-            flush(True)
-            if out:
-                yield pd.DataFrame(out, columns=_SEG_COLS)
+            out = []
+            for doc, first, text, goff, doff, after in zip(pdf["doc_id"], pdf["line_no"], pdf["line"], pdf["goff"], pdf["doff"], pdf["after"]):
+                lines = breaks.split(text) if split else [text]
+                whole, at = "".join(lines) + after, 0
+                for no, line in enumerate(lines):
+                    n = len(line)
+                    for k in range(0, n, piece):
+                        own = min(piece, n - k)
+                        out.append((doc, first + no, k // piece, n, goff + at + k, doff + at + k, own, whole[at + k:at + k + own + halo]))
+                    at += n
+                if len(out) > 20_000:
+                    yield pd.DataFrame(out, columns=_SEG_COLS)
+                    out = []
+            yield pd.DataFrame(out, columns=_SEG_COLS)
     return run
 
 
 def corpus_segments(spark: SparkSession, lines: DataFrame, halo: int, piece: int = 1024,
-                    partitions: int | None = None) -> CorpusSegments:
+                    partitions: int | None = None, docs: DataFrame | None = None) -> CorpusSegments:
     """Segments of the whole corpus (see module doc).  ``halo`` is the number of
     characters a window needs beyond its start (``seq_len`` for windows of
-    ``seq_len + 1``)."""
+    ``seq_len + 1``).  ``docs(doc_id, line)`` are the texts that the lines come
+    from, where there are such: positions are then found per text, a row for each
+    text instead of each line."""
+    split = docs is not None
+    rows = docs.select("doc_id", F.lit(0).cast("bigint").alias("line_no"), "line") if split else lines.select("doc_id", "line_no", "line")
+    # line ends are these two characters
+    bare = rows.withColumn("line", F.translate("line", "\r\n", "")) if split else rows
     p = partitions or default_partitions(spark, lines)
-    ensure_checkpoint_dir(spark)
-    ranged = ranged_lines(lines, p)
-    summaries = [r.asDict() for r in ranged.mapInPandas(_summarise(halo), SUMMARY_SCHEMA).collect()]
-    meta = partition_bases(summaries, halo)
-    meta_bc = spark.sparkContext.broadcast(meta)
-    segs = ranged.mapInPandas(_emit_segments(meta_bc, halo, piece), SEGMENT_SCHEMA)
-    return CorpusSegments(segs, meta["total"], p)
+    ranged = ranged_lines(bare, p, halo)
+    sums = ranged.agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.countDistinct("doc_id", "line_no").alias("keys")).first()
+    if sums["rows"] != sums["keys"]:
+        raise ValueError("two texts of the corpus have one key; their order is not defined")
+    found = positions(ranged, p, halo)
+    if split:
+        found = found.withColumn("doff", F.lit(0).cast("bigint"))
+    else:
+        starts = found.groupBy("doc_id").agg(F.min("goff").alias("start"))
+        found = found.join(starts, "doc_id").withColumn("doff", F.col("goff") - F.col("start")).drop("start")
+    # read again by every job: an epoch reads positions and texts, and moves neither sums nor heads
+    found = found.checkpoint(eager=True)
+    # a position's size is known: keys, sums and twice the halo; beyond the limit the text moves once, by key
+    small = sums["rows"] * (64 + 4 * halo) <= BROADCAST_BYTES
+    beside = F.broadcast(found.drop("n")) if small else found.drop("n").hint("merge")
+    joined = rows.join(beside, ["doc_id", "line_no"])
+    segs = joined.select("doc_id", "line_no", "line", "goff", "doff", "after").mapInPandas(_emit_segments(halo, piece, split), SEGMENT_SCHEMA)
+    return CorpusSegments(segs, int(sums["n"] or 0), p)
 
 
 def line_offsets(segments: DataFrame) -> DataFrame:
-    """O2: ``(doc_id, line_no, goff, doff, n)`` from the first piece of each line
-    (no shuffle: a line's pieces never leave the task that emitted them)."""
+    """``(doc_id, line_no, goff, doff, n)`` from the first piece of each line, where
+    segments are at hand (a line's pieces never leave the task that emitted them)."""
     return (segments.where(F.col("piece") == 0)
             .select("doc_id", "line_no", "goff", "doff", F.col("n_line").cast("bigint").alias("n")))
+
+
+# ---------------------------------------------------------------- running values
+def smoothed(steps: DataFrame, order: list[str], loss: str, start: float, keep: float = 0.999,
+             partitions: int | None = None) -> DataFrame:
+    """A8 per step: ``smooth = keep * smooth + (1 - keep) * loss`` in ``order`` over a
+    table of any size, from ``start``; all columns of ``steps`` and ``smooth``.
+
+    A run of k steps is the affine map ``x -> keep**k * x + b``; maps of partitions
+    are put together by :func:`exclusive`."""
+    p = partitions or default_partitions(steps.sparkSession, steps)
+    rows = ordered(steps, order, p)
+    here = rows.schema
+
+    def run(batches):
+        b, k = 0.0, 0
+        for pdf in batches:
+            values = pdf[loss].to_numpy(dtype=float)
+            out = np.empty(len(values))
+            for i in range(len(values)):
+                b = keep * b + (1.0 - keep) * values[i]
+                out[i] = b
+            yield pdf.assign(_k=np.arange(k + 1, k + len(values) + 1), _b=out)
+            k += len(values)
+
+    run_rows = rows.mapInPandas(run, here.add("_k", "bigint").add("_b", "double"))
+    parts = run_rows.groupBy("pid").agg(F.max(F.struct("_k", "_b")).alias("last")).select("pid", F.struct(
+        F.pow(F.lit(keep), F.col("last._k")).alias("a"), F.col("last._b").alias("b")).alias("value"))
+    zero = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+    entry = exclusive(parts, p, zero, lambda done, x: F.struct((done["a"] * x["a"]).alias("a"), (done["b"] * x["a"] + x["b"]).alias("b")))
+    value = F.pow(F.lit(keep), F.col("_k")) * (F.col("value.a") * F.lit(float(start)) + F.col("value.b")) + F.col("_b")
+    return run_rows.join(entry, "pid").select(*steps.columns, value.alias("smooth"))

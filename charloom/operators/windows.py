@@ -17,9 +17,13 @@ row, and the substring work per window is O(seq_len).
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from charloom.functions import kernels as K
+
 WINDOW_PIECE = 256
 
 
@@ -58,38 +62,58 @@ def piece_starts(seq_len: int, stride: int = 1, origin: Column | None = None, li
 
 
 def window_rows(pieces: DataFrame, seq_len: int, stride: int = 1, origin: Column | None = None,
-                limit: Column | None = None, keep=("doc_id", "line_no"), sample=None,
-                sample_keys=()) -> DataFrame:
+                limit: Column | None = None, keep=("doc_id", "line_no")) -> DataFrame:
     """Explode whole windows of ``seq_len + 1`` chars starting in each piece.
 
     ``origin`` is the position of the piece's first char in the frame the
     stride is aligned to (starts satisfy ``(origin + s) % stride == 0``);
     ``limit`` optionally bounds starts to ``origin + s < limit``.
-    ``sample=(rate, seed, epochs)`` keeps, per epoch, the starts whose hash
-    passes the Bernoulli test *before* any window string is cut (adds an
-    ``epoch`` column); the hash covers ``sample_keys`` and the start.
     """
     origin = origin if origin is not None else F.lit(0)
     starts = piece_starts(seq_len, stride, origin, limit)
     # explode + substring stays inside whole-stage codegen; pieces are at most
     # piece + halo characters, so the UTF-8 scan of substring is bounded
     rows = pieces.select(*keep, origin.alias("_origin"), "text", F.explode(starts).alias("_s"))
-    extra = []
-    if sample is not None:
-        from charloom.functions.exprs import bernoulli_keep
-        rate, seed, epochs = sample
-        rows = (rows.withColumn("epoch", F.explode(F.array(*[F.lit(e).cast("bigint") for e in epochs])))
-                .where(bernoulli_keep(rate, seed, F.col("epoch"), *map(F.col, sample_keys),
-                                      F.col("_origin") + F.col("_s"))))
-        extra = ["epoch"]
-    return rows.select(*keep, *extra, (F.col("_origin") + F.col("_s")).alias("start"),
+    return rows.select(*keep, (F.col("_origin") + F.col("_s")).alias("start"),
                        F.substring(F.col("text"), F.col("_s") + 1, F.lit(seq_len + 1)).alias("win"))
 
 
+def sampled_window_rows(pieces: DataFrame, seq_len: int, origin: str, sample, keys=(), keep=("doc_id", "line_no")) -> DataFrame:
+    """``sample=(rate, seed, epochs)`` keeps, per epoch, a Bernoulli sample of the
+    whole stride-1 windows (adds an ``epoch`` column).  Starts are drawn by gaps
+    (``kernels.sampled_places``) along the position ``origin`` of the sequence that
+    ``keys`` name, and only sampled windows are cut: the work beside reading the
+    pieces follows the sample, not the number of starts."""
+    rate, seed, epochs = sample
+    schema = ", ".join(f"{c} bigint" for c in keep) + ", epoch bigint, start bigint, win string"
+
+    def run(batches):
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            lens = np.fromiter(map(len, texts), np.int64, len(texts))
+            whole = np.maximum(0, np.minimum(pdf["n_own"].to_numpy(dtype=np.int64), lens - seq_len))
+            first = pdf[origin].to_numpy(dtype=np.int64)
+            named = [pdf[k].to_numpy(dtype=np.int64) for k in keys]
+            for epoch in epochs:
+                if rate >= 1.0:
+                    rows, places = K.window_starts(lens, pdf["n_own"].to_numpy(), seq_len)
+                elif rate > 0.0:
+                    rows, places = K.sampled_places(rate, seed, epoch, first, whole, *named)
+                else:
+                    continue
+                out = {c: pdf[c].to_numpy()[rows] for c in keep}
+                yield pd.DataFrame(out | {"epoch": epoch, "start": first[rows] + places, "win": pd.Series(
+                    [texts[r][p:p + seq_len + 1] for r, p in zip(rows, places)], dtype=object)})
+
+    return pieces.select(*dict.fromkeys((*keep, *keys, origin, "n_own", "text"))).mapInPandas(run, schema)
+
+
 def line_sliding_windows(lines: DataFrame, seq_len: int, sample=None) -> DataFrame:
     """``(doc_id, line_no, start, window)``, start = position in the line."""
     pieces = line_pieces(lines.where(F.length("line") > seq_len), halo=seq_len)
-    return window_rows(pieces, seq_len, 1, origin=F.col("offset"), sample=sample, sample_keys=("doc_id", "line_no"))
+    if sample is not None:
+        return sampled_window_rows(pieces, seq_len, "offset", sample, keys=("doc_id", "line_no"))
+    return window_rows(pieces, seq_len, 1, origin=F.col("offset"))
 
 
 def paragraph_windows(lines: DataFrame, seq_len: int) -> DataFrame:
@@ -103,7 +127,9 @@ def paragraph_windows(lines: DataFrame, seq_len: int) -> DataFrame:
 def corpus_sliding_windows(segments: DataFrame, seq_len: int, sample=None) -> DataFrame:
     """W1 from corpus segments: ``(doc_id, line_no, start, window)``,
     start = global corpus position.  N - seq_len windows in total."""
-    return window_rows(segments, seq_len, 1, origin=F.col("goff"), sample=sample)
+    if sample is not None:
+        return sampled_window_rows(segments, seq_len, "goff", sample)
+    return window_rows(segments, seq_len, 1, origin=F.col("goff"))
 
 
 def corpus_tumbling_windows(segments: DataFrame, seq_len: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from charloom.functions.sql import (CHARS_CTE, GCHARS_CTE, LINES_CTE, NONEMPTY_CTE, VOCAB_CTE,
+from charloom.functions.sql import (CHARS_CTE, GCHARS_CTE, gap_sample_ctes, LINES_CTE, NONEMPTY_CTE, VOCAB_CTE,
                                     keep_sql, md5_int_sql, with_ctes)
 from charloom.queries import (CFG, PARAGRAPH_SAMPLE_RATE, SAMPLE_EPOCHS, WINDOW_SAMPLE_RATE, L)
 
@@ -89,10 +89,10 @@ ORACLES = {
         f"CAST(sum({CHUNKS_SQL}) AS BIGINT) AS n_chunks FROM nonempty GROUP BY doc_id)") + (
         "SELECT pd.doc_id, n_paragraphs, n_idle, n_chunks, CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows, "
         "CAST(coalesce(checksum, 0) AS BIGINT) AS checksum FROM pd LEFT JOIN ws USING (doc_id)"),
-    "sampled_windows": _base(CORPUS_WINDOWS_CTE) + (
-        f"SELECT CAST(epoch AS BIGINT) AS epoch, CAST(gpos AS BIGINT) AS start, win "
-        f"FROM gwin CROSS JOIN {EPOCHS_SQL} WHERE length(win) = {L + 1} AND "
-        f"{keep_sql(WINDOW_SAMPLE_RATE, CFG.seed, 'epoch', 'gpos')}"),
+    "sampled_windows": _base(CORPUS_WINDOWS_CTE, *gap_sample_ctes("picked", WINDOW_SAMPLE_RATE, CFG.seed, len(SAMPLE_EPOCHS),
+                                                                 f"SELECT greatest(0, count(*) - {L}) FROM gchars")).replace(
+        "WITH ", "WITH RECURSIVE ", 1) + (
+        "SELECT CAST(e AS BIGINT) AS epoch, CAST(gpos AS BIGINT) AS start, win FROM gwin JOIN picked ON pos = gpos"),
     "sampled_paragraphs": _base() + (
         f"SELECT CAST(epoch AS BIGINT) AS epoch, doc_id, line_no, CAST(length(line) AS BIGINT) AS n "
         f"FROM nonempty CROSS JOIN {EPOCHS_SQL} WHERE "
@@ -327,16 +327,15 @@ T1_N = f"nwin AS (SELECT e.epoch, count(*) - {L} AS nw FROM gchars, range({T1_EP
 
 ORACLES["train_full_batch"] = _zero_bias_training(T1_HIST, T1_N, T1_EPOCHS)
 
-T2_SAMPLED = (
-    f"sw AS (SELECT e.epoch, gpos AS start, win FROM gwin, range({T2_EPOCHS}) e(epoch) "
-    f"WHERE length(win) = {L + 1} AND {keep_sql(T2_RATE, CFG.seed, 'e.epoch', 'gpos')})")
+T2_PICKED = gap_sample_ctes("picked", T2_RATE, CFG.seed, T2_EPOCHS, f"SELECT greatest(0, count(*) - {L}) FROM gchars")
+T2_SAMPLED = "sw AS (SELECT e AS epoch, gpos AS start, win FROM gwin JOIN picked ON pos = gpos)"
 T2_HIST = (
     f"hist AS (SELECT epoch, c, k, count(*) AS m FROM (SELECT epoch, start, v.id AS c, count(*) AS k FROM ("
     f"SELECT epoch, start, unnest(string_split(substr(win, 2, {L}), '')) AS ch FROM sw) t JOIN vocab v USING (ch) "
     "GROUP BY epoch, start, v.id) GROUP BY epoch, c, k)")
 T2_N = "nwin AS (SELECT epoch, count(*) AS nw FROM sw GROUP BY epoch)"
 
-ORACLES["train_mini_batch"] = _zero_bias_training(T2_HIST, T2_N, T2_EPOCHS, (CORPUS_WINDOWS_CTE, T2_SAMPLED))
+ORACLES["train_mini_batch"] = _zero_bias_training(T2_HIST, T2_N, T2_EPOCHS, (CORPUS_WINDOWS_CTE, *T2_PICKED, T2_SAMPLED))
 
 ORACLES["inverse_cdf_sample"] = _rbase(
     f"cdf AS (SELECT id, CAST(sum(n) OVER (ORDER BY id ROWS UNBOUNDED PRECEDING) AS DOUBLE) / "
@@ -610,17 +609,17 @@ ORACLES["window_grads_sine"] = _rbase(
     "round(coalesce(g, 0.0) / (SELECT n FROM loss0), 8) AS g_mean FROM m0 m LEFT JOIN g0 USING (block, i, j)")
 
 
-def _window_training_sine(ctes: list, starts: str) -> str:
+def _window_training_sine(ctes: list, starts: str, picked=()) -> str:
     more, selects = R.window_training(SINE.epochs, *SHAPE, SINE.learn_rate, _per_window)
-    base = _rbase(*SINE_CTES, _steps(starts), *more)
+    base = _rbase(*SINE_CTES, *picked, _steps(starts), *more)
     return base.replace("WITH RECURSIVE ", "WITH RECURSIVE " + "".join(c + ",\n" for c in ctes), 1) + " UNION ALL ".join(selects)
 
 
 ORACLES["train_full_batch_sine"] = _window_training_sine([ITEMS_CTE], (
     f"SELECT r.range AS e, gpos AS w FROM gchars, range({SINE.epochs}) r WHERE gpos + {L} < (SELECT count(*) FROM gchars)"))
-ORACLES["train_mini_batch_sine"] = _window_training_sine([], (
-    f"SELECT r.range AS e, gpos AS w FROM gchars, range({SINE.epochs}) r WHERE gpos + {L} < (SELECT count(*) FROM gchars) "
-    f"AND {keep_sql(SINE_RATE, SINE.seed, 'r.range', 'gpos')}"))
+ORACLES["train_mini_batch_sine"] = _window_training_sine(
+    [], "SELECT e, pos AS w FROM picked",
+    gap_sample_ctes("picked", SINE_RATE, SINE.seed, SINE.epochs, f"SELECT greatest(0, count(*) - {L}) FROM gchars"))
 
 
 def _sequences(unit: str) -> list:

@@ -17,7 +17,6 @@ from charloom.corpus_context import Corpus
 from charloom.functions.exprs import bernoulli_keep, clip_col, md5_int
 from charloom.operators import corpus as C
 from charloom.operators import windows as W
-from charloom.operators.scan import line_offsets
 from charloom.sources.text import read_table
 
 CFG = RnnConfig()
@@ -143,7 +142,7 @@ def q_text_round_trip(spark, sf_dir):
 # ---------------------------------------------------------------- positions / windows
 def q_line_offsets(spark, sf_dir):
     c = _corpus(spark, sf_dir)
-    return line_offsets(c.corpus.segments)
+    return c.line_positions()
 
 
 def q_eval_prefix(spark, sf_dir):
