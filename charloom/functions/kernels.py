@@ -424,7 +424,7 @@ def chunk_count(n: np.ndarray, seq_len: int, mode: str) -> np.ndarray:
 
 
 def train_sequences(params: dict, accs: dict, seqs: list, cfg, mode: str = "paragraph",
-                    budget: int = 4_000_000):
+                    budget: int = 4_000_000, states: np.ndarray | None = None):
     """Local training of every sequence from the same starting weights and
     AdaGrad accumulators: ``cfg.iters`` passes of sequential windows, hidden state
     carried from window to window and reset at each pass, AdaGrad after every
@@ -432,7 +432,8 @@ def train_sequences(params: dict, accs: dict, seqs: list, cfg, mode: str = "para
     weights; a batch holds about ``budget`` doubles.
 
     Returns (loss of the first pass, sum of final weights, sum of final
-    accumulators, total ids, number of sequences).
+    accumulators, total ids, number of sequences).  ``states`` (n,NL,H), where
+    given, takes the hidden states after each sequence's last window.
     """
     layers, hidden, vocab = dims(params)
     L = cfg.seq_len
@@ -466,6 +467,8 @@ def train_sequences(params: dict, accs: dict, seqs: list, cfg, mode: str = "para
                 h[:act] = h_last
                 if it == 0:
                     total_loss += float(losses.sum())
+            if states is not None:
+                states[idx] = h
         for b in BLOCKS:
             w_sum[b] += w[b].sum(axis=0)
             a_sum[b] += a[b].sum(axis=0)

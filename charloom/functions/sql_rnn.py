@@ -169,9 +169,9 @@ def chunk_step(hidden: int, steps: int, clip: float, rate: float) -> str:
 
 
 def sequence_training(chunks: str, epochs: int, hidden: int, steps: int, clip: float, rate: float, smooth) -> tuple:
-    """CTEs and selects of T3 or T4.  ``chunks`` names a relation (e, q, n, cs): per
-    epoch and sequence its characters' number and the list of its windows (each a
-    list of characters)."""
+    """CTEs and selects of T3 or T4.  ``chunks`` names a relation (e, q, n, ids, cs):
+    per epoch and sequence its characters' number, its characters and the list of
+    its windows (each a list of characters)."""
     order = "CASE block WHEN 'Win' THEN 0 WHEN 'Wh' THEN 1 WHEN 'Wout' THEN 2 WHEN 'bh' THEN 3 ELSE 4 END, i, j"
     zeros = "[" + ", ".join(["CAST(0.0 AS DOUBLE)"] * (hidden + 1)) + "]"
     step = chunk_step(hidden, steps, clip, rate)
@@ -179,7 +179,7 @@ def sequence_training(chunks: str, epochs: int, hidden: int, steps: int, clip: f
     selects, before = [], f"{steps} * ln((SELECT count(*) FROM vocab))"
     for e in range(epochs):
         ctes += [
-            f"q{e} AS MATERIALIZED (SELECT n, len(cs) AS ch, CASE WHEN len(cs) = 0 THEN list_concat(list_concat(l.w, l.a), {zeros}) ELSE "
+            f"q{e} AS MATERIALIZED (SELECT d.q, d.ids, n, len(cs) AS ch, CASE WHEN len(cs) = 0 THEN list_concat(list_concat(l.w, l.a), {zeros}) ELSE "
             f"list_reduce(cs, lambda s, c: {step}, list_concat(list_concat(l.w, l.a), {zeros})) END AS s, k "
             f"FROM {chunks} d, l{e} l, (SELECT count(*) AS v FROM vocab), (SELECT count(*) AS k FROM m0) WHERE d.e = {e})",
             f"tot{e} AS MATERIALIZED (SELECT count(*) AS n, coalesce(sum(n), 0) AS len, coalesce(sum(ch), 0) AS chunks, "

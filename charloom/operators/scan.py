@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from charloom.session import ensure_checkpoint_dir
 from charloom.sources.text import LINE_BREAK
@@ -206,7 +207,7 @@ def smoothed(steps: DataFrame, order: list[str], loss: str, start: float, keep:
     are put together by :func:`exclusive`."""
     p = partitions or default_partitions(steps.sparkSession, steps)
     rows = ordered(steps, order, p)
-    here = rows.schema
+    schema = T.StructType([*rows.schema.fields, T.StructField("_k", T.LongType()), T.StructField("_b", T.DoubleType())])
 
     def run(batches):
         b, k = 0.0, 0
@@ -219,7 +220,7 @@ def smoothed(steps: DataFrame, order: list[str], loss: str, start: float, keep:
             yield pdf.assign(_k=np.arange(k + 1, k + len(values) + 1), _b=out)
             k += len(values)
 
-    run_rows = rows.mapInPandas(run, here.add("_k", "bigint").add("_b", "double"))
+    run_rows = rows.mapInPandas(run, schema)
     parts = run_rows.groupBy("pid").agg(F.max(F.struct("_k", "_b")).alias("last")).select("pid", F.struct(
         F.pow(F.lit(keep), F.col("last._k")).alias("a"), F.col("last._b").alias("b")).alias("value"))
     zero = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))

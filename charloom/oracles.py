@@ -67,6 +67,9 @@ ORACLES = {
     "text_round_trip": _base() + (
         f"SELECT CAST(length(line) AS BIGINT) AS n, {md5_int_sql('line')} AS checksum, CAST(count(*) AS BIGINT) AS copies "
         "FROM lines GROUP BY ALL"),
+    "text_order": _base() + (
+        "SELECT CAST(coalesce(sum(length(line)) OVER (ORDER BY doc_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+        f"AS BIGINT) AS goff, CAST(length(line) AS BIGINT) AS n, {md5_int_sql('line')} AS checksum FROM nonempty"),
     "line_offsets": _base() + (
         "SELECT doc_id, line_no, "
         "CAST(coalesce(sum(length(line)) OVER (ORDER BY doc_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING "
@@ -640,3 +643,33 @@ def _sequence_training_sine(unit: str) -> str:
 
 ORACLES["train_param_avg_sine"] = _sequence_training_sine("paragraph")
 ORACLES["train_per_document_sine"] = _sequence_training_sine("document")
+ORACLES["train_resumed_sine"] = ORACLES["train_param_avg_sine"]
+
+
+def _state_samples_sine() -> str:
+    n, more = SINE.hidden, R.sequence_training("chunks", SINE.epochs, *SHAPE, SINE.learn_rate, _per_chunk)[0]
+    ctes, selects = [*SINE_CTES, *_sequences("document"), *more], []
+    size = f"(2 * {n} * v + {n * n + n} + v)"
+    for e in range(SINE.epochs):
+        state = ", ".join(f"tanh(w[{i} * v + cur + 1] + w[2 * {n} * v + {n * n + i + 1}] + "
+                          + " + ".join(f"w[{n} * v + {n * i + k + 1}] * h[{k + 1}]" for k in range(n)) + ")" for i in range(n))
+        logits = (f"list_transform(range(v), lambda z: w[2 * {n} * v + {n * n + n} + z + 1] + "
+                  + " + ".join(f"w[{n} * v + {n * n} + {n} * z + {k + 1}] * h[{k + 1}]" for k in range(n)) + ")")
+        ctes.append(
+            f"gen{e} AS (SELECT q AS prompt_id, 0 AS t, ids[{L} * ch + 1] AS cur, s[2 * {size} + 1:2 * {size} + {n}] AS h, '' AS text, v "
+            f"FROM q{e}, (SELECT count(*) AS v FROM vocab) UNION ALL SELECT prompt_id, t + 1, k, h, text || vocab.ch, v FROM ("
+            f"SELECT *, {DRAWN} AS k FROM (SELECT *, {CUMULATED} AS c, {uniform_sql(CFG.seed, 'prompt_id', 't')} AS u FROM ("
+            "SELECT *, list_transform(y, lambda z: exp(z) / tot) AS p FROM (SELECT *, list_sum(list_transform(y, lambda z: exp(z))) AS tot FROM ("
+            f"SELECT *, {logits} AS y FROM (SELECT prompt_id, t, text, v, w, [{state}] AS h FROM gen{e}, l{e + 1} "
+            f"WHERE t < {GEN_STEPS})))))) x JOIN vocab ON vocab.id = x.k)")
+        selects.append(f"SELECT CAST({e} AS BIGINT) AS epoch, prompt_id, text FROM gen{e} WHERE t = {GEN_STEPS}")
+    return _rbase(*ctes).replace("WITH RECURSIVE ", f"WITH RECURSIVE {ITEMS_CTE},\n", 1) + " UNION ALL ".join(selects)
+
+
+ORACLES["state_samples_sine"] = _state_samples_sine()
+
+# the closed form of the running average over the windows of window_loss
+ORACLES["smoothed_loss"] = ORACLES["window_loss"].rsplit("SELECT g.doc_id", 1)[0] + (
+    "SELECT doc_id, count(*) AS n_steps, round(arg_max(smooth, w), 6) AS smooth_loss FROM (SELECT g.doc_id, w, pow(0.999, w + 1) * "
+    f"({L} * ln({V_SQL}) + sum(0.001 * loss / pow(0.999, w + 1)) OVER (ORDER BY w)) AS smooth FROM sd JOIN gchars g ON g.gpos = sd.w * {L}) "
+    "GROUP BY doc_id")

@@ -59,10 +59,11 @@ def doc_scores(spark: SparkSession, lines: DataFrame, params: dict, vocab: Vocab
 
 
 def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab: Vocab,
-                  seq_len: int, stride: int = 1) -> DataFrame:
+                  seq_len: int, stride: int = 1, each: bool = False) -> DataFrame:
     """Loss of every whole window whose start ``s`` satisfies s % stride == 0
     (stride 1: W1, stride seq_len: W3), each from a zero hidden state; summed
-    per document of the window start."""
+    per document of the window start, or with ``each`` a row ``start, doc_id, loss``
+    for every window."""
     bc = _bc(spark, params, vocab)
     L = seq_len
 
@@ -71,7 +72,7 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
         p, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, V = K.dims(p)
         cap = K.batch_rows(V, hidden, L)
-        buf, docs, size = [], [], 0
+        buf, docs, places, size = [], [], [], 0
         out = []
 
         def flush():
@@ -79,6 +80,8 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
             d = np.concatenate(docs)
             _, ys = K.forward(p, w[:, :-1])
             losses = K.window_losses(ys[-1], w[:, 1:])
+            if each:
+                return pd.DataFrame({"start": np.concatenate(places), "doc_id": d, "loss": losses})
             frame = pd.DataFrame({"doc_id": d, "loss": losses}).groupby("doc_id")["loss"].agg(["size", "sum"])
             out.append(frame)
 
@@ -93,18 +96,25 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
                 r = rows[c0:c0 + cap]
                 buf.append(K.gather_windows(ids, lens, r, starts[c0:c0 + cap], L))
                 docs.append(doc[r])
+                places.append(pdf["goff"].to_numpy(dtype=np.int64)[r] + starts[c0:c0 + cap])
                 size += len(r)
                 if size >= cap:
-                    flush()
-                    buf, docs, size = [], [], 0
+                    frame = flush()
+                    if each:
+                        yield frame
+                    buf, docs, places, size = [], [], [], 0
         if buf:
-            flush()
+            frame = flush()
+            if each:
+                yield frame
         if out:
             tot = pd.concat(out).groupby(level=0).sum()
             yield pd.DataFrame({"doc_id": tot.index.to_numpy(dtype=np.int64),
                                 "n_windows": tot["size"].to_numpy(dtype=np.int64),
                                 "loss": tot["sum"].to_numpy()})
 
+    if each:
+        return segments.select("doc_id", "goff", "n_own", "text").mapInPandas(run, "start bigint, doc_id bigint, loss double")
     return (segments.select("doc_id", "goff", "n_own", "text").mapInPandas(run, WINDOW_SCORE_SCHEMA)
             .groupBy("doc_id").agg(F.sum("n_windows").alias("n_windows"), F.sum("loss").alias("loss")))
 

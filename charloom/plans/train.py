@@ -60,6 +60,56 @@ class TrainResult:
         self.metrics_df(spark).write.mode("overwrite").parquet(f"{path}/metrics")
 
 
+class EpochStore:
+    """IO3, durable: every epoch's model and metrics are appended under ``path`` as they
+    are made, the metrics last, so an epoch counts once its metrics are there.  A job
+    that starts again on the same path goes on after the last complete epoch;
+    ``settings`` (all that training depends on) must be the same."""
+
+    def __init__(self, spark: SparkSession, path: str, settings: str):
+        self.spark, self.path, self.settings = spark, path.rstrip("/"), settings
+
+    def metrics(self) -> DataFrame:
+        return self.spark.read.schema(METRICS_SCHEMA + ", settings string").parquet(f"{self.path}/metrics/*")
+
+    def _exists(self) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(f"{self.path}/metrics")
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+    def append(self, epoch: int, params: dict, accs: dict, row: dict) -> None:
+        arrays_to_table(self.spark, params, accs).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/model/{epoch}")
+        one = TrainResult(params, accs, [row]).metrics_df(self.spark).withColumn("settings", F.lit(self.settings))
+        one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/metrics/{epoch}")
+
+    def last(self, layers: int, hidden: int, vocab: int):
+        """``(params, accs, metrics)`` after the last of the epochs 0, 1, ... that are
+        complete; None before the first."""
+        if not self._exists():
+            return None
+        rows = {r["epoch"]: r.asDict() for r in self.metrics().collect()}
+        done = []
+        while len(done) in rows:
+            row = rows[len(done)]
+            if row.pop("settings") != self.settings:
+                raise ValueError(f"{self.path} holds training with other settings")
+            done.append(row)
+        if not done:
+            return None
+        model = self.spark.read.parquet(f"{self.path}/model/{len(done) - 1}")
+        return *table_to_arrays(model, layers, hidden, vocab), done
+
+
+def _resumed(store: str | None, corpus: Corpus, cfg: RnnConfig, job: str, params: dict, accs: dict):
+    """The store (or None), and the model and metrics to go on from."""
+    if store is None:
+        return None, params, accs, []
+    settings = f"{job}, {cfg.with_(epochs=0, model_bytes=0)}, characters {corpus.vocab.size}"
+    kept = EpochStore(corpus.spark, store, settings)
+    found = kept.last(*K.dims(params))
+    return (kept, params, accs, []) if found is None else (kept, *found)
+
+
 def _start(corpus: Corpus, cfg: RnnConfig):
     V = corpus.vocab.size
     # weights, accumulators, gradient and a packed copy, as doubles
@@ -132,22 +182,23 @@ def sampled_windows(corpus: Corpus, windows: str, rate: float, seed: int, epoch:
 
 
 def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
-                windows: str = "corpus", on_epoch=None) -> TrainResult:
+                windows: str = "corpus", on_epoch=None, store: str | None = None) -> TrainResult:
     """T1 (rate 1: every window every epoch) or T2 (Bernoulli sample of window
     starts per epoch, reproducible from seed and epoch).  Mean of per-window
     clipped gradients, one AdaGrad step per epoch.  An epoch whose sample is
-    empty leaves the model unchanged and is logged with n = 0."""
+    empty leaves the model unchanged and is logged with n = 0.  ``store`` names a
+    folder that takes every epoch's model and metrics, and is gone on from."""
     cfg = cfg or corpus.cfg
     spark = corpus.spark
-    params, accs = _start(corpus, cfg)
+    kept, params, accs, done = _resumed(store, corpus, cfg, f"windows {windows} {rate}", *_start(corpus, cfg))
     layers, hidden, vocab = K.dims(params)
     src = window_source(corpus, windows)
     if rate >= 1.0 and cfg.epochs > 1:
         src = src.persist()
-    smooth = -math.log(1.0 / vocab) * cfg.seq_len
-    res = TrainResult(params, accs)
+    smooth = done[-1]["smooth_loss"] if done else -math.log(1.0 / vocab) * cfg.seq_len
+    res = TrainResult(params, accs, done)
     try:
-        for epoch in range(cfg.epochs):
+        for epoch in range(len(done), cfg.epochs):
             bc = spark.sparkContext.broadcast({"params": params, "codepoints": corpus.vocab.codepoints})
             size = K.n_params(layers, hidden, vocab)
             rows = src if rate >= 1.0 else sampled_windows(corpus, windows, rate, cfg.seed, epoch)
@@ -162,6 +213,8 @@ def fit_windows(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
             res.metrics.append({"epoch": epoch, "loss": loss, "loss_per_char": per_char,
                                 "loss_per_predicted": per_char, "smooth_loss": smooth, "n": n,
                                 **model_stats(params, accs)})
+            if kept is not None:
+                kept.append(epoch, params, accs, res.metrics[-1])
             if on_epoch is not None:
                 on_epoch(epoch, params)
     finally:
@@ -195,22 +248,23 @@ def _sequence_task(bc, cfg: RnnConfig, mode: str):
     return run
 
 
-def sequence_source(corpus: Corpus, unit: str, rate: float, seed: int, epoch: int) -> DataFrame:
+def sequence_source(corpus: Corpus, unit: str, rate: float, seed: int, epoch: int, keys: bool = False) -> DataFrame:
     """Sampled training sequences: paragraphs (non-empty lines) or whole
-    documents with their line breaks removed (the reader drops them)."""
+    documents with their line breaks removed (the reader drops them); with ``keys``
+    next to ``doc_id`` and ``line_no`` (null for documents)."""
     if unit == "paragraph":
-        rows = nonempty_lines(corpus.lines)
-        keys = (F.col("doc_id"), F.col("line_no"))
+        rows = nonempty_lines(corpus.lines).select("doc_id", "line_no", "line")
+        named = (F.col("doc_id"), F.col("line_no"))
     elif unit == "document":
-        rows = corpus.docs.select(F.col(corpus.docs.columns[0]).cast("bigint").alias("doc_id"),
+        rows = corpus.docs.select(F.col(corpus.docs.columns[0]).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("line_no"),
                                   F.regexp_replace(F.col(corpus.docs.columns[1]), LINE_BREAK, "").alias("line"))
         rows = rows.where(F.col("line") != "")
-        keys = (F.col("doc_id"),)
+        named = (F.col("doc_id"),)
     else:
         raise ValueError(unit)
     if rate < 1.0:
-        rows = rows.where(bernoulli_keep(rate, seed, epoch, *keys))
-    return rows.select("line")
+        rows = rows.where(bernoulli_keep(rate, seed, epoch, *named))
+    return rows if keys else rows.select("line")
 
 
 GOLDEN = 0.6180339887498949
@@ -232,7 +286,7 @@ def rotating_table(corpus: Corpus, unit: str, seed: int) -> DataFrame:
         rows = nonempty_lines(corpus.lines).select("doc_id", "line_no", "line")
         keys = (F.col("doc_id"), F.col("line_no"))
     else:
-        rows = sequence_source(corpus, unit, 1.0, seed, 0).select("doc_id", "line")
+        rows = sequence_source(corpus, unit, 1.0, seed, 0, keys=True).select("doc_id", "line")
         keys = (F.col("doc_id"),)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/charloom-rotating-{uuid.uuid4().hex}"
     (rows.withColumn("u", unit_uniform(seed, 0, *keys))
@@ -252,7 +306,7 @@ def rotating_sample(table: DataFrame, rate: float, epoch: int) -> DataFrame:
 
 def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.0,
                   unit: str = "paragraph", on_epoch=None, keep_tail: bool = False,
-                  sampler: str = "hash") -> TrainResult:
+                  sampler: str = "hash", on_states=None, store: str | None = None) -> TrainResult:
     """T3 (unit paragraph, paragraph chunks) or T4 (unit document, tumbling
     windows).  Each sampled sequence trains locally from the global weights and
     accumulators; weights and accumulators are then averaged with equal weight
@@ -265,16 +319,22 @@ def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.
     epoch evaluates the hash of every key); ``sampler="rotating"`` keeps the
     per-epoch Bernoulli(rate) marginals but makes each epoch a range read of a
     table written once (see ``rotating_table``), so an epoch's I/O follows the
-    sample size rather than the corpus size."""
+    sample size rather than the corpus size.
+
+    ``on_states(epoch, params, states)`` is called after every update with the
+    updated model and the table of :func:`training_states` of that epoch (made only
+    if it is read).  ``store`` names a folder that takes every epoch's model and
+    metrics, and is gone on from."""
     cfg = cfg or corpus.cfg
     spark = corpus.spark
     mode = "paragraph" if unit == "paragraph" and not keep_tail else "tumbling"
-    params, accs = _start(corpus, cfg)
+    kept, params, accs, done = _resumed(store, corpus, cfg, f"sequences {unit} {rate} {keep_tail} {sampler}", *_start(corpus, cfg))
     layers, hidden, vocab = K.dims(params)
-    smooth = -math.log(1.0 / vocab) * cfg.seq_len
-    res = TrainResult(params, accs)
+    smooth = done[-1]["smooth_loss"] if done else -math.log(1.0 / vocab) * cfg.seq_len
+    res = TrainResult(params, accs, done)
     table = None
-    for epoch in range(cfg.epochs):
+    for epoch in range(len(done), cfg.epochs):
+        before = params, accs
         bc = spark.sparkContext.broadcast({"params": params, "accs": accs,
                                            "codepoints": corpus.vocab.codepoints})
         if sampler == "rotating" and rate < 1.0:
@@ -301,6 +361,38 @@ def fit_sequences(corpus: Corpus, cfg: RnnConfig | None = None, rate: float = 1.
             "loss_per_char": loss / length if length else float("nan"),
             "loss_per_predicted": loss / pred if pred else float("nan"),
             "smooth_loss": smooth, "n": cnt, **model_stats(params, accs)})
+        if kept is not None:
+            kept.append(epoch, params, accs, res.metrics[-1])
         if on_epoch is not None:
             on_epoch(epoch, params)
+        if on_states is not None:
+            on_states(epoch, params, training_states(corpus, cfg, *before, rate, unit, epoch, mode))
     return res
+
+
+def training_states(corpus: Corpus, cfg: RnnConfig, params: dict, accs: dict, rate: float, unit: str, epoch: int,
+                    mode: str) -> DataFrame:
+    """Where local training stands at the end of an epoch that began with the given
+    model: ``doc_id, line_no`` of each of its sequences, ``seed_ch``, the character at
+    the current position, and ``h0``, the hidden states of all layers there -- what
+    :func:`charloom.plans.generate.generate_text` goes on from.  The sequences are
+    trained again when the table is read."""
+    bc = corpus.spark.sparkContext.broadcast({"params": params, "accs": accs, "codepoints": corpus.vocab.codepoints})
+    L = cfg.seq_len
+
+    def run(batches):
+        K.single_thread_blas()
+        st = bc.value
+        layers, hidden, _ = K.dims(st["params"])
+        for pdf in batches:
+            seqs = encode_text(pdf["line"].tolist(), st["codepoints"])
+            if not seqs:
+                continue
+            states = np.zeros((len(seqs), layers, hidden))
+            K.train_sequences(st["params"], st["accs"], seqs, cfg, mode, states=states)
+            at = K.chunk_count([len(s) for s in seqs], L, mode) * L
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "line_no": pdf["line_no"],
+                                "seed_ch": [t[k] for t, k in zip(pdf["line"], at)], "h0": list(states.reshape(len(seqs), -1))})
+
+    rows = sequence_source(corpus, unit, rate, cfg.seed, epoch, keys=True)
+    return rows.mapInPandas(run, "doc_id bigint, line_no bigint, seed_ch string, h0 array<double>")

@@ -139,6 +139,21 @@ def q_text_round_trip(spark, sf_dir):
             .agg(F.count(F.lit(1)).cast("bigint").alias("copies")))
 
 
+def q_text_order(spark, sf_dir):
+    """IO1 + O2: the corpus written as text files in its order and read back: every
+    line with a character at the position that file order gives it."""
+    import uuid
+
+    from charloom.session import ensure_checkpoint_dir
+    from charloom.sources.text import read_text_lines
+    c = _corpus(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/charloom-text-{uuid.uuid4().hex}"
+    c.lines.repartitionByRange("doc_id", "line_no").sortWithinPartitions("doc_id", "line_no").select("line").write.text(path)
+    read = Corpus.from_lines(spark, read_text_lines(spark, path), CFG)
+    sums = read.lines.select("doc_id", "line_no", md5_int(F.col("line")).alias("checksum"))
+    return read.line_positions().join(sums, ["doc_id", "line_no"]).select("goff", "n", "checksum")
+
+
 # ---------------------------------------------------------------- positions / windows
 def q_line_offsets(spark, sf_dir):
     c = _corpus(spark, sf_dir)
@@ -326,6 +341,17 @@ def q_window_loss(spark, sf_dir):
                     F.round(F.col("loss") / F.col("n_windows"), 6).alias("mean_loss"))
 
 
+def q_smoothed_loss(spark, sf_dir):
+    """The loss of every corpus tumbling window, smoothed window by window in
+    corpus order; each document's value after its last window."""
+    from charloom.operators.scan import smoothed
+    from charloom.plans.score import window_scores
+    c = _corpus(spark, sf_dir)
+    steps = window_scores(spark, c.corpus.segments, _recurrent_model(c, STACKED), c.vocab, L, stride=L, each=True)
+    run = smoothed(steps, ["start"], "loss", float(np.log(c.vocab.size)) * L)
+    return run.groupBy("doc_id").agg(F.count("*").alias("n_steps"), F.round(F.max_by("smooth", "start"), 6).alias("smooth_loss"))
+
+
 def q_doc_scores(spark, sf_dir):
     """G5 (flagship): every line scored with the hidden state carried through it;
     documents ranked by mean nats per predicted character."""
@@ -480,6 +506,38 @@ def q_train_per_document_sine(spark, sf_dir):
     return _metrics_out(fit_sequences(_items(spark, sf_dir), SINE, unit="document").metrics_df(spark))
 
 
+def q_train_resumed_sine(spark, sf_dir):
+    """IO3: the parameter averaging above, stopped after its first epoch and started
+    again on the same folder; the metrics are those that the folder holds."""
+    import uuid
+
+    from charloom.plans.train import EpochStore, fit_sequences
+    from charloom.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/charloom-epochs-{uuid.uuid4().hex}"
+    for epochs in (1, SINE.epochs):
+        fit_sequences(_items(spark, sf_dir), SINE.with_(epochs=epochs), rate=SINE_SEQUENCE_RATE, store=path)
+    return _metrics_out(EpochStore(spark, path, "").metrics())
+
+
+def q_state_samples_sine(spark, sf_dir):
+    """G6 + N4: after every epoch of per-document training, characters sampled from
+    where each document's training stands: its hidden state and its next character."""
+    from functools import reduce
+
+    from charloom.plans.generate import generate_text
+    from charloom.plans.train import fit_sequences
+    c = _items(spark, sf_dir)
+    parts = []
+
+    def sample(epoch, params, states):
+        prompts = states.select(F.col("doc_id").alias("prompt_id"), "seed_ch", "h0")
+        parts.append(generate_text(spark, prompts, params, c.vocab, GEN_STEPS, greedy=False, seed=CFG.seed)
+                     .select(F.lit(epoch).cast("bigint").alias("epoch"), "prompt_id", "text"))
+
+    fit_sequences(c, SINE, unit="document", on_states=sample)
+    return reduce(DataFrame.unionByName, parts)
+
+
 SAMPLE_LEN = 200
 
 
@@ -515,6 +573,7 @@ QUERIES = {
     "one_hot": q_one_hot,
     "shifted_pairs": q_shifted_pairs,
     "text_round_trip": q_text_round_trip,
+    "text_order": q_text_order,
     "line_offsets": q_line_offsets,
     "eval_prefix": q_eval_prefix,
     "corpus_sliding": q_corpus_sliding,
@@ -545,6 +604,9 @@ QUERIES = {
     "train_mini_batch_sine": q_train_mini_batch_sine,
     "train_param_avg_sine": q_train_param_avg_sine,
     "train_per_document_sine": q_train_per_document_sine,
+    "train_resumed_sine": q_train_resumed_sine,
+    "state_samples_sine": q_state_samples_sine,
+    "smoothed_loss": q_smoothed_loss,
 }
 
 FLAGSHIP = "doc_scores"

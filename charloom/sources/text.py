@@ -29,11 +29,21 @@ def corpus_lines(df: DataFrame, text_col: str = "text", key_col: str = "doc_id")
             .withColumn("line_no", F.col("line_no").cast("bigint")))
 
 
+#: lists of files up to this size are sent to every task that reads text
+FILE_LIST_BYTES = 64 << 20
+
+
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text file(s) as a corpus.  ``doc_id`` numbers the files in path order;
-    ``line_no`` is an increasing order key within the file (not dense)."""
+    ``line_no`` is an increasing order key within the file (not dense): Spark reads a
+    file's blocks in order, as parts of growing number.
+
+    The list of files is what is sent to the tasks, never the text; a list beyond
+    ``FILE_LIST_BYTES`` is joined by sorting, which moves the text once."""
     raw = spark.read.text(path)
-    files = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))), "doc_id bigint, file string")
+    names = sorted(raw.inputFiles())
+    files = spark.createDataFrame(list(enumerate(names)), "doc_id bigint, file string")
+    files = F.broadcast(files) if sum(map(len, names)) + 64 * len(names) <= FILE_LIST_BYTES else files.hint("merge")
     return (raw.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line_no"),
                        F.col("value").alias("line"))
             .join(files, "file").select("doc_id", "line_no", "line"))
