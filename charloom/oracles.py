@@ -593,8 +593,8 @@ SHAPE = (SINE.hidden, L, SINE.clip)
 
 def _steps(starts: str) -> str:
     """``ws(e, w, t, x, y)`` from the windows ``(e, w)`` that start at character ``w``."""
-    return (f"ws AS (SELECT s.e, s.w, g.gpos - s.w + 1 AS t, g.id AS x, n.id AS y FROM ({starts}) s "
-            f"JOIN gchars g ON g.gpos BETWEEN s.w AND s.w + {L - 1} JOIN gchars n ON n.gpos = g.gpos + 1)")
+    return (f"ws AS (SELECT s.e, s.w, r.range + 1 AS t, g.id AS x, n.id AS y FROM ({starts}) s CROSS JOIN range({L}) r "
+            "JOIN gchars g ON g.gpos = s.w + r.range JOIN gchars n ON n.gpos = s.w + r.range + 1)")
 
 
 def _per_window(before: str, e: int) -> str:
