@@ -191,9 +191,7 @@ def apply_quality(docs: DataFrame, rules: QualityRules = QualityRules(), text: s
     return joined.select(*[out.get(c, F.col(c)).alias(c) for c in cols])
 
 
-#: DuckDB SQL for the query's rows with the default rules, as registered before copies
-#: were counted once: its ``contexts`` condition (neighbours) is no longer the operator's
-#: rule.  Both give the same rows on sf0.001 and sf0.01; elsewhere they can differ.
+#: DuckDB SQL for the query's rows with the default rules.
 QUALITY_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, text,
@@ -215,18 +213,13 @@ base AS (
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN rep USING (doc_id)),
 nl AS (
-  SELECT doc_id, source, pos, x,
-         lag(x, 1, '') OVER (PARTITION BY doc_id ORDER BY pos) AS a, lead(x, 1, '') OVER (PARTITION BY doc_id ORDER BY pos) AS b
-  FROM (SELECT doc_id, source, unnest(range(len(ls))) AS pos,
-               unnest(list_transform(ls, lambda x: lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))))) AS x FROM d)),
-dl AS (
-  SELECT doc_id, source, x, sum(len(string_split(x, ' '))) AS words, arg_min(a || chr(0) || b, pos) AS around
-  FROM nl GROUP BY ALL),
-hd AS (SELECT source, count(*) AS host_docs FROM documents GROUP BY 1),
+  SELECT doc_id, source, t, unnest(list_transform(ls, lambda x: lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))))) AS x FROM d),
+dl AS (SELECT doc_id, source, t, x, sum(len(string_split(x, ' '))) AS words FROM nl GROUP BY ALL),
+hd AS (SELECT source, count(DISTINCT t) AS host_docs FROM d GROUP BY 1),
 freq AS (
-  SELECT f.source, x FROM (SELECT source, x, count(*) AS docs, count(DISTINCT around) AS contexts FROM dl GROUP BY ALL) f
+  SELECT f.source, x FROM (SELECT source, x, count(DISTINCT t) AS docs FROM dl GROUP BY ALL) f
   JOIN hd ON f.source IS NOT DISTINCT FROM hd.source
-  WHERE docs >= 3 AND docs * 100 > host_docs * 2 AND contexts * 100 >= docs * 50),
+  WHERE docs >= 3 AND docs * 100 > host_docs * 2),
 gone AS (
   SELECT doc_id, sum(words)::BIGINT AS removed FROM dl JOIN freq ON dl.source IS NOT DISTINCT FROM freq.source AND dl.x = freq.x
   GROUP BY 1),
