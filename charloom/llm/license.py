@@ -4,14 +4,15 @@ tags; the expressions after tags are parsed by the shunting-yard algorithm.
 Texts are lower-cased (A-Z) and cut into words of letters, digits and non-ASCII
 characters.  The automaton runs over the words joined by single blanks, so a
 phrase is found wherever its words stand consecutively, whatever lies between
-them.  An identifier tag (``SPDX-License-Identifier:``) is searched in the text
-itself; its expression is evaluated to the licences it names, and to whether it
-can be met with permissive licences alone (``or``: one side, ``and``: both,
-``with``: the licence before it).
+them.  A second automaton finds identifier tags (``SPDX-License-Identifier:``) in
+the text itself.  An expression ends where operands and operators stop to
+alternate, so prose after it is none of it; it is evaluated to the licences it
+names, and to whether it can be met with permissive licences alone (``or``: one
+side, ``and``: both, ``with``: the licence before it).
 
 Results in the odd cases: null and empty texts have no words and no labels; a
-malformed expression gives the licences that it names and the label
-``bad-expression``; null ids and repeated rows are carried through row by row;
+malformed expression (an operator or an open bracket is left) gives all licences
+that it names, however many, and the label ``bad-expression``; null ids and repeated rows are carried through row by row;
 texts are scanned whole; extra columns are neither read nor returned.
 """
 
@@ -39,7 +40,8 @@ NOTICE_PHRASES = {
 
 PERMISSIVE = ("mit", "apache", "bsd", "isc", "zlib", "unlicense", "cc0", "cc-by-4.0", "cc-by-3.0", "0bsd")
 
-TAG = "spdx-license-identifier:"
+#: Tags that an expression follows.
+TAGS = ("spdx-license-identifier:",)
 
 
 @dataclass(frozen=True)
@@ -85,6 +87,22 @@ def to_postfix(expression: str) -> list[str]:
     return out + pending[::-1]
 
 
+def leading_expression(source: str) -> list[str]:
+    """Tokens from the start of ``source`` as long as operands and operators alternate."""
+    tokens, operand_next, depth = [], True, 0
+    for m in _TOKEN.finditer(source):
+        t = m[0]
+        if t in _RANK or t == ")":
+            if operand_next or t == ")" and not depth:
+                break
+        elif not operand_next:
+            break
+        depth += (t == "(") - (t == ")")
+        operand_next = t in _RANK or t == "("
+        tokens.append(t)
+    return tokens
+
+
 def evaluate(expression: str, permissive: tuple = PERMISSIVE) -> tuple[set[str], bool]:
     """Licences that the expression names, and whether permissive ones meet it."""
     stack: list[tuple[set[str], bool]] = []
@@ -114,6 +132,10 @@ class LicenseScanner:
         for phrase, found in own.items():
             self.automaton.add_word(phrase, (len(phrase), found))
         self.automaton.make_automaton()
+        self.tags = ahocorasick.Automaton()
+        for tag in TAGS:
+            self.tags.add_word(tag, tag)
+        self.tags.make_automaton()
 
     def scan(self, text: str) -> tuple:
         """n_words, n_base, first_word, last_word, base labels, labels, score."""
@@ -128,17 +150,15 @@ class LicenseScanner:
                     starts.append(end - size + 1)
         tags = 0
         lowered = text.lower() if ":" in text else ""
-        at = lowered.find(TAG)
-        while at >= 0:
-            end = lowered.find("\n", at)
-            expression = lowered[at + len(TAG):end if end >= 0 else None].split("*/")[0].strip()
+        for last_of_tag, _ in self.tags.iter(lowered):
+            end = lowered.find("\n", last_of_tag)
+            tokens = leading_expression(lowered[last_of_tag + 1:end if end >= 0 else None].split("*/")[0])
             try:
-                names, ok = evaluate(expression, self.rules.permissive)
+                names, ok = evaluate(" ".join(tokens), self.rules.permissive)
                 labels.update(names, ["permissive" if ok else "restricted"])
                 tags += 1
             except ValueError:
-                labels.update(["bad-expression"], (t for t in _TOKEN.findall(expression)[:16] if t not in _RANK and t not in "()"))
-            at = lowered.find(TAG, at + 1)
+                labels.update(["bad-expression"], (t for t in tokens if t not in _RANK and t not in "()"))
         first = last = None
         if starts:
             first = line.count(" ", 0, min(starts))

@@ -237,6 +237,13 @@ def test_licence_expressions():
     scan = LicenseScanner().scan
     assert scan("// SPDX-License-Identifier: MIT OR Apache-2.0\ncode")[5:] == ("apache-2.0,mit,permissive", 1.0)
     assert "bad-expression" in scan("SPDX-License-Identifier: MIT OR")[5]
+    # prose after an expression is none of it; a malformed one names all its licences
+    assert scan("SPDX-License-Identifier: MIT see the licence file for details")[5] == "mit,permissive"
+    assert scan("SPDX-License-Identifier: (MIT OR GPL-2.0) and more")[5] == "gpl-2.0,mit,more,restricted"
+    many = [f"l{i}" for i in range(40)]
+    assert scan("SPDX-License-Identifier: (" + " OR ".join(many))[5].split(",") == sorted([*many, "bad-expression"])
+    assert scan("SPDX-License-Identifier: ) x")[5] == "bad-expression"
+    assert scan("a:b SPDX-License-Identifier: isc\nspdx-license-identifier: 0BSD */ x")[5] == "0bsd,isc,permissive"
     assert scan("CC BY, cc-by")[:6] == (4, 2, 0, 2, "cc-by", "cc-by")
 
 
