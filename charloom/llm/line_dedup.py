@@ -1,21 +1,27 @@
 """Line dedup by a suffix array over line ids (DataFrame functions only).
 
-The corpus is the sequence of the texts' lines that hold a word.  A line's id is
-the place of its first occurrence; prefix doubling then ranks every suffix by
-its first 2, 4, 8, ... lines, the rank of a class being again the place of its
-first member.  The suffixes that share their first n lines are one interval of
-the suffix array whose common prefix is at least n; two overlapping ranks name
-it, and its first member tells the copy that stays.  For every line, the
-shortest run from it on, and the shortest up to it, with ``min_words`` words are
-looked up so: the runs that begin at an earlier place too are later copies, and
-together they cover every maximal repeated run of ``min_words`` words or more.
-All lines of later copies are deleted; the first copy stays.
-
-No run needs more than ``min_words`` lines, so doubling ends after
-log2(min_words) rounds whatever the corpus.  Lines that occur once end every
-repeat and take no part.  Each round joins and groups rows of places and ranks;
-a line that a third of the corpus shares is aggregated before it is shuffled,
-and the join that hands its rank out is split by size.
+The corpus is the sequence of the texts' lines that hold a word.  The lines that
+occur once end every repeat and take no part; the others get places in corpus
+order, so that the line after place p of the same stretch of neighbouring lines
+has place p + 1.  Prefix doubling names the class of every suffix by its first 2,
+4, 8, ... lines, from the names of its two halves, by the class's first place:
+the suffixes of a class are one interval of the suffix array whose common prefix
+is at least that long.  The names tell the intervals apart, which is all that is
+asked of the array here; the order of the intervals among each other is not
+computed.  Two overlapping names tell the interval of any length between.
+
+For every line the shortest run from it on, and the shortest up to it, with
+``min_words`` words are looked up so: the runs whose interval begins at an earlier
+place are later copies, and together they cover every maximal repeated run of
+``min_words`` words or more, however long, as each of its lines lies in such a
+run.  All lines of later copies are deleted; the first copy stays.  Where a run
+overlaps its own copy (lines that repeat with a period of d lines, such as one line
+many times), the copies begin d lines after the first, so the first d lines stay.
+
+Doubling ends at the longest of these runs, at most ``min_words`` lines.  Texts
+are read and split once; after that only places and names (longs) are joined and
+grouped.  Groups with more than 1/4096 of all places, fewer than 4,096 of them, get
+their names by a broadcast, the others by a shuffle, so no task holds a hot line.
 
 Results in the odd cases: lines are told apart byte by byte; blank lines carry no
 id and go with the line before them (blank lines that begin a text stay); null
@@ -28,11 +34,15 @@ by :func:`dedup_lines`.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from charloom.llm.common import SPACES, cut, let, row_key, word_count
 
+#: groups with more than this part of all rows are hot; there are fewer than its inverse
+HOT_PARTS = 4096
+
 
 @dataclass(frozen=True)
 class LineRules:
@@ -41,81 +51,93 @@ class LineRules:
 
 
 def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``doc, at, line, words``: lines with a word; ``doc`` orders documents and
-    names them, ``at`` counts such lines."""
-    key = F.struct(docs[doc_id].alias("id"), F.unhex(row_key(docs[doc_id], docs[text])).alias("rk"))
+    """``id, rk, at, line, words``: lines with a word; ``id, rk`` order documents and
+    name them, ``at`` counts such lines.  Keys are made before lines are told
+    apart: an expression beside a generator is evaluated for every line."""
     own = F.filter(F.split(docs[text], "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    return docs.select(key.alias("doc"), F.posexplode(own).alias("at", "line")).select(
-        "doc", "at", F.unhex(F.md5("line")).alias("line"), word_count(F.col("line")).alias("words"))
+    rows = docs.select(docs[doc_id].alias("id"), F.unhex(row_key(docs[doc_id], docs[text])).alias("rk"), own.alias("lines"))
+    return rows.select("id", "rk", F.posexplode("lines").alias("at", "line")).select(
+        "id", "rk", "at", F.unhex(F.md5("line")).alias("line"), word_count(F.col("line")).cast("long").alias("words"))
+
+
+def _named(rows: DataFrame, groups: DataFrame, by: list[str], total: int) -> DataFrame:
+    """``rows`` with the other columns of their group, for rows that have one;
+    ``members`` of a group tells hot ones, which are broadcast (a proven bound)."""
+    fewer = groups.drop("members")
+    more = [c for c in fewer.columns if c not in by]
+    hot = F.broadcast(groups.filter(F.col("members") * HOT_PARTS > total).drop("members").withColumn("hot", F.lit(True)))
+    dealt = rows.join(hot, by, "left")
+    rest = dealt.filter("hot is null").drop("hot", *more)
+    light = groups.filter(F.col("members") * HOT_PARTS <= total).drop("members")
+    return dealt.filter("hot").drop("hot").unionByName(rest.join(light.hint("merge"), by))
 
 
-def _first(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+def _classes(rows: DataFrame, by: list[str], name: str, total: int) -> DataFrame:
     """``rows`` with ``name``: the first place of their class, for classes of two or more."""
-    place = F.struct("doc", "at")
-    firsts = (rows.groupBy(*[F.col(c).alias("g_" + c) for c in by])
-              .agg(F.min(place).alias(name), F.count("*").alias("members")).filter("members > 1").drop("members"))
-    on = [F.col(c) == F.col("g_" + c) for c in by]
-    return rows.join(firsts, on).drop(*["g_" + c for c in by])
+    rows = cut(rows)
+    firsts = cut(rows.groupBy(*by).agg(F.min("place").alias(name), F.count("*").alias("members")).filter("members > 1"))
+    return _named(rows, firsts, by, total)
+
+
+def _places(docs: DataFrame, rules: LineRules, text: str, doc_id: str) -> DataFrame:
+    """Lines that occur elsewhere too, in corpus order: ``place``; ``rk, at``; the
+    line's ``rank`` (a name); ``left``, how many lines its stretch has from it on;
+    ``ahead`` and ``back``, the lines of the shortest runs of ``min_words`` words from
+    it on and up to it (null where the stretch is too short)."""
+    lines = cut(_lines(docs, text, doc_id))
+    often = cut(lines.groupBy("line").agg(F.count("*").alias("members")).filter("members > 1")
+                .withColumn("rank", F.monotonically_increasing_id()))
+    total = often.agg(F.sum("members")).first()[0] or 0
+    rows = _named(lines, often, ["line"], total).drop("line")
+    # a document's lines stay together: they came from one row
+    in_doc = Window.partitionBy("id", "rk").orderBy("at")
+    once = (rows.repartitionByRange("id", "rk").withColumn("before", F.lag("at").over(in_doc))
+            .filter("before is null or before < at"))
+    stretches = once.withColumn("stretch", F.col("at") - F.row_number().over(in_doc))
+    whole = Window.partitionBy("id", "rk", "stretch")
+    n = rules.min_words
+    summed = (stretches.withColumn("upto", F.sum("words").over(whole.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("start", F.col("upto") - F.col("words"))
+              .withColumn("sum", F.sum("words").over(whole)).withColumn("last", F.max("at").over(whole)))
+    # lines that start fewer than n words after this one starts; lines that end fewer than n before it ends
+    ahead = F.count("*").over(whole.orderBy("start").rangeBetween(0, n - 1))
+    back = F.count("*").over(whole.orderBy("upto").rangeBetween(1 - n, 0))
+    runs = (summed.withColumn("ahead", F.when(F.col("sum") - F.col("start") >= n, ahead))
+            .withColumn("back", F.when(F.col("upto") >= n, back)))
+    return cut(runs.sortWithinPartitions("id", "rk", "at").select(
+        F.monotonically_increasing_id().alias("place"), "rk", "at", "rank",
+        (F.col("last") - F.col("at") + 1).alias("left"), "ahead", "back"))
 
 
 def repeated_lines(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc, at``: the lines of later copies."""
-    # rank by one line; only lines that occur elsewhere too go on, once for repeated rows
-    level = cut(_first(_lines(docs, text, doc_id), ["line"], "rank")
-                .groupBy("doc", "at").agg(F.first("words").alias("words"), F.first("rank").alias("rank")))
-    levels, span = [(1, level.select("doc", "at", "rank"))], 1
-    while 2 * span <= rules.min_words:
-        here = levels[-1][1]
-        after = here.select(F.col("doc").alias("a_doc"), (F.col("at") - span).alias("a_at"), F.col("rank").alias("next"))
-        pairs = here.join(after, (F.col("doc") == F.col("a_doc")) & (F.col("at") == F.col("a_at"))).drop("a_doc", "a_at")
-        ranked = cut(_first(pairs, ["rank", "next"], "longer").select("doc", "at", F.col("longer").alias("rank")))
+    """``rk, at``: the lines of later copies."""
+    places = _places(docs, rules, text, doc_id)
+    total, longest = places.agg(F.count("*"), F.max(F.greatest("ahead", "back"))).first()
+    levels, span = [places.select(F.lit(1).alias("span"), "place", "left", "rank")], 1
+    while 2 * span <= (longest or 0):
+        here = levels[-1]
+        after = here.select((F.col("place") - span).alias("place"), F.col("rank").alias("next"))
+        pairs = here.filter(F.col("left") >= 2 * span).join(after.hint("merge"), "place")
         span *= 2
-        levels.append((span, ranked))
-        if ranked.isEmpty():
-            break
-    runs = _runs(level, rules.min_words)
-    return _later_copies(runs, levels)
-
-
-def _runs(level: DataFrame, min_words: int) -> DataFrame:
-    """``doc, at, n``: the shortest runs of ``min_words`` words from, and up to, each
-    line, within stretches of neighbouring repeated lines."""
-    in_doc = Window.partitionBy("doc").orderBy("at")
-    stretch = level.withColumn("stretch", F.col("at") - F.row_number().over(in_doc))
-    # running word counts; a run has min_words lines at most, so a bounded frame finds its end
-    upto = Window.partitionBy("doc", "stretch").orderBy("at")
-    summed = stretch.withColumn("upto", F.sum("words").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    near = summed.select(
-        "doc", "at", "words", "upto",
-        F.collect_list("upto").over(upto.rowsBetween(0, min_words - 1)).alias("ahead"),
-        F.collect_list(F.col("upto") - F.col("words")).over(upto.rowsBetween(-(min_words - 1), 0)).alias("back"))
-    # lines whose sum up to them, less what lies before this line, is short of min_words
-    short_ahead = F.size(F.filter("ahead", lambda x: x - (F.col("upto") - F.col("words")) < min_words))
-    short_back = F.size(F.filter("back", lambda x: F.col("upto") - x < min_words))
-    forward = near.filter(short_ahead < F.size("ahead")).select("doc", "at", (short_ahead + 1).alias("n"))
-    backward = near.filter(short_back < F.size("back")).select(
-        "doc", (F.col("at") - short_back).alias("at"), (short_back + 1).alias("n"))
-    return forward.union(backward).distinct()
-
-
-def _later_copies(runs: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataFrame:
+        levels.append(cut(_classes(pairs, ["rank", "next"], "longer", total).select(
+            F.lit(span).alias("span"), "place", "left", F.col("longer").alias("rank"))))
+    return _later_copies(places, reduce(DataFrame.union, levels), span, total)
+
+
+def _later_copies(places: DataFrame, levels: DataFrame, widest: int, total: int) -> DataFrame:
     """The lines of runs whose interval has an earlier member."""
-    runs = cut(runs)
-    named = None
-    for (span, ranks), upper in zip(levels, [s for s, _ in levels[1:]] + [None]):
-        own = runs.filter(F.col("n") >= span)
-        if upper is not None:
-            own = own.filter(F.col("n") < upper)
-        # the first and the last `span` lines of a run overlap or meet, and name it
-        head = ranks.select(F.col("doc").alias("h_doc"), F.col("at").alias("h_at"), F.col("rank").alias("head"))
-        tail = ranks.select(F.col("doc").alias("t_doc"), F.col("at").alias("t_at"), F.col("rank").alias("tail"))
-        own = (own.join(head, (F.col("doc") == F.col("h_doc")) & (F.col("at") == F.col("h_at")))
-               .join(tail, (F.col("doc") == F.col("t_doc")) & (F.col("at") + F.col("n") - span == F.col("t_at")))
-               .select("doc", "at", "n", "head", "tail"))
-        named = own if named is None else named.union(own)
-    found = _first(named, ["n", "head", "tail"], "first")
-    later = found.filter(F.struct("doc", "at") > F.col("first"))
-    return later.select("doc", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at")).distinct()
+    runs = (places.filter("ahead is not null").select("place", F.col("ahead").alias("n"))
+            .union(places.filter("back is not null").select(F.col("place") - F.col("back") + 1, "back")).distinct())
+    # the widest level within the run: its first and its last `span` lines overlap or meet, and name it
+    spans = [1 << i for i in range(widest.bit_length())]
+    runs = runs.withColumn("span", F.greatest(F.lit(1), *[F.when(F.col("n") >= s, F.lit(s)) for s in spans]))
+    head = levels.select("span", "place", F.col("rank").alias("head"))
+    tail = levels.select("span", F.col("place").alias("end"), F.col("rank").alias("tail"))
+    named = (runs.join(head.hint("merge"), ["span", "place"]).withColumn("end", F.col("place") + F.col("n") - F.col("span"))
+             .join(tail.hint("merge"), ["span", "end"]).select("place", "n", "head", "tail"))
+    later = _classes(named, ["n", "head", "tail"], "first", total).filter("place > first")
+    gone = later.select(F.explode(F.sequence("place", F.col("place") + F.col("n") - 1)).alias("place")).distinct()
+    return places.select("place", "rk", "at").join(gone.hint("merge"), "place").select("rk", "at")
 
 
 def _without(text: Column, gone: Column) -> Column:
@@ -139,8 +161,8 @@ def dedup_lines(docs: DataFrame, rules: LineRules = LineRules(), text: str = "te
     """``docs`` without the later copies of repeated line runs (all columns, every
     row; ``n_chars`` is brought up to date where it exists).  ``counts`` adds
     ``_l_removed``, the number of lines with a word that went."""
-    gone = (repeated_lines(docs, rules, text, doc_id).groupBy(F.col("doc.rk").alias("_l_rk"))
-            .agg(F.sort_array(F.collect_set("at")).alias("_l_gone")))
+    gone = (repeated_lines(docs, rules, text, doc_id).groupBy(F.col("rk").alias("_l_rk"))
+            .agg(F.sort_array(F.collect_list("at")).alias("_l_gone")))
     joined = docs.withColumn("_l_key", F.unhex(row_key(docs[doc_id], docs[text]))).join(gone, F.col("_l_key") == F.col("_l_rk"), "left")
     new = F.when(F.col("_l_gone").isNull(), F.col(text)).otherwise(_without(F.col(text), F.col("_l_gone")))
     joined = joined.withColumn("_l_text", new)

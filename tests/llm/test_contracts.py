@@ -283,6 +283,19 @@ def test_line_runs(spark, seed):
         assert got[d] == "\n".join(out)
 
 
+def test_line_runs_that_overlap_their_copies_and_hot_lines(spark, monkeypatch):
+    """The first period of a run of equal lines stays; hot groups take the broadcast way."""
+    from charloom.llm import line_dedup
+    block = "\n".join(f"line {i} of the notice that all of these pages hold" for i in range(8))
+    docs = [(0, "\n".join(["five words in a line"] * 24)), (1, "\n".join(["one two", "three four"] * 40)), (2, "a\n" + block)]
+    docs += [(3 + i, f"own {i}\n{block}\n\nend {i}") for i in range(30)]
+    want = {0: "five words in a line", 1: "one two\nthree four", 2: docs[2][1]} | {3 + i: f"own {i}\nend {i}" for i in range(30)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for parts in (1, line_dedup.HOT_PARTS):  # no group is hot; all are
+        monkeypatch.setattr(line_dedup, "HOT_PARTS", parts)
+        assert dict(line_dedup.dedup_lines(frame).collect()) == want
+
+
 def test_components_of_long_paths_and_hubs(spark):
     from charloom.llm.components import components
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 4999)]
