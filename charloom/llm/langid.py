@@ -6,10 +6,12 @@ text's language is the one whose codeword has the least loss, bits weighted by
 the margin of their classifiers; a text whose two nearest codewords lie almost
 equally near is flagged as ambiguous.
 
-The classifiers are fitted on a bounded sample of labelled texts
-(``sample_per_language`` texts of at most ``sample_chars`` characters for each
-language, chosen by a hash of the text; copies of a text count once).  Predictions read whole texts and
-nothing else.
+The classifiers are fitted on a bounded sample of labelled texts:
+``sample_per_language`` texts for each language, fewer where there are so many
+languages that they would pass ``sample_rows``, but at least one; chosen by a hash of
+the text, copies of a text count once.  A text of over ``sample_chars``
+characters gives an excerpt of that length from a place told by its hash.  Every
+language that has a text is learned.  Predictions read whole texts and nothing else.
 
 Results in the odd cases: a null text, or one without a letter, is ``und`` with
 score 1 and not ambiguous; with no labelled text at all every text is ``und``
@@ -37,8 +39,8 @@ class LangRules:
     features: int = 4096
     orders: tuple = (1, 2, 3)
     sample_per_language: int = 500
+    sample_rows: int = 8192
     sample_chars: int = 20_000
-    max_languages: int = 512
     rounds: int = 250
     rate: float = 8.0
     #: flagged if the best codeword is ahead of the next by less than this share of a probability
@@ -131,20 +133,25 @@ def held_out_column(doc_id, parts: int, part: int):
 
 def fit_languages(docs: DataFrame, rules: LangRules = LangRules(), text: str = "text", lang: str = "lang") -> LangModel:
     """Model from the labelled rows of ``docs`` (null labels and texts are left out)."""
-    own = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= rules.sample_chars)).select(
+    own = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in own.select("lang", F.xxhash64("text")).distinct().groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(rules.max_languages).collect()}
+    # a row per language
+    sizes = {r["lang"]: r["n"] for r in own.select("lang", F.xxhash64("text")).distinct()
+             .groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LangModel([], np.ones((0, 1)), np.zeros((rules.features, 1)), np.zeros(1), rules)
+    wanted = max(1, min(rules.sample_per_language, rules.sample_rows // len(sizes)))
     # distinct texts below a hash threshold per language, twice as many as wanted at most in expectation; then the first of them
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[x for k, n in sizes.items()
-                           for x in (F.lit(k), F.lit(min(1.0, 2.0 * rules.sample_per_language / n)))])
-    rows = own.withColumn("u", draw).filter(F.col("u") < share[F.col("lang")]).dropDuplicates(["lang", "text"])
+                           for x in (F.lit(k), F.lit(min(1.0, (2.0 * wanted + 20) / n)))])
+    place = F.pmod(F.xxhash64(F.lit("place"), "text"), F.greatest(F.length("text") - rules.sample_chars, F.lit(0)) + 1).cast("int") + 1
+    excerpt = F.when(F.length("text") > rules.sample_chars, F.substring("text", place, rules.sample_chars)).otherwise(F.col("text"))
+    rows = (own.withColumn("u", draw).filter(F.col("u") < share[F.col("lang")]).dropDuplicates(["lang", "text"])
+            .select("lang", "u", excerpt.alias("text")))
     picked: dict[str, list[str]] = {k: [] for k in sizes}
     for r in rows.orderBy("u", "lang").toLocalIterator():
-        if len(picked[r["lang"]]) < rules.sample_per_language:
+        if len(picked[r["lang"]]) < wanted:
             picked[r["lang"]].append(r["text"])
     if not any(picked.values()):
         return LangModel([], np.ones((0, 1)), np.zeros((rules.features, 1)), np.zeros(1), rules)
