@@ -157,7 +157,7 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
         K.single_thread_blas()
         p, cps = bc.value["params"], bc.value["codepoints"]
         layers, hidden, V = K.dims(p)
-        cap = K.batch_rows(V, hidden, L)
+        cap = K.group_rows(V)
         total = np.zeros(K.n_params(layers, hidden, V))
         count = 0
         buf, nbuf = [], 0
@@ -172,14 +172,12 @@ def window_grad_sums(spark: SparkSession, segments: DataFrame, cfg, vocab: Vocab
                 nbuf += len(buf[-1])
                 if nbuf >= cap:
                     w = np.concatenate(buf)
-                    total += K.flatten(K.grad_sum(p, w[:, :-1], w[:, 1:], cfg.clip,
-                                                  compat_untransposed=cfg.compat_untransposed)[1])
+                    total += K.flatten(K.grad_sums(p, w[:, :-1], w[:, 1:], cfg.clip, cfg.compat_untransposed)[1])
                     count += len(w)
                     buf, nbuf = [], 0
         if buf:
             w = np.concatenate(buf)
-            total += K.flatten(K.grad_sum(p, w[:, :-1], w[:, 1:], cfg.clip,
-                                          compat_untransposed=cfg.compat_untransposed)[1])
+            total += K.flatten(K.grad_sums(p, w[:, :-1], w[:, 1:], cfg.clip, cfg.compat_untransposed)[1])
             count += len(w)
         if count:
             parts = pack(total)
