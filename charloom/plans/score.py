@@ -70,16 +70,14 @@ def window_scores(spark: SparkSession, segments: DataFrame, params: dict, vocab:
     def run(batches):
         K.single_thread_blas()
         p, cps = bc.value["params"], bc.value["codepoints"]
-        layers, hidden, V = K.dims(p)
-        cap = K.batch_rows(V, hidden, L)
+        cap = K.batch_rows(1, K.dims(p)[1], L)
         buf, docs, places, size = [], [], [], 0
         out = []
 
         def flush():
             w = np.concatenate(buf)
             d = np.concatenate(docs)
-            _, ys = K.forward(p, w[:, :-1])
-            losses = K.window_losses(ys[-1], w[:, 1:])
+            losses = K.window_nll(p, w[:, :-1], w[:, 1:])
             if each:
                 return pd.DataFrame({"start": np.concatenate(places), "doc_id": d, "loss": losses})
             frame = pd.DataFrame({"doc_id": d, "loss": losses}).groupby("doc_id")["loss"].agg(["size", "sum"])
